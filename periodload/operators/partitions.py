@@ -42,12 +42,12 @@ def touched_periods(df: DataFrame, period_col: str, granularity: str) -> DataFra
     rows, never the whole min..max range. One partial+final aggregate."""
     return (
         df.groupBy(period_col)
-        .agg(F.count(F.lit(1)).alias("rows"))
+        .agg(F.count(F.lit(1)).alias("row_count"))
         .where(F.col(period_col).isNotNull())
         .select(
             F.col(period_col).alias("period"),
             period_label(F.col(period_col), granularity).alias("period_label"),
-            "rows",
+            "row_count",
         )
     )
 
@@ -146,7 +146,7 @@ def validate_periods(df: DataFrame, period_col: str, key: str, granularity: str,
     """Per stored period, rows checked and rows outside the period bounds."""
     bad = period_mismatch(period_col, key, df.schema[key].dataType, granularity, time_zone, session_tz)
     return df.groupBy(F.col(period_col).alias("period")).agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("invalid_rows")
+        F.count(F.lit(1)).alias("row_count"), F.count_if(bad).alias("invalid_rows")
     )
 
 
@@ -156,7 +156,7 @@ def partition_inventory(table_df: DataFrame, period_col: str, key: str) -> DataF
     partitioned table the period is a partition value, so no data column but
     the key is read."""
     return table_df.groupBy(F.col(period_col).alias("period")).agg(
-        F.count(F.lit(1)).alias("rows"),
+        F.count(F.lit(1)).alias("row_count"),
         F.min(key).alias("min_key"),
         F.max(key).alias("max_key"),
     )

@@ -15,7 +15,7 @@ ORDERS_MERGE_DELTA = """
   select o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1 as o_totalprice, o_orderdate, o_orderpriority
   from orders where o_orderdate >= timestamp '2001-06-01' and o_orderstatus = 'F'
   union all
-  select -o_orderkey, o_custkey, 'N', o_totalprice, o_orderdate, o_orderpriority
+  select -1 - o_orderkey, o_custkey, 'N', o_totalprice, o_orderdate, o_orderpriority
   from orders where o_orderdate >= timestamp '2001-06-01' and o_orderstatus = 'P'
 """
 
@@ -24,21 +24,288 @@ EVENTS_OVERWRITE_DELTA = """
   where ts >= timestamp '2024-01-28' and event_type <> 'error'
 """
 
-SQL = {
-    "exchange_overwrite_day": f"""
-with delta as ({EVENTS_OVERWRITE_DELTA}),
+LINEITEM_COLS = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, "
+                 "l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate")
+CUSTOMER_COLS = "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment"
+OM = "cast(date_trunc('month', o_orderdate) as date) as o_orderdate_month"
+ED = "cast(ts as date) as ts_day"
+LM = "cast(date_trunc('month', l_shipdate) as date) as l_shipdate_month"
+
+
+def merge_by_month(delta: str) -> str:
+    """The merge result for orders: every delta row, plus target rows with no
+    delta row of the same key in the same month (NOT EXISTS, as generated by
+    the reference for one period, applied to all periods at once)."""
+    return f"""
+with delta as ({delta})
+select {ORDERS_COLS}, {OM} from delta
+union all
+select {ORDERS_COLS}, {OM} from orders t
+where not exists (select 1 from delta d where d.o_orderkey = t.o_orderkey
+  and date_trunc('month', d.o_orderdate) = date_trunc('month', t.o_orderdate))
+"""
+
+
+def overwrite_events_by_day(delta: str) -> str:
+    return f"""
+with delta as ({delta}),
 touched as (select distinct cast(ts as date) as p from delta)
-select {EVENTS_COLS}, cast(ts as date) as ts_day from delta
+select {EVENTS_COLS}, {ED} from delta
 union all
-select {EVENTS_COLS}, cast(ts as date) as ts_day from events e
+select {EVENTS_COLS}, {ED} from events e
 where not exists (select 1 from touched where touched.p = cast(e.ts as date))
+"""
+
+
+def delete_insert_orders(delta: str) -> str:
+    return f"""
+with delta as ({delta})
+select {ORDERS_COLS}, {OM} from delta
+union all
+select {ORDERS_COLS}, {OM} from orders t
+where not exists (select 1 from delta d where d.o_orderkey = t.o_orderkey)
+"""
+
+
+SQL = {
+    "exchange_overwrite_day": overwrite_events_by_day(EVENTS_OVERWRITE_DELTA),
+    "exchange_merge_month": merge_by_month(ORDERS_MERGE_DELTA),
+    "exchange_merge_multikey": f"""
+with delta as (
+  select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity + 1 as l_quantity, l_extendedprice,
+         l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate
+  from lineitem where l_shipdate >= timestamp '2001-09-01' and l_returnflag = 'R')
+select {LINEITEM_COLS}, {LM} from delta
+union all
+select {LINEITEM_COLS}, {LM} from lineitem t
+where not exists (select 1 from delta d where d.l_orderkey = t.l_orderkey and d.l_linenumber = t.l_linenumber
+  and date_trunc('month', d.l_shipdate) = date_trunc('month', t.l_shipdate))
 """,
-    "exchange_merge_month": f"""
-with delta as ({ORDERS_MERGE_DELTA})
-select {ORDERS_COLS}, cast(date_trunc('month', o_orderdate) as date) as o_orderdate_month from delta
+    "exchange_merge_dup_delta": merge_by_month("""
+  select o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1 as o_totalprice, o_orderdate, o_orderpriority
+  from orders where o_orderdate >= timestamp '2001-06-01' and o_orderstatus = 'F'
+  union all
+  select o_orderkey, o_custkey, o_orderstatus, o_totalprice + 2, o_orderdate, o_orderpriority
+  from orders where o_orderdate >= timestamp '2001-06-01' and o_orderstatus = 'F'
+"""),
+    "exchange_merge_null_key": f"""
+with delta as (
+  select o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1 as o_totalprice, o_orderdate, o_orderpriority
+  from orders where o_orderdate >= timestamp '2001-06-01' and o_orderstatus = 'F'
+  union all
+  select cast(null as bigint), o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+  from orders where o_orderdate >= timestamp '2001-06-01' and o_orderstatus = 'P')
+select {ORDERS_COLS}, {OM} from delta
 union all
-select {ORDERS_COLS}, cast(date_trunc('month', o_orderdate) as date) from orders t
+select {ORDERS_COLS}, {OM} from delta where o_orderkey is null
+union all
+select {ORDERS_COLS}, {OM} from orders t
 where not exists (select 1 from delta d where d.o_orderkey = t.o_orderkey
   and date_trunc('month', d.o_orderdate) = date_trunc('month', t.o_orderdate))
 """,
+    "exchange_merge_moved_key": merge_by_month("""
+  select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate + interval 1 month as o_orderdate,
+         o_orderpriority
+  from orders where o_orderdate >= timestamp '2001-05-01' and o_orderstatus = 'F'
+"""),
+    "exchange_empty_delta": f"select {EVENTS_COLS}, {ED} from events",
+    "exchange_overwrite_month": f"""
+with delta as (select * from orders
+  where o_orderdate >= timestamp '2001-06-01' and o_orderpriority = '1-URGENT'),
+touched as (select distinct date_trunc('month', o_orderdate) as p from delta)
+select {ORDERS_COLS}, {OM} from delta
+union all
+select {ORDERS_COLS}, {OM} from orders e
+where not exists (select 1 from touched where touched.p = date_trunc('month', e.o_orderdate))
+""",
+    "first_load": f"select {ORDERS_COLS}, {OM} from orders",
+    "full_build": "select o_orderkey, o_orderdate, o_totalprice, o_custkey from orders",
+    "append_load": f"""
+select {EVENTS_COLS}, {ED} from events where ts < timestamp '2024-01-20'
+union all
+select {EVENTS_COLS}, {ED} from events where ts >= timestamp '2024-01-15'
+""",
+    "delete_insert": delete_insert_orders("""
+  select o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1 as o_totalprice,
+         o_orderdate + interval 1 year as o_orderdate, o_orderpriority
+  from orders where o_orderpriority = '1-URGENT' and o_orderstatus = 'O'
+"""),
+    "delete_insert_emptied": delete_insert_orders("""
+  select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate + interval 6 year as o_orderdate,
+         o_orderpriority
+  from orders where o_orderdate < timestamp '1995-02-01'
+"""),
+    "truncate_insert": """
+select c_custkey, c_name, c_nationkey, c_acctbal + 1 as c_acctbal, c_mktsegment
+from customer where c_mktsegment = 'BUILDING'
+""",
+    "truncate_insert_partitioned": f"select {EVENTS_COLS}, {ED} from events where ts < timestamp '2024-01-10'",
+    "snapshot_scd2": f"""
+select {CUSTOMER_COLS}, timestamp '2024-01-01' as valid_from, cast(null as timestamp) as valid_to, true as is_open
+from customer where c_mktsegment <> 'MACHINERY'
+union all
+select {CUSTOMER_COLS}, timestamp '2024-01-01', timestamp '2024-02-01', false
+from customer where c_mktsegment = 'MACHINERY'
+union all
+select c_custkey, c_name, c_nationkey, c_acctbal + 100, c_mktsegment, timestamp '2024-02-01',
+       cast(null as timestamp), true
+from customer where c_mktsegment = 'MACHINERY'
+union all
+select -1 - c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, timestamp '2024-02-01',
+       cast(null as timestamp), true
+from customer where c_mktsegment = 'AUTOMOBILE'
+""",
+    "delta_lookback_days": overwrite_events_by_day("""
+  select event_id, ts, user_id, event_type, value * 3 as value, props from events
+  where ts >= timestamp '2024-01-27'
+"""),
+    "delta_lookback_month": merge_by_month("""
+  select o_orderkey, o_custkey, 'R' as o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+  from orders where o_orderdate >= timestamp '2001-06-01'
+"""),
+    "delta_between_dates": overwrite_events_by_day("""
+  select event_id, ts, user_id, event_type, value + 1 as value, props from events
+  where cast(ts as date) between date '2024-01-10' and date '2024-01-12'
+"""),
+    "delta_between_changes": f"""
+with delta as (
+  select event_id, ts, user_id, event_type, value + 5 as value, props from events
+  where ts between timestamp '2024-01-05 06:00:00' and timestamp '2024-01-06 18:00:00')
+select {EVENTS_COLS}, {ED} from delta
+union all
+select {EVENTS_COLS}, {ED} from events t
+where not exists (select 1 from delta d where d.event_id = t.event_id
+  and cast(d.ts as date) = cast(t.ts as date))
+""",
+    "delta_first_run_switch": overwrite_events_by_day("""
+  select event_id, ts, user_id, event_type, value * 2 as value, props from events
+  where ts >= timestamp '2024-01-28'
+"""),
+    "delta_dedup": f"""
+select {EVENTS_COLS} from (
+  select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn from events)
+where rn = 1
+""",
+    "delta_window": """
+select cast(date_trunc('month', min(o_orderdate)) as date) as min_period,
+       cast(date_trunc('month', max(o_orderdate)) as date) as max_period
+from orders where o_orderstatus = 'O'
+""",
+    "touched_periods": f"""
+with delta as ({ORDERS_MERGE_DELTA})
+select cast(date_trunc('month', o_orderdate) as date) as period,
+       strftime(date_trunc('month', o_orderdate), '%Y%m') as period_label,
+       count(*) as row_count
+from delta group by 1, 2
+""",
+    "period_bounds": """
+select distinct cast(date_trunc('month', o_orderdate) as date) as period_start,
+       cast(date_trunc('month', o_orderdate) + interval 1 month as date) as period_end,
+       strftime(date_trunc('month', o_orderdate), '%Y%m') as period_label
+from orders
+""",
+    "missing_periods": """
+select distinct cast(date_trunc('month', o_orderdate) as date) as period
+from orders where o_orderdate >= timestamp '2001-01-01'
+""",
+    "range_layout": f"""
+with k as (
+  select *, cast(o_orderdate as date) as d,
+         (year(o_orderdate) * 12 + month(o_orderdate) - 1) - 1995 * 12 as m
+  from orders),
+b as (
+  select *, d >= date '1995-01-01' and d < date '2001-07-01' as inside,
+         cast(date '1995-01-01' + to_months(cast(floor(m / 3) * 3 as integer)) as date) as lo,
+         cast(date '1995-01-01' + to_months(cast(floor(m / 3) * 3 + 3 as integer)) as date) as hi
+  from k)
+select {ORDERS_COLS},
+       case when inside then lo end as range_start,
+       case when inside then least(hi, date '2001-07-01') end as range_end,
+       coalesce(case when inside then strftime(lo, '%Y-%m-%d') end, 'other') as partition_name
+from b
+""",
+    "list_layout_default": f"""
+select {CUSTOMER_COLS},
+       case when c_mktsegment in ('MACHINERY') then 'machines'
+            when c_mktsegment in ('BUILDING', 'HOUSEHOLD') then 'homes'
+            else 'other' end as partition_name
+from customer
+""",
+    "out_of_range_rows": f"""
+select {ORDERS_COLS} from orders
+where o_orderdate is null
+   or not (cast(o_orderdate as date) >= date '1995-01-01' and cast(o_orderdate as date) < date '2001-07-01')
+""",
+    "partition_validation": """
+select cast(date_trunc('month', o_orderdate + interval 15 day) as date) as period,
+       count(*) as row_count,
+       count(*) filter (where date_trunc('month', o_orderdate + interval 15 day)
+                              <> date_trunc('month', o_orderdate)) as invalid_rows
+from orders group by 1
+""",
+    "partition_inventory": """
+select cast(ts as date) as period, count(*) as row_count, min(event_id) as min_key, max(event_id) as max_key
+from events group by 1
+""",
+    "typed_projection": """
+select l_orderkey, cast(l_linenumber as bigint) as l_linenumber, cast(l_quantity as bigint) as l_quantity,
+       cast(l_shipdate as date) as l_shipdate, l_returnflag
+from lineitem
+""",
+    "null_violations": """
+select 'o_orderkey' as column_name, count(*) filter (where o_orderkey is null) as null_rows from orders
+union all
+select 'o_custkey', count(*) filter (where not coalesce(o_orderstatus <> 'P', false) or o_custkey is null)
+from orders
+union all
+select 'o_orderpriority', count(*) filter (where not coalesce(o_orderpriority <> '5-LOW', false)) from orders
+union all
+select 'o_orderdate', count(*) filter (where o_orderdate is null) from orders
+""",
+    "key_diagnostics": f"""
+with delta as (
+  {ORDERS_MERGE_DELTA}
+  union all
+  select {ORDERS_COLS} from orders
+  where o_orderdate >= timestamp '2001-06-01' and o_orderpriority = '2-HIGH'
+  union all
+  select cast(null as bigint), o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+  from orders where o_orderdate >= timestamp '2001-06-01' and o_orderstatus = 'O'
+  union all
+  select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate + interval 2 month, o_orderpriority
+  from orders where o_orderdate < timestamp '1996-01-01' and o_orderpriority = '3-MEDIUM'),
+per_key as (select o_orderkey, count(*) as n from delta group by o_orderkey),
+moved as (
+  select distinct d.o_orderkey from delta d join orders t on d.o_orderkey = t.o_orderkey
+  where date_trunc('month', d.o_orderdate) <> date_trunc('month', t.o_orderdate))
+select 'delta_rows' as diagnostic, cast(count(*) as bigint) as value from delta
+union all
+select 'null_key_rows', cast(count(*) filter (where o_orderkey is null) as bigint) from delta
+union all
+select 'duplicate_keys', cast(count(*) as bigint) from per_key where o_orderkey is not null and n > 1
+union all
+select 'duplicate_rows', cast(coalesce(sum(n - 1), 0) as bigint) from per_key
+where o_orderkey is not null and n > 1
+union all
+select 'moved_keys', cast(count(*) as bigint) from moved
+""",
+    "load_report": f"""
+with delta as ({ORDERS_MERGE_DELTA}),
+tgt as (select * from orders where o_orderdate < timestamp '2001-08-01'),
+dp as (select date_trunc('month', o_orderdate) as p, count(*) as n from delta group by 1),
+bp as (select date_trunc('month', o_orderdate) as p, count(*) as n from tgt group by 1),
+kp as (select date_trunc('month', o_orderdate) as p, count(*) as n from tgt t
+       where not exists (select 1 from delta d where d.o_orderkey = t.o_orderkey
+         and date_trunc('month', d.o_orderdate) = date_trunc('month', t.o_orderdate))
+       group by 1)
+select cast(dp.p as date) as period, strftime(dp.p, '%Y%m') as period_label, dp.n as delta_rows,
+       coalesce(bp.n, 0) as rows_before, dp.n + coalesce(kp.n, 0) as rows_after,
+       coalesce(kp.n, 0) as kept_rows, coalesce(bp.n, 0) - coalesce(kp.n, 0) as replaced_rows,
+       case when bp.n is null then 'merge+created' else 'merge' end as action
+from dp left join bp on dp.p = bp.p left join kp on dp.p = kp.p
+""",
+    "distributed_write": merge_by_month(ORDERS_MERGE_DELTA),
+    "random_write": merge_by_month(ORDERS_MERGE_DELTA),
+    "codec_write": merge_by_month(ORDERS_MERGE_DELTA),
+    "streaming_merge": merge_by_month(ORDERS_MERGE_DELTA),
 }

@@ -130,13 +130,13 @@ def events_spec(db: str, **kw) -> LoadSpec:
 # ------------------------------------------------------------------ deltas
 def orders_merge_delta(orders: DataFrame) -> DataFrame:
     """Changed rows (fulfilled orders of the last months, price + 1) and new
-    keys (pending orders copied under the negated key, status 'N')."""
+    keys (pending orders copied under key ``-1 - key``, status 'N')."""
     window = orders.where(F.col("o_orderdate") >= _ts("2001-06-01"))
     changed = window.where(F.col("o_orderstatus") == "F").withColumn(
         "o_totalprice", F.col("o_totalprice") + 1
     )
     new = window.where(F.col("o_orderstatus") == "P").select(
-        (-F.col("o_orderkey")).alias("o_orderkey"), "o_custkey", F.lit("N").alias("o_orderstatus"),
+        (F.lit(-1) - F.col("o_orderkey")).alias("o_orderkey"), "o_custkey", F.lit("N").alias("o_orderstatus"),
         "o_totalprice", "o_orderdate", "o_orderpriority",
     )
     return changed.unionByName(new)
@@ -169,7 +169,473 @@ def exchange_merge_month(spark, sf_dir):
     return spark.table(spec.table)
 
 
+def _interval(col: str, expr: str) -> F.Column:
+    return F.expr(f"{col} + {expr}")
+
+
+def exchange_merge_multikey(spark, sf_dir):
+    """L7 on two keys: lineitem by month on (l_orderkey, l_linenumber). The
+    pair is not unique in lineitem, so duplicates on both sides are exercised."""
+    db = scratch_db(spark)
+    li = read(spark, sf_dir, "lineitem")
+    spec = LoadSpec(table=f"{db}.lineitem", contract=LINEITEM, partition_column="l_shipdate",
+                    granularity="month", merge=True, unique_key=["l_orderkey", "l_linenumber"])
+    run(spark, li, spec)
+    delta = li.where((F.col("l_shipdate") >= _ts("2001-09-01")) & (F.col("l_returnflag") == "R")).withColumn(
+        "l_quantity", F.col("l_quantity") + 1
+    )
+    run(spark, delta, spec)
+    return spark.table(spec.table)
+
+
+def exchange_merge_dup_delta(spark, sf_dir):
+    """H4: two versions of each changed key in one delta; both are kept."""
+    db = scratch_db(spark)
+    orders = read(spark, sf_dir, "orders")
+    spec = orders_spec(db)
+    run(spark, orders, spec)
+    window = orders.where((F.col("o_orderdate") >= _ts("2001-06-01")) & (F.col("o_orderstatus") == "F"))
+    delta = window.withColumn("o_totalprice", F.col("o_totalprice") + 1).unionByName(
+        window.withColumn("o_totalprice", F.col("o_totalprice") + 2)
+    )
+    run(spark, delta, spec)
+    return spark.table(spec.table)
+
+
+def exchange_merge_null_key(spark, sf_dir):
+    """H3: rows with a null key never match, so a re-run adds them again."""
+    db = scratch_db(spark)
+    orders = read(spark, sf_dir, "orders")
+    spec = orders_spec(db)
+    run(spark, orders, spec)
+    window = orders.where(F.col("o_orderdate") >= _ts("2001-06-01"))
+    delta = window.where(F.col("o_orderstatus") == "F").withColumn(
+        "o_totalprice", F.col("o_totalprice") + 1
+    ).unionByName(
+        window.where(F.col("o_orderstatus") == "P").withColumn("o_orderkey", F.lit(None).cast("long"))
+    )
+    run(spark, delta, spec)
+    run(spark, delta, spec)
+    return spark.table(spec.table)
+
+
+def exchange_merge_moved_key(spark, sf_dir):
+    """H2: a key whose row moves to the next month keeps its old copy."""
+    db = scratch_db(spark)
+    orders = read(spark, sf_dir, "orders")
+    spec = orders_spec(db)
+    run(spark, orders, spec)
+    delta = orders.where(
+        (F.col("o_orderdate") >= _ts("2001-05-01")) & (F.col("o_orderstatus") == "F")
+    ).withColumn("o_orderdate", _interval("o_orderdate", "INTERVAL 1 MONTH"))
+    run(spark, delta, spec)
+    return spark.table(spec.table)
+
+
+def exchange_empty_delta(spark, sf_dir):
+    """An empty delta leaves the target untouched."""
+    db = scratch_db(spark)
+    events = read(spark, sf_dir, "events")
+    spec = events_spec(db)
+    run(spark, events, spec)
+    result = run(spark, events.where(F.col("ts") >= _ts("2100-01-01")), spec)
+    assert result.action == "noop", result.action
+    return spark.table(spec.table)
+
+
+def exchange_overwrite_month(spark, sf_dir):
+    """L6 by month: urgent orders of the last three months replace those months."""
+    db = scratch_db(spark)
+    orders = read(spark, sf_dir, "orders")
+    spec = orders_spec(db, merge=False)
+    run(spark, orders, spec)
+    delta = orders.where((F.col("o_orderdate") >= _ts("2001-06-01")) & (F.col("o_orderpriority") == "1-URGENT"))
+    run(spark, delta, spec)
+    return spark.table(spec.table)
+
+
+def first_load_orders(spark, sf_dir):
+    """L1: create the month-partitioned target and insert every row."""
+    db = scratch_db(spark)
+    spec = orders_spec(db)
+    first_load(spark, read(spark, sf_dir, "orders"), spec)
+    return spark.table(spec.table)
+
+
+def full_build_orders(spark, sf_dir):
+    """L2: unpartitioned build by contract; extra columns dropped, contract order."""
+    db = scratch_db(spark)
+    contract = T.StructType([ORDERS["o_orderkey"], ORDERS["o_orderdate"], ORDERS["o_totalprice"],
+                             ORDERS["o_custkey"]])
+    full_build(spark, read(spark, sf_dir, "orders"), f"{db}.orders_flat", contract=contract)
+    return spark.table(f"{db}.orders_flat")
+
+
+def append_load(spark, sf_dir):
+    """L3: append an overlapping slice; rows already present are kept twice."""
+    db = scratch_db(spark)
+    events = read(spark, sf_dir, "events")
+    spec = events_spec(db, strategy="append", merge=None)
+    run(spark, events.where(F.col("ts") < _ts("2024-01-20")), spec)
+    run(spark, events.where(F.col("ts") >= _ts("2024-01-15")), spec)
+    return spark.table(spec.table)
+
+
+def delete_insert(spark, sf_dir):
+    """L4: urgent open orders move one year on; their old rows go, in any period."""
+    db = scratch_db(spark)
+    orders = read(spark, sf_dir, "orders")
+    spec = orders_spec(db, strategy="delete+insert", merge=None)
+    run(spark, orders, spec)
+    delta = orders.where(
+        (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "O")
+    ).withColumn("o_orderdate", _interval("o_orderdate", "INTERVAL 1 YEAR")).withColumn(
+        "o_totalprice", F.col("o_totalprice") + 1
+    )
+    run(spark, delta, spec)
+    return spark.table(spec.table)
+
+
+def delete_insert_emptied(spark, sf_dir):
+    """L4 + H10: every order of January 1995 moves six years on; the emptied
+    month must disappear, not keep its old rows."""
+    db = scratch_db(spark)
+    orders = read(spark, sf_dir, "orders")
+    spec = orders_spec(db, strategy="delete+insert", merge=None)
+    run(spark, orders, spec)
+    delta = orders.where(F.col("o_orderdate") < _ts("1995-02-01")).withColumn(
+        "o_orderdate", _interval("o_orderdate", "INTERVAL 6 YEARS")
+    )
+    result = run(spark, delta, spec)
+    assert _dt.date(1995, 1, 1) not in {
+        r[0] for r in existing_periods(spark, spec.table, spec.period_col).collect()
+    }, result.action
+    return spark.table(spec.table)
+
+
+def truncate_insert(spark, sf_dir):
+    """L5, unpartitioned: the table ends up holding exactly the delta."""
+    db = scratch_db(spark)
+    cust = read(spark, sf_dir, "customer")
+    spec = LoadSpec(table=f"{db}.customer", contract=CUSTOMER, strategy="truncate+insert")
+    run(spark, cust, spec)
+    delta = cust.where(F.col("c_mktsegment") == "BUILDING").withColumn("c_acctbal", F.col("c_acctbal") + 1)
+    run(spark, delta, spec)
+    return spark.table(spec.table)
+
+
+def truncate_insert_partitioned(spark, sf_dir):
+    """L5, partitioned: the delta's days are rewritten, every other day dropped."""
+    db = scratch_db(spark)
+    events = read(spark, sf_dir, "events")
+    spec = events_spec(db, strategy="truncate+insert", merge=None)
+    run(spark, events, spec)
+    run(spark, events.where(F.col("ts") < _ts("2024-01-10")), spec)
+    return spark.table(spec.table)
+
+
+def snapshot_scd2(spark, sf_dir):
+    """Customer history; machinery balances change, furniture customers
+    vanish from the source (stay open), automobile customers get new keys."""
+    db = scratch_db(spark)
+    cust = read(spark, sf_dir, "customer")
+    table = f"{db}.customer_history"
+    snapshot_merge(spark, cust, table, keys="c_custkey", as_of="2024-01-01")
+    v2 = cust.where(F.col("c_mktsegment") != "FURNITURE").withColumn(
+        "c_acctbal",
+        F.when(F.col("c_mktsegment") == "MACHINERY", F.col("c_acctbal") + 100).otherwise(F.col("c_acctbal")),
+    ).unionByName(
+        cust.where(F.col("c_mktsegment") == "AUTOMOBILE").withColumn("c_custkey", F.lit(-1) - F.col("c_custkey"))
+    )
+    snapshot_merge(spark, v2, table, keys="c_custkey", as_of="2024-02-01")
+    snapshot_merge(spark, v2, table, keys="c_custkey", as_of="2024-02-01")  # same again: no change
+    return spark.table(table)
+
+
+def delta_lookback_days(spark, sf_dir):
+    """D1 + L6: the last three days before 2024-01-30 are reloaded, value x3."""
+    db = scratch_db(spark)
+    events = read(spark, sf_dir, "events")
+    spec = events_spec(db)
+    run(spark, events, spec)
+    delta = lookback_days(events, "ts", 3, as_of="2024-01-30").withColumn("value", F.col("value") * 3)
+    run(spark, delta, spec)
+    return spark.table(spec.table)
+
+
+def delta_lookback_month(spark, sf_dir):
+    """D2 + L7: from the first day of the previous month (as of 2001-07-15)."""
+    db = scratch_db(spark)
+    orders = read(spark, sf_dir, "orders")
+    spec = orders_spec(db)
+    run(spark, orders, spec)
+    delta = lookback_months(orders, "o_orderdate", 1, as_of="2001-07-15").withColumn(
+        "o_orderstatus", F.lit("R")
+    )
+    run(spark, delta, spec)
+    return spark.table(spec.table)
+
+
+def delta_between_dates(spark, sf_dir):
+    """D3 + L6: a closed date window on the key, both ends inclusive."""
+    db = scratch_db(spark)
+    events = read(spark, sf_dir, "events")
+    spec = events_spec(db)
+    run(spark, events, spec)
+    delta = between_dates(events, "ts", "2024-01-10", "2024-01-12").withColumn("value", F.col("value") + 1)
+    run(spark, delta, spec)
+    return spark.table(spec.table)
+
+
+def delta_between_changes(spark, sf_dir):
+    """D4 + L7: a window on a change column cuts days in half; merge keeps
+    the rest of each day."""
+    db = scratch_db(spark)
+    events = read(spark, sf_dir, "events")
+    spec = events_spec(db, merge=True)
+    run(spark, events, spec)
+    delta = between_changes(events, "ts", "2024-01-05 06:00:00", "2024-01-06 18:00:00").withColumn(
+        "value", F.col("value") + 5
+    )
+    run(spark, delta, spec)
+    return spark.table(spec.table)
+
+
+def delta_first_run_switch(spark, sf_dir):
+    """The first run loads everything, the second only the look-back."""
+    db = scratch_db(spark)
+    events = read(spark, sf_dir, "events")
+    spec = events_spec(db)
+
+    def model():
+        src = events.withColumn("value", F.col("value") * 2) if spark.catalog.tableExists(spec.table) else events
+        return first_run_switch(spark, spec.table, src, lambda d: lookback_days(d, "ts", 2, as_of="2024-01-30"))
+
+    run(spark, model(), spec)
+    run(spark, model(), spec)
+    return spark.table(spec.table)
+
+
+def delta_dedup(spark, sf_dir):
+    """One event per user: the latest by (ts, event_id)."""
+    return latest_per_key(read(spark, sf_dir, "events"), "user_id", ["ts", "event_id"])
+
+
+def delta_window_orders(spark, sf_dir):
+    """First and last month of the open orders."""
+    orders = read(spark, sf_dir, "orders")
+    return delta_window(orders.where(F.col("o_orderstatus") == "O"), "o_orderdate", "month")
+
+
+def touched_periods_orders(spark, sf_dir):
+    """Months of the merge delta with their row counts."""
+    orders = read(spark, sf_dir, "orders")
+    delta = orders_merge_delta(orders)
+    spec = orders_spec("x")
+    return touched_periods(prepare_delta(spark, delta, spec), spec.period_col, "month")
+
+
+def period_bounds_orders(spark, sf_dir):
+    """[start, next) of every month holding orders."""
+    orders = read(spark, sf_dir, "orders")
+    spec = orders_spec("x")
+    periods = touched_periods(prepare_delta(spark, orders, spec), spec.period_col, "month")
+    return period_bounds(periods, "period", "month")
+
+
+def missing_periods_orders(spark, sf_dir):
+    """P5: months of the delta that have no partition in the target yet."""
+    db = scratch_db(spark)
+    orders = read(spark, sf_dir, "orders")
+    spec = orders_spec(db)
+    run(spark, orders.where(F.col("o_orderdate") < _ts("2001-01-01")), spec)
+    delta = prepare_delta(spark, orders.where(F.col("o_orderdate") >= _ts("2000-10-01")), spec)
+    touched = touched_periods(delta, spec.period_col, "month")
+    existing = existing_periods(spark, spec.table, spec.period_col).withColumnRenamed(spec.period_col, "period")
+    return missing_periods(touched, existing, "period")
+
+
+ORDERS_RANGE = RangeLayout(start="1995-01-01", end="2001-07-01", every=3, unit="month")
+
+
+def range_layout_orders(spark, sf_dir):
+    """P7 + P9: quarterly ranges over [1995-01-01, 2001-07-01), default 'other'."""
+    return range_layout(read(spark, sf_dir, "orders"), "o_orderdate", ORDERS_RANGE, default="other")
+
+
+def list_layout_default(spark, sf_dir):
+    """P8 + P9: customers by market segment lists; the rest go to 'other'."""
+    layout = ListLayout(
+        column="c_mktsegment",
+        partitions=(("machines", ("MACHINERY",)), ("homes", ("BUILDING", "HOUSEHOLD"))),
+    )
+    return list_layout(read(spark, sf_dir, "customer"), layout)
+
+
+def out_of_range_orders(spark, sf_dir):
+    """P10: orders that fit no quarterly range (END is exclusive)."""
+    return out_of_range_rows(read(spark, sf_dir, "orders"), "o_orderdate", ORDERS_RANGE)
+
+
+def partition_validation(spark, sf_dir):
+    """A supplied month column (from the date 15 days later) checked
+    against the key: rows outside their partition's bounds per period."""
+    orders = read(spark, sf_dir, "orders")
+    supplied = orders.withColumn(
+        "o_orderdate_month", F.trunc(F.to_date(_interval("o_orderdate", "INTERVAL 15 DAYS")), "MM")
+    )
+    return validate_periods(supplied, "o_orderdate_month", "o_orderdate", "month")
+
+
+def partition_inventory_events(spark, sf_dir):
+    """Rows and key range per day partition of the loaded events table."""
+    db = scratch_db(spark)
+    spec = events_spec(db)
+    run(spark, read(spark, sf_dir, "events"), spec)
+    return partition_inventory(spark.table(spec.table), spec.period_col, "event_id")
+
+
+def typed_projection_lineitem(spark, sf_dir):
+    """Exact casts only (H22): int to bigint, integral double to bigint,
+    timestamp to date; extra columns dropped."""
+    contract = T.StructType(
+        [
+            T.StructField("l_orderkey", T.LongType()),
+            T.StructField("l_linenumber", T.LongType()),
+            T.StructField("l_quantity", T.LongType()),
+            T.StructField("l_shipdate", T.DateType()),
+            T.StructField("l_returnflag", T.StringType()),
+        ]
+    )
+    return typed_projection(read(spark, sf_dir, "lineitem"), contract)
+
+
+def null_violations_orders(spark, sf_dir):
+    """Nulls in NOT NULL columns of a delta, one row per column."""
+    orders = read(spark, sf_dir, "orders")
+    delta = orders.withColumn(
+        "o_custkey", F.when(F.col("o_orderstatus") != "P", F.col("o_custkey"))
+    ).withColumn("o_orderpriority", F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")))
+    return null_violations(delta, ["o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate"])
+
+
+def key_diagnostics_orders(spark, sf_dir):
+    """Duplicate, null and moved keys of a delta against the target."""
+    db = scratch_db(spark)
+    orders = read(spark, sf_dir, "orders")
+    spec = orders_spec(db)
+    run(spark, orders, spec)
+    window = orders.where(F.col("o_orderdate") >= _ts("2001-06-01"))
+    delta = (
+        orders_merge_delta(orders)
+        .unionByName(window.where(F.col("o_orderpriority") == "2-HIGH"))
+        .unionByName(window.where(F.col("o_orderstatus") == "O").withColumn("o_orderkey", F.lit(None).cast("long")))
+        .unionByName(
+            orders.where((F.col("o_orderdate") < _ts("1996-01-01")) & (F.col("o_orderpriority") == "3-MEDIUM"))
+            .withColumn("o_orderdate", _interval("o_orderdate", "INTERVAL 2 MONTHS"))
+        )
+    )
+    prepared = prepare_delta(spark, delta, spec)
+    return key_diagnostics(prepared, spec.keys, spec.period_col, target=spark.table(spec.table))
+
+
+def load_report(spark, sf_dir):
+    """Per touched month, delta rows, rows before and after, kept and
+    replaced rows, action."""
+    db = scratch_db(spark)
+    orders = read(spark, sf_dir, "orders")
+    spec = orders_spec(db, create_missing_partitions=True)
+    run(spark, orders.where(F.col("o_orderdate") < _ts("2001-08-01")), spec)
+    return run(spark, orders_merge_delta(orders), spec).report
+
+
+def distributed_write(spark, sf_dir):
+    """Hash distribution by customer: rebalanced by (period, o_custkey) and
+    clustered by it inside each file; same content as the plain merge."""
+    db = scratch_db(spark)
+    orders = read(spark, sf_dir, "orders")
+    spec = orders_spec(db, distributed_by="o_custkey")
+    run(spark, orders, spec)
+    run(spark, orders_merge_delta(orders), spec)
+    return spark.table(spec.table)
+
+
+def random_write(spark, sf_dir):
+    """Y2: random distribution (default) with a cap on rows per file."""
+    db = scratch_db(spark)
+    orders = read(spark, sf_dir, "orders")
+    spec = orders_spec(db, max_records_per_file=50)
+    run(spark, orders, spec)
+    run(spark, orders_merge_delta(orders), spec)
+    return spark.table(spec.table)
+
+
+def codec_write(spark, sf_dir):
+    """Zstd level 9 with 1 MiB row groups; content unchanged."""
+    db = scratch_db(spark)
+    orders = read(spark, sf_dir, "orders")
+    spec = orders_spec(db, compression_level=9, row_group_bytes=1 << 20)
+    run(spark, orders, spec)
+    run(spark, orders_merge_delta(orders), spec)
+    return spark.table(spec.table)
+
+
+def streaming_merge(spark, sf_dir):
+    """Merge fed by Structured Streaming: each micro-batch is one merge
+    (foreachBatch); the stream reads the staged delta files."""
+    from .streaming.foreach_batch import stream_into
+
+    db = scratch_db(spark)
+    orders = read(spark, sf_dir, "orders")
+    spec = orders_spec(db)
+    run(spark, orders, spec)
+    base = f"{staging_root(spark)}/periodload/stream/{new_run_id()}"
+    delta = orders_merge_delta(orders)
+    delta.write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(delta.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    q = stream_into(stream, spec, f"{base}/chk", trigger={"availableNow": True})
+    q.awaitTermination()
+    return spark.table(spec.table)
+
+
 SCENARIOS = {
     "exchange_overwrite_day": exchange_overwrite_day,
     "exchange_merge_month": exchange_merge_month,
+    "exchange_merge_multikey": exchange_merge_multikey,
+    "exchange_merge_dup_delta": exchange_merge_dup_delta,
+    "exchange_merge_null_key": exchange_merge_null_key,
+    "exchange_merge_moved_key": exchange_merge_moved_key,
+    "exchange_empty_delta": exchange_empty_delta,
+    "exchange_overwrite_month": exchange_overwrite_month,
+    "first_load": first_load_orders,
+    "full_build": full_build_orders,
+    "append_load": append_load,
+    "delete_insert": delete_insert,
+    "delete_insert_emptied": delete_insert_emptied,
+    "truncate_insert": truncate_insert,
+    "truncate_insert_partitioned": truncate_insert_partitioned,
+    "snapshot_scd2": snapshot_scd2,
+    "delta_lookback_days": delta_lookback_days,
+    "delta_lookback_month": delta_lookback_month,
+    "delta_between_dates": delta_between_dates,
+    "delta_between_changes": delta_between_changes,
+    "delta_first_run_switch": delta_first_run_switch,
+    "delta_dedup": delta_dedup,
+    "delta_window": delta_window_orders,
+    "touched_periods": touched_periods_orders,
+    "period_bounds": period_bounds_orders,
+    "missing_periods": missing_periods_orders,
+    "range_layout": range_layout_orders,
+    "list_layout_default": list_layout_default,
+    "out_of_range_rows": out_of_range_orders,
+    "partition_validation": partition_validation,
+    "partition_inventory": partition_inventory_events,
+    "typed_projection": typed_projection_lineitem,
+    "null_violations": null_violations_orders,
+    "key_diagnostics": key_diagnostics_orders,
+    "load_report": load_report,
+    "distributed_write": distributed_write,
+    "random_write": random_write,
+    "codec_write": codec_write,
+    "streaming_merge": streaming_merge,
 }
