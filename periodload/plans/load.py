@@ -211,8 +211,65 @@ def _finish(spark: SparkSession, spec: LoadSpec) -> None:
     tb.analyze(spark, spec.table, spec.analyze)
 
 
-def _stage(spark: SparkSession, prepared: DataFrame, spec: LoadSpec, staging: Staging) -> DataFrame:
-    return staging.stage(prepared) if spec.stage else prepared
+_CLOCK_FUNCTIONS = ("current_timestamp(", "current_date(", "now(", "localtimestamp(", "current_time(")
+
+
+def _table_location(spark: SparkSession, table: str) -> str | None:
+    if not tb.table_exists(spark, table):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {tb.quote_table(table)}").where(
+        F.col("col_name") == "Location"
+    ).collect()
+    return rows[0]["data_type"].rstrip("/") if rows else None
+
+
+def safe_to_reread(spark: SparkSession, delta: DataFrame, target_location: str | None) -> bool:
+    """Whether reading ``delta`` twice gives the same rows: its plan is
+    deterministic, uses no clock function, and reads only files (no in-memory
+    or RDD input, no stream), none under the target's location."""
+    plan = delta._jdf.queryExecution().analyzed()
+    if not plan.deterministic():
+        return False
+    text = plan.toString().lower()
+    if any(f in text for f in _CLOCK_FUNCTIONS):
+        return False
+    leaves = plan.collectLeaves()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() != "LogicalRelation":
+            return False
+        rel = leaf.relation()
+        if rel.getClass().getSimpleName() != "HadoopFsRelation":
+            return False
+        if target_location:
+            roots = rel.location().rootPaths()
+            for j in range(roots.size()):
+                root = roots.apply(j).toString().rstrip("/")
+                if root == target_location or root.startswith(target_location + "/") \
+                        or target_location.startswith(root + "/"):
+                    return False
+    return True
+
+
+def _stage(spark: SparkSession, prepared: DataFrame, spec: LoadSpec, staging: Staging,
+           delta: DataFrame | None = None, reads_many: bool = True) -> DataFrame:
+    """Stage the prepared delta, or skip it when that is provably safe.
+
+    ``stage=True`` always stages, ``False`` never. ``"auto"`` stages whenever
+    the load reads the delta more than once in its content (merge,
+    delete+insert, truncate+insert) or the delta is not safe to read twice;
+    an overwrite, append or first load of a plain file-based delta skips the
+    extra write of the whole delta, which at scale is the largest saving.
+    """
+    if spec.stage is True:
+        return staging.stage(prepared)
+    if spec.stage is False:
+        return prepared
+    if reads_many or delta is None:
+        return staging.stage(prepared)
+    if safe_to_reread(spark, delta, _table_location(spark, spec.table)):
+        return prepared
+    return staging.stage(prepared)
 
 
 def _empty_report(spark: SparkSession, action: str) -> DataFrame:
@@ -232,7 +289,7 @@ def first_load(spark: SparkSession, delta: DataFrame, spec: LoadSpec, run_id: st
     supplied = spec.partitioned and spec.period_col in delta.columns
     prepared = prepare_delta(spark, delta, spec)
     with Staging(spark, spec.table, spec.staging_dir, run_id) as st:
-        staged = _stage(spark, prepared, spec, st)
+        staged = _stage(spark, prepared, spec, st, delta, reads_many=False)
         stats = delta_stats(spark, staged, spec, supplied)
         warning = _check_null_periods(stats, spec)
         raise_on_nulls(stats.nulls)
@@ -289,10 +346,10 @@ def run(spark: SparkSession, delta: DataFrame, spec: LoadSpec, run_id: str | Non
     return strategy(spark, delta, spec, run_id)
 
 
-def _checked_stats(spark, delta, spec, st):
+def _checked_stats(spark, delta, spec, st, reads_many=True):
     supplied = spec.partitioned and spec.period_col in delta.columns
     prepared = prepare_delta(spark, delta, spec)
-    staged = _stage(spark, prepared, spec, st)
+    staged = _stage(spark, prepared, spec, st, delta, reads_many)
     stats = delta_stats(spark, staged, spec, supplied)
     warning = _check_null_periods(stats, spec)
     raise_on_nulls(stats.nulls)
@@ -313,7 +370,7 @@ def _missing_periods(spark: SparkSession, spec: LoadSpec, periods: list) -> list
 def _exchange(spark, delta, spec, run_id) -> LoadResult:
     """L6 (overwrite) and L7 (merge), with L9, P5, P6, C3, P12 and L11."""
     with Staging(spark, spec.table, spec.staging_dir, run_id) as st:
-        staged, stats, warning = _checked_stats(spark, delta, spec, st)
+        staged, stats, warning = _checked_stats(spark, delta, spec, st, reads_many=bool(spec.merge))
         if warning or stats.total == 0:  # L9
             msg = warning or "delta is empty: nothing to exchange"
             log.info("exchange_partition: %s", msg)
@@ -334,7 +391,10 @@ def _exchange(spark, delta, spec, run_id) -> LoadResult:
         else:
             content = overwrite_content(staged)
         _write(spark, content, spec, overwrite=True)
-        after = _footer_counts(spark, spec.table, spec.period_col, periods, spec.max_inline_periods)
+        if spec.merge:
+            after = _footer_counts(spark, spec.table, spec.period_col, periods, spec.max_inline_periods)
+        else:  # an overwritten period holds exactly its delta rows
+            after = {p: stats.rows_by_period[p] for p in periods}
         _finish(spark, spec)
     mode = "merge" if spec.merge else "overwrite"
     rows = []
@@ -347,7 +407,7 @@ def _exchange(spark, delta, spec, run_id) -> LoadResult:
 def _append(spark, delta, spec, run_id) -> LoadResult:
     """L3: insert every delta row by name; nothing is replaced."""
     with Staging(spark, spec.table, spec.staging_dir, run_id) as st:
-        staged, stats, warning = _checked_stats(spark, delta, spec, st)
+        staged, stats, warning = _checked_stats(spark, delta, spec, st, reads_many=False)
         if warning or stats.total == 0:
             return LoadResult("noop", _empty_report(spark, "noop"), [], st.run_id, [warning] if warning else [])
         periods = stats.periods if spec.partitioned else [None]

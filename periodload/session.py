@@ -71,6 +71,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # Local runs move megabytes: let adaptive execution keep enough write
+        # tasks busy instead of coalescing every period into 2-3 tasks. On a
+        # cluster the defaults (target sizes in the tens of MB) apply.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

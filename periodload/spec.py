@@ -95,7 +95,7 @@ class LoadSpec:
     range_layout: RangeLayout | None = None
     location: str | None = None
     staging_dir: str | None = None
-    stage: bool = True
+    stage: bool | str = "auto"  # True, False or "auto" (stage unless provably safe to skip)
     max_inline_periods: int = 10_000
     extra_properties: dict = field(default_factory=dict)
 
@@ -203,6 +203,8 @@ class LoadSpec:
             raise SpecError("a replicated table cannot be partitioned")
         if self.compression_level is not None and not (0 <= int(self.compression_level) <= 22):
             raise SpecError("compression_level must be between 0 and 22")
+        if self.stage not in (True, False, "auto"):
+            raise SpecError("stage must be True, False or 'auto'")
         if self.max_inline_periods < 1:
             raise SpecError("max_inline_periods must be >= 1")
         return self
