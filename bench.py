@@ -64,12 +64,14 @@ def main() -> None:
     li_spec = LoadSpec(table=f"{db}.lineitem", contract=LINEITEM, partition_column="l_shipdate",
                        granularity="month", merge=True, unique_key=["l_orderkey", "l_linenumber"])
     di_spec = orders_spec(db, table=f"{db}.orders_di", strategy="delete+insert", merge=None)
+    bk_spec = orders_spec(db, table=f"{db}.orders_bk", buckets=16)
 
     q: dict[str, float] = {}
     q["first_load_events"] = timed(lambda: first_load(spark, events, ev_spec))
     q["first_load_orders"] = timed(lambda: first_load(spark, orders, or_spec))
     q["first_load_lineitem"] = timed(lambda: first_load(spark, lineitem, li_spec))
     q["first_load_orders_di"] = timed(lambda: first_load(spark, orders, di_spec))
+    q["first_load_orders_bucketed"] = timed(lambda: first_load(spark, orders, bk_spec))
 
     def ev_delta(first_day: str, days: int):
         lo = _dt.date.fromisoformat(first_day)
@@ -93,6 +95,8 @@ def main() -> None:
         "merge_month_1": lambda: run(spark, or_delta("2001-06-01", 1), or_spec),
         "merge_month_5": lambda: run(spark, or_delta("2001-01-01", 5), or_spec),
         "merge_month_80": lambda: run(spark, or_delta("1995-01-01", 80), or_spec),
+        "merge_bucketed_month_5": lambda: run(spark, or_delta("2001-01-01", 5), bk_spec),
+        "merge_bucketed_month_80": lambda: run(spark, or_delta("1995-01-01", 80), bk_spec),
         "merge_lineitem_two_keys": lambda: run(
             spark,
             lineitem.where((F.col("l_shipdate") >= _ts("2001-01-01")) & (F.col("l_returnflag") == "R"))

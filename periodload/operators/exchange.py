@@ -25,7 +25,11 @@ def overwrite_content(delta: DataFrame) -> DataFrame:
 
 
 def merge_content(
-    delta: DataFrame, target_slice: DataFrame, keys: Sequence[str], period_col: str
+    delta: DataFrame,
+    target_slice: DataFrame,
+    keys: Sequence[str],
+    period_col: str,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Every delta row, plus each target row with no delta row of the same
     key in the same period. Delta wins; delta duplicates are all kept (H4); a
@@ -36,30 +40,55 @@ def merge_content(
     ``NOT EXISTS``.
 
     Plan: the delta's ``(period, keys)`` are de-duplicated with a partial
-    aggregate, whose shuffle is also the join's shuffle, so duplicate delta keys
-    are collapsed map-side. Target rows with a null key can never match (H3,
+    aggregate, whose shuffle is also the join's, so duplicate delta keys are
+    collapsed map-side. Target rows with a null key can never match (H3,
     plain equality as in the reference) and skip the join altogether, so a
     mass of null keys cannot pile into one join task; Parquet row-group null
     counts let the second scan skip groups without nulls.
+
+    With ``buckets`` (the target is bucketed by exactly ``keys``, in that
+    order) the join is on the keys with the period as a join condition: the
+    bucketed target scan already has the join's partitioning, so only the
+    delta keys are shuffled, into the same number of buckets, and the target
+    slice is never shuffled.
     """
     keys = list(keys)
     set_ = all_keys_set(keys)
-    on = [period_col, *keys]
-    delta_keys = delta.where(set_).select(*on).distinct()
-    kept = target_slice.where(set_).join(delta_keys, on, "left_anti")
     null_key_rows = target_slice.where(~set_)
+    if not buckets:
+        on = [period_col, *keys]
+        delta_keys = delta.where(set_).select(*on).distinct()
+        kept = target_slice.where(set_).join(delta_keys, on, "left_anti")
+        return delta.unionByName(kept).unionByName(null_key_rows)
+    renamed = [F.col(c).alias(f"_dk_{c}") for c in (period_col, *keys)]
+    delta_keys = (
+        delta.where(set_).select(*renamed)
+        .repartition(int(buckets), *[f"_dk_{k}" for k in keys])
+        .dropDuplicates([f"_dk_{c}" for c in (period_col, *keys)])
+    )
+    tgt = target_slice.where(set_)
+    cond = reduce(lambda a, b: a & b, [tgt[k] == delta_keys[f"_dk_{k}"] for k in keys])
+    cond = cond & (F.datediff(tgt[period_col], delta_keys[f"_dk_{period_col}"]) == 0)
+    kept = tgt.join(delta_keys, cond, "left_anti")
     return delta.unionByName(kept).unionByName(null_key_rows)
 
 
+def _delta_keys(delta: DataFrame, keys: list, buckets: int | None) -> DataFrame:
+    set_ = all_keys_set(keys)
+    if buckets:  # partitioned like a target bucketed by the keys: no target shuffle
+        return delta.where(set_).select(*keys).repartition(int(buckets), *keys).dropDuplicates(keys)
+    return delta.where(set_).select(*keys).distinct()
+
+
 def delete_insert_matches(
-    target: DataFrame, delta: DataFrame, keys: Sequence[str], period_col: str
+    target: DataFrame, delta: DataFrame, keys: Sequence[str], period_col: str, buckets: int | None = None
 ) -> DataFrame:
     """L4, step 1: per period, how many target rows have a key present in the
     delta. One semi join over the target's key and period columns only; the
     result is small (one row per period)."""
     keys = list(keys)
     set_ = all_keys_set(keys)
-    delta_keys = delta.where(set_).select(*keys).distinct()
+    delta_keys = _delta_keys(delta, keys, buckets)
     return (
         target.select(period_col, *keys)
         .where(set_)
@@ -70,13 +99,13 @@ def delete_insert_matches(
 
 
 def delete_insert_content(
-    delta: DataFrame, target_slice: DataFrame, keys: Sequence[str]
+    delta: DataFrame, target_slice: DataFrame, keys: Sequence[str], buckets: int | None = None
 ) -> DataFrame:
     """L4, step 2: drop every target row, in any period, whose key is in the
     delta, then add all delta rows. ``target_slice`` holds the periods that
     have such rows or receive delta rows."""
     keys = list(keys)
     set_ = all_keys_set(keys)
-    delta_keys = delta.where(set_).select(*keys).distinct()
+    delta_keys = _delta_keys(delta, keys, buckets)
     kept = target_slice.where(set_).join(delta_keys, keys, "left_anti")
     return delta.unionByName(kept).unionByName(target_slice.where(~set_))

@@ -7,6 +7,9 @@
 * Hash distribution (Y1): ``REBALANCE(period, cols)`` and a sort on ``cols``
   within each task, which clusters rows by the distribution key in every file
   (tight row-group min/max for later filters and joins).
+* Bucketed (Y1 with ``buckets``): ``REBALANCE(n, bucket columns)``, so
+  each task writes the files of one bucket id; merges then read the target
+  already partitioned by key.
 * Replicated (Y3): nothing on disk; readers broadcast the table, only after
   checking its size (``replicated_read``).
 
@@ -24,7 +27,13 @@ from pyspark.sql import functions as F
 from ..sources.tables import quote_table
 
 
-def distribute_for_write(df: DataFrame, period_col: str | None, dist_keys: Sequence[str] = ()) -> DataFrame:
+def distribute_for_write(df: DataFrame, period_col: str | None, dist_keys: Sequence[str] = (),
+                         bucketing: tuple[int, Sequence[str]] | None = None) -> DataFrame:
+    if bucketing:
+        # one task per bucket id (split further if skewed), so each period gets
+        # about one file per bucket and the bucket files line up with the hash
+        n, cols = bucketing
+        return df.hint("rebalance", int(n), *cols)
     cols = ([period_col] if period_col else []) + list(dist_keys)
     if not cols:
         return df.hint("rebalance")

@@ -308,4 +308,6 @@ from dp left join bp on dp.p = bp.p left join kp on dp.p = kp.p
     "random_write": merge_by_month(ORDERS_MERGE_DELTA),
     "codec_write": merge_by_month(ORDERS_MERGE_DELTA),
     "streaming_merge": merge_by_month(ORDERS_MERGE_DELTA),
+    "bucketed_merge": merge_by_month(ORDERS_MERGE_DELTA),
 }
+SQL["bucketed_delete_insert"] = SQL["delete_insert"]

@@ -201,7 +201,8 @@ def _footer_counts(spark: SparkSession, table: str, period_col: str, periods: li
 def _write(spark: SparkSession, content: DataFrame, spec: LoadSpec, overwrite: bool) -> None:
     cols = tb.target_columns(spark, spec.table)
     out = distribute_for_write(
-        content.select(*cols), spec.period_col if spec.partitioned else None, spec.dist_keys
+        content.select(*cols), spec.period_col if spec.partitioned else None, spec.dist_keys,
+        tb.bucketing(spark, spec.table),
     )
     with dynamic_overwrite(spark):
         out.write.insertInto(spec.table, overwrite=overwrite)
@@ -361,6 +362,16 @@ def _checked_stats(spark, delta, spec, st, reads_many=True):
     return staged, stats, warning
 
 
+def _join_keys(spark: SparkSession, spec: LoadSpec) -> tuple[list, int | None]:
+    """The unique keys in the order of the target's bucketing, and its bucket
+    count, when the target is bucketed by exactly those keys (a co-located
+    join); otherwise the keys as given and no buckets."""
+    bk = tb.bucketing(spark, spec.table)
+    if bk and sorted(bk[1]) == sorted(spec.keys):
+        return list(bk[1]), bk[0]
+    return list(spec.keys), None
+
+
 def _missing_periods(spark: SparkSession, spec: LoadSpec, periods: list) -> list:
     """P5: touched periods that have no partition in the catalog yet."""
     existing = {r[0] for r in tb.existing_periods(spark, spec.table, spec.period_col).collect()}
@@ -387,7 +398,8 @@ def _exchange(spark, delta, spec, run_id) -> LoadResult:
             target_slice = _period_filter(
                 spark.table(spec.table), spark, spec.period_col, periods, spec.max_inline_periods
             )
-            content = merge_content(staged, target_slice, spec.keys, spec.period_col)
+            keys, buckets = _join_keys(spark, spec)
+            content = merge_content(staged, target_slice, keys, spec.period_col, buckets)
         else:
             content = overwrite_content(staged)
         _write(spark, content, spec, overwrite=True)
@@ -434,12 +446,15 @@ def _delete_insert(spark, delta, spec, run_id) -> LoadResult:
         if warning or stats.total == 0:
             return LoadResult("noop", _empty_report(spark, "noop"), [], st.run_id, [warning] if warning else [])
         target = spark.table(spec.table)
-        matched = {r[0]: r[1] for r in delete_insert_matches(target, staged, spec.keys, spec.period_col).collect()}
+        keys, buckets = _join_keys(spark, spec)
+        matched = {
+            r[0]: r[1] for r in delete_insert_matches(target, staged, keys, spec.period_col, buckets).collect()
+        }
         periods = sorted(set(stats.periods) | set(matched))
         before = _footer_counts(spark, spec.table, spec.period_col, periods, spec.max_inline_periods)
         emptied = [p for p in periods if p not in stats.rows_by_period and matched.get(p, 0) >= before.get(p, 0)]
         target_slice = _period_filter(target, spark, spec.period_col, periods, spec.max_inline_periods)
-        content = delete_insert_content(staged, target_slice, spec.keys)
+        content = delete_insert_content(staged, target_slice, keys, buckets)
         _write(spark, content, spec, overwrite=True)
         tb.drop_partitions(spark, spec.table, spec.period_col, emptied)
         after = _footer_counts(spark, spec.table, spec.period_col, periods, spec.max_inline_periods)

@@ -598,6 +598,32 @@ def streaming_merge(spark, sf_dir):
     return spark.table(spec.table)
 
 
+def bucketed_merge(spark, sf_dir):
+    """Y1 with buckets: orders bucketed by key; the merge reads the touched
+    months already partitioned by key and shuffles only the delta keys."""
+    db = scratch_db(spark)
+    orders = read(spark, sf_dir, "orders")
+    spec = orders_spec(db, buckets=8)
+    run(spark, orders, spec)
+    run(spark, orders_merge_delta(orders), spec)
+    return spark.table(spec.table)
+
+
+def bucketed_delete_insert(spark, sf_dir):
+    """L4 on a key-bucketed target: the key semi and anti joins are co-located."""
+    db = scratch_db(spark)
+    orders = read(spark, sf_dir, "orders")
+    spec = orders_spec(db, strategy="delete+insert", merge=None, buckets=8)
+    run(spark, orders, spec)
+    delta = orders.where(
+        (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "O")
+    ).withColumn("o_orderdate", _interval("o_orderdate", "INTERVAL 1 YEAR")).withColumn(
+        "o_totalprice", F.col("o_totalprice") + 1
+    )
+    run(spark, delta, spec)
+    return spark.table(spec.table)
+
+
 SCENARIOS = {
     "exchange_overwrite_day": exchange_overwrite_day,
     "exchange_merge_month": exchange_merge_month,
@@ -638,4 +664,6 @@ SCENARIOS = {
     "random_write": random_write,
     "codec_write": codec_write,
     "streaming_merge": streaming_merge,
+    "bucketed_merge": bucketed_merge,
+    "bucketed_delete_insert": bucketed_delete_insert,
 }

@@ -141,6 +141,9 @@ def create_target(spark: SparkSession, spec: LoadSpec) -> None:
     ddl.append(f"OPTIONS ({opts})")
     if spec.partitioned:
         ddl.append(f"PARTITIONED BY ({quote(spec.period_col)})")
+    if spec.buckets:
+        cols = ", ".join(quote(c) for c in spec.bucket_columns)
+        ddl.append(f"CLUSTERED BY ({cols}) INTO {int(spec.buckets)} BUCKETS")
     if spec.location:
         ddl.append(f"LOCATION {sql_string(spec.location)}")
     if spec.comment:
@@ -149,6 +152,18 @@ def create_target(spark: SparkSession, spec: LoadSpec) -> None:
     spark.sql("\n".join(ddl))
 
 
+def bucketing(spark: SparkSession, table: str) -> tuple[int, list[str]] | None:
+    """``(buckets, columns)`` of a bucketed table, from the catalog."""
+    rows = {
+        r["col_name"]: r["data_type"]
+        for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quote_table(table)}").collect()
+    }
+    if "Num Buckets" not in rows:
+        return None
+    cols = [c.strip().strip("`") for c in rows.get("Bucket Columns", "").strip("[]").split(",") if c.strip()]
+    return int(rows["Num Buckets"]), cols
+
+
 def set_comments(spark: SparkSession, table: str, comment: str | None, columns: dict[str, str]) -> None:
     """Table and column comments, quotes escaped and text trimmed."""
     if comment:

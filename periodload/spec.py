@@ -87,6 +87,7 @@ class LoadSpec:
     analyze: bool | str = True  # True: size only (no scan); "full": row counts too
     distributed_by: str | Sequence[str] | None = None
     distributed_replicated: bool = False
+    buckets: int | None = None  # bucket the table by bucket_columns (co-located merges)
     compression: str = DEFAULT_COMPRESSION
     compression_level: int | None = DEFAULT_COMPRESSION_LEVEL
     row_group_bytes: int | None = None
@@ -111,6 +112,11 @@ class LoadSpec:
             return tuple(c.strip() for c in d.split(",") if c.strip())
         return normalise_keys(d)
 
+    @property
+    def bucket_columns(self) -> tuple[str, ...]:
+        """Columns of the bucketing: the distribution key, else the unique key."""
+        return self.dist_keys or self.keys
+
     @property
     def partitioned(self) -> bool:
         return bool(self.partition_column)
@@ -203,6 +209,11 @@ class LoadSpec:
             raise SpecError("a replicated table cannot be partitioned")
         if self.compression_level is not None and not (0 <= int(self.compression_level) <= 22):
             raise SpecError("compression_level must be between 0 and 22")
+        if self.buckets is not None:
+            if int(self.buckets) < 1:
+                raise SpecError("buckets must be >= 1")
+            if not self.bucket_columns:
+                raise SpecError("buckets needs distributed_by or unique_key columns to bucket by")
         if self.stage not in (True, False, "auto"):
             raise SpecError("stage must be True, False or 'auto'")
         if self.max_inline_periods < 1:

@@ -55,3 +55,25 @@ def test_dedup_is_partial_aggregate(spark):
     text = plan_text(df)
     assert "Window" not in text
     assert "Aggregate" in text
+
+
+def test_bucketed_merge_does_not_shuffle_the_target(spark, db):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        orders = read(spark, SF, "orders")
+        spec = orders_spec(db, buckets=4)
+        first_load(spark, orders, spec)
+        from periodload.plans.load import _join_keys
+
+        keys, buckets = _join_keys(spark, spec)
+        assert (keys, buckets) == (["o_orderkey"], 4)
+        delta = prepare_delta(spark, orders_merge_delta(orders), spec)
+        target = _period_filter(spark.table(spec.table), spark, spec.period_col, [dt.date(2001, 6, 1)], 10)
+        content = merge_content(delta, target, keys, spec.period_col, buckets)
+        text = spark._jvm.PythonSQLUtils.explainString(content._jdf.queryExecution(), "simple")
+        join = text[text.index("LeftAnti"):]
+        left = join.split("\n")[1:4]
+        assert any("Bucketed: true" in line for line in text.split("\n") if "Scan parquet spark_catalog" in line)
+        assert not any("Exchange" in line for line in left), left
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
