@@ -102,10 +102,10 @@ def snapshot_merge(spark: SparkSession, source: DataFrame, table: str, keys: Seq
     for c in (VALID_FROM, VALID_TO, IS_OPEN):
         if c in source.columns:
             raise SnapshotError(f"source column {c!r} clashes with a history column")
-    _check_source_keys(source, keys)
     at = _ts(as_of)
     with Staging(spark, table, staging_dir) as st:
-        src = st.stage(source, "source")
+        src = st.stage(source, "source")  # read the source once; check and load from the files
+        _check_source_keys(src, keys)
         if not tb.table_exists(spark, table):
             first = src.select(*source.columns, at.alias(VALID_FROM),
                                F.lit(None).cast("timestamp_ntz").alias(VALID_TO), F.lit(True).alias(IS_OPEN))
@@ -117,7 +117,9 @@ def snapshot_merge(spark: SparkSession, source: DataFrame, table: str, keys: Seq
         still_open, closed = snapshot_changes(open_rows, src, keys, tracked, as_of, close_deleted)
         still_open = st.stage(still_open, "open")
         closed = st.stage(closed, "closed")
-        already = hist.where(~F.col(IS_OPEN)).select(*keys, VALID_FROM)
+        # only rows closed at this as_of can already be there (a repeated run);
+        # the filter keeps the guard from reading the whole closed history
+        already = hist.where(~F.col(IS_OPEN) & (F.col(VALID_TO) == at)).select(*keys, VALID_FROM)
         fresh_closed = closed.join(already, [*keys, VALID_FROM], "left_anti")
         cols = hist.columns
         fresh_closed.select(*cols).write.insertInto(table)

@@ -149,3 +149,28 @@ def test_existing_table_without_dynamic_option_is_not_wiped(spark, db):
     run(spark, spark.createDataFrame([(1, D1, Decimal("11"))], C), s)
     assert sorted((r["id"], r["d"]) for r in spark.table(s.table).collect()) == [(1, D1), (3, D2)]
     assert "partitionOverwriteMode" not in table_properties(spark, s.table)
+
+
+def test_full_build_without_contract(spark, db):
+    from periodload import full_build
+    from periodload.sources.tables import TargetError
+
+    df = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
+    full_build(spark, df, f"{db}.cust")
+    assert spark.table(f"{db}.cust").count() == df.count()
+    assert spark.table(f"{db}.cust").columns == df.columns
+    with pytest.raises(TargetError, match="already exists"):
+        full_build(spark, df, f"{db}.cust")
+    full_build(spark, df.where("c_mktsegment = 'BUILDING'"), f"{db}.cust", replace=True)
+    assert spark.table(f"{db}.cust").count() == df.where("c_mktsegment = 'BUILDING'").count()
+
+
+def test_set_comments_later(spark, db):
+    from periodload.sources.tables import set_comments
+
+    s = spec(db, comment=None)
+    run(spark, spark.createDataFrame(BASE, C), s)
+    set_comments(spark, s.table, "it's the orders", {"d": " order day "})
+    desc = {r["col_name"]: r for r in spark.sql(f"DESCRIBE TABLE EXTENDED {s.table}").collect()}
+    assert desc["Comment"]["data_type"] == "it's the orders"
+    assert desc["d"]["comment"] == "order day"
