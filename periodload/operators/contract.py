@@ -225,3 +225,46 @@ def _unpivot(one_row: DataFrame) -> DataFrame:
             )
         ).alias("d")
     ).select("d.diagnostic", "d.value")
+
+
+def contract_violations(df: DataFrame, contract: T.StructType) -> DataFrame:
+    """C1 over the data: one row per contract column with its expected and
+    actual type, a status (``same``, ``castable``, ``type`` or ``missing``) and
+    the number of non-null values that do not fit the contract type
+    (``try_cast`` gives null). Extra columns of ``df`` are listed with status
+    ``extra``. One aggregate pass of ``count_if`` columns, then unpivoted.
+    """
+    have = {f.name: f.dataType for f in df.schema.fields}
+    rows, aggs = [], []
+    for i, f in enumerate(contract.fields):
+        src = have.get(f.name)
+        if src is None:
+            rows.append((f.name, f.dataType.simpleString(), None, "missing", None))
+            continue
+        status = "same" if src == f.dataType else ("castable" if castable(src, f.dataType) else "type")
+        rows.append((f.name, f.dataType.simpleString(), src.simpleString(), status, i))
+        if status == "castable":
+            c = F.col(f.name)
+            aggs.append(F.count_if(c.isNotNull() & c.try_cast(f.dataType).isNull()).alias(f"_bad{i}"))
+    for name, t in have.items():
+        if name not in contract.fieldNames():
+            rows.append((name, None, t.simpleString(), "extra", None))
+    counts = df.agg(*aggs) if aggs else df.agg(F.count(F.lit(1)).alias("_rows"))
+    entries = []
+    for name, expected, actual, status, i in rows:
+        if status == "castable":
+            bad = F.col(f"_bad{i}").cast("long")
+        elif status == "same":
+            bad = F.lit(0).cast("long")
+        else:
+            bad = F.lit(None).cast("long")
+        entries.append(
+            F.struct(
+                F.lit(name).alias("column_name"),
+                F.lit(expected).cast("string").alias("expected_type"),
+                F.lit(actual).cast("string").alias("actual_type"),
+                F.lit(status).alias("status"),
+                bad.alias("bad_values"),
+            )
+        )
+    return counts.select(F.explode(F.array(*entries)).alias("v")).select("v.*")

@@ -311,3 +311,24 @@ from dp left join bp on dp.p = bp.p left join kp on dp.p = kp.p
     "bucketed_merge": merge_by_month(ORDERS_MERGE_DELTA),
 }
 SQL["bucketed_delete_insert"] = SQL["delete_insert"]
+SQL["contract_check"] = """
+select 'c_custkey' as column_name, 'int' as expected_type, 'bigint' as actual_type, 'castable' as status,
+       count(*) filter (where c_custkey is not null and try_cast(c_custkey as integer) is null) as bad_values
+from customer
+union all
+select 'c_name', 'string', 'string', 'same', 0
+union all
+select 'c_nationkey', 'tinyint', 'int', 'castable',
+       count(*) filter (where c_nationkey is not null and try_cast(c_nationkey as tinyint) is null)
+from customer
+union all
+select 'c_acctbal', 'decimal(5,2)', 'double', 'castable',
+       count(*) filter (where c_acctbal is not null and try_cast(c_acctbal as decimal(5,2)) is null)
+from customer
+union all
+select 'c_mktsegment', 'int', 'string', 'castable',
+       count(*) filter (where c_mktsegment is not null and try_cast(c_mktsegment as integer) is null)
+from customer
+union all
+select 'c_phone', 'string', cast(null as varchar), 'missing', cast(null as bigint)
+"""

@@ -26,7 +26,7 @@ from .functions.delta import (
     lookback_months,
 )
 from .functions.periods import period_of
-from .operators.contract import key_diagnostics, null_violations, typed_projection
+from .operators.contract import contract_violations, key_diagnostics, null_violations, typed_projection
 from .operators.layout import distribute_for_write
 from .operators.partitions import (
     delta_window,
@@ -624,6 +624,22 @@ def bucketed_delete_insert(spark, sf_dir):
     return spark.table(spec.table)
 
 
+def contract_check_customer(spark, sf_dir):
+    """C1 over the data: customer against a narrower contract; per column,
+    values that would not survive the contract's cast."""
+    contract = T.StructType(
+        [
+            T.StructField("c_custkey", T.IntegerType()),
+            T.StructField("c_name", T.StringType()),
+            T.StructField("c_nationkey", T.ByteType()),
+            T.StructField("c_acctbal", T.DecimalType(5, 2)),
+            T.StructField("c_mktsegment", T.IntegerType()),
+            T.StructField("c_phone", T.StringType()),
+        ]
+    )
+    return contract_violations(read(spark, sf_dir, "customer"), contract)
+
+
 SCENARIOS = {
     "exchange_overwrite_day": exchange_overwrite_day,
     "exchange_merge_month": exchange_merge_month,
@@ -664,6 +680,7 @@ SCENARIOS = {
     "random_write": random_write,
     "codec_write": codec_write,
     "streaming_merge": streaming_merge,
+    "contract_check": contract_check_customer,
     "bucketed_merge": bucketed_merge,
     "bucketed_delete_insert": bucketed_delete_insert,
 }
