@@ -54,23 +54,26 @@ def merge_content(
     """
     keys = list(keys)
     set_ = all_keys_set(keys)
-    null_key_rows = target_slice.where(~set_)
     if not buckets:
+        null_key_rows = target_slice.where(~set_)
         on = [period_col, *keys]
         delta_keys = delta.where(set_).select(*on).distinct()
         kept = target_slice.where(set_).join(delta_keys, on, "left_anti")
         return delta.unionByName(kept).unionByName(null_key_rows)
+    # The delta is hash-partitioned once into the buckets; its rows and its
+    # keys both come from that one shuffle. The kept target rows leave the
+    # join still grouped by bucket, so the whole content is bucket-aligned and
+    # is written without another exchange: the target is never shuffled.
+    # Null keys all hash to one bucket, so splitting them off buys nothing
+    # here; they stay in the (single) target scan and never match.
+    aligned = delta.repartition(int(buckets), *keys)
     renamed = [F.col(c).alias(f"_dk_{c}") for c in (period_col, *keys)]
-    delta_keys = (
-        delta.where(set_).select(*renamed)
-        .repartition(int(buckets), *[f"_dk_{k}" for k in keys])
-        .dropDuplicates([f"_dk_{c}" for c in (period_col, *keys)])
-    )
-    tgt = target_slice.where(set_)
+    delta_keys = aligned.where(set_).select(*renamed).dropDuplicates([f"_dk_{c}" for c in (period_col, *keys)])
+    tgt = target_slice
     cond = reduce(lambda a, b: a & b, [tgt[k] == delta_keys[f"_dk_{k}"] for k in keys])
     cond = cond & (F.datediff(tgt[period_col], delta_keys[f"_dk_{period_col}"]) == 0)
     kept = tgt.join(delta_keys, cond, "left_anti")
-    return delta.unionByName(kept).unionByName(null_key_rows)
+    return aligned.unionByName(kept)
 
 
 def _delta_keys(delta: DataFrame, keys: list, buckets: int | None) -> DataFrame:
@@ -106,6 +109,10 @@ def delete_insert_content(
     have such rows or receive delta rows."""
     keys = list(keys)
     set_ = all_keys_set(keys)
-    delta_keys = _delta_keys(delta, keys, buckets)
+    if buckets:  # bucket-aligned content, one target scan, as in merge_content
+        delta = delta.repartition(int(buckets), *keys)
+        delta_keys = delta.where(set_).select(*keys).dropDuplicates(keys)
+        return delta.unionByName(target_slice.join(delta_keys, keys, "left_anti"))
+    delta_keys = _delta_keys(delta, keys, None)
     kept = target_slice.where(set_).join(delta_keys, keys, "left_anti")
     return delta.unionByName(kept).unionByName(target_slice.where(~set_))

@@ -198,12 +198,18 @@ def _footer_counts(spark: SparkSession, table: str, period_col: str, periods: li
     return {r[0]: r[1] for r in df.groupBy(period_col).count().collect()}
 
 
-def _write(spark: SparkSession, content: DataFrame, spec: LoadSpec, overwrite: bool) -> None:
+def _write(spark: SparkSession, content: DataFrame, spec: LoadSpec, overwrite: bool,
+           aligned: bool = False) -> None:
+    """Publish ``content``. ``aligned``: the content is already partitioned by
+    the target's bucket hash (co-located merge), so no exchange is added."""
     cols = tb.target_columns(spark, spec.table)
-    out = distribute_for_write(
-        content.select(*cols), spec.period_col if spec.partitioned else None, spec.dist_keys,
-        tb.bucketing(spark, spec.table),
-    )
+    if aligned:
+        out = content.select(*cols)
+    else:
+        out = distribute_for_write(
+            content.select(*cols), spec.period_col if spec.partitioned else None, spec.dist_keys,
+            tb.bucketing(spark, spec.table),
+        )
     with dynamic_overwrite(spark):
         out.write.insertInto(spec.table, overwrite=overwrite)
 
@@ -401,8 +407,8 @@ def _exchange(spark, delta, spec, run_id) -> LoadResult:
             keys, buckets = _join_keys(spark, spec)
             content = merge_content(staged, target_slice, keys, spec.period_col, buckets)
         else:
-            content = overwrite_content(staged)
-        _write(spark, content, spec, overwrite=True)
+            content, buckets = overwrite_content(staged), None
+        _write(spark, content, spec, overwrite=True, aligned=bool(buckets))
         if spec.merge:
             after = _footer_counts(spark, spec.table, spec.period_col, periods, spec.max_inline_periods)
         else:  # an overwritten period holds exactly its delta rows
@@ -455,7 +461,7 @@ def _delete_insert(spark, delta, spec, run_id) -> LoadResult:
         emptied = [p for p in periods if p not in stats.rows_by_period and matched.get(p, 0) >= before.get(p, 0)]
         target_slice = _period_filter(target, spark, spec.period_col, periods, spec.max_inline_periods)
         content = delete_insert_content(staged, target_slice, keys, buckets)
-        _write(spark, content, spec, overwrite=True)
+        _write(spark, content, spec, overwrite=True, aligned=bool(buckets))
         tb.drop_partitions(spark, spec.table, spec.period_col, emptied)
         after = _footer_counts(spark, spec.table, spec.period_col, periods, spec.max_inline_periods)
         _finish(spark, spec)

@@ -225,3 +225,23 @@ def test_first_load_refuses_existing_table(spark, target):
 
     with pytest.raises(TargetError, match="already exists"):
         first_load(spark, frame(spark, BASE), target)
+
+
+def test_e6_null_key_accumulates_on_bucketed_target(spark, db):
+    s = spec(db, buckets=2)
+    run(spark, frame(spark, BASE + [(None, D2, Decimal("7"))]), s)
+    delta = frame(spark, [(None, D1, Decimal("5")), (1, D1, Decimal("11")), (None, D2, Decimal("6"))])
+    run(spark, delta, s)
+    run(spark, delta, s)
+    got = content(spark, s)
+    assert got.count((None, D1, Decimal("5.00"))) == 2 and got.count((None, D2, Decimal("6.00"))) == 2
+    assert got.count((None, D2, Decimal("7.00"))) == 1
+    assert [r for r in got if r[0] is not None] == [(1, D1, Decimal("11.00")), (2, D1, Decimal("20.00")), (3, D2, Decimal("30.00"))]
+
+
+def test_e11_bucketed_delete_insert_keeps_null_keys(spark, db):
+    s = spec(db, strategy="delete+insert", merge=None, buckets=2)
+    run(spark, frame(spark, BASE + [(None, D2, Decimal("7"))]), s)
+    run(spark, frame(spark, [(3, D1, Decimal("31"))]), s)
+    assert content(spark, s) == [(1, D1, Decimal("10.00")), (2, D1, Decimal("20.00")), (3, D1, Decimal("31.00")),
+                                 (None, D2, Decimal("7.00"))]

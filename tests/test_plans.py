@@ -11,6 +11,23 @@ from periodload.scenarios import orders_merge_delta, orders_spec, read
 SF = "/root/testdata/sf0.001"
 
 
+def exchange_subtrees(plan: str) -> list[str]:
+    """The text of every Exchange node's subtree in a simple plan string."""
+    lines = plan.splitlines()
+    out = []
+    for i, line in enumerate(lines):
+        if "Exchange " not in line:
+            continue
+        depth = len(line) - len(line.lstrip(" :+-"))
+        sub = []
+        for nxt in lines[i + 1:]:
+            if len(nxt) - len(nxt.lstrip(" :+-")) <= depth:
+                break
+            sub.append(nxt)
+        out.append("\n".join(sub))
+    return out
+
+
 def plan_text(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -75,5 +92,9 @@ def test_bucketed_merge_does_not_shuffle_the_target(spark, db):
         left = join.split("\n")[1:4]
         assert any("Bucketed: true" in line for line in text.split("\n") if "Scan parquet spark_catalog" in line)
         assert not any("Exchange" in line for line in left), left
+        # the whole content is bucket-aligned: every exchange in the plan is
+        # fed by the delta, none by a scan of the target table
+        subtrees = exchange_subtrees(text)
+        assert subtrees and not any("spark_catalog" in t for t in subtrees)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
