@@ -21,7 +21,6 @@ Jobs of an exchange load:
 from __future__ import annotations
 
 import contextlib
-import datetime as _dt
 import logging
 from dataclasses import dataclass, field
 
@@ -29,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.periods import period_label, period_of
+from ..functions.periods import period_of
 from ..operators.contract import check_contract, guarded_cast, raise_on_nulls, typed_projection
 from ..operators.exchange import (
     delete_insert_content,
@@ -42,7 +41,7 @@ from ..operators.partitions import period_mismatch, range_bucket
 from ..sources import tables as tb
 from ..sources.staging import Staging
 from ..spec import LoadSpec, SpecError
-from .report import REPORT_SCHEMA, build_report
+from .report import build_report
 
 log = logging.getLogger("periodload")
 

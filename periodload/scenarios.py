@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import functions as _f  # noqa: F401  (package import for side-effect free access)
 from .functions.delta import (
     between_changes,
     between_dates,
@@ -25,9 +24,7 @@ from .functions.delta import (
     lookback_days,
     lookback_months,
 )
-from .functions.periods import period_of
 from .operators.contract import contract_violations, key_diagnostics, null_violations, typed_projection
-from .operators.layout import distribute_for_write
 from .operators.partitions import (
     delta_window,
     list_layout,
