@@ -202,7 +202,11 @@ def _write(spark: SparkSession, content: DataFrame, spec: LoadSpec, overwrite: b
     """Publish ``content``. ``aligned``: the content is already partitioned by
     the target's bucket hash (co-located merge), so no exchange is added."""
     cols = tb.target_columns(spark, spec.table)
-    if aligned:
+    if aligned or not spec.rebalance:
+        # aligned: already partitioned by the bucket hash. rebalance=False: the
+        # caller knows the delta is clustered by period (e.g. read from files
+        # written per day), so each task touches few periods and a shuffle of
+        # the whole delta would buy nothing.
         out = content.select(*cols)
     else:
         out = distribute_for_write(

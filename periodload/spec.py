@@ -88,6 +88,7 @@ class LoadSpec:
     distributed_by: str | Sequence[str] | None = None
     distributed_replicated: bool = False
     buckets: int | None = None  # bucket the table by bucket_columns (co-located merges)
+    rebalance: bool = True  # False: no write shuffle, for deltas already clustered by period
     compression: str = DEFAULT_COMPRESSION
     compression_level: int | None = DEFAULT_COMPRESSION_LEVEL
     row_group_bytes: int | None = None
