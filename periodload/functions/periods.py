@@ -26,8 +26,10 @@ def local_date(
     * ``TIMESTAMP`` (an instant): converted to wall-clock time in ``time_zone``
       first, so the same instant falls on different days in different zones, and
       the answer never depends on the session time zone.
-    * ``STRING``: parsed as an instant (an offset in the text is honoured,
-      otherwise the session zone applies), then as ``TIMESTAMP``.
+    * ``STRING``: with an offset (``Z``, ``+02:00``) it is an instant and is
+      converted like ``TIMESTAMP``; without one it is a wall-clock time in
+      ``time_zone`` (as a zoned database reads it in its own zone), so the
+      session time zone never moves it to another day.
     """
     c = _col(key)
     if isinstance(key_type, T.DateType):
@@ -35,8 +37,11 @@ def local_date(
     if isinstance(key_type, T.TimestampNTZType):
         return F.to_date(c)
     if isinstance(key_type, T.StringType):
-        c = F.to_timestamp(c)
-        key_type = T.TimestampType()
+        # an offset only counts after a time of day: '2024-01-02' ends in '-02'
+        has_offset = F.trim(c).rlike(r"[0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?\s*(Z|[+-][0-9]{2}(:?[0-9]{2})?)$")
+        instant = local_date(F.to_timestamp(c), T.TimestampType(), time_zone, session_tz)
+        wall = F.to_date(F.to_timestamp_ntz(F.regexp_replace(F.trim(c), "T", " ")))
+        return F.when(has_offset, instant).otherwise(wall)
     if isinstance(key_type, T.TimestampType):
         wall = F.convert_timezone(F.lit(session_tz), F.lit(time_zone), c.cast("timestamp_ntz"))
         return F.to_date(wall)

@@ -245,3 +245,19 @@ def test_e11_bucketed_delete_insert_keeps_null_keys(spark, db):
     run(spark, frame(spark, [(3, D1, Decimal("31"))]), s)
     assert content(spark, s) == [(1, D1, Decimal("10.00")), (2, D1, Decimal("20.00")), (3, D1, Decimal("31.00")),
                                  (None, D2, Decimal("7.00"))]
+
+
+@pytest.mark.parametrize("session_tz", ["UTC", "Asia/Tokyo", "America/Los_Angeles"])
+def test_string_keys_do_not_depend_on_the_session_zone(spark, session_tz):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", session_tz)
+    try:
+        df = spark.createDataFrame(
+            [("2024-01-02 02:00:00",), ("2024-01-02T23:30:00",), ("2024-01-02T02:00:00Z",),
+             ("2024-01-02T02:00:00+05:00",), ("2024-01-02",), ("2024-01-02 23:59:59.5",)], "s string")
+        got = [r["p"] for r in df.select(
+            period_of("s", T.StringType(), "day", "America/New_York", session_tz).alias("p")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    # wall-clock strings keep their date; instants are seen from New York
+    assert got == [D2, D2, D1, D1, D2, D2]
