@@ -123,6 +123,20 @@ def main() -> None:
             fn()
         q[name] = statistics.median(timed(fn) for _ in range(max(1, reps)))
 
+    # files the merge's target scan reads (touched partitions) against all files
+    from periodload.plans.load import _period_filter
+
+    def files_read(months: list) -> str:
+        table = spark.table(or_spec.table)
+        periods = [_dt.date.fromisoformat(m) for m in months]
+        pruned = _period_filter(table, spark, or_spec.period_col, periods, or_spec.max_inline_periods)
+        return f"{len(pruned.inputFiles())}/{len(table.inputFiles())}"
+
+    scan = {
+        "merge_month_1": files_read(["2001-06-01"]),
+        "merge_month_5": files_read([f"2001-0{m}-01" for m in range(1, 6)]),
+    }
+
     sf = sf_dir.rsplit("sf", 1)[-1]
     headline = ("overwrite_day_1", "overwrite_day_5", "overwrite_day_30", "merge_month_1", "merge_month_5",
                 "merge_month_80", "merge_lineitem_two_keys", "delete_insert_orders")
@@ -135,6 +149,7 @@ def main() -> None:
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
         "reps": reps,
+        "target_files_read": scan,
     }
     print(json.dumps(out))
     spark.stop()
