@@ -197,21 +197,37 @@ def _footer_counts(spark: SparkSession, table: str, period_col: str, periods: li
     return {r[0]: r[1] for r in df.groupBy(period_col).count().collect()}
 
 
+def _needs_rebalance(spec: LoadSpec, touched: int | None) -> bool:
+    """Whether the write gets its own shuffle.
+
+    Without one, every task writes one file per period among its rows. With
+    few touched periods (the daily or monthly increment) that is a few files
+    per task, and skipping the shuffle saves moving the whole content once
+    more (terabytes for a month of a large table); a hot period is still
+    spread over all the tasks that read it. With many periods (a backfill, a
+    first load) tasks would write a file for nearly every period, so rows are
+    rebalanced by period first.
+    """
+    if spec.rebalance == "auto":
+        return touched is None or touched > spec.rebalance_min_periods
+    return bool(spec.rebalance)
+
+
 def _write(spark: SparkSession, content: DataFrame, spec: LoadSpec, overwrite: bool,
-           aligned: bool = False) -> None:
+           aligned: bool = False, touched: int | None = None) -> None:
     """Publish ``content``. ``aligned``: the content is already partitioned by
-    the target's bucket hash (co-located merge), so no exchange is added."""
+    the target's bucket hash (co-located merge), so no exchange is added.
+    ``touched``: number of periods written, for ``rebalance='auto'``."""
     cols = tb.target_columns(spark, spec.table)
-    if aligned or not spec.rebalance:
-        # aligned: already partitioned by the bucket hash. rebalance=False: the
-        # caller knows the delta is clustered by period (e.g. read from files
-        # written per day), so each task touches few periods and a shuffle of
-        # the whole delta would buy nothing.
+    bucketed = tb.bucketing(spark, spec.table)
+    if aligned or (not bucketed and not _needs_rebalance(spec, touched)):
+        # aligned: already partitioned by the bucket hash. Otherwise few
+        # periods (or rebalance=False: the delta is clustered by period).
         out = content.select(*cols)
     else:
         out = distribute_for_write(
             content.select(*cols), spec.period_col if spec.partitioned else None, spec.dist_keys,
-            tb.bucketing(spark, spec.table),
+            bucketed,
         )
     with dynamic_overwrite(spark):
         out.write.insertInto(spec.table, overwrite=overwrite)
@@ -312,7 +328,7 @@ def first_load(spark: SparkSession, delta: DataFrame, spec: LoadSpec, run_id: st
             )
         tb.create_target(spark, spec)
         if warning is None and stats.total:
-            _write(spark, staged, spec, overwrite=False)
+            _write(spark, staged, spec, overwrite=False, touched=len(stats.periods))
         _finish(spark, spec)
         rows = [
             (p, stats.rows_by_period[p], 0, stats.rows_by_period[p], "created")
@@ -411,7 +427,7 @@ def _exchange(spark, delta, spec, run_id) -> LoadResult:
             content = merge_content(staged, target_slice, keys, spec.period_col, buckets)
         else:
             content, buckets = overwrite_content(staged), None
-        _write(spark, content, spec, overwrite=True, aligned=bool(buckets))
+        _write(spark, content, spec, overwrite=True, aligned=bool(buckets), touched=len(periods))
         if spec.merge:
             after = _footer_counts(spark, spec.table, spec.period_col, periods, spec.max_inline_periods)
         else:  # an overwritten period holds exactly its delta rows
@@ -436,7 +452,7 @@ def _append(spark, delta, spec, run_id) -> LoadResult:
             _footer_counts(spark, spec.table, spec.period_col, periods, spec.max_inline_periods)
             if spec.partitioned else {}
         )
-        _write(spark, staged, spec, overwrite=False)
+        _write(spark, staged, spec, overwrite=False, touched=len(periods))
         _finish(spark, spec)
     rows = [
         (p, stats.rows_by_period[p], before.get(p, 0), before.get(p, 0) + stats.rows_by_period[p], "append")
@@ -464,7 +480,7 @@ def _delete_insert(spark, delta, spec, run_id) -> LoadResult:
         emptied = [p for p in periods if p not in stats.rows_by_period and matched.get(p, 0) >= before.get(p, 0)]
         target_slice = _period_filter(target, spark, spec.period_col, periods, spec.max_inline_periods)
         content = delete_insert_content(staged, target_slice, keys, buckets)
-        _write(spark, content, spec, overwrite=True, aligned=bool(buckets))
+        _write(spark, content, spec, overwrite=True, aligned=bool(buckets), touched=len(periods))
         tb.drop_partitions(spark, spec.table, spec.period_col, emptied)
         after = _footer_counts(spark, spec.table, spec.period_col, periods, spec.max_inline_periods)
         _finish(spark, spec)
@@ -490,7 +506,7 @@ def _truncate_insert(spark, delta, spec, run_id) -> LoadResult:
             existing = [r[0] for r in tb.existing_periods(spark, spec.table, spec.period_col).collect()]
             before = _footer_counts(spark, spec.table, spec.period_col, existing, spec.max_inline_periods)
             if stats.total:
-                _write(spark, staged, spec, overwrite=True)
+                _write(spark, staged, spec, overwrite=True, touched=len(stats.periods))
             stale = [p for p in existing if p not in stats.rows_by_period]
             tb.drop_partitions(spark, spec.table, spec.period_col, stale)
             periods = sorted(set(existing) | set(stats.periods))

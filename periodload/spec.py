@@ -88,7 +88,10 @@ class LoadSpec:
     distributed_by: str | Sequence[str] | None = None
     distributed_replicated: bool = False
     buckets: int | None = None  # bucket the table by bucket_columns (co-located merges)
-    rebalance: bool = True  # False: no write shuffle, for deltas already clustered by period
+    # Write shuffle: True always, False never (delta already clustered by
+    # period), "auto" only when more than rebalance_min_periods are touched.
+    rebalance: bool | str = "auto"
+    rebalance_min_periods: int = 8
     compression: str = DEFAULT_COMPRESSION
     compression_level: int | None = DEFAULT_COMPRESSION_LEVEL
     row_group_bytes: int | None = None
@@ -215,6 +218,8 @@ class LoadSpec:
                 raise SpecError("buckets must be >= 1")
             if not self.bucket_columns:
                 raise SpecError("buckets needs distributed_by or unique_key columns to bucket by")
+        if self.rebalance not in (True, False, "auto"):
+            raise SpecError("rebalance must be True, False or 'auto'")
         if self.stage not in (True, False, "auto"):
             raise SpecError("stage must be True, False or 'auto'")
         if self.max_inline_periods < 1:

@@ -3,6 +3,8 @@ anti join, pre-aggregates delta keys, and no operator builds all pairs."""
 
 import datetime as dt
 
+import pytest
+
 from periodload.operators.exchange import merge_content
 from periodload.operators.layout import distribute_for_write
 from periodload.plans.load import _period_filter, first_load, prepare_delta
@@ -100,9 +102,12 @@ def test_bucketed_merge_does_not_shuffle_the_target(spark, db):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_hot_period_is_split_over_tasks(spark, db):
-    """A period holding every delta row is written by several tasks (AQE
-    splits the skewed rebalance partition), not funnelled through one."""
+@pytest.mark.parametrize("rebalance", [True, "auto"])
+def test_hot_period_is_split_over_tasks(spark, db, rebalance):
+    """A period holding every delta row is written by several tasks, not
+    funnelled through one: with the write shuffle AQE splits the skewed
+    rebalance partition; without it (one touched period) the rows stay with
+    the tasks that read them."""
     import glob
 
     from pyspark.sql import functions as F
@@ -111,7 +116,7 @@ def test_hot_period_is_split_over_tasks(spark, db):
     from periodload.session import checkpoint_root
 
     events = read(spark, "/root/testdata/sf0.01", "events")
-    spec = events_spec(db)
+    spec = events_spec(db, rebalance=rebalance)
     first_load(spark, events.where(F.col("ts") < F.lit(dt.datetime(2024, 1, 2))), spec)
     # 10,000 rows, one day, from 8 map tasks (AQE splits a skewed partition
     # along map outputs; a cluster input has thousands of them)
