@@ -311,6 +311,8 @@ from dp left join bp on dp.p = bp.p left join kp on dp.p = kp.p
     "bucketed_merge": merge_by_month(ORDERS_MERGE_DELTA),
 }
 SQL["bucketed_delete_insert"] = SQL["delete_insert"]
+SQL["exchange_swap_merge"] = SQL["exchange_merge_month"]
+SQL["exchange_swap_overwrite"] = SQL["exchange_overwrite_day"]
 SQL["contract_check"] = """
 select 'c_custkey' as column_name, 'int' as expected_type, 'bigint' as actual_type, 'castable' as status,
        count(*) filter (where c_custkey is not null and try_cast(c_custkey as integer) is null) as bad_values

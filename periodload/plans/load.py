@@ -233,6 +233,37 @@ def _write(spark: SparkSession, content: DataFrame, spec: LoadSpec, overwrite: b
         out.write.insertInto(spec.table, overwrite=overwrite)
 
 
+def _publish_swap(spark: SparkSession, content: DataFrame, spec: LoadSpec, periods: list,
+                  existing: set, run_id: str) -> None:
+    """P11 by swap: the new content of every touched period is written once,
+    in one job, to fresh directories under the table's location; then each
+    partition is re-pointed at its directory (metadata only) and the old
+    directories are removed, as the reference drops its swap tables.
+
+    Readers see a period switch from old to new content at once. Partition
+    locations live in the catalog, so such a table must not be rebuilt by
+    partition discovery (``MSCK REPAIR``).
+    """
+    from ..session import hadoop_delete
+
+    if tb.bucketing(spark, spec.table):
+        raise SpecError("publish='swap' is not available for bucketed tables")
+    location = _table_location(spark, spec.table)
+    root = f"{location}/swap/{run_id}"
+    cols = tb.target_columns(spark, spec.table)
+    out = content.select(*cols)
+    if _needs_rebalance(spec, len(periods)):
+        out = distribute_for_write(out, spec.period_col, spec.dist_keys)
+    opts = {k: v for k, v in tb.storage_properties(spark, spec.table).items() if k != "partitionOverwriteMode"}
+    out.write.options(**opts).partitionBy(spec.period_col).parquet(root)
+    old = {p: tb.partition_location(spark, spec.table, spec.period_col, p) for p in periods if p in existing}
+    new = {p: f"{root}/{spec.period_col}={p.isoformat()}" for p in periods}
+    tb.point_partitions(spark, spec.table, spec.period_col, new, existing)
+    for path in old.values():
+        if path.rstrip("/").startswith(location + "/"):
+            hadoop_delete(spark, path)
+
+
 def _finish(spark: SparkSession, spec: LoadSpec) -> None:
     tb.analyze(spark, spec.table, spec.analyze)
 
@@ -427,7 +458,11 @@ def _exchange(spark, delta, spec, run_id) -> LoadResult:
             content = merge_content(staged, target_slice, keys, spec.period_col, buckets)
         else:
             content, buckets = overwrite_content(staged), None
-        _write(spark, content, spec, overwrite=True, aligned=bool(buckets), touched=len(periods))
+        if spec.publish == "swap":
+            existing = set(periods) - set(missing)
+            _publish_swap(spark, content, spec, periods, existing, st.run_id)
+        else:
+            _write(spark, content, spec, overwrite=True, aligned=bool(buckets), touched=len(periods))
         if spec.merge:
             after = _footer_counts(spark, spec.table, spec.period_col, periods, spec.max_inline_periods)
         else:  # an overwritten period holds exactly its delta rows

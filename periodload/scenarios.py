@@ -637,6 +637,28 @@ def contract_check_customer(spark, sf_dir):
     return contract_violations(read(spark, sf_dir, "customer"), contract)
 
 
+def exchange_swap_merge(spark, sf_dir):
+    """P11 by swap: the merged months are written to new directories and the
+    partitions re-pointed in the catalog; untouched months keep their files."""
+    db = scratch_db(spark)
+    orders = read(spark, sf_dir, "orders")
+    spec = orders_spec(db, publish="swap")
+    run(spark, orders, spec)
+    run(spark, orders_merge_delta(orders), spec)
+    return spark.table(spec.table)
+
+
+def exchange_swap_overwrite(spark, sf_dir):
+    """P11 by swap, overwrite mode: replaced days are re-pointed, twice in a row."""
+    db = scratch_db(spark)
+    events = read(spark, sf_dir, "events")
+    spec = events_spec(db, publish="swap")
+    run(spark, events, spec)
+    run(spark, events.where(F.col("ts") >= _ts("2024-01-27")), spec)
+    run(spark, events_overwrite_delta(events), spec)
+    return spark.table(spec.table)
+
+
 SCENARIOS = {
     "exchange_overwrite_day": exchange_overwrite_day,
     "exchange_merge_month": exchange_merge_month,
@@ -678,6 +700,8 @@ SCENARIOS = {
     "codec_write": codec_write,
     "streaming_merge": streaming_merge,
     "contract_check": contract_check_customer,
+    "exchange_swap_merge": exchange_swap_merge,
+    "exchange_swap_overwrite": exchange_swap_overwrite,
     "bucketed_merge": bucketed_merge,
     "bucketed_delete_insert": bucketed_delete_insert,
 }

@@ -164,6 +164,53 @@ def bucketing(spark: SparkSession, table: str) -> tuple[int, list[str]] | None:
     return int(rows["Num Buckets"]), cols
 
 
+def storage_properties(spark: SparkSession, table: str) -> dict[str, str]:
+    """The table's data-source options (codec, level, ...), from the catalog."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_table(table)}").where(
+        F.col("col_name") == "Storage Properties"
+    ).collect()
+    if not rows:
+        return {}
+    text = rows[0]["data_type"].strip().strip("[]")
+    out = {}
+    for part in text.split(", "):
+        if "=" in part:
+            k, v = part.split("=", 1)
+            out[k.strip()] = v.strip()
+    return out
+
+
+def partition_location(spark: SparkSession, table: str, period_col: str, period) -> str:
+    """Location of one partition (the first ``Location`` row; the second is
+    the table's)."""
+    rows = spark.sql(
+        f"DESCRIBE TABLE EXTENDED {quote_table(table)} PARTITION ({quote(period_col)} = {_date_literal(period)})"
+    ).where(F.col("col_name") == "Location").collect()
+    return rows[0]["data_type"]
+
+
+def point_partitions(spark: SparkSession, table: str, period_col: str, locations: dict, existing: set) -> None:
+    """P11 (swap): make each period's partition read from its new directory.
+
+    Existing partitions are re-pointed one catalog call each (each call is
+    atomic for its partition, like the reference's exchange); new ones are
+    added in one statement. No data moves.
+    """
+    t = quote_table(table)
+    added = []
+    for period, path in sorted(locations.items()):
+        if period in existing:
+            spark.sql(
+                f"ALTER TABLE {t} PARTITION ({quote(period_col)} = {_date_literal(period)}) "
+                f"SET LOCATION {sql_string(path)}"
+            )
+        else:
+            added.append(f"PARTITION ({quote(period_col)} = {_date_literal(period)}) LOCATION {sql_string(path)}")
+    if added:
+        spark.sql(f"ALTER TABLE {t} ADD IF NOT EXISTS " + " ".join(added))
+    spark.sql(f"REFRESH TABLE {t}")
+
+
 def set_comments(spark: SparkSession, table: str, comment: str | None, columns: dict[str, str]) -> None:
     """Table and column comments, quotes escaped and text trimmed."""
     if comment:

@@ -92,6 +92,9 @@ class LoadSpec:
     # period), "auto" only when more than rebalance_min_periods are touched.
     rebalance: bool | str = "auto"
     rebalance_min_periods: int = 8
+    # Publish: "overwrite" (dynamic partition overwrite, files moved at commit)
+    # or "swap" (new directories, partitions re-pointed in the catalog).
+    publish: str = "overwrite"
     compression: str = DEFAULT_COMPRESSION
     compression_level: int | None = DEFAULT_COMPRESSION_LEVEL
     row_group_bytes: int | None = None
@@ -218,6 +221,10 @@ class LoadSpec:
                 raise SpecError("buckets must be >= 1")
             if not self.bucket_columns:
                 raise SpecError("buckets needs distributed_by or unique_key columns to bucket by")
+        if self.publish not in ("overwrite", "swap"):
+            raise SpecError("publish must be 'overwrite' or 'swap'")
+        if self.publish == "swap" and (self.buckets or not self.partitioned):
+            raise SpecError("publish='swap' needs a partitioned, unbucketed target")
         if self.rebalance not in (True, False, "auto"):
             raise SpecError("rebalance must be True, False or 'auto'")
         if self.stage not in (True, False, "auto"):

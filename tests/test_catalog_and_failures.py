@@ -174,3 +174,26 @@ def test_set_comments_later(spark, db):
     desc = {r["col_name"]: r for r in spark.sql(f"DESCRIBE TABLE EXTENDED {s.table}").collect()}
     assert desc["Comment"]["data_type"] == "it's the orders"
     assert desc["d"]["comment"] == "order day"
+
+
+def test_swap_publish_repoints_partitions(spark, db):
+    from periodload.sources.tables import partition_location
+
+    s = spec(db, publish="swap", comment=None)
+    run(spark, spark.createDataFrame(BASE, C), s)
+    loc1 = partition_location(spark, s.table, "d_day", D1)
+    loc2 = partition_location(spark, s.table, "d_day", D2)
+    run(spark, spark.createDataFrame([(1, D1, Decimal("11")), (9, dt.date(2024, 1, 9), Decimal("9"))], C), s)
+    new1 = partition_location(spark, s.table, "d_day", D1)
+    assert new1 != loc1 and "/swap/" in new1
+    assert partition_location(spark, s.table, "d_day", D2) == loc2  # untouched
+    assert not os.path.exists(loc1.replace("file:", ""))  # old directory removed
+    got = sorted((r["id"], r["d"]) for r in spark.table(s.table).collect())
+    assert got == [(1, D1), (2, D1), (3, D2), (9, dt.date(2024, 1, 9))]
+    # a second swap of the same day replaces the swap directory of the first
+    run(spark, spark.createDataFrame([(1, D1, Decimal("12"))], C), s)
+    assert not os.path.exists(new1.replace("file:", ""))
+    # and a plain dynamic overwrite still works on the swapped table
+    run(spark, spark.createDataFrame([(2, D1, Decimal("21"))], C), spec(db, merge=False, comment=None))
+    assert sorted((r["id"], r["amount"]) for r in spark.table(s.table).where("d_day = DATE'2024-01-01'").collect()) == [
+        (2, Decimal("21.00"))]
