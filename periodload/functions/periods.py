@@ -55,7 +55,7 @@ def truncate(d: str | Column, granularity: str) -> Column:
         return d
     if granularity == "month":
         return F.trunc(d, "MM")
-    raise ValueError(f"granularity must be 'day' or 'month', got {granularity!r}")
+    raise ValueError(f"no period of {granularity!r}: use day or month")
 
 
 def period_of(

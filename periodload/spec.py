@@ -46,7 +46,7 @@ class RangeLayout:
 
     def __post_init__(self):
         if self.unit not in ("day", "month"):
-            raise SpecError(f"range layout: unit must be 'day' or 'month', got {self.unit!r}")
+            raise SpecError(f"range layout: unit {self.unit!r} is not supported; use day or month")
         if self.every < 1:
             raise SpecError("range layout: every must be >= 1")
         if self.start >= self.end:
@@ -158,13 +158,13 @@ class LoadSpec:
         exchange = self.strategy == "exchange_partition"
         # 1. partition column
         if exchange and not self.partition_column:
-            raise SpecError("exchange_partition: 'partition_column' is required")
+            raise SpecError("an exchange load needs partition_column: the column whose date decides each row's period")
         # 2. partition layout: the key must be a contract column of a datable type
         # 5. contract required for partitioned targets (checked first so 2 can use it)
         if self.partitioned and (self.contract is None or len(self.contract.fields) == 0):
             raise SpecError(
-                "a contract (StructType with every column and its type) is required "
-                "to create or load a partitioned table"
+                "partitioned targets are created from a contract: pass a StructType "
+                "listing every column with its type"
             )
         if self.partitioned:
             names = self.contract_names
@@ -188,18 +188,18 @@ class LoadSpec:
         # 4. merge mode must be chosen explicitly for exchange loads
         if exchange and self.merge is None:
             raise SpecError(
-                "exchange_partition: 'merge' is required: True merges by unique_key, "
-                "False overwrites every touched period"
+                "choose merge=True (merge by unique_key) or merge=False (replace each touched "
+                "period); there is no default"
             )
         # 6. granularity
         if self.grain not in GRANULARITIES:
-            raise SpecError(f"granularity must be 'day' or 'month'; got {self.granularity!r}")
+            raise SpecError(f"granularity {self.granularity!r} is not supported; periods are days or months")
         # 7. unique key when merging (and for delete+insert)
         if (exchange and self.merge) or self.strategy == "delete+insert":
             if not self.keys:
                 raise SpecError(
-                    f"{'merge' if exchange else 'delete+insert'} needs 'unique_key': a column "
-                    "name or a list of columns, e.g. 'id' or ['tenant_id', 'id']"
+                    f"{'merge' if exchange else 'delete+insert'} matches rows by unique_key; "
+                    "give one column or several"
                 )
         if self.contract is not None:
             names = set(self.contract_names)

@@ -30,9 +30,9 @@ def test_valid_spec_passes():
         (dict(partition_column=None), "partition_column"),  # 1
         (dict(partition_column="amount"), "must be date"),  # 2
         (dict(staging_dir="  "), "staging_dir"),  # 3
-        (dict(merge=None), "'merge' is required"),  # 4
+        (dict(merge=None), "merge=True"),  # 4
         (dict(contract=None), "contract"),  # 5
-        (dict(granularity="week"), "granularity"),  # 6
+        (dict(granularity="week"), "days or months"),  # 6
         (dict(unique_key=[]), "unique_key"),  # 7
     ],
 )
