@@ -36,7 +36,7 @@ from .operators.partitions import (
     validate_periods,
 )
 from .operators.snapshot import snapshot_changes, snapshot_merge
-from .plans.load import LoadError, LoadResult, first_load, full_build, prepare_delta, run
+from .plans.load import LoadError, LoadResult, first_load, full_build, plan_load, prepare_delta, run
 from .sources.tables import TargetError, existing_periods
 from .spec import ListLayout, LoadSpec, RangeLayout, SpecError
 

@@ -385,6 +385,36 @@ def full_build(spark: SparkSession, df: DataFrame, table: str, contract: T.Struc
     return LoadResult("created", _empty_report(spark, "created"))
 
 
+# ------------------------------------------------------------------ dry run
+def plan_load(spark: SparkSession, delta: DataFrame, spec: LoadSpec) -> DataFrame:
+    """Dry run of an exchange load on an existing target: the rows it would
+    write, as a DataFrame whose plan can be inspected with
+    ``.explain("formatted")`` (partition filters on the target scan, the anti
+    join, the write distribution). Only the touched periods are computed (one
+    small aggregate); nothing is staged or written.
+    """
+    spec.validate()
+    if spec.strategy != "exchange_partition":
+        raise SpecError("plan_load covers exchange loads")
+    tb.assert_partitioned_target(spark, spec)
+    prepared = prepare_delta(spark, delta, spec)
+    periods = sorted(
+        r[0] for r in prepared.select(spec.period_col).distinct().collect() if r[0] is not None
+    )
+    if spec.merge:
+        target_slice = _period_filter(spark.table(spec.table), spark, spec.period_col, periods,
+                                      spec.max_inline_periods)
+        keys, buckets = _join_keys(spark, spec)
+        content = merge_content(prepared, target_slice, keys, spec.period_col, buckets)
+    else:
+        content, buckets = overwrite_content(prepared), None
+    cols = tb.target_columns(spark, spec.table)
+    bucketed = tb.bucketing(spark, spec.table)
+    if buckets or (not bucketed and not _needs_rebalance(spec, len(periods))):
+        return content.select(*cols)
+    return distribute_for_write(content.select(*cols), spec.period_col, spec.dist_keys, bucketed)
+
+
 # ------------------------------------------------------------------ dispatch
 def run(spark: SparkSession, delta: DataFrame, spec: LoadSpec, run_id: str | None = None) -> LoadResult:
     """Load ``delta`` into ``spec.table``: first load if the target is absent,

@@ -143,3 +143,20 @@ def test_rebalance_off_writes_without_exchange(spark, db):
     spec = events_spec(db, rebalance=False)
     run(spark, events, spec)
     assert spark.table(spec.table).count() == events.count()
+
+
+def test_plan_load_dry_run(spark, db):
+    from periodload import plan_load
+
+    orders = read(spark, SF, "orders")
+    spec = orders_spec(db)
+    first_load(spark, orders, spec)
+    files_before = sorted(spark.table(spec.table).inputFiles())
+    planned = plan_load(spark, orders_merge_delta(orders), spec)
+    formatted = spark._jvm.PythonSQLUtils.explainString(planned._jdf.queryExecution(), "formatted")
+    import re
+
+    assert "LeftAnti" in formatted
+    assert re.search(rf"PartitionFilters: \[{spec.period_col}#\d+ IN \(", formatted)
+    assert planned.columns == spark.table(spec.table).columns
+    assert sorted(spark.table(spec.table).inputFiles()) == files_before  # nothing written
