@@ -32,6 +32,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
+from periodload.functions.literals import ntz  # noqa: E402
 from periodload.plans.load import first_load, run  # noqa: E402
 from periodload.scenarios import (  # noqa: E402
     LINEITEM,
@@ -45,7 +46,7 @@ from periodload.spec import LoadSpec  # noqa: E402
 
 
 def _ts(s: str):
-    return F.lit(_dt.datetime.fromisoformat(s))
+    return ntz(s)
 
 
 def timed(fn) -> float:
@@ -89,15 +90,16 @@ def main() -> None:
     def ev_delta(first_day: str, days: int):
         lo = _dt.date.fromisoformat(first_day)
         hi = lo + _dt.timedelta(days=days)
-        return events.where((F.col("ts") >= F.lit(lo)) & (F.col("ts") < F.lit(hi))).withColumn(
+        return events.where((F.col("ts") >= ntz(lo)) & (F.col("ts") < ntz(hi))).withColumn(
             "value", F.col("value") * 2
         )
 
     def or_delta(first_month: str, months: int):
         lo = _dt.date.fromisoformat(first_month)
         return orders.where(
-            (F.col("o_orderdate") >= F.lit(lo))
-            & (F.col("o_orderdate") < F.add_months(F.lit(lo), months))
+            (F.col("o_orderdate") >= ntz(lo))
+            & (F.col("o_orderdate") < ntz(_dt.date(lo.year + (lo.month - 1 + months) // 12,
+                                                   (lo.month - 1 + months) % 12 + 1, 1)))
             & (F.col("o_orderstatus") != "P")
         ).withColumn("o_totalprice", F.col("o_totalprice") + 1)
 

@@ -13,6 +13,9 @@ from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .literals import like
 
 
 def _as_of(as_of) -> Column:
@@ -25,14 +28,6 @@ def _as_of(as_of) -> Column:
     return F.lit(as_of)
 
 
-def _lit(v) -> Column:
-    if isinstance(v, Column):
-        return v
-    if isinstance(v, str):
-        v = _dt.datetime.fromisoformat(v) if ("T" in v or ":" in v) else _dt.date.fromisoformat(v)
-    return F.lit(v)
-
-
 def lookback_days(df: DataFrame, column: str, days: int, as_of=None) -> DataFrame:
     """``column >= as_of - days`` (rolling window; a pushed-down range filter)."""
     return df.where(F.col(column) >= F.date_sub(_as_of(as_of), int(days)))
@@ -44,22 +39,37 @@ def lookback_months(df: DataFrame, column: str, months: int = 1, as_of=None) ->
     return df.where(F.col(column) >= start)
 
 
+def _as_date(v) -> _dt.date:
+    if isinstance(v, _dt.datetime):
+        return v.date()
+    if isinstance(v, _dt.date):
+        return v
+    return _dt.date.fromisoformat(str(v)[:10])
+
+
 def between_dates(df: DataFrame, column: str, start, end) -> DataFrame:
     """D3: the key's calendar date in ``[start, end]`` (both inclusive).
 
     Written as a half-open range on the raw column, which is the same set of
     rows as ``to_date(column) BETWEEN start AND end`` but can be pushed down to
-    the Parquet scan as two comparisons.
+    the Parquet scan as two comparisons. The bounds take the column's type
+    (midnight for timestamps), so no time zone is involved.
     """
-    lo = _lit(start).cast("date")
-    hi = F.date_add(_lit(end).cast("date"), 1)
+    dtype = df.schema[column].dataType
     c = F.col(column)
+    if isinstance(dtype, T.StringType):
+        c, dtype = F.to_date(c), T.DateType()
+    lo = like(_as_date(start), dtype)
+    hi = like(_as_date(end) + _dt.timedelta(days=1), dtype)
     return df.where((c >= lo) & (c < hi))
 
 
 def between_changes(df: DataFrame, change_column: str, start, end) -> DataFrame:
-    """Rows whose change column (e.g. ``updated_at``) is in ``[start, end]``."""
-    return df.where(F.col(change_column).between(_lit(start), _lit(end)))
+    """Rows whose change column (e.g. ``updated_at``) is in ``[start, end]``.
+    The bounds take the column's type, so the window does not move with the
+    session time zone."""
+    dtype = df.schema[change_column].dataType
+    return df.where(F.col(change_column).between(like(start, dtype), like(end, dtype)))
 
 
 def first_run_switch(

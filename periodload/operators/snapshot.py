@@ -29,6 +29,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.literals import ntz
 from ..sources import tables as tb
 from ..sources.staging import Staging
 from .exchange import all_keys_set
@@ -41,11 +42,8 @@ class SnapshotError(ValueError):
 
 
 def _ts(as_of) -> F.Column:
-    if isinstance(as_of, str):
-        as_of = _dt.datetime.fromisoformat(as_of)
-    elif isinstance(as_of, _dt.date) and not isinstance(as_of, _dt.datetime):
-        as_of = _dt.datetime.combine(as_of, _dt.time())
-    return F.lit(as_of).cast("timestamp_ntz")
+    """``as_of`` as a wall-clock ``TIMESTAMP_NTZ``, the same in every session zone."""
+    return ntz(as_of)
 
 
 def _check_source_keys(source: DataFrame, keys: Sequence[str]) -> None:

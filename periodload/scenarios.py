@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .functions.literals import ntz
 from .functions.delta import (
     between_changes,
     between_dates,
@@ -90,7 +91,8 @@ CUSTOMER = T.StructType(
 
 
 def _ts(s: str) -> F.Column:
-    return F.lit(_dt.datetime.fromisoformat(s))
+    """A wall-clock literal for the driver's ``timestamp_ntz`` columns."""
+    return ntz(s)
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -261,3 +261,21 @@ def test_string_keys_do_not_depend_on_the_session_zone(spark, session_tz):
         spark.conf.set("spark.sql.session.timeZone", old)
     # wall-clock strings keep their date; instants are seen from New York
     assert got == [D2, D2, D1, D1, D2, D2]
+
+
+@pytest.mark.parametrize("session_tz", ["UTC", "Asia/Tokyo", "America/Los_Angeles"])
+def test_delta_windows_do_not_depend_on_the_session_zone(spark, session_tz):
+    from periodload import between_changes, between_dates
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", session_tz)
+    try:
+        events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+        a = between_changes(events, "ts", "2024-01-05 06:00:00", "2024-01-06 18:00:00").count()
+        b = between_dates(events, "ts", "2024-01-10", "2024-01-12").count()
+        rows = events.select("ts").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    lo, hi = dt.datetime(2024, 1, 5, 6), dt.datetime(2024, 1, 6, 18)
+    assert a == sum(lo <= r["ts"] <= hi for r in rows)
+    assert b == sum(dt.date(2024, 1, 10) <= r["ts"].date() <= dt.date(2024, 1, 12) for r in rows)
