@@ -123,6 +123,6 @@ def snapshot_merge(spark: SparkSession, source: DataFrame, table: str, keys: Seq
         fresh_closed.select(*cols).write.insertInto(table)
         from ..plans.load import dynamic_overwrite
 
-        with dynamic_overwrite(spark):
+        with dynamic_overwrite(spark, table):
             still_open.select(*cols).write.insertInto(table, overwrite=True)
         return {"open": still_open.count(), "closed": closed.count()}

@@ -60,13 +60,20 @@ class LoadResult:
 
 
 @contextlib.contextmanager
-def dynamic_overwrite(spark: SparkSession):
+def dynamic_overwrite(spark: SparkSession, table: str | None = None):
     """Dynamic partition overwrite for the duration of one write.
 
-    Tables created by this library carry the option themselves; this covers
-    existing tables that do not, so an overwrite can never fall back to
-    replacing the whole table.
+    Tables created by this library carry the option themselves (a table
+    option wins over the session setting), so for them nothing is changed and
+    concurrent loads in one session cannot disturb each other. For existing
+    tables without the option the session setting is switched for the write,
+    so an overwrite can never fall back to replacing the whole table.
     """
+    if table is not None:
+        opts = tb.storage_properties(spark, table)
+        if opts.get("partitionOverwriteMode", "").lower() == "dynamic":
+            yield
+            return
     key = "spark.sql.sources.partitionOverwriteMode"
     old = spark.conf.get(key, None)
     spark.conf.set(key, "dynamic")
@@ -229,7 +236,7 @@ def _write(spark: SparkSession, content: DataFrame, spec: LoadSpec, overwrite: b
             content.select(*cols), spec.period_col if spec.partitioned else None, spec.dist_keys,
             bucketed,
         )
-    with dynamic_overwrite(spark):
+    with dynamic_overwrite(spark, spec.table):
         out.write.insertInto(spec.table, overwrite=overwrite)
 
 

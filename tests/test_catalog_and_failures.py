@@ -197,3 +197,15 @@ def test_swap_publish_repoints_partitions(spark, db):
     run(spark, spark.createDataFrame([(2, D1, Decimal("21"))], C), spec(db, merge=False, comment=None))
     assert sorted((r["id"], r["amount"]) for r in spark.table(s.table).where("d_day = DATE'2024-01-01'").collect()) == [
         (2, Decimal("21.00"))]
+
+
+def test_table_option_wins_over_a_static_session(spark, db):
+    s = spec(db, merge=False, comment=None)
+    run(spark, spark.createDataFrame(BASE, C), s)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        run(spark, spark.createDataFrame([(1, D1, Decimal("11"))], C), s)
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "static"  # untouched
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert sorted((r["id"], r["d"]) for r in spark.table(s.table).collect()) == [(1, D1), (3, D2)]
