@@ -2,10 +2,14 @@
 
 The reference is batch only; late data is simply a later delta. A
 Structured Streaming query can feed the same load through ``foreachBatch``:
-every micro-batch is one ``run()``. Merge mode is safe to replay for non-null
-keys (re-applying a batch yields the same table), so a batch retried after a
-failure does not duplicate rows; overwrite mode is replay-safe too because it
-replaces whole periods.
+every micro-batch is one ``run()``.
+
+A micro-batch can be replayed after a failure. Merge (for non-null keys) and
+overwrite give the same table when re-applied. Append would load the same rows
+twice, so the id of the last loaded batch is kept in a table property
+(``periodload.stream.<name>.batch``) and batches up to it are skipped. The
+property is set right after the write: a crash between the two can still
+replay one batch. Closing that window needs a transactional table format.
 """
 
 from __future__ import annotations
@@ -13,22 +17,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..plans.load import run
+from ..sources import tables as tb
 from ..spec import LoadSpec
 
 
-def batch_loader(spec: LoadSpec):
+def _batch_property(name: str) -> str:
+    return f"{tb.PROP_PREFIX}stream.{name}.batch"
+
+
+def last_batch(spark, table: str, name: str) -> int:
+    """Id of the last micro-batch loaded by stream ``name`` (-1 if none)."""
+    if not tb.table_exists(spark, table):
+        return -1
+    return int(tb.table_properties(spark, table).get(_batch_property(name), -1))
+
+
+def batch_loader(spec: LoadSpec, name: str = "default"):
     """The function to pass to ``writeStream.foreachBatch``."""
     spec.validate()
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        run(batch.sparkSession, batch, spec, run_id=f"batch{batch_id:08d}-{id(batch) & 0xffff:04x}")
+        spark = batch.sparkSession
+        if batch_id <= last_batch(spark, spec.table, name):
+            return  # already loaded: a replay after a failure
+        run(spark, batch, spec, run_id=f"batch{batch_id:08d}-{id(batch) & 0xffff:04x}")
+        if tb.table_exists(spark, spec.table):
+            spark.sql(
+                f"ALTER TABLE {tb.quote_table(spec.table)} SET TBLPROPERTIES "
+                f"({tb.sql_string(_batch_property(name))} = '{int(batch_id)}')"
+            )
 
     return load
 
 
-def stream_into(stream: DataFrame, spec: LoadSpec, checkpoint_location: str, trigger: dict | None = None):
+def stream_into(stream: DataFrame, spec: LoadSpec, checkpoint_location: str, trigger: dict | None = None,
+                name: str = "default"):
     """Start a streaming query that loads each micro-batch with ``spec``."""
-    writer = stream.writeStream.foreachBatch(batch_loader(spec)).option(
+    writer = stream.writeStream.foreachBatch(batch_loader(spec, name)).option(
         "checkpointLocation", checkpoint_location
     )
     if trigger:

@@ -209,3 +209,17 @@ def test_table_option_wins_over_a_static_session(spark, db):
     finally:
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
     assert sorted((r["id"], r["d"]) for r in spark.table(s.table).collect()) == [(1, D1), (3, D2)]
+
+
+def test_stream_batches_are_not_loaded_twice(spark, db):
+    from periodload.streaming.foreach_batch import batch_loader, last_batch
+
+    s = spec(db, strategy="append", merge=None, comment=None)
+    load = batch_loader(s, name="s1")
+    b0 = spark.createDataFrame(BASE, C)
+    b1 = spark.createDataFrame([(4, D2, Decimal("40"))], C)
+    load(b0, 0)
+    load(b1, 1)
+    load(b1, 1)  # replay after a failure: skipped
+    assert last_batch(spark, s.table, "s1") == 1
+    assert spark.table(s.table).count() == 4
