@@ -37,6 +37,7 @@ from .operators.partitions import (
 )
 from .operators.snapshot import snapshot_changes, snapshot_merge
 from .plans.load import LoadError, LoadResult, first_load, full_build, plan_load, prepare_delta, run
+from .sources.staging import sweep_staging
 from .sources.tables import TargetError, existing_periods
 from .spec import ListLayout, LoadSpec, RangeLayout, SpecError
 

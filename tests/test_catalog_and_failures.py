@@ -223,3 +223,20 @@ def test_stream_batches_are_not_loaded_twice(spark, db):
     load(b1, 1)  # replay after a failure: skipped
     assert last_batch(spark, s.table, "s1") == 1
     assert spark.table(s.table).count() == 4
+
+
+def test_sweep_removes_only_old_staging(spark, db):
+    from periodload import sweep_staging
+    from periodload.sources.staging import Staging
+
+    table = f"{db}.t"
+    old = Staging(spark, table)
+    old.stage(spark.createDataFrame(BASE, C))  # a crashed run: never cleaned up
+    fresh = Staging(spark, table)
+    fresh.stage(spark.createDataFrame(BASE, C))
+    local = old.path.replace("file:", "")
+    os.utime(local, (0, 0))  # pretend it is old
+    removed = sweep_staging(spark, table, older_than_hours=1)
+    assert [p.rstrip("/").endswith(old.run_id) for p in removed] == [True]
+    assert not os.path.exists(local) and os.path.exists(fresh.path.replace("file:", ""))
+    fresh.cleanup()
