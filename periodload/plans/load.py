@@ -220,6 +220,15 @@ def _needs_rebalance(spec: LoadSpec, touched: int | None) -> bool:
     return bool(spec.rebalance)
 
 
+def _target_dist_keys(spark: SparkSession, spec: LoadSpec) -> tuple[str, ...]:
+    """The distribution key stored with the table at creation wins over
+    the caller's, so every later write lays files out like the first."""
+    stored = tb.stored_spec_properties(spark, spec.table).get("distributed_by")
+    if stored is None:
+        return spec.dist_keys
+    return tuple(c for c in stored.split(",") if c)
+
+
 def _write(spark: SparkSession, content: DataFrame, spec: LoadSpec, overwrite: bool,
            aligned: bool = False, touched: int | None = None) -> None:
     """Publish ``content``. ``aligned``: the content is already partitioned by
@@ -233,8 +242,8 @@ def _write(spark: SparkSession, content: DataFrame, spec: LoadSpec, overwrite: b
         out = content.select(*cols)
     else:
         out = distribute_for_write(
-            content.select(*cols), spec.period_col if spec.partitioned else None, spec.dist_keys,
-            bucketed,
+            content.select(*cols), spec.period_col if spec.partitioned else None,
+            _target_dist_keys(spark, spec), bucketed,
         )
     with dynamic_overwrite(spark, spec.table):
         out.write.insertInto(spec.table, overwrite=overwrite)

@@ -240,3 +240,14 @@ def test_sweep_removes_only_old_staging(spark, db):
     assert [p.rstrip("/").endswith(old.run_id) for p in removed] == [True]
     assert not os.path.exists(local) and os.path.exists(fresh.path.replace("file:", ""))
     fresh.cleanup()
+
+
+def test_distribution_follows_the_target(spark, db):
+    from periodload.plans.load import _target_dist_keys
+
+    s = spec(db, distributed_by="id", comment=None)
+    run(spark, spark.createDataFrame(BASE, C), s)
+    later = spec(db, distributed_by="amount", comment=None)
+    assert _target_dist_keys(spark, later) == ("id",)
+    run(spark, spark.createDataFrame([(1, D1, Decimal("11"))], C), later)
+    assert spark.table(s.table).count() == 3
