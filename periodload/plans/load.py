@@ -40,6 +40,7 @@ from ..operators.layout import distribute_for_write
 from ..operators.partitions import period_mismatch, range_bucket
 from ..sources import tables as tb
 from ..sources.staging import Staging
+from ..session import new_run_id
 from ..spec import LoadSpec, SpecError
 from .report import build_report
 
@@ -374,8 +375,14 @@ def first_load(spark: SparkSession, delta: DataFrame, spec: LoadSpec, run_id: st
                 f"[{spec.range_layout.start}, {spec.range_layout.end}) and there is no default partition"
             )
         tb.create_target(spark, spec)
-        if warning is None and stats.total:
-            _write(spark, staged, spec, overwrite=False, touched=len(stats.periods))
+        try:
+            if warning is None and stats.total:
+                _write(spark, staged, spec, overwrite=False, touched=len(stats.periods))
+        except Exception:
+            # the table did not exist before this call: leave nothing behind,
+            # so a rerun is again a first load and not an incremental one
+            spark.sql(f"DROP TABLE IF EXISTS {tb.quote_table(spec.table)}")
+            raise
         _finish(spark, spec)
         rows = [
             (p, stats.rows_by_period[p], 0, stats.rows_by_period[p], "created")
@@ -390,15 +397,25 @@ def full_build(spark: SparkSession, df: DataFrame, table: str, contract: T.Struc
                replace: bool = False, compression: str = "zstd") -> LoadResult:
     """L2: build an unpartitioned table from ``df``. With a contract: create
     from the contract and insert by name; without: schema from the DataFrame."""
-    if tb.table_exists(spark, table):
-        if not replace:
-            raise tb.TargetError(f"{table} already exists; pass replace=True to rebuild it")
-        spark.sql(f"DROP TABLE {tb.quote_table(table)}")
+    exists = tb.table_exists(spark, table)
+    if exists and not replace:
+        raise tb.TargetError(f"{table} already exists; pass replace=True to rebuild it")
+    # Build next to the target and swap names at the end, so a failed build
+    # leaves the old table as it was.
+    suffix = new_run_id()[:8]
+    build = f"{table}__build_{suffix}" if exists else table
     if contract is not None:
-        spec = LoadSpec(table=table, contract=contract, strategy="truncate+insert", compression=compression)
-        return first_load(spark, df, spec)
-    df.write.format("parquet").option("compression", compression).saveAsTable(table)
-    return LoadResult("created", _empty_report(spark, "created"))
+        spec = LoadSpec(table=build, contract=contract, strategy="truncate+insert", compression=compression)
+        result = first_load(spark, df, spec)
+    else:
+        df.write.format("parquet").option("compression", compression).saveAsTable(build)
+        result = LoadResult("created", _empty_report(spark, "created"))
+    if exists:
+        old = f"{table}__old_{suffix}"
+        spark.sql(f"ALTER TABLE {tb.quote_table(table)} RENAME TO {tb.quote_table(old)}")
+        spark.sql(f"ALTER TABLE {tb.quote_table(build)} RENAME TO {tb.quote_table(table)}")
+        spark.sql(f"DROP TABLE {tb.quote_table(old)}")
+    return result
 
 
 # ------------------------------------------------------------------ dry run

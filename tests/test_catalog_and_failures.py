@@ -251,3 +251,25 @@ def test_distribution_follows_the_target(spark, db):
     assert _target_dist_keys(spark, later) == ("id",)
     run(spark, spark.createDataFrame([(1, D1, Decimal("11"))], C), later)
     assert spark.table(s.table).count() == 3
+
+
+def test_failed_first_load_leaves_no_table(spark, db):
+    s = spec(db, stage=False, merge=False, comment=None)
+    bad = spark.createDataFrame(BASE, C).withColumn(
+        "amount", F.when(F.col("id") == 2, F.raise_error(F.lit("boom"))).otherwise(F.col("amount"))
+    )
+    with pytest.raises(Exception, match="boom"):
+        run(spark, bad, s)
+    assert not spark.catalog.tableExists(s.table)
+
+
+def test_failed_rebuild_keeps_the_old_table(spark, db):
+    from periodload import full_build
+
+    df = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
+    full_build(spark, df, f"{db}.cust")
+    bad = df.withColumn("c_acctbal", F.raise_error(F.lit("boom")))
+    with pytest.raises(Exception, match="boom"):
+        full_build(spark, bad, f"{db}.cust", replace=True)
+    assert spark.table(f"{db}.cust").count() == df.count()
+    assert [t.name for t in spark.catalog.listTables(db)] == ["cust"]
