@@ -445,7 +445,7 @@ def plan_load(spark: SparkSession, delta: DataFrame, spec: LoadSpec) -> DataFram
     bucketed = tb.bucketing(spark, spec.table)
     if buckets or (not bucketed and not _needs_rebalance(spec, len(periods))):
         return content.select(*cols)
-    return distribute_for_write(content.select(*cols), spec.period_col, spec.dist_keys, bucketed)
+    return distribute_for_write(content.select(*cols), spec.period_col, _target_dist_keys(spark, spec), bucketed)
 
 
 # ------------------------------------------------------------------ dispatch

@@ -214,6 +214,16 @@ class LoadSpec:
             raise SpecError("distributed_by and distributed_replicated exclude each other")
         if self.distributed_replicated and self.partitioned:
             raise SpecError("a replicated table cannot be partitioned")
+        try:
+            import zoneinfo
+
+            zoneinfo.ZoneInfo(self.time_zone)
+        except Exception:
+            raise SpecError(f"time_zone {self.time_zone!r} is not a known zone id") from None
+        for name in ("row_group_bytes", "max_records_per_file"):
+            v = getattr(self, name)
+            if v is not None and int(v) < 1:
+                raise SpecError(f"{name} must be positive")
         if self.compression_level is not None and not (0 <= int(self.compression_level) <= 22):
             raise SpecError("compression_level must be between 0 and 22")
         if self.buckets is not None:

@@ -54,6 +54,14 @@ def test_other_rules():
         ok(period_column="id").validate()
     with pytest.raises(SpecError, match="unique_key"):
         ok(strategy="delete+insert", merge=None, unique_key=None).validate()
+    with pytest.raises(SpecError, match="zone"):
+        ok(time_zone="Mars/Olympus").validate()
+    with pytest.raises(SpecError, match="positive"):
+        ok(max_records_per_file=0).validate()
+    with pytest.raises(SpecError, match="publish"):
+        ok(publish="exchange").validate()
+    with pytest.raises(SpecError, match="swap"):
+        ok(publish="swap", buckets=4).validate()
 
 
 def test_key_normalisation():
