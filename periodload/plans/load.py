@@ -134,8 +134,9 @@ class DeltaStats:
         return self.rows_by_period.get(None, 0)
 
 
-def delta_stats(spark: SparkSession, staged: DataFrame, spec: LoadSpec, supplied_period: bool) -> DeltaStats:
-    """One aggregate over the staged delta; result is one row per period."""
+def _check_aggs(spark: SparkSession, spec: LoadSpec, supplied_period: bool) -> list:
+    """The pre-write checks as aggregate expressions: rows, nulls per NOT NULL
+    column, period mismatches (P12), rows outside the range layout (P10)."""
     aggs = [F.count(F.lit(1)).alias("_rows")]
     nn = spec.not_null_columns
     aggs += [F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(nn)]
@@ -153,6 +154,13 @@ def delta_stats(spark: SparkSession, staged: DataFrame, spec: LoadSpec, supplied
         aggs.append(F.count_if(lo.isNull()).alias("_oor"))
     else:
         aggs.append(F.lit(0).cast("long").alias("_oor"))
+    return aggs
+
+
+def delta_stats(spark: SparkSession, staged: DataFrame, spec: LoadSpec, supplied_period: bool) -> DeltaStats:
+    """One aggregate over the staged delta; result is one row per period."""
+    aggs = _check_aggs(spark, spec, supplied_period)
+    nn = spec.not_null_columns
     if spec.partitioned:
         rows = staged.groupBy(F.col(spec.period_col).alias("_p")).agg(*aggs).collect()
     else:
@@ -364,6 +372,8 @@ def first_load(spark: SparkSession, delta: DataFrame, spec: LoadSpec, run_id: st
     prepared = prepare_delta(spark, delta, spec)
     with Staging(spark, spec.table, spec.staging_dir, run_id) as st:
         staged = _stage(spark, prepared, spec, st, delta, reads_many=False)
+        if staged is prepared and spec.partitioned:
+            return _first_load_one_pass(spark, prepared, spec, supplied, st.run_id)
         stats = delta_stats(spark, staged, spec, supplied)
         warning = _check_null_periods(stats, spec)
         raise_on_nulls(stats.nulls)
@@ -393,6 +403,61 @@ def first_load(spark: SparkSession, delta: DataFrame, spec: LoadSpec, run_id: st
     return LoadResult("created", report, stats.periods, st.run_id, [warning] if warning else [])
 
 
+def _raise_on_checks(stats: DeltaStats, spec: LoadSpec) -> None:
+    raise_on_nulls(stats.nulls)
+    if stats.mismatched:
+        raise LoadError(f"{stats.mismatched} rows carry a period that does not match their key")
+    if stats.out_of_range:
+        raise LoadError(
+            f"{stats.out_of_range} rows fall outside the range layout "
+            f"[{spec.range_layout.start}, {spec.range_layout.end}) and there is no default partition"
+        )
+
+
+def _first_load_one_pass(spark: SparkSession, prepared: DataFrame, spec: LoadSpec, supplied: bool,
+                         run_id: str) -> LoadResult:
+    """L1 for a delta that is safe to read as it is: the checks are computed
+    by the write job itself (observed metrics), so the source is read once.
+    The table did not exist before: on any failed check it is dropped again,
+    which leaves the catalog as it was, then the error is raised."""
+    from pyspark.sql import Observation
+
+    obs = Observation(f"periodload_{run_id}")
+    aggs = _check_aggs(spark, spec, supplied) + [F.count_if(F.col(spec.period_col).isNull()).alias("_nullp")]
+    observed = prepared.observe(obs, *aggs)
+    tb.create_target(spark, spec)
+    try:
+        _write(spark, observed, spec, overwrite=False, touched=None)
+        metrics = obs.get
+        if not metrics:  # not reported: check the written rows instead
+            metrics = spark.table(spec.table).agg(*aggs).first().asDict()
+        nn = spec.not_null_columns
+        by_period = _footer_counts_all(spark, spec.table, spec.period_col)
+        stats = DeltaStats(
+            {p: n for p, n in by_period.items()},
+            {c: metrics[f"_null_{i}"] for i, c in enumerate(nn)},
+            metrics["_bad"],
+            metrics["_oor"],
+        )
+        warning = _check_null_periods(stats, spec)
+        _raise_on_checks(stats, spec)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {tb.quote_table(spec.table)}")
+        raise
+    if warning:  # every key was null: nothing is loaded (H1), the table stays empty
+        spark.sql(f"DROP TABLE IF EXISTS {tb.quote_table(spec.table)}")
+        tb.create_target(spark, spec)
+    _finish(spark, spec)
+    rows = [(p, stats.rows_by_period[p], 0, stats.rows_by_period[p], "created") for p in stats.periods]
+    report = build_report(spark, rows, granularity=spec.grain)
+    return LoadResult("created", report, stats.periods, run_id, [warning] if warning else [])
+
+
+def _footer_counts_all(spark: SparkSession, table: str, period_col: str) -> dict:
+    """Rows per partition of the whole table, from Parquet footers."""
+    return {r[0]: r[1] for r in spark.table(table).select(period_col).groupBy(period_col).count().collect()}
+
+
 def full_build(spark: SparkSession, df: DataFrame, table: str, contract: T.StructType | None = None,
                replace: bool = False, compression: str = "zstd") -> LoadResult:
     """L2: build an unpartitioned table from ``df``. With a contract: create
