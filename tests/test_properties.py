@@ -37,13 +37,14 @@ def model(strategy, target, delta):
     return list(delta) + [r for r in target if r[0] is None or r[0] not in keys]
 
 
-def check(spark, strategy, target, delta):
+def check(spark, strategy, target, delta, **extra):
     db = scratch_db(spark)
     kw = {"merge": True, "unique_key": "id"}
     if strategy == "overwrite":
         kw = {"merge": False}
     elif strategy == "delete+insert":
         kw = {"strategy": "delete+insert", "unique_key": "id"}
+    kw.update(extra)
     s = LoadSpec(table=f"{db}.t", contract=C, partition_column="d", **kw)
     run(spark, spark.createDataFrame(target, C), s)
     run(spark, spark.createDataFrame(delta, C), s)
@@ -67,3 +68,21 @@ def test_overwrite_matches_model(spark, target, delta):
 @given(target=rows.filter(bool), delta=rows)
 def test_delete_insert_matches_model(spark, target, delta):
     check(spark, "delete+insert", target, delta)
+
+
+@SETTINGS
+@given(target=rows.filter(bool), delta=rows)
+def test_bucketed_merge_matches_model(spark, target, delta):
+    check(spark, "merge", target, delta, buckets=2)
+
+
+@SETTINGS
+@given(target=rows.filter(bool), delta=rows)
+def test_swap_merge_matches_model(spark, target, delta):
+    check(spark, "merge", target, delta, publish="swap")
+
+
+@SETTINGS
+@given(target=rows.filter(bool), delta=rows)
+def test_bucketed_delete_insert_matches_model(spark, target, delta):
+    check(spark, "delete+insert", target, delta, buckets=2)
