@@ -312,6 +312,18 @@ from dp left join bp on dp.p = bp.p left join kp on dp.p = kp.p
 }
 SQL["bucketed_delete_insert"] = SQL["delete_insert"]
 SQL["exchange_swap_merge"] = SQL["exchange_merge_month"]
+SQL["list_partitioned_build"] = SQL["list_layout_default"]
+SQL["range_partitioned_build"] = f"""
+with k as (
+  select *, cast(o_orderdate as date) as d,
+         (year(o_orderdate) * 12 + month(o_orderdate) - 1) - 1995 * 12 as m
+  from orders)
+select {ORDERS_COLS},
+       coalesce(case when d >= date '1995-01-01' and d < date '2001-07-01'
+                     then strftime(cast(date '1995-01-01' + to_months(cast(floor(m / 3) * 3 as integer)) as date),
+                                   '%Y-%m-%d') end, 'other') as partition_name
+from k
+"""
 SQL["exchange_swap_overwrite"] = SQL["exchange_overwrite_day"]
 SQL["contract_check"] = """
 select 'c_custkey' as column_name, 'int' as expected_type, 'bigint' as actual_type, 'castable' as status,

@@ -403,6 +403,26 @@ def first_load(spark: SparkSession, delta: DataFrame, spec: LoadSpec, run_id: st
     return LoadResult("created", report, stats.periods, st.run_id, [warning] if warning else [])
 
 
+def _with_layout(df: DataFrame, layout, partition_column: str) -> DataFrame:
+    from ..operators.partitions import list_label, range_bucket
+    from ..spec import ListLayout
+
+    if isinstance(layout, ListLayout):
+        return df.withColumn(partition_column, list_label(layout))
+    rng, key, default = layout
+    lo, _ = range_bucket(F.col(key), df.schema[key].dataType, rng)
+    label = F.date_format(lo, "yyyy-MM-dd")
+    if default is None:
+        # P10 inside the build job: the first row that fits no range fails it,
+        # and a failed CREATE TABLE AS SELECT leaves no table behind
+        message = F.concat(
+            F.lit(f"{key} = "), F.col(key).cast("string"),
+            F.lit(f" is outside the range layout [{rng.start}, {rng.end}) and there is no default partition"),
+        )
+        return df.withColumn(partition_column, F.when(lo.isNull(), F.raise_error(message)).otherwise(label))
+    return df.withColumn(partition_column, F.coalesce(label, F.lit(default)))
+
+
 def _raise_on_checks(stats: DeltaStats, spec: LoadSpec) -> None:
     raise_on_nulls(stats.nulls)
     if stats.mismatched:
@@ -459,9 +479,23 @@ def _footer_counts_all(spark: SparkSession, table: str, period_col: str) -> dict
 
 
 def full_build(spark: SparkSession, df: DataFrame, table: str, contract: T.StructType | None = None,
-               replace: bool = False, compression: str = "zstd") -> LoadResult:
-    """L2: build an unpartitioned table from ``df``. With a contract: create
-    from the contract and insert by name; without: schema from the DataFrame."""
+               replace: bool = False, compression: str = "zstd", layout=None,
+               partition_column: str = "partition_name") -> LoadResult:
+    """L2: build a table from ``df``. With a contract: create from the
+    contract and insert by name; without: schema from the DataFrame.
+
+    ``layout`` (P7-P9) partitions the table physically, like the reference's
+    LIST and RANGE partition clauses: a ``ListLayout`` by its partition names
+    (unmatched values in the default partition), a ``(RangeLayout, key,
+    default)`` triple by the start of each row's range. Rows that fit no range
+    and have no default partition fail the build (P10) before anything is
+    written.
+    """
+    if contract is not None and layout is not None:
+        df = typed_projection(df, contract)
+        contract = None
+    if layout is not None:
+        df = _with_layout(df, layout, partition_column)
     exists = tb.table_exists(spark, table)
     if exists and not replace:
         raise tb.TargetError(f"{table} already exists; pass replace=True to rebuild it")
@@ -473,7 +507,11 @@ def full_build(spark: SparkSession, df: DataFrame, table: str, contract: T.Struc
         spec = LoadSpec(table=build, contract=contract, strategy="truncate+insert", compression=compression)
         result = first_load(spark, df, spec)
     else:
-        df.write.format("parquet").option("compression", compression).saveAsTable(build)
+        writer = df.write.format("parquet").option("compression", compression)
+        if layout is not None:
+            df = df.hint("rebalance", partition_column)
+            writer = df.write.format("parquet").option("compression", compression).partitionBy(partition_column)
+        writer.saveAsTable(build)
         result = LoadResult("created", _empty_report(spark, "created"))
     if exists:
         old = f"{table}__old_{suffix}"

@@ -661,6 +661,27 @@ def exchange_swap_overwrite(spark, sf_dir):
     return spark.table(spec.table)
 
 
+def list_partitioned_build(spark, sf_dir):
+    """P8 + P9 as a physical layout: customer built PARTITIONED BY its list
+    partition name, unmatched segments in the default partition."""
+    db = scratch_db(spark)
+    layout = ListLayout(
+        column="c_mktsegment",
+        partitions=(("machines", ("MACHINERY",)), ("homes", ("BUILDING", "HOUSEHOLD"))),
+    )
+    full_build(spark, read(spark, sf_dir, "customer"), f"{db}.customer_list", layout=layout)
+    return spark.table(f"{db}.customer_list")
+
+
+def range_partitioned_build(spark, sf_dir):
+    """P7 + P9 as a physical layout: orders built PARTITIONED BY quarterly
+    range start, later orders in the 'other' partition."""
+    db = scratch_db(spark)
+    full_build(spark, read(spark, sf_dir, "orders"), f"{db}.orders_range",
+               layout=(ORDERS_RANGE, "o_orderdate", "other"))
+    return spark.table(f"{db}.orders_range")
+
+
 SCENARIOS = {
     "exchange_overwrite_day": exchange_overwrite_day,
     "exchange_merge_month": exchange_merge_month,
@@ -702,6 +723,8 @@ SCENARIOS = {
     "codec_write": codec_write,
     "streaming_merge": streaming_merge,
     "contract_check": contract_check_customer,
+    "list_partitioned_build": list_partitioned_build,
+    "range_partitioned_build": range_partitioned_build,
     "exchange_swap_merge": exchange_swap_merge,
     "exchange_swap_overwrite": exchange_swap_overwrite,
     "bucketed_merge": bucketed_merge,

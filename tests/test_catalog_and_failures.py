@@ -273,3 +273,18 @@ def test_failed_rebuild_keeps_the_old_table(spark, db):
         full_build(spark, bad, f"{db}.cust", replace=True)
     assert spark.table(f"{db}.cust").count() == df.count()
     assert [t.name for t in spark.catalog.listTables(db)] == ["cust"]
+
+
+def test_layout_builds_partition_physically(spark, db):
+    from periodload import ListLayout, RangeLayout, full_build
+
+    cust = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
+    layout = ListLayout(column="c_mktsegment", partitions=(("machines", ("MACHINERY",)),))
+    full_build(spark, cust, f"{db}.cl", layout=layout)
+    parts = sorted(r[0] for r in spark.sql(f"SHOW PARTITIONS {db}.cl").collect())
+    assert parts == ["partition_name=machines", "partition_name=other"]
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    rng = RangeLayout(start="1995-01-01", end="2000-01-01", every=1, unit="month")
+    with pytest.raises(Exception, match="outside the range layout"):
+        full_build(spark, orders, f"{db}.orng", layout=(rng, "o_orderdate", None))
+    assert not spark.catalog.tableExists(f"{db}.orng")
