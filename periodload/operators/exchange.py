@@ -24,12 +24,24 @@ def overwrite_content(delta: DataFrame) -> DataFrame:
     return delta
 
 
+def _join_side(keys_df: DataFrame, broadcast: bool | None) -> DataFrame:
+    """``True``: broadcast (the caller proved the size bound); ``False``: a
+    shuffle join, so Spark cannot broadcast on an estimate; ``None``: Spark
+    decides."""
+    if broadcast is True:
+        return F.broadcast(keys_df)
+    if broadcast is False:
+        return keys_df.hint("shuffle_merge")
+    return keys_df
+
+
 def merge_content(
     delta: DataFrame,
     target_slice: DataFrame,
     keys: Sequence[str],
     period_col: str,
     buckets: int | None = None,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """Every delta row, plus each target row with no delta row of the same
     key in the same period. Delta wins; delta duplicates are all kept (H4); a
@@ -57,7 +69,7 @@ def merge_content(
     if not buckets:
         null_key_rows = target_slice.where(~set_)
         on = [period_col, *keys]
-        delta_keys = delta.where(set_).select(*on).distinct()
+        delta_keys = _join_side(delta.where(set_).select(*on).distinct(), broadcast)
         kept = target_slice.where(set_).join(delta_keys, on, "left_anti")
         return delta.unionByName(kept).unionByName(null_key_rows)
     # The delta is hash-partitioned once into the buckets; its rows and its
@@ -84,7 +96,8 @@ def _delta_keys(delta: DataFrame, keys: list, buckets: int | None) -> DataFrame:
 
 
 def delete_insert_matches(
-    target: DataFrame, delta: DataFrame, keys: Sequence[str], period_col: str, buckets: int | None = None
+    target: DataFrame, delta: DataFrame, keys: Sequence[str], period_col: str, buckets: int | None = None,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """L4, step 1: per period, how many target rows have a key present in the
     delta. One semi join over the target's key and period columns only; the
@@ -92,6 +105,8 @@ def delete_insert_matches(
     keys = list(keys)
     set_ = all_keys_set(keys)
     delta_keys = _delta_keys(delta, keys, buckets)
+    if not buckets:
+        delta_keys = _join_side(delta_keys, broadcast)
     return (
         target.select(period_col, *keys)
         .where(set_)
@@ -102,7 +117,8 @@ def delete_insert_matches(
 
 
 def delete_insert_content(
-    delta: DataFrame, target_slice: DataFrame, keys: Sequence[str], buckets: int | None = None
+    delta: DataFrame, target_slice: DataFrame, keys: Sequence[str], buckets: int | None = None,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """L4, step 2: drop every target row, in any period, whose key is in the
     delta, then add all delta rows. ``target_slice`` holds the periods that
@@ -113,6 +129,6 @@ def delete_insert_content(
         delta = delta.repartition(int(buckets), *keys)
         delta_keys = delta.where(set_).select(*keys).dropDuplicates(keys)
         return delta.unionByName(target_slice.join(delta_keys, keys, "left_anti"))
-    delta_keys = _delta_keys(delta, keys, None)
+    delta_keys = _join_side(_delta_keys(delta, keys, None), broadcast)
     kept = target_slice.where(set_).join(delta_keys, keys, "left_anti")
     return delta.unionByName(kept).unionByName(target_slice.where(~set_))

@@ -594,6 +594,37 @@ def _join_keys(spark: SparkSession, spec: LoadSpec) -> tuple[list, int | None]:
     return list(spec.keys), None
 
 
+def size_in_bytes(text: str) -> int:
+    """``'10MB'``, ``'10485760b'``, ``'1g'``, ``'-1'`` as a number of bytes."""
+    import re
+
+    m = re.fullmatch(r"\s*(-?\d+)\s*([kmgt]?)i?b?\s*", str(text).lower())
+    if not m:
+        return 10 * 1024 * 1024
+    return int(m.group(1)) * 1024 ** "_kmgt".index(m.group(2) or "_")
+
+
+_FIXED_WIDTH = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+                T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+
+
+def broadcast_keys(spark: SparkSession, spec: LoadSpec, key_rows: int, with_period: bool = True) -> bool:
+    """Whether the delta's key set may be broadcast: only under a proven
+    bound. The stats pass counted the delta rows exactly, and fixed-width
+    keys take 8 bytes each in a row (plus an 8-byte null word and, for the
+    hash table, as much again). The bound must be under the session's
+    broadcast threshold. Keys of variable width (strings) have no bound from
+    the count alone, so they are joined by shuffle."""
+    limit = size_in_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"))
+    if limit <= 0:
+        return False
+    types = [spec.contract[k].dataType for k in spec.keys]
+    if not all(isinstance(t, _FIXED_WIDTH) or (isinstance(t, T.DecimalType) and t.precision <= 18) for t in types):
+        return False
+    row_bytes = 8 + 8 * (len(types) + (1 if with_period else 0))
+    return key_rows * row_bytes * 2 <= limit
+
+
 def _missing_periods(spark: SparkSession, spec: LoadSpec, periods: list) -> list:
     """P5: touched periods that have no partition in the catalog yet."""
     existing = {r[0] for r in tb.existing_periods(spark, spec.table, spec.period_col).collect()}
@@ -621,7 +652,8 @@ def _exchange(spark, delta, spec, run_id) -> LoadResult:
                 spark.table(spec.table), spark, spec.period_col, periods, spec.max_inline_periods
             )
             keys, buckets = _join_keys(spark, spec)
-            content = merge_content(staged, target_slice, keys, spec.period_col, buckets)
+            content = merge_content(staged, target_slice, keys, spec.period_col, buckets,
+                                    broadcast_keys(spark, spec, stats.total))
         else:
             content, buckets = overwrite_content(staged), None
         if spec.publish == "swap":
@@ -673,14 +705,16 @@ def _delete_insert(spark, delta, spec, run_id) -> LoadResult:
             return LoadResult("noop", _empty_report(spark, "noop"), [], st.run_id, [warning] if warning else [])
         target = spark.table(spec.table)
         keys, buckets = _join_keys(spark, spec)
+        small = broadcast_keys(spark, spec, stats.total, with_period=False)
         matched = {
-            r[0]: r[1] for r in delete_insert_matches(target, staged, keys, spec.period_col, buckets).collect()
+            r[0]: r[1]
+            for r in delete_insert_matches(target, staged, keys, spec.period_col, buckets, small).collect()
         }
         periods = sorted(set(stats.periods) | set(matched))
         before = _footer_counts(spark, spec.table, spec.period_col, periods, spec.max_inline_periods)
         emptied = [p for p in periods if p not in stats.rows_by_period and matched.get(p, 0) >= before.get(p, 0)]
         target_slice = _period_filter(target, spark, spec.period_col, periods, spec.max_inline_periods)
-        content = delete_insert_content(staged, target_slice, keys, buckets)
+        content = delete_insert_content(staged, target_slice, keys, buckets, None if buckets else small)
         _write(spark, content, spec, overwrite=True, aligned=bool(buckets), touched=len(periods))
         tb.drop_partitions(spark, spec.table, spec.period_col, emptied)
         after = _footer_counts(spark, spec.table, spec.period_col, periods, spec.max_inline_periods)

@@ -160,3 +160,33 @@ def test_plan_load_dry_run(spark, db):
     assert re.search(rf"PartitionFilters: \[{spec.period_col}#\d+ IN \(", formatted)
     assert planned.columns == spark.table(spec.table).columns
     assert sorted(spark.table(spec.table).inputFiles()) == files_before  # nothing written
+
+
+def test_key_broadcast_only_under_a_proven_bound(spark, db):
+    from periodload.plans.load import broadcast_keys
+    from periodload.spec import LoadSpec
+
+    spec = orders_spec(db)
+    assert broadcast_keys(spark, spec, 1000)
+    assert not broadcast_keys(spark, spec, 10**9)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert not broadcast_keys(spark, spec, 10)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    from pyspark.sql import types as T
+
+    strings = LoadSpec(table="x.t", contract=T.StructType([T.StructField("k", T.StringType()),
+                                                          T.StructField("d", T.DateType())]),
+                       partition_column="d", merge=True, unique_key="k")
+    assert not broadcast_keys(spark, strings, 10)
+
+    orders = read(spark, SF, "orders")
+    first_load(spark, orders, spec)
+    delta = prepare_delta(spark, orders_merge_delta(orders), spec)
+    target = _period_filter(spark.table(spec.table), spark, spec.period_col, [dt.date(2001, 6, 1)], 10)
+    shuffled = plan_text(merge_content(delta, target, spec.keys, spec.period_col, None, False))
+    assert "SortMergeJoin" in shuffled and "BroadcastHashJoin" not in shuffled
+    broadcast = plan_text(merge_content(delta, target, spec.keys, spec.period_col, None, True))
+    assert "BroadcastHashJoin" in broadcast
