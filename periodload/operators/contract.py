@@ -204,7 +204,9 @@ def key_diagnostics(
         dk = delta.where(all_set).select(*keys, F.col(period_col).alias("_dp")).distinct()
         tk = target.where(all_set).select(*keys, F.col(period_col).alias("_tp")).distinct()
         moved = (
-            dk.join(tk, keys, "inner")
+            # both sides are key sets of unknown size: a shuffle join, never a
+            # broadcast on an estimate
+            dk.join(tk.hint("shuffle_merge"), keys, "inner")
             .where(F.col("_dp") != F.col("_tp"))
             .select(*keys)
             .distinct()
