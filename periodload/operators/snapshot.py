@@ -115,6 +115,11 @@ def snapshot_merge(spark: SparkSession, source: DataFrame, table: str, keys: Seq
         still_open, closed = snapshot_changes(open_rows, src, keys, tracked, as_of, close_deleted)
         still_open = st.stage(still_open, "open")
         closed = st.stage(closed, "closed")
+        n_closed = closed.count()
+        n_opened = still_open.where(F.col(VALID_FROM) == at).count()
+        if n_closed == 0 and n_opened == 0:
+            # nothing changed: the history stays as it is, no partition is rewritten
+            return {"open": still_open.count(), "closed": 0, "opened": 0}
         # only rows closed at this as_of can already be there (a repeated run);
         # the filter keeps the guard from reading the whole closed history
         already = hist.where(~F.col(IS_OPEN) & (F.col(VALID_TO) == at)).select(*keys, VALID_FROM)
@@ -125,4 +130,4 @@ def snapshot_merge(spark: SparkSession, source: DataFrame, table: str, keys: Seq
 
         with dynamic_overwrite(spark, table):
             still_open.select(*cols).write.insertInto(table, overwrite=True)
-        return {"open": still_open.count(), "closed": closed.count()}
+        return {"open": still_open.count(), "closed": n_closed, "opened": n_opened}

@@ -288,3 +288,14 @@ def test_layout_builds_partition_physically(spark, db):
     with pytest.raises(Exception, match="outside the range layout"):
         full_build(spark, orders, f"{db}.orng", layout=(rng, "o_orderdate", None))
     assert not spark.catalog.tableExists(f"{db}.orng")
+
+
+def test_snapshot_without_changes_rewrites_nothing(spark, db):
+    schema = "k long, v string"
+    table = f"{db}.hist2"
+    src = spark.createDataFrame([(1, "a"), (2, "b")], schema)
+    snapshot_merge(spark, src, table, "k", as_of="2024-01-01")
+    before = table_files(spark, table)
+    out = snapshot_merge(spark, src, table, "k", as_of="2024-02-01")
+    assert out["closed"] == 0 and out["opened"] == 0
+    assert table_files(spark, table) == before
