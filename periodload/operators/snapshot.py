@@ -47,11 +47,15 @@ def _ts(as_of) -> F.Column:
 
 
 def _check_source_keys(source: DataFrame, keys: Sequence[str]) -> None:
-    """Refuse null or duplicate source keys: one aggregate, partial per task."""
+    """Refuse null or duplicate source keys: one grouped aggregate (partial per
+    task), then a global count of the bad keys with the smallest as example."""
     per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    bad = per_key.where((F.col("n") > 1) | ~all_keys_set(keys)).limit(1).collect()
-    if bad:
-        raise SnapshotError(f"snapshot source has a null or duplicate key, e.g. {bad[0].asDict()}")
+    bad = per_key.where((F.col("n") > 1) | ~all_keys_set(keys))
+    found = bad.agg(F.count(F.lit(1)).alias("bad"), F.min(F.struct(*keys, "n")).alias("example")).first()
+    if found["bad"]:
+        raise SnapshotError(
+            f"snapshot source has {found['bad']} null or duplicate keys, e.g. {found['example'].asDict()}"
+        )
 
 
 def snapshot_changes(open_rows: DataFrame, source: DataFrame, keys: Sequence[str],
