@@ -11,6 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..spec import LABEL_FORMATS
+
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -77,5 +79,4 @@ def period_end(period: str | Column, granularity: str) -> Column:
 
 def period_label(period: str | Column, granularity: str) -> Column:
     """``yyyyMMdd`` for days, ``yyyyMM`` for months (the reference's swap suffix)."""
-    fmt = "yyyyMMdd" if granularity == "day" else "yyyyMM"
-    return F.date_format(_col(period), fmt)
+    return F.date_format(_col(period), LABEL_FORMATS[granularity])

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..spec import LABEL_FORMATS
+
 REPORT_SCHEMA = T.StructType(
     [
         T.StructField("period", T.DateType()),
@@ -36,7 +38,7 @@ def build_report(spark: SparkSession, rows: list, granularity: str = "day", acti
 
 
 def report_columns(df: DataFrame, granularity: str) -> DataFrame:
-    fmt = "yyyyMMdd" if granularity == "day" else "yyyyMM"
+    fmt = LABEL_FORMATS[granularity]
     kept = F.greatest(F.col("rows_after") - F.col("delta_rows"), F.lit(0))
     return df.select(
         "period",

@@ -12,12 +12,14 @@ from typing import Sequence
 
 from pyspark.sql import types as T
 
-# The load strategies the reference accepts, and its defaults.
+# The load strategies the reference accepts, its defaults, and
+# its period label formats (day: year-month-day digits, month: year-month).
 STRATEGIES = ("append", "delete+insert", "truncate+insert", "exchange_partition")
 GRANULARITIES = ("day", "month")
 DEFAULT_COMPRESSION = "zstd"
 DEFAULT_COMPRESSION_LEVEL = 4
 DEFAULT_LIST_PARTITION_NAME = "other"
+LABEL_FORMATS = {"day": "yyyyMMdd", "month": "yyyyMM"}
 
 _PERIOD_KEY_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType)
 
