@@ -299,3 +299,28 @@ def test_snapshot_without_changes_rewrites_nothing(spark, db):
     out = snapshot_merge(spark, src, table, "k", as_of="2024-02-01")
     assert out["closed"] == 0 and out["opened"] == 0
     assert table_files(spark, table) == before
+
+
+def test_concurrent_loads_in_one_session(spark, db):
+    """Two overwrites from two threads into two tables of one session: each
+    replaces only its own touched day (no shared session setting is flipped)."""
+    import threading
+
+    specs = [spec(db, table=f"{db}.c{i}", merge=False, comment=None) for i in range(2)]
+    for s in specs:
+        run(spark, spark.createDataFrame(BASE, C), s)
+    errors = []
+
+    def load(s, v):
+        try:
+            run(spark, spark.createDataFrame([(1, D1, Decimal(v))], C), s)
+        except Exception as e:  # reported below
+            errors.append(e)
+
+    threads = [threading.Thread(target=load, args=(s, str(10 + i))) for i, s in enumerate(specs)]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert not errors
+    for i, s in enumerate(specs):
+        got = sorted((r["id"], r["amount"]) for r in spark.table(s.table).collect())
+        assert got == [(1, Decimal(f"{10 + i}.00")), (3, Decimal("30.00"))]
