@@ -9,11 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_run_id, staging_root
-from . import decontaminate, minhash, packing, pii, tokenfile
+from . import decontaminate, licenses, minhash, packing, pii, quality, token_counts, tokenfile, toxicity, urlgraph
 from .frames import read
 
 BYTE_BPE = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
+CONTEXT_TOKENS = 4096
+URL_RULES = (
+    "allow org/",
+    "block example.org/es/",
+    "block example.org/en/1",
+    "allow com/fr/",
+    "block com/de/",
+)
 
 
 def tokenizer_path(name: str) -> str:
@@ -27,6 +35,14 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_digest(decontaminate.find_contamination(docs, read(spark, sf_dir, "benchmark")))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find_licenses(read(spark, sf_dir, "documents"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data_digest(pii.find_personal_data(read(spark, sf_dir, "documents").select("doc_id", "text")))
 
@@ -40,13 +56,33 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    measured = quality.written(quality.measure(docs).drop("text"), "measured")
+    counts = [F.col("quality")[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")]
+    return quality.judge(measured).select("doc_id", *counts, "kept")
+
+
 def op8_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{staging_root(spark)}/llm/tokens-{new_run_id()}"
     tokenfile.write_token_file(read(spark, sf_dir, "documents"), path, tokenizer_path(BYTE_BPE))
     return tokenfile.read_token_file(spark, path)
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(read(spark, sf_dir, "documents"), tokenizer_path(PIECES))
+    return counted.withColumn("over_limit", F.col("n_tokens") > CONTEXT_TOKENS)
+
+
+def op10_url_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urlgraph.judge_urls(read(spark, sf_dir, "pages").select("page_id", "url", "html"), urlgraph.parse_rules(URL_RULES))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op4_pii, op5_packing, op6_minhash, op8_token_file)
-}
-SQL: dict[str, str] = {}
+    f.__name__: f for f in (
+        op1_decontamination, op2_toxicity, op3_licenses, op4_pii, op5_packing,
+        op6_minhash, op7_quality, op8_token_file, op9_token_counts, op10_url_graph,
+    )
+}
+SQL: dict[str, str] = {"op7_quality": quality.SQL}
