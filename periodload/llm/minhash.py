@@ -10,11 +10,10 @@ of one permutation are drawn without replacement. Signatures are cut into
 At the threshold of 0.85 a pair is missed with probability 4e-7.
 
 Every link is confirmed on the full shingle sets. Documents with equal sets are
-one node. A node is first compared with the one hub (a band's smallest node) that
-shares most bands with it, then with its other hubs unless they are in one
-component by now, and at last the nodes of a band that are still in different
-components with each other. A pair within a component needs no comparison, so
-a band with many copies costs about as many comparisons as it has members.
+one node. A node is first compared with one hub, the one that shares most bands with it. Among the nodes of bands that still hold several
+components, an exact prefix filter then finds all pairs that can reach the
+threshold. A pair within a component needs no comparison, so a band with many
+copies costs about as many comparisons as it has members.
 
 Edge cases: null, empty and blank texts have no shingles and link with nothing;
 a text of fewer words than a shingle has one, the whole sequence; a row without
@@ -28,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -208,9 +207,41 @@ def _with_roots(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs
 
 
-def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs whose nodes are in different components."""
-    return _with_roots(pairs, roots).filter("root_a != root_b").select("a", "b")
+def _prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of ``sets`` (node, n, root, hashes) that can reach the
+    similarity and are in different components.
+
+    With the shingles of each set in one order, rarest first, two sets of that
+    similarity share one of their first ``n - ceil(percent * n / 100) + 1``
+    (those with ``percent * n / 100`` or more from their place to the end).
+    A shingle of one set alone takes a place there, but pairs with nothing:
+    copies of one text that all differ from each other meet nowhere. Nor do
+    sets meet at a shingle behind whose places too few are left on either side.
+    """
+    schema = T.StructType([sets.schema["node"], sets.schema["n"], sets.schema["root"], T.StructField("shingle", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                values = [np.frombuffer(h.as_buffer(), np.int64) for h in part.column(3)]
+                rows = pa.array(np.repeat(np.arange(len(values)), [len(v) for v in values]))
+                yield pa.RecordBatch.from_arrays([*(part.column(k).take(rows) for k in range(3)), pa.array(np.concatenate(values))], names=schema.names)
+
+    shingled = sets.select("node", "n", "root", "hashes").mapInArrow(run, schema)
+    shared = shingled.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1")
+    by_node = Window.partitionBy("node")
+    ranked = shingled.join(shared, "shingle").select(
+        "*", F.row_number().over(by_node.orderBy("df", "shingle")).alias("rank"), F.count("*").over(by_node).alias("n_shared")
+    )
+    alone = F.col("n") - F.col("n_shared")
+    ranked = ranked.select("shingle", "node", "n", "root", (F.col("n") - alone - F.col("rank") + 1).alias("left"))
+    prefix = written(ranked.filter(100 * F.col("left") >= percent * F.col("n")), "prefix")
+    mixed = prefix.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("shingle")
+    left = prefix.join(mixed, "shingle", "left_semi").withColumnRenamed("node", "a")
+    right = prefix.select("shingle", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"), F.col("left").alias("left_b"))
+    close = (100 + percent) * F.least("left", "left_b") >= percent * (F.col("n") + F.col("n_b"))
+    return left.join(right, "shingle").filter((F.col("a") < F.col("b")) & (F.col("root") != F.col("root_b")) & close).select("a", "b").distinct()
 
 
 def _joined_roots(roots: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -244,34 +275,30 @@ def near_duplicates(
     smallest = classes.select(*by_set, F.col("node").alias("doc_id"))
     nodes = written(linkable.join(smallest, [*by_set, "doc_id"], "left_semi").select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "bands"), "nodes")
     banded = nodes.select("node", "n", F.explode("bands").alias("key"))
-    hubs = banded.groupBy("key").agg(F.min(F.struct("node", "n")).alias("hub"), F.count("*").alias("members")).filter("members > 1").select("key", "hub")
-    members = banded.join(hubs, "key").select("key", "node", "n", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"))
+    full = banded.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
+    members = banded.join(full, "key").select("key", "node", "n", "members")
     members = written(members.distinct() if repeated else members, "members")
     sets = written(_sets(docs, members.select("node").distinct(), repeated, doc_id, text, words), "sets")
 
-    stars = members.filter((F.col("node") != F.col("hub")) & sized(F.col("n"), F.col("hub_n"))).groupBy(F.col("hub").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("shared"))
-    stars = written(stars, "stars")
-    # First each node with the hub that shares most bands with it.
+    # A band's hub is its node with the most company over all bands: of many
+    # copies of one text, the one that is closest to most.
+    company = members.groupBy("node").agg(F.sum("members").alias("company"))
+    ranked = members.join(company, "node")
+    hubs = ranked.groupBy("key").agg(F.min(F.struct((-F.col("company")).alias("least"), "node", "n")).alias("hub")).select("key", F.col("hub.node").alias("a"), F.col("hub.n").alias("n_a"))
+    stars = members.join(hubs, "key").filter((F.col("a") != F.col("node")) & sized(F.col("n"), F.col("n_a")))
+    stars = stars.groupBy("a", F.col("node").alias("b")).agg(F.count("*").alias("shared"))
+    # First each node with the hub that it shares most bands with.
     first = written(stars.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b"), "pairs")
     links = _confirmed(first, sets, percent)
     if repeated:  # texts that share an id are one document
         links = links.union(linkable.join(repeats, "doc_id", "left_semi").join(classes, by_set).select(F.col("doc_id").alias("a"), F.col("node").alias("b")))
     roots = _joined_roots(None, links)
-    # Then the other hubs, as far as they are in other components still.
-    second = stars.select("a", "b").join(first, ["a", "b"], "left_anti")
-    second = written(_apart(second, roots), "pairs")
-    roots = _joined_roots(roots, _confirmed(second, sets, percent))
-    # Last, all nodes of a band that are in different components.
+    # Then the nodes of bands that hold several components still.
     rooted = members.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
     split = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("key")
-    open_ = written(rooted.join(split, "key", "left_semi"), "open")
-    other = open_.select("key", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
-    third = (
-        open_.withColumnRenamed("node", "a").join(other, "key")
-        .filter((F.col("a") < F.col("b")) & (F.col("root") != F.col("root_b")) & sized(F.col("n"), F.col("n_b")))
-        .select("a", "b").distinct().join(first.union(second), ["a", "b"], "left_anti")
-    )
-    roots = _joined_roots(roots, _confirmed(written(third, "pairs"), sets, percent))
+    open_ = written(rooted.join(split, "key", "left_semi").select("node", "n", "root").distinct(), "open")
+    second = _prefix_pairs(sets.join(open_, "node"), percent).join(first, ["a", "b"], "left_anti")
+    roots = _joined_roots(roots, _confirmed(written(second, "pairs"), sets, percent))
 
     # Most classes are one row and one component: only the others are joined.
     rooted = classes.join(roots, "node", "left").filter("n_rows > 1 or root != node").select(*by_set, F.coalesce("root", "node").alias("root"))
@@ -296,3 +323,24 @@ def remove_duplicates(docs: DataFrame, percent: int = 85, words: int = 3, doc_id
     others = kept.join(repeats, doc_id, "left_semi").select(*docs.columns)
     one = others.groupBy(doc_id).agg(F.min_by(F.struct(*docs.columns), F.xxhash64(text)).alias("row")).select("row.*")
     return single.unionByName(one)
+
+
+#: The query's SQL: all pairs that share a shingle, and a walk along the links.
+SQL = r"""
+with recursive split as (
+  select doc_id, [w for w in regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\x0B\f\r]+') if w <> ''] as w
+  from documents),
+shingles as (
+  select distinct doc_id, array_to_string(w[i:i + 2], ' ') as s
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) as i from split where len(w) > 0)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+shared as (
+  select a.doc_id as a, b.doc_id as b, count(*) as c from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id group by all),
+links as (
+  select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * c >= 85 * (x.n + y.n - c)),
+reach(a, b) as (
+  select a, b from links union select r.a, l.b from reach r join links l on r.b = l.a),
+roots as (select a as doc_id, least(a, min(b)) as root from reach group by a)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, coalesce(root, doc_id) as component_id, doc_id = coalesce(root, doc_id) as kept
+from split left join sizes using (doc_id) left join roots using (doc_id)
+"""
