@@ -12,11 +12,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from periodload.llm import decontaminate, minhash, packing, pii
+from periodload.llm import decontaminate, minhash, packing, pii, quality
 from periodload.llm.frames import read, written
 from periodload.llm.queries import BYTE_BPE, tokenizer_path
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail a rule go, and those of rejected hosts."""
+    return quality.good_documents(docs)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the smallest doc_id."""
     return minhash.remove_duplicates(docs)
@@ -39,6 +44,7 @@ def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 STAGES = [
+    ("quality_rules", quality_rules),
     ("near_duplicates", near_duplicates),
     ("decontamination", decontamination),
     ("personal_data", personal_data),
@@ -51,6 +57,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. Empty tables give an empty result; each stage's
+    operator states what it does with nulls, ties and repeated rows."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"stage-{name}")

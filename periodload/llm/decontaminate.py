@@ -123,11 +123,11 @@ def _united(a: str, b: str) -> F.Column:
         F.array_sort(F.concat(F.col(f"{a}.spans"), F.col(f"{b}.spans"))),
         F.filter(f"{a}.spans", lambda s: F.lit(False)),
         lambda done, s: F.when(
-            F.element_at(done, -1)["last"] >= s["first"],
+            F.try_element_at(done, F.lit(-1))["last"] >= s["first"],
             F.concat(
                 F.slice(done, 1, F.size(done) - 1),
-                F.array(s.withField("first", F.element_at(done, -1)["first"]).withField("start", F.element_at(done, -1)["start"])
-                    .withField("last", F.greatest(F.element_at(done, -1)["last"], s["last"])).withField("end", F.greatest(F.element_at(done, -1)["end"], s["end"]))),
+                F.array(s.withField("first", F.try_element_at(done, F.lit(-1))["first"]).withField("start", F.try_element_at(done, F.lit(-1))["start"])
+                    .withField("last", F.greatest(F.try_element_at(done, F.lit(-1))["last"], s["last"])).withField("end", F.greatest(F.try_element_at(done, F.lit(-1))["end"], s["end"]))),
             ),
         ).otherwise(F.concat(done, F.array(s))),
     )
@@ -196,3 +196,29 @@ def contamination_digest(found: DataFrame, doc_id: str = "doc_id", name: str = "
         doc_id, c["n_words"].alias("n_words"), c["n_hit"].alias("n_hit"), F.size(c["items"]).cast("long").alias("n_items"),
         F.sha2(F.array_join(c["items"], ","), 256).alias("items_sha256"), (c["n_hit"] > 0).alias("contaminated"),
     )
+
+
+#: The query's SQL: windows of each length that occurs, joined on their words.
+SQL = r"""
+with doc_words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+item_words as (
+  select coalesce(item_id::varchar, 'null') as item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+windows as (
+  select distinct item, n, array_to_string(w[i:i + n - 1], ' ') as gram
+  from (select item, w, n, unnest(range(1, len(w) - n + 2)) as i from (select item, w, least(10, len(w)) as n from item_words where len(w) > 0))),
+sizes as (select distinct n from windows),
+doc_grams as (
+  select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') as gram
+  from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from doc_words, sizes where len(w) >= n)),
+hits as (select doc_id, i, n, item from doc_grams join windows using (n, gram)),
+covered as (select doc_id, count(distinct j) as n_hit from (select doc_id, unnest(range(i, i + n)) as j from hits) group by doc_id),
+found as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct doc_id, item from hits) group by doc_id)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from doc_words left join covered using (doc_id) left join found using (doc_id)
+"""

@@ -130,8 +130,8 @@ def good_documents(docs: DataFrame, host: str = "source", text: str = "text", na
 SQL = r"""
 with words as (
   select doc_id, coalesce(source, '') as host, coalesce(text, '') as text,
-    list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), w -> w <> '') as words,
-    list_filter(string_split(coalesce(text, ''), chr(10)), l -> not regexp_full_match(l, '[ \t\n\x0B\f\r]*')) as lines
+    [w for w in regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+') if w <> ''] as words,
+    [l for l in string_split(coalesce(text, ''), chr(10)) if not regexp_full_match(l, '[ \t\n\x0B\f\r]*')] as lines
   from documents),
 numbered as (select *, row_number() over () as id from words),
 wins as (select id, unnest(range(1, len(words) - 1)) as i, words from numbered),

@@ -85,4 +85,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_minhash, op7_quality, op8_token_file, op9_token_counts, op10_url_graph,
     )
 }
-SQL: dict[str, str] = {"op7_quality": quality.SQL}
+SQL: dict[str, str] = {
+    "op1_decontamination": decontaminate.SQL,
+    "op6_minhash": minhash.SQL,
+    "op7_quality": quality.SQL,
+    "op10_url_graph": urlgraph.sql(urlgraph.parse_rules(URL_RULES)),
+}

@@ -128,3 +128,32 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], url: str = "url", html:
     return ruled.join(blocked, "host", "left").select(
         *[F.col("row")[c].alias(c) for c in own], "host", "path", F.col("ruled.rule").alias("rule"), F.coalesce("ruled.verdict", "by_host", F.lit("allow")).alias("verdict")
     )
+
+
+def sql(rules: Sequence[Rule], rounds: int = ROUNDS) -> str:
+    """The query's SQL: the rules as one CASE, and a CTE for each round."""
+    ordered = sorted(rules, key=lambda r: (-len(r.host + r.path), r))
+    fits = lambda r: f"(host = '{r.host}' or ends_with(host, '.{r.host}')) and starts_with(path, '{r.path}')"
+    case = lambda value: "case " + " ".join(f"when {fits(r)} then '{value(r)}'" for r in ordered) + " end"
+    lower = f"translate({{}}, '{UPPER}', '{UPPER.lower()}')"
+    ctes = [
+        "parts as (select page_id, html, case when strpos(url, '://') > 0 then url[strpos(url, '://') + 3:] else '' end as rest from pages)",
+        f"hosts as (select page_id, html, {lower.format("regexp_extract(rest, '^[^/?#]*')")} as host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from parts)",
+        f"ruled as (select *, {case(lambda r: r.host + r.path)} as rule, {case(lambda r: r.verdict)} as verdict from hosts)",
+        f"""linked as (select host as src, {lower.format("unnest(regexp_extract_all(html, '(?i)\\b(?:href|src|action)\\s*=\\s*[\"'']?\\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#\"''\\s>]+)', 1))")} as dst from ruled where host <> '')""",
+        "edges as (select 'trust' as kind, src, dst from linked where src <> dst union all select 'distrust', dst, src from linked where src <> dst)",
+        "weights as (select kind, src, dst, count(*) / sum(count(*)) over (partition by kind, src) as w from edges group by kind, src, dst)",
+        "counts as (select case verdict when 'allow' then 'trust' else 'distrust' end as kind, host, count(*) as n from ruled where host <> '' and verdict is not null group by all)",
+        "seeds as (select kind, host, n / sum(n) over (partition by kind) as seed from counts)",
+        "r0 as (select kind, host, seed as score from seeds)",
+    ]
+    for k in range(rounds):
+        ctes.append(
+            f"r{k + 1} as (select kind, host, {1 - DAMPING} * sum(seed) + {DAMPING} * sum(got) as score from (select kind, host, seed, 0 as got from seeds union all "
+            f"select r.kind, dst, 0, score * w from r{k} r join weights e on r.kind = e.kind and r.host = e.src) group by all)"
+        )
+    ctes.append(f"scores as (select kind, host, score / sum(score) over (partition by kind) as score from r{rounds})")
+    ctes.append(
+        f"blocked as (select host from scores group by host having coalesce(sum(score) filter (where kind = 'distrust'), 0) > {RATIO} * coalesce(sum(score) filter (where kind = 'trust'), 0))"
+    )
+    return "with " + ",\n".join(ctes) + "\nselect page_id, host, path, rule, coalesce(verdict, case when host in (select host from blocked) then 'block' else 'allow' end) as verdict from ruled"
