@@ -44,7 +44,7 @@ def _as_date(v) -> _dt.date:
         return v.date()
     if isinstance(v, _dt.date):
         return v
-    return _dt.date.fromisoformat(str(v)[:10])
+    return _dt.date.fromisoformat(str(v).strip())
 
 
 def between_dates(df: DataFrame, column: str, start, end) -> DataFrame:

@@ -36,7 +36,7 @@ def date(value) -> Column:
     if isinstance(value, _dt.datetime):
         value = value.date()
     if isinstance(value, str):
-        value = _dt.date.fromisoformat(value[:10])
+        value = _dt.date.fromisoformat(value.strip())
     return F.lit(value)
 
 

@@ -97,8 +97,15 @@ def check_contract(schema: T.StructType, contract: T.StructType, allow_extra: bo
         raise ContractError("delta does not match the contract: " + "; ".join(lines))
 
 
-def guarded_cast(name: str, src: T.DataType, dst: T.DataType) -> Column:
+def guarded_cast(
+    name: str, src: T.DataType, dst: T.DataType, time_zone: str | None = None, session_tz: str = "UTC"
+) -> Column:
+    """``name`` cast to ``dst``. An instant becomes a date or wall-clock time as
+    seen in ``time_zone`` (if one is given), whatever the session's zone is."""
     c = F.col(name)
+    if time_zone and isinstance(src, T.TimestampType) and isinstance(dst, (T.DateType, T.TimestampNTZType)):
+        wall = F.convert_timezone(F.lit(session_tz), F.lit(time_zone), c.cast("timestamp_ntz"))
+        return F.to_date(wall) if isinstance(dst, T.DateType) else wall
     if src == dst:
         return c
     widening = (
@@ -117,7 +124,9 @@ def guarded_cast(name: str, src: T.DataType, dst: T.DataType) -> Column:
     return F.when(c.isNotNull() & attempt.isNull(), F.raise_error(message)).otherwise(attempt)
 
 
-def typed_projection(df: DataFrame, contract: T.StructType, allow_extra: bool = True) -> DataFrame:
+def typed_projection(
+    df: DataFrame, contract: T.StructType, allow_extra: bool = True, time_zone: str | None = None, session_tz: str = "UTC"
+) -> DataFrame:
     """``"c"::type AS "c"`` for every contract column, in contract order.
 
     Extra delta columns are dropped; a missing or uncastable column raises
@@ -129,7 +138,7 @@ def typed_projection(df: DataFrame, contract: T.StructType, allow_extra: bool =
     src = {f.name: f.dataType for f in df.schema.fields}
     cols = []
     for f in contract.fields:
-        c = guarded_cast(f.name, src[f.name], f.dataType)
+        c = guarded_cast(f.name, src[f.name], f.dataType, time_zone, session_tz)
         meta = f.metadata or None
         cols.append(c.alias(f.name, metadata=meta) if meta else c.alias(f.name))
     return df.select(*cols)

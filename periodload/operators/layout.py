@@ -34,6 +34,10 @@ def distribute_for_write(df: DataFrame, period_col: str | None, dist_keys: Seque
         # about one file per bucket and the bucket files line up with the hash
         n, cols = bucketing
         return df.hint("rebalance", int(n), *cols)
+    if period_col:
+        # A delta of one literal period would make the key a constant, for which
+        # the optimizer plans a single task; this keeps it a column's value.
+        df = df.withColumn(period_col, F.when(F.spark_partition_id() >= 0, F.col(period_col)))
     cols = ([period_col] if period_col else []) + list(dist_keys)
     if not cols:
         return df.hint("rebalance")

@@ -12,8 +12,11 @@ contract here is our own and standard:
   unless ``close_deleted``;
 * closed rows are never rewritten: only the ``is_open=true`` partition is read
   and replaced; newly closed rows are appended to ``is_open=false``;
-* the append comes first and skips rows already there (key + ``valid_from``),
-  so a run that dies between the two writes can simply be repeated;
+* a run that changes something first writes all its rows to the shared folder
+  and notes that in a table property; a run that finds such a note finishes the
+  interrupted one, at its own ``as_of``, before it starts. The append skips
+  rows already there (key + ``valid_from``), so finishing twice does no harm;
+* an ``as_of`` before the latest open ``valid_from`` is refused;
 * the same source and ``as_of`` twice changes nothing.
 
 One full outer join of the open rows with the source on the key does the work;
@@ -22,7 +25,6 @@ both sides have at most one row per key, so no key can grow a hot group.
 
 from __future__ import annotations
 
-import datetime as _dt
 from functools import reduce
 from typing import Sequence
 
@@ -30,11 +32,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.literals import ntz
+from ..session import hadoop_delete, new_run_id, staging_root
 from ..sources import tables as tb
 from ..sources.staging import Staging
 from .exchange import all_keys_set
 
 VALID_FROM, VALID_TO, IS_OPEN = "valid_from", "valid_to", "is_open"
+PENDING = f"{tb.PROP_PREFIX}snapshot.pending"
 
 
 class SnapshotError(ValueError):
@@ -58,9 +62,10 @@ def _check_source_keys(source: DataFrame, keys: Sequence[str]) -> None:
         )
 
 
-def snapshot_changes(open_rows: DataFrame, source: DataFrame, keys: Sequence[str],
-                     tracked: Sequence[str], as_of, close_deleted: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Pure DataFrame form: ``(still_open, newly_closed)`` for one run."""
+def snapshot_rows(open_rows: DataFrame, source: DataFrame, keys: Sequence[str],
+                  tracked: Sequence[str], as_of, close_deleted: bool = False) -> DataFrame:
+    """All rows that one run leaves open or closes, told apart by ``is_open``,
+    from one join: each joined row emits the row it keeps, closes or opens."""
     keys, tracked = list(keys), list(tracked)
     cols = source.columns
     at = _ts(as_of)
@@ -73,23 +78,56 @@ def snapshot_changes(open_rows: DataFrame, source: DataFrame, keys: Sequence[str
     same = reduce(lambda a, b: a & b, [F.col(f"o__{c}").eqNullSafe(F.col(f"s__{c}")) for c in tracked])
     changed = has_o & has_s & ~same
     gone = has_o & ~has_s
-    keep_old_open = (has_o & has_s & same) | (gone & F.lit(not close_deleted))
-    close_old = changed | (gone & F.lit(close_deleted))
-    open_new = (has_s & ~has_o) | changed
 
-    def old(valid_to, is_open):
-        return [F.col(f"o__{c}").alias(c) for c in cols] + [
-            F.col(f"o__{VALID_FROM}").alias(VALID_FROM), valid_to.alias(VALID_TO), F.lit(is_open).alias(IS_OPEN)
-        ]
+    def row(side, valid_from, valid_to, is_open):
+        values = [F.col(f"{side}__{c}").cast(source.schema[c].dataType).alias(c) for c in cols]
+        return F.struct(*values, valid_from.alias(VALID_FROM), valid_to.cast("timestamp_ntz").alias(VALID_TO), F.lit(is_open).alias(IS_OPEN))
+
+    kept = F.when((has_o & has_s & same) | (gone & F.lit(not close_deleted)), row("o", F.col(f"o__{VALID_FROM}"), F.col(f"o__{VALID_TO}"), True))
+    closed = F.when(changed | (gone & F.lit(close_deleted)), row("o", F.col(f"o__{VALID_FROM}"), at, False))
+    opened = F.when((has_s & ~has_o) | changed, row("s", at, F.lit(None), True))
+    return j.select(F.explode(F.array_compact(F.array(kept, closed, opened))).alias("r")).select("r.*")
+
+
+def snapshot_changes(open_rows: DataFrame, source: DataFrame, keys: Sequence[str],
+                     tracked: Sequence[str], as_of, close_deleted: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Pure DataFrame form: ``(still_open, newly_closed)`` for one run."""
+    rows = snapshot_rows(open_rows, source, keys, tracked, as_of, close_deleted)
+    return rows.where(F.col(IS_OPEN)), rows.where(~F.col(IS_OPEN))
+
+
+def _publish(spark: SparkSession, table: str, rows: DataFrame, keys: Sequence[str]) -> None:
+    """Write a run's staged rows: newly closed ones are appended unless they
+    are there already, then the open partition is replaced."""
+    from ..plans.load import dynamic_overwrite
+
+    cols = spark.table(table).columns
+    closed = rows.where(~F.col(IS_OPEN))
+    least = closed.agg(F.min(VALID_TO)).first()[0]
+    if least is not None:
+        # rows of this run were closed at its as_of: the filter keeps the guard
+        # from reading the whole closed history
+        there = spark.table(table).where(~F.col(IS_OPEN) & (F.col(VALID_TO) >= ntz(least))).select(*keys, VALID_FROM)
+        closed.join(there, [*keys, VALID_FROM], "left_anti").select(*cols).write.insertInto(table)
+    with dynamic_overwrite(spark, table):
+        rows.where(F.col(IS_OPEN)).select(*cols).write.insertInto(table, overwrite=True)
+
+
+def _note(spark: SparkSession, table: str, path: str | None) -> None:
+    key = tb.sql_string(PENDING)
+    if path is None:
+        spark.sql(f"ALTER TABLE {tb.quote_table(table)} UNSET TBLPROPERTIES IF EXISTS ({key})")
+    else:
+        spark.sql(f"ALTER TABLE {tb.quote_table(table)} SET TBLPROPERTIES ({key} = {tb.sql_string(path)})")
+
 
-    new = [F.col(f"s__{c}").alias(c) for c in cols] + [
-        at.alias(VALID_FROM), F.lit(None).cast("timestamp_ntz").alias(VALID_TO), F.lit(True).alias(IS_OPEN)
-    ]
-    still_open = j.where(keep_old_open).select(*old(F.col(f"o__{VALID_TO}"), True)).unionByName(
-        j.where(open_new).select(*new)
-    )
-    closed = j.where(close_old).select(*old(at, False))
-    return still_open, closed
+def _finish_interrupted(spark: SparkSession, table: str, keys: Sequence[str]) -> None:
+    """Complete the writes of a run that died after it noted its rows."""
+    path = tb.table_properties(spark, table).get(PENDING)
+    if path:
+        _publish(spark, table, spark.read.parquet(path), keys)
+        _note(spark, table, None)
+        hadoop_delete(spark, path)
 
 
 def snapshot_merge(spark: SparkSession, source: DataFrame, table: str, keys: Sequence[str],
@@ -114,24 +152,24 @@ def snapshot_merge(spark: SparkSession, source: DataFrame, table: str, keys: Seq
             (first.write.format("parquet").option("compression", "zstd").partitionBy(IS_OPEN)
              .option("partitionOverwriteMode", "dynamic").saveAsTable(table))
             return {"opened": src.count(), "closed": 0}
-        hist = spark.table(table)
-        open_rows = hist.where(F.col(IS_OPEN))
-        still_open, closed = snapshot_changes(open_rows, src, keys, tracked, as_of, close_deleted)
-        still_open = st.stage(still_open, "open")
-        closed = st.stage(closed, "closed")
-        n_closed = closed.count()
-        n_opened = still_open.where(F.col(VALID_FROM) == at).count()
-        if n_closed == 0 and n_opened == 0:
-            # nothing changed: the history stays as it is, no partition is rewritten
-            return {"open": still_open.count(), "closed": 0, "opened": 0}
-        # only rows closed at this as_of can already be there (a repeated run);
-        # the filter keeps the guard from reading the whole closed history
-        already = hist.where(~F.col(IS_OPEN) & (F.col(VALID_TO) == at)).select(*keys, VALID_FROM)
-        fresh_closed = closed.join(already, [*keys, VALID_FROM], "left_anti")
-        cols = hist.columns
-        fresh_closed.select(*cols).write.insertInto(table)
-        from ..plans.load import dynamic_overwrite
-
-        with dynamic_overwrite(spark, table):
-            still_open.select(*cols).write.insertInto(table, overwrite=True)
-        return {"open": still_open.count(), "closed": n_closed, "opened": n_opened}
+        _finish_interrupted(spark, table, keys)
+        open_rows = spark.table(table).where(F.col(IS_OPEN))
+        late = open_rows.agg(F.max(VALID_FROM).alias("m")).where(F.col("m") > at).first()
+        if late:
+            raise SnapshotError(f"as_of {as_of} is before {late['m']}, from which the latest open version is valid")
+        # Outside the run's own folder, which goes when this call fails.
+        path = f"{staging_root(spark, staging_dir)}/periodload/snapshots/{new_run_id()}"
+        snapshot_rows(open_rows, src, keys, tracked, as_of, close_deleted).write.option("compression", "zstd").parquet(path)
+        rows = spark.read.parquet(path)
+        counts = rows.agg(
+            F.count_if(F.col(IS_OPEN)).alias("open"), F.count_if(~F.col(IS_OPEN)).alias("closed"),
+            F.count_if(F.col(IS_OPEN) & (F.col(VALID_FROM) == at)).alias("at"),
+        ).first().asDict()
+        was = open_rows.where(F.col(VALID_FROM) == at).count()
+        opened = counts["at"] - was if counts["closed"] == 0 else counts["at"]
+        if counts["closed"] or opened:  # else the history stays as it is: no partition is rewritten
+            _note(spark, table, path)
+            _publish(spark, table, rows, keys)
+            _note(spark, table, None)
+        hadoop_delete(spark, path)
+        return {"open": counts["open"], "closed": counts["closed"], "opened": opened}

@@ -346,3 +346,28 @@ from customer
 union all
 select 'c_phone', 'string', cast(null as varchar), 'missing', cast(null as bigint)
 """
+SQL["streaming_two_sources"] = f"""
+select {EVENTS_COLS}, {ED} from events where ts < timestamp '2024-01-15'
+union all
+select {EVENTS_COLS}, {ED} from events where ts >= timestamp '2024-01-10'
+"""
+SQL["delete_insert_flat"] = """
+select c_custkey, c_name, c_nationkey, c_acctbal + case when c_mktsegment = 'BUILDING' then 1 else 0 end as c_acctbal, c_mktsegment
+from customer
+"""
+SQL["exchange_merge_string_key"] = f"""
+with k as (select *, cast(date_trunc('month', o_orderdate) as date) as o_orderdate_month from orders)
+select o_orderkey, o_custkey, o_orderstatus,
+       o_totalprice + case when o_orderstatus = 'O' and o_orderpriority = '1-URGENT' then 1 else 0 end as o_totalprice,
+       o_orderdate, o_orderpriority, o_orderdate_month
+from k
+"""
+SQL["not_null_carry_over"] = """
+select 'o_orderkey' as column_name, count(*) filter (where o_orderkey is null) as nulls from orders
+union all
+select 'o_totalprice', count(*) filter (where o_totalprice is null or o_totalprice > 200000) from orders
+"""
+SQL["comments_kept"] = "\nunion all\n".join(
+    f"select '{c}' as column_name, 'it''s {c}' as comment, count({c}) as n from customer"
+    for c in ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+)

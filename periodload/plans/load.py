@@ -40,7 +40,7 @@ from ..operators.layout import distribute_for_write
 from ..operators.partitions import period_mismatch, range_bucket
 from ..sources import tables as tb
 from ..sources.staging import Staging
-from ..session import new_run_id
+from ..session import hadoop_delete, hadoop_empty, new_run_id
 from ..spec import LoadSpec, SpecError
 from .report import build_report
 
@@ -99,15 +99,19 @@ def prepare_delta(spark: SparkSession, delta: DataFrame, spec: LoadSpec) -> Data
     with validation off it is trusted, which skips the check.
     """
     if not spec.partitioned:
-        return typed_projection(delta, spec.contract)
+        return typed_projection(delta, spec.contract, time_zone=spec.time_zone, session_tz=_session_tz(spark))
     if spec.period_col in delta.columns:
         check_contract(delta.schema, spec.contract)
         src = {f.name: f.dataType for f in delta.schema.fields}
-        cols = [guarded_cast(f.name, src[f.name], f.dataType).alias(f.name) for f in spec.contract.fields]
+        cols = [
+            guarded_cast(f.name, src[f.name], f.dataType, spec.time_zone, _session_tz(spark)).alias(f.name)
+            for f in spec.contract.fields
+        ]
         cols.append(F.col(spec.period_col).cast("date").alias(spec.period_col))
         return delta.select(*cols)
     key_type = spec.contract[spec.partition_column].dataType
-    return typed_projection(delta, spec.contract).withColumn(
+    projected = typed_projection(delta, spec.contract, time_zone=spec.time_zone, session_tz=_session_tz(spark))
+    return projected.withColumn(
         spec.period_col,
         period_of(F.col(spec.partition_column), key_type, spec.grain, spec.time_zone, _session_tz(spark)),
     )
@@ -120,6 +124,7 @@ class DeltaStats:
     nulls: dict  # NOT NULL column -> null rows
     mismatched: int
     out_of_range: int
+    key_bytes: int | None = None  # exact bytes of the unique-key values
 
     @property
     def total(self) -> int:
@@ -134,11 +139,23 @@ class DeltaStats:
         return self.rows_by_period.get(None, 0)
 
 
+def not_null_columns(spark: SparkSession, spec: LoadSpec) -> list[str]:
+    """The contract's NOT NULL columns and those stored with the target."""
+    out = list(spec.not_null_columns)
+    if spec.contract is not None and tb.table_exists(spark, spec.table):
+        stored = tb.stored_spec_properties(spark, spec.table).get("not_null", "")
+        out += [c for c in stored.split(",") if c in spec.contract_names and c not in out]
+    return out
+
+
 def _check_aggs(spark: SparkSession, spec: LoadSpec, supplied_period: bool) -> list:
     """The pre-write checks as aggregate expressions: rows, nulls per NOT NULL
     column, period mismatches (P12), rows outside the range layout (P10)."""
     aggs = [F.count(F.lit(1)).alias("_rows")]
-    nn = spec.not_null_columns
+    nn = not_null_columns(spark, spec)
+    texts = [k for k in spec.keys if spec.contract and isinstance(spec.contract[k].dataType, T.StringType)]
+    sizes = [F.coalesce(F.octet_length(k), F.lit(0)).cast("long") for k in texts]
+    aggs.append((F.sum(sum(sizes[1:], sizes[0])) if sizes else F.lit(0).cast("long")).alias("_text_bytes"))
     aggs += [F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(nn)]
     if spec.partitioned and supplied_period and spec.validate_periods:
         key_type = spec.contract[spec.partition_column].dataType
@@ -160,23 +177,24 @@ def _check_aggs(spark: SparkSession, spec: LoadSpec, supplied_period: bool) -> l
 def delta_stats(spark: SparkSession, staged: DataFrame, spec: LoadSpec, supplied_period: bool) -> DeltaStats:
     """One aggregate over the staged delta; result is one row per period."""
     aggs = _check_aggs(spark, spec, supplied_period)
-    nn = spec.not_null_columns
+    nn = not_null_columns(spark, spec)
     if spec.partitioned:
         rows = staged.groupBy(F.col(spec.period_col).alias("_p")).agg(*aggs).collect()
     else:
         rows = staged.agg(*aggs).withColumn("_p", F.lit(None).cast("date")).collect()
     by_period: dict = {}
     nulls = {c: 0 for c in nn}
-    bad = oor = 0
+    bad = oor = text_bytes = 0
     for r in rows:
         if r["_rows"] == 0:
             continue
+        text_bytes += r["_text_bytes"] or 0
         by_period[r["_p"]] = by_period.get(r["_p"], 0) + r["_rows"]
         for i, c in enumerate(nn):
             nulls[c] += r[f"_null_{i}"]
         bad += r["_bad"]
         oor += r["_oor"]
-    return DeltaStats(by_period, nulls, bad, oor)
+    return DeltaStats(by_period, nulls, bad, oor, text_bytes)
 
 
 # -------------------------------------------------------------------- helpers
@@ -213,22 +231,6 @@ def _footer_counts(spark: SparkSession, table: str, period_col: str, periods: li
     return {r[0]: r[1] for r in df.groupBy(period_col).count().collect()}
 
 
-def _needs_rebalance(spec: LoadSpec, touched: int | None) -> bool:
-    """Whether the write gets its own shuffle.
-
-    Without one, every task writes one file per period among its rows. With
-    few touched periods (the daily or monthly increment) that is a few files
-    per task, and skipping the shuffle saves moving the whole content once
-    more (terabytes for a month of a large table); a hot period is still
-    spread over all the tasks that read it. With many periods (a backfill, a
-    first load) tasks would write a file for nearly every period, so rows are
-    rebalanced by period first.
-    """
-    if spec.rebalance == "auto":
-        return touched is None or touched > spec.rebalance_min_periods
-    return bool(spec.rebalance)
-
-
 def _target_dist_keys(spark: SparkSession, spec: LoadSpec) -> tuple[str, ...]:
     """The distribution key stored with the table at creation wins over
     the caller's, so every later write lays files out like the first."""
@@ -239,15 +241,14 @@ def _target_dist_keys(spark: SparkSession, spec: LoadSpec) -> tuple[str, ...]:
 
 
 def _write(spark: SparkSession, content: DataFrame, spec: LoadSpec, overwrite: bool,
-           aligned: bool = False, touched: int | None = None) -> None:
-    """Publish ``content``. ``aligned``: the content is already partitioned by
-    the target's bucket hash (co-located merge), so no exchange is added.
-    ``touched``: number of periods written, for ``rebalance='auto'``."""
+           aligned: bool = False) -> None:
+    """Publish ``content``, laid out by period and the target's distribution
+    key, so that the number of files follows the bytes written and not tasks
+    times periods. ``aligned``: the content is already partitioned by the
+    target's bucket hash (co-located merge), so no exchange is added."""
     cols = tb.target_columns(spark, spec.table)
     bucketed = tb.bucketing(spark, spec.table)
-    if aligned or (not bucketed and not _needs_rebalance(spec, touched)):
-        # aligned: already partitioned by the bucket hash. Otherwise few
-        # periods (or rebalance=False: the delta is clustered by period).
+    if aligned or (not bucketed and not spec.rebalance):
         out = content.select(*cols)
     else:
         out = distribute_for_write(
@@ -269,16 +270,14 @@ def _publish_swap(spark: SparkSession, content: DataFrame, spec: LoadSpec, perio
     locations live in the catalog, so such a table must not be rebuilt by
     partition discovery (``MSCK REPAIR``).
     """
-    from ..session import hadoop_delete
-
     if tb.bucketing(spark, spec.table):
         raise SpecError("publish='swap' is not available for bucketed tables")
     location = _table_location(spark, spec.table)
     root = f"{location}/swap/{run_id}"
     cols = tb.target_columns(spark, spec.table)
     out = content.select(*cols)
-    if _needs_rebalance(spec, len(periods)):
-        out = distribute_for_write(out, spec.period_col, spec.dist_keys)
+    if spec.rebalance:
+        out = distribute_for_write(out, spec.period_col, _target_dist_keys(spark, spec))
     opts = {k: v for k, v in tb.storage_properties(spark, spec.table).items() if k != "partitionOverwriteMode"}
     out.write.options(**opts).partitionBy(spec.period_col).parquet(root)
     old = {p: tb.partition_location(spark, spec.table, spec.period_col, p) for p in periods if p in existing}
@@ -305,6 +304,11 @@ def _table_location(spark: SparkSession, table: str) -> str | None:
     return rows[0]["data_type"].rstrip("/") if rows else None
 
 
+def _leaves(plan) -> list:
+    found = plan.collectLeaves()
+    return [found.apply(i) for i in range(found.size())]
+
+
 def safe_to_reread(spark: SparkSession, delta: DataFrame, target_location: str | None) -> bool:
     """Whether reading ``delta`` twice gives the same rows: its plan is
     deterministic, uses no clock function, and reads only files (no in-memory
@@ -315,9 +319,10 @@ def safe_to_reread(spark: SparkSession, delta: DataFrame, target_location: str |
     text = plan.toString().lower()
     if any(f in text for f in _CLOCK_FUNCTIONS):
         return False
-    leaves = plan.collectLeaves()
-    for i in range(leaves.size()):
-        leaf = leaves.apply(i)
+    # Plans inside expressions (scalar, EXISTS and IN subqueries) read tables, too.
+    inner = plan.subqueriesAll()
+    leaves = [x for p in [plan, *(inner.apply(k) for k in range(inner.size()))] for x in _leaves(p)]
+    for leaf in leaves:
         if leaf.getClass().getSimpleName() != "LogicalRelation":
             return False
         rel = leaf.relation()
@@ -359,6 +364,21 @@ def _empty_report(spark: SparkSession, action: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- first load
+def _create_new_target(spark: SparkSession, spec: LoadSpec) -> None:
+    """Create the target; an external location must be empty, since a table
+    there would show files that this load didn't write."""
+    if spec.location and not hadoop_empty(spark, spec.location):
+        raise tb.TargetError(f"{spec.location} isn't empty; a first load needs an empty location")
+    tb.create_target(spark, spec)
+
+
+def _drop_new_target(spark: SparkSession, spec: LoadSpec) -> None:
+    """Undo a first load: the table, and the files of an external one."""
+    spark.sql(f"DROP TABLE IF EXISTS {tb.quote_table(spec.table)}")
+    if spec.location:
+        hadoop_delete(spark, spec.location)
+
+
 def first_load(spark: SparkSession, delta: DataFrame, spec: LoadSpec, run_id: str | None = None) -> LoadResult:
     """L1 (partitioned) / L2 (contract, unpartitioned): create and fill the
     target with every delta row; no incremental filter. Raises if the target
@@ -384,14 +404,14 @@ def first_load(spark: SparkSession, delta: DataFrame, spec: LoadSpec, run_id: st
                 f"{stats.out_of_range} rows fall outside the range layout "
                 f"[{spec.range_layout.start}, {spec.range_layout.end}) and there is no default partition"
             )
-        tb.create_target(spark, spec)
+        _create_new_target(spark, spec)
         try:
             if warning is None and stats.total:
-                _write(spark, staged, spec, overwrite=False, touched=len(stats.periods))
+                _write(spark, staged, spec, overwrite=False)
         except Exception:
             # the table did not exist before this call: leave nothing behind,
             # so a rerun is again a first load and not an incremental one
-            spark.sql(f"DROP TABLE IF EXISTS {tb.quote_table(spec.table)}")
+            _drop_new_target(spark, spec)
             raise
         _finish(spark, spec)
         rows = [
@@ -445,9 +465,9 @@ def _first_load_one_pass(spark: SparkSession, prepared: DataFrame, spec: LoadSpe
     obs = Observation(f"periodload_{run_id}")
     aggs = _check_aggs(spark, spec, supplied) + [F.count_if(F.col(spec.period_col).isNull()).alias("_nullp")]
     observed = prepared.observe(obs, *aggs)
-    tb.create_target(spark, spec)
+    _create_new_target(spark, spec)
     try:
-        _write(spark, observed, spec, overwrite=False, touched=None)
+        _write(spark, observed, spec, overwrite=False)
         metrics = obs.get
         if not metrics:  # not reported: check the written rows instead
             metrics = spark.table(spec.table).agg(*aggs).first().asDict()
@@ -462,11 +482,11 @@ def _first_load_one_pass(spark: SparkSession, prepared: DataFrame, spec: LoadSpe
         warning = _check_null_periods(stats, spec)
         _raise_on_checks(stats, spec)
     except Exception:
-        spark.sql(f"DROP TABLE IF EXISTS {tb.quote_table(spec.table)}")
+        _drop_new_target(spark, spec)
         raise
     if warning:  # every key was null: nothing is loaded (H1), the table stays empty
-        spark.sql(f"DROP TABLE IF EXISTS {tb.quote_table(spec.table)}")
-        tb.create_target(spark, spec)
+        _drop_new_target(spark, spec)
+        _create_new_target(spark, spec)
     _finish(spark, spec)
     rows = [(p, stats.rows_by_period[p], 0, stats.rows_by_period[p], "created") for p in stats.periods]
     report = build_report(spark, rows, granularity=spec.grain)
@@ -478,6 +498,17 @@ def _footer_counts_all(spark: SparkSession, table: str, period_col: str) -> dict
     return {r[0]: r[1] for r in spark.table(table).select(period_col).groupBy(period_col).count().collect()}
 
 
+def _refusing_nulls(df: DataFrame, contract: T.StructType) -> DataFrame:
+    """C3 inside the build job: a null in a NOT NULL column fails it."""
+    cols = []
+    for f in contract.fields:
+        c = F.col(f.name)
+        if not f.nullable:
+            c = F.when(c.isNull(), F.raise_error(F.lit(f"null in NOT NULL column {f.name!r}"))).otherwise(c)
+        cols.append(c.alias(f.name))
+    return df.select(*cols)
+
+
 def full_build(spark: SparkSession, df: DataFrame, table: str, contract: T.StructType | None = None,
                replace: bool = False, compression: str = "zstd", layout=None,
                partition_column: str = "partition_name") -> LoadResult:
@@ -491,8 +522,12 @@ def full_build(spark: SparkSession, df: DataFrame, table: str, contract: T.Struc
     and have no default partition fail the build (P10) before anything is
     written.
     """
+    options, comments = {"compression": compression}, {}
     if contract is not None and layout is not None:
-        df = typed_projection(df, contract)
+        df = _refusing_nulls(typed_projection(df, contract), contract)
+        described = LoadSpec(table=table, contract=contract, compression=compression, strategy="append")
+        options = tb.storage_options(described)
+        comments = {f.name: (f.metadata or {}).get("comment") for f in contract.fields}
         contract = None
     if layout is not None:
         df = _with_layout(df, layout, partition_column)
@@ -507,11 +542,12 @@ def full_build(spark: SparkSession, df: DataFrame, table: str, contract: T.Struc
         spec = LoadSpec(table=build, contract=contract, strategy="truncate+insert", compression=compression)
         result = first_load(spark, df, spec)
     else:
-        writer = df.write.format("parquet").option("compression", compression)
+        writer = df.write.format("parquet").options(**options)
         if layout is not None:
             df = df.hint("rebalance", partition_column)
-            writer = df.write.format("parquet").option("compression", compression).partitionBy(partition_column)
+            writer = df.write.format("parquet").options(**options).partitionBy(partition_column)
         writer.saveAsTable(build)
+        tb.set_comments(spark, build, None, comments)
         result = LoadResult("created", _empty_report(spark, "created"))
     if exists:
         old = f"{table}__old_{suffix}"
@@ -546,7 +582,7 @@ def plan_load(spark: SparkSession, delta: DataFrame, spec: LoadSpec) -> DataFram
         content, buckets = overwrite_content(prepared), None
     cols = tb.target_columns(spark, spec.table)
     bucketed = tb.bucketing(spark, spec.table)
-    if buckets or (not bucketed and not _needs_rebalance(spec, len(periods))):
+    if buckets or (not bucketed and not spec.rebalance):
         return content.select(*cols)
     return distribute_for_write(content.select(*cols), spec.period_col, _target_dist_keys(spark, spec), bucketed)
 
@@ -581,6 +617,11 @@ def _checked_stats(spark, delta, spec, st, reads_many=True):
             f"{stats.mismatched} delta rows carry a period that is not the "
             f"{spec.grain} of their {spec.partition_column!r} (validation on)"
         )
+    if stats.out_of_range:
+        raise LoadError(
+            f"{stats.out_of_range} delta rows fall outside the range layout "
+            f"[{spec.range_layout.start}, {spec.range_layout.end}) and there is no default partition"
+        )
     return staged, stats, warning
 
 
@@ -608,21 +649,22 @@ _FIXED_WIDTH = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                 T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
 
 
-def broadcast_keys(spark: SparkSession, spec: LoadSpec, key_rows: int, with_period: bool = True) -> bool:
-    """Whether the delta's key set may be broadcast: only under a proven
-    bound. The stats pass counted the delta rows exactly, and fixed-width
-    keys take 8 bytes each in a row (plus an 8-byte null word and, for the
-    hash table, as much again). The bound must be under the session's
-    broadcast threshold. Keys of variable width (strings) have no bound from
-    the count alone, so they are joined by shuffle."""
+def broadcast_keys(spark: SparkSession, spec: LoadSpec, stats: DeltaStats, with_period: bool = True) -> bool | None:
+    """Whether the delta's key set may be broadcast: only under a proven bound.
+    The stats pass counted the delta's rows and the bytes of its text keys
+    exactly; a fixed-width value takes 8 bytes, and so does a text besides its
+    own bytes (rounded up to 8), plus an 8-byte null word for each row and, for
+    the hash table, as much again. Beyond the session's broadcast threshold,
+    or for keys of another type, adaptive execution decides by measured sizes."""
     limit = size_in_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"))
-    if limit <= 0:
-        return False
+    if limit <= 0 or stats.key_bytes is None:
+        return None
     types = [spec.contract[k].dataType for k in spec.keys]
-    if not all(isinstance(t, _FIXED_WIDTH) or (isinstance(t, T.DecimalType) and t.precision <= 18) for t in types):
-        return False
-    row_bytes = 8 + 8 * (len(types) + (1 if with_period else 0))
-    return key_rows * row_bytes * 2 <= limit
+    texts = sum(isinstance(t, T.StringType) for t in types)
+    if not all(isinstance(t, (*_FIXED_WIDTH, T.StringType)) or (isinstance(t, T.DecimalType) and t.precision <= 18) for t in types):
+        return None
+    row_bytes = 8 + 8 * (len(types) + texts + (1 if with_period else 0))
+    return True if (stats.total * row_bytes + stats.key_bytes) * 2 <= limit else None
 
 
 def _missing_periods(spark: SparkSession, spec: LoadSpec, periods: list) -> list:
@@ -653,14 +695,14 @@ def _exchange(spark, delta, spec, run_id) -> LoadResult:
             )
             keys, buckets = _join_keys(spark, spec)
             content = merge_content(staged, target_slice, keys, spec.period_col, buckets,
-                                    broadcast_keys(spark, spec, stats.total))
+                                    broadcast_keys(spark, spec, stats))
         else:
             content, buckets = overwrite_content(staged), None
         if spec.publish == "swap":
             existing = set(periods) - set(missing)
             _publish_swap(spark, content, spec, periods, existing, st.run_id)
         else:
-            _write(spark, content, spec, overwrite=True, aligned=bool(buckets), touched=len(periods))
+            _write(spark, content, spec, overwrite=True, aligned=bool(buckets))
         if spec.merge:
             after = _footer_counts(spark, spec.table, spec.period_col, periods, spec.max_inline_periods)
         else:  # an overwritten period holds exactly its delta rows
@@ -683,9 +725,9 @@ def _append(spark, delta, spec, run_id) -> LoadResult:
         periods = stats.periods if spec.partitioned else [None]
         before = (
             _footer_counts(spark, spec.table, spec.period_col, periods, spec.max_inline_periods)
-            if spec.partitioned else {}
+            if spec.partitioned else {None: spark.table(spec.table).count()}
         )
-        _write(spark, staged, spec, overwrite=False, touched=len(periods))
+        _write(spark, staged, spec, overwrite=False)
         _finish(spark, spec)
     rows = [
         (p, stats.rows_by_period[p], before.get(p, 0), before.get(p, 0) + stats.rows_by_period[p], "append")
@@ -698,14 +740,14 @@ def _delete_insert(spark, delta, spec, run_id) -> LoadResult:
     """L4: remove every target row, in any period, whose key is in the delta,
     then add all delta rows. Periods left without rows are dropped (H10)."""
     if not spec.partitioned:
-        raise SpecError("delete+insert is implemented for partitioned targets")
+        return _delete_insert_flat(spark, delta, spec, run_id)
     with Staging(spark, spec.table, spec.staging_dir, run_id) as st:
         staged, stats, warning = _checked_stats(spark, delta, spec, st)
         if warning or stats.total == 0:
             return LoadResult("noop", _empty_report(spark, "noop"), [], st.run_id, [warning] if warning else [])
         target = spark.table(spec.table)
         keys, buckets = _join_keys(spark, spec)
-        small = broadcast_keys(spark, spec, stats.total, with_period=False)
+        small = broadcast_keys(spark, spec, stats, with_period=False)
         matched = {
             r[0]: r[1]
             for r in delete_insert_matches(target, staged, keys, spec.period_col, buckets, small).collect()
@@ -715,7 +757,7 @@ def _delete_insert(spark, delta, spec, run_id) -> LoadResult:
         emptied = [p for p in periods if p not in stats.rows_by_period and matched.get(p, 0) >= before.get(p, 0)]
         target_slice = _period_filter(target, spark, spec.period_col, periods, spec.max_inline_periods)
         content = delete_insert_content(staged, target_slice, keys, buckets, None if buckets else small)
-        _write(spark, content, spec, overwrite=True, aligned=bool(buckets), touched=len(periods))
+        _write(spark, content, spec, overwrite=True, aligned=bool(buckets))
         tb.drop_partitions(spark, spec.table, spec.period_col, emptied)
         after = _footer_counts(spark, spec.table, spec.period_col, periods, spec.max_inline_periods)
         _finish(spark, spec)
@@ -726,6 +768,25 @@ def _delete_insert(spark, delta, spec, run_id) -> LoadResult:
     return LoadResult("delete+insert", build_report(spark, rows, granularity=spec.grain), periods, st.run_id)
 
 
+def _delete_insert_flat(spark, delta, spec, run_id) -> LoadResult:
+    """L4 on an unpartitioned target: the surviving rows and the delta are
+    written to the staging folder, then replace the table in one overwrite."""
+    with Staging(spark, spec.table, spec.staging_dir, run_id) as st:
+        staged, stats, _ = _checked_stats(spark, delta, spec, st)
+        if stats.total == 0:
+            return LoadResult("noop", _empty_report(spark, "noop"), [], st.run_id)
+        target = spark.table(spec.table)
+        before = target.count()
+        keys, _ = _join_keys(spark, spec)
+        content = delete_insert_content(staged, target, keys, None, broadcast_keys(spark, spec, stats, with_period=False))
+        content = st.stage(content.select(*target.columns), "content")
+        after = content.count()
+        _write(spark, content, spec, overwrite=True)
+        _finish(spark, spec)
+    report = build_report(spark, [(None, stats.total, before, after, "delete+insert")], granularity=spec.grain)
+    return LoadResult("delete+insert", report, [], st.run_id)
+
+
 def _truncate_insert(spark, delta, spec, run_id) -> LoadResult:
     """The target ends up holding exactly the delta's rows.
 
@@ -741,7 +802,7 @@ def _truncate_insert(spark, delta, spec, run_id) -> LoadResult:
             existing = [r[0] for r in tb.existing_periods(spark, spec.table, spec.period_col).collect()]
             before = _footer_counts(spark, spec.table, spec.period_col, existing, spec.max_inline_periods)
             if stats.total:
-                _write(spark, staged, spec, overwrite=True, touched=len(stats.periods))
+                _write(spark, staged, spec, overwrite=True)
             stale = [p for p in existing if p not in stats.rows_by_period]
             tb.drop_partitions(spark, spec.table, spec.period_col, stale)
             periods = sorted(set(existing) | set(stats.periods))

@@ -592,11 +592,80 @@ def streaming_merge(spark, sf_dir):
     delta = orders_merge_delta(orders)
     delta.write.parquet(f"{base}/in")
     stream = spark.readStream.schema(delta.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
-    q = stream_into(stream, spec, f"{base}/chk", trigger={"availableNow": True})
+    q = stream_into(stream, spec, f"{base}/chk", "orders", trigger={"availableNow": True})
     q.awaitTermination()
     return spark.table(spec.table)
 
 
+def streaming_two_sources(spark, sf_dir):
+    """Two streams with checkpoints of their own append to one table: batch
+    ids start at 0 in each, and no row of either is lost."""
+    from .streaming.foreach_batch import stream_into
+
+    db = scratch_db(spark)
+    events = read(spark, sf_dir, "events")
+    spec = events_spec(db, strategy="append", merge=None)
+    base = f"{staging_root(spark)}/periodload/stream/{new_run_id()}"
+    parts = {"early": F.col("ts") < _ts("2024-01-15"), "late": F.col("ts") >= _ts("2024-01-10")}
+    for name, rows in parts.items():
+        events.where(rows).repartition(2).write.parquet(f"{base}/{name}")
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/{name}")
+        stream_into(stream, spec, f"{base}/chk-{name}", name, trigger={"availableNow": True}).awaitTermination()
+    return spark.table(spec.table)
+
+
+def delete_insert_flat(spark, sf_dir):
+    """L4 on an unpartitioned target: customers by key."""
+    db = scratch_db(spark)
+    customer = read(spark, sf_dir, "customer")
+    spec = LoadSpec(table=f"{db}.customer", contract=CUSTOMER, strategy="delete+insert", unique_key="c_custkey")
+    run(spark, customer, spec)
+    delta = customer.where(F.col("c_mktsegment") == "BUILDING").withColumn("c_acctbal", F.col("c_acctbal") + 1)
+    run(spark, delta, spec)
+    return spark.table(spec.table)
+
+
+def exchange_merge_string_key(spark, sf_dir):
+    """L7 with a text key: order status and priority within each month."""
+    db = scratch_db(spark)
+    orders = read(spark, sf_dir, "orders")
+    spec = orders_spec(db, unique_key=["o_orderstatus", "o_orderpriority"])
+    run(spark, orders, spec)
+    delta = orders.where((F.col("o_orderstatus") == "O") & (F.col("o_orderpriority") == "1-URGENT"))
+    run(spark, delta.withColumn("o_totalprice", F.col("o_totalprice") + 1), spec)
+    return spark.table(spec.table)
+
+
+def not_null_carry_over(spark, sf_dir):
+    """The target's stored NOT NULL flags hold for later loads: nulls that
+    a delta (totals above 200,000 blanked out) has in them, found by the load's
+    own stats pass under a contract without the flags."""
+    from .plans.load import delta_stats, prepare_delta
+
+    db = scratch_db(spark)
+    orders = read(spark, sf_dir, "orders")
+    strict = T.StructType([T.StructField(f.name, f.dataType, f.name not in ("o_orderkey", "o_totalprice")) for f in ORDERS.fields])
+    run(spark, orders, orders_spec(db, contract=strict))
+    spec = orders_spec(db)
+    blanked = F.when(F.col("o_totalprice") <= 200000, F.col("o_totalprice"))
+    prepared = prepare_delta(spark, orders.withColumn("o_totalprice", blanked), spec)
+    nulls = delta_stats(spark, prepared, spec, False).nulls
+    return spark.createDataFrame(sorted(nulls.items()), "column_name string, nulls long")
+
+
+def comments_kept(spark, sf_dir):
+    """Column comments of the contract, read back from the catalog, with
+    the number of values in each column."""
+    db = scratch_db(spark)
+    customer = read(spark, sf_dir, "customer")
+    contract = T.StructType([T.StructField(f.name, f.dataType, True, {"comment": f"it's {f.name} "}) for f in CUSTOMER.fields])
+    spec = LoadSpec(table=f"{db}.customer", contract=contract, strategy="truncate+insert")
+    run(spark, customer, spec)
+    described = spark.sql(f"DESCRIBE TABLE {spec.table}").select(F.col("col_name").alias("column_name"), "comment")
+    counts = spark.table(spec.table).agg(*[F.count(f.name).alias(f.name) for f in CUSTOMER.fields])
+    return described.join(counts.unpivot([], [f.name for f in CUSTOMER.fields], "column_name", "n"), "column_name")
+
+
 def bucketed_merge(spark, sf_dir):
     """Y1 with buckets: orders bucketed by key; the merge reads the touched
     months already partitioned by key and shuffles only the delta keys."""
@@ -729,4 +798,9 @@ SCENARIOS = {
     "exchange_swap_overwrite": exchange_swap_overwrite,
     "bucketed_merge": bucketed_merge,
     "bucketed_delete_insert": bucketed_delete_insert,
+    "streaming_two_sources": streaming_two_sources,
+    "delete_insert_flat": delete_insert_flat,
+    "exchange_merge_string_key": exchange_merge_string_key,
+    "not_null_carry_over": not_null_carry_over,
+    "comments_kept": comments_kept,
 }

@@ -49,11 +49,12 @@ def hadoop_delete(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(jpath, True))
 
 
-def hadoop_exists(spark: SparkSession, path: str) -> bool:
+def hadoop_empty(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is absent or a folder without entries."""
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(jpath))
+    return not fs.exists(jpath) or len(fs.listStatus(jpath)) == 0
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "periodload"):

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..spec import LoadSpec, SpecError
+from ..spec import LoadSpec
 
 PROP_PREFIX = "periodload."
 
@@ -79,6 +79,12 @@ def assert_partitioned_target(spark: SparkSession, spec: LoadSpec) -> dict[str,
             f"{spec.table} holds {stored} partitions; a {spec.grain} load would put "
             "rows of several periods under one partition"
         )
+    stored_zone = props.get("time_zone")
+    if stored_zone and stored_zone != spec.time_zone:
+        raise TargetError(
+            f"{spec.table} assigns periods in time zone {stored_zone}, the spec says {spec.time_zone}: "
+            "the same instant would land in another period"
+        )
     stored_key = props.get("partition_column")
     if stored_key and stored_key != spec.partition_column:
         raise TargetError(
@@ -225,9 +231,10 @@ def set_comments(spark: SparkSession, table: str, comment: str | None, columns:
 def existing_periods(spark: SparkSession, table: str, period_col: str) -> DataFrame:
     """Periods that have a partition in the catalog (metadata only)."""
     parts = spark.sql(f"SHOW PARTITIONS {quote_table(table)}")
-    pattern = f"(?:^|/){period_col}=([^/]*)"
+    pattern = r"(?:^|/)\Q" + period_col + r"\E=([^/]*)"
+    # the partition of null periods has a name that is no date
     return parts.select(
-        F.to_date(F.regexp_extract("partition", pattern, 1)).alias(period_col)
+        F.regexp_extract("partition", pattern, 1).try_cast("date").alias(period_col)
     ).where(F.col(period_col).isNotNull())
 
 
@@ -264,8 +271,3 @@ def analyze(spark: SparkSession, table: str, mode: bool | str) -> None:
 def target_columns(spark: SparkSession, table: str) -> list[str]:
     """Column order of the table, partition column last."""
     return spark.table(table).columns
-
-
-def require_table_spec(spec: LoadSpec) -> None:
-    if spec.contract is None:
-        raise SpecError("this operation needs a contract")

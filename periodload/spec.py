@@ -90,10 +90,9 @@ class LoadSpec:
     distributed_by: str | Sequence[str] | None = None
     distributed_replicated: bool = False
     buckets: int | None = None  # bucket the table by bucket_columns (co-located merges)
-    # Write shuffle: True always, False never (delta already clustered by
-    # period), "auto" only when more than rebalance_min_periods are touched.
-    rebalance: bool | str = "auto"
-    rebalance_min_periods: int = 8
+    # Write shuffle by period and distribution key: False only if the delta is
+    # already clustered by them (the caller's promise).
+    rebalance: bool = True
     # Publish: "overwrite" (dynamic partition overwrite, files moved at commit)
     # or "swap" (new directories, partitions re-pointed in the catalog).
     publish: str = "overwrite"
@@ -237,8 +236,8 @@ class LoadSpec:
             raise SpecError("publish must be 'overwrite' or 'swap'")
         if self.publish == "swap" and (self.buckets or not self.partitioned):
             raise SpecError("publish='swap' needs a partitioned, unbucketed target")
-        if self.rebalance not in (True, False, "auto"):
-            raise SpecError("rebalance must be True, False or 'auto'")
+        if self.rebalance not in (True, False):
+            raise SpecError("rebalance must be True or False")
         if self.stage not in (True, False, "auto"):
             raise SpecError("stage must be True, False or 'auto'")
         if self.max_inline_periods < 1:

@@ -102,12 +102,9 @@ def test_bucketed_merge_does_not_shuffle_the_target(spark, db):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("rebalance", [True, "auto"])
-def test_hot_period_is_split_over_tasks(spark, db, rebalance):
+def test_hot_period_is_split_over_tasks(spark, db):
     """A period holding every delta row is written by several tasks, not
-    funnelled through one: with the write shuffle AQE splits the skewed
-    rebalance partition; without it (one touched period) the rows stay with
-    the tasks that read them."""
+    funnelled through one: AQE splits the skewed rebalance partition."""
     import glob
 
     from pyspark.sql import functions as F
@@ -116,7 +113,7 @@ def test_hot_period_is_split_over_tasks(spark, db, rebalance):
     from periodload.session import checkpoint_root
 
     events = read(spark, "/root/testdata/sf0.01", "events")
-    spec = events_spec(db, rebalance=rebalance)
+    spec = events_spec(db)
     first_load(spark, events.where(F.col("ts") < F.lit(dt.datetime(2024, 1, 2))), spec)
     # 10,000 rows, one day, from 8 map tasks (AQE splits a skewed partition
     # along map outputs; a cluster input has thousands of them)
@@ -163,16 +160,19 @@ def test_plan_load_dry_run(spark, db):
 
 
 def test_key_broadcast_only_under_a_proven_bound(spark, db):
-    from periodload.plans.load import broadcast_keys
+    from periodload.plans.load import DeltaStats, broadcast_keys
     from periodload.spec import LoadSpec
 
+    def stats(rows, key_bytes=0):
+        return DeltaStats({None: rows}, {}, 0, 0, key_bytes)
+
     spec = orders_spec(db)
-    assert broadcast_keys(spark, spec, 1000)
-    assert not broadcast_keys(spark, spec, 10**9)
+    assert broadcast_keys(spark, spec, stats(1000))
+    assert not broadcast_keys(spark, spec, stats(10**9))
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert not broadcast_keys(spark, spec, 10)
+        assert not broadcast_keys(spark, spec, stats(10))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     from pyspark.sql import types as T
@@ -180,7 +180,9 @@ def test_key_broadcast_only_under_a_proven_bound(spark, db):
     strings = LoadSpec(table="x.t", contract=T.StructType([T.StructField("k", T.StringType()),
                                                           T.StructField("d", T.DateType())]),
                        partition_column="d", merge=True, unique_key="k")
-    assert not broadcast_keys(spark, strings, 10)
+    assert broadcast_keys(spark, strings, stats(10, 500))
+    assert not broadcast_keys(spark, strings, stats(10, 10**8))
+    assert not broadcast_keys(spark, strings, stats(10, None))
 
     orders = read(spark, SF, "orders")
     first_load(spark, orders, spec)
@@ -190,3 +192,47 @@ def test_key_broadcast_only_under_a_proven_bound(spark, db):
     assert "SortMergeJoin" in shuffled and "BroadcastHashJoin" not in shuffled
     broadcast = plan_text(merge_content(delta, target, spec.keys, spec.period_col, None, True))
     assert "BroadcastHashJoin" in broadcast
+
+
+def test_files_follow_the_bytes_and_not_tasks_times_periods(spark, db):
+    from pyspark.sql import functions as F
+
+    from periodload import run
+    from periodload.scenarios import events_spec
+
+    events = read(spark, SF, "events")
+    for days in (1, 8, 9):
+        spec = events_spec(db, table=f"{db}.events{days}")
+        wide = events.where(F.col("ts") < F.lit(dt.datetime(2024, 1, 1 + days))).repartition(64)
+        run(spark, events.where("false"), spec)
+        run(spark, wide, spec)
+        assert len(spark.table(spec.table).inputFiles()) <= 2 * days
+
+
+def test_small_merge_keeps_the_files_sorted_by_the_stored_key(spark, db):
+    import pyarrow.parquet as pq
+
+    from periodload import run
+
+    orders = read(spark, SF, "orders")
+    spec = orders_spec(db, distributed_by="o_custkey")
+    run(spark, orders, spec)
+    for publish in ("overwrite", "swap"):
+        run(spark, orders_merge_delta(orders), orders_spec(db, publish=publish))
+        for f in spark.table(spec.table).inputFiles():
+            keys = pq.read_table(f.replace("file://", ""), columns=["o_custkey"])["o_custkey"].to_pylist()
+            assert keys == sorted(keys)
+
+
+def test_small_string_key_delta_leaves_the_target_unshuffled(spark, db):
+    from periodload.plans.load import broadcast_keys, delta_stats
+
+    orders = read(spark, SF, "orders")
+    spec = orders_spec(db, unique_key=["o_orderstatus"])
+    first_load(spark, orders, spec)
+    delta = prepare_delta(spark, orders.limit(5), spec)
+    target = _period_filter(spark.table(spec.table), spark, spec.period_col, [dt.date(2001, 6, 1)], 10)
+    small = broadcast_keys(spark, spec, delta_stats(spark, delta, spec, False))
+    assert small is True
+    text = plan_text(merge_content(delta, target, spec.keys, spec.period_col, None, small))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
