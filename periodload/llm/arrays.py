@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; a longer document is a chunk of its own.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
 SEGMENT_BYTES = 1 << 19
 
 U = np.uint64

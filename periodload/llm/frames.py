@@ -14,14 +14,23 @@ from .arrays import chunks
 
 #: Bytes of input files that one task of a vocabulary-bound operator takes at
 #: least: a table of distinct words pays off the more text a task sees.
-TASK_BYTES = 80 << 20
+TASK_BYTES = 32 << 20
+#: Rows that a Python worker gets at once while a table is written: texts and
+#: sets are kilobytes each, so the default of 10,000 would fill both sides' memory.
+BATCH_ROWS = 1000
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{staging_root(spark)}/llm/{name}-{new_run_id()}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_ROWS)
+    spark.conf.set(_ROWS, str(BATCH_ROWS))
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_ROWS, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
