@@ -72,8 +72,8 @@ def merge_content(
         delta_keys = _join_side(delta.where(set_).select(*on).distinct(), broadcast)
         kept = target_slice.where(set_).join(delta_keys, on, "left_anti")
         return delta.unionByName(kept).unionByName(null_key_rows)
-    # The delta is hash-partitioned once into the buckets; its rows and its
-    # keys both come from that one shuffle. The kept target rows leave the
+    # The delta is hash-partitioned into the buckets, once for its rows and
+    # once, de-duplicated, for its keys. The kept target rows leave the
     # join still grouped by bucket, so the whole content is bucket-aligned and
     # is written without another exchange: the target is never shuffled.
     # Null keys all hash to one bucket, so splitting them off buys nothing

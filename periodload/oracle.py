@@ -371,3 +371,6 @@ SQL["comments_kept"] = "\nunion all\n".join(
     f"select '{c}' as column_name, 'it''s {c}' as comment, count({c}) as n from customer"
     for c in ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 )
+SQL["statistics_after_load"] = f"""
+select o_orderdate_month as period, count(*) as n_rows from ({SQL["exchange_merge_month"]}) group by 1
+"""

@@ -288,8 +288,8 @@ def _publish_swap(spark: SparkSession, content: DataFrame, spec: LoadSpec, perio
             hadoop_delete(spark, path)
 
 
-def _finish(spark: SparkSession, spec: LoadSpec) -> None:
-    tb.analyze(spark, spec.table, spec.analyze)
+def _finish(spark: SparkSession, spec: LoadSpec, periods: list = ()) -> None:
+    tb.analyze(spark, spec.table, spec.analyze, spec.period_col if spec.partitioned else None, periods)
 
 
 _CLOCK_FUNCTIONS = ("current_timestamp(", "current_date(", "now(", "localtimestamp(", "current_time(")
@@ -413,7 +413,7 @@ def first_load(spark: SparkSession, delta: DataFrame, spec: LoadSpec, run_id: st
             # so a rerun is again a first load and not an incremental one
             _drop_new_target(spark, spec)
             raise
-        _finish(spark, spec)
+        _finish(spark, spec, stats.periods if warning is None else [])
         rows = [
             (p, stats.rows_by_period[p], 0, stats.rows_by_period[p], "created")
             for p in (stats.periods if spec.partitioned else [None])
@@ -487,7 +487,7 @@ def _first_load_one_pass(spark: SparkSession, prepared: DataFrame, spec: LoadSpe
     if warning:  # every key was null: nothing is loaded (H1), the table stays empty
         _drop_new_target(spark, spec)
         _create_new_target(spark, spec)
-    _finish(spark, spec)
+    _finish(spark, spec, stats.periods if warning is None else [])
     rows = [(p, stats.rows_by_period[p], 0, stats.rows_by_period[p], "created") for p in stats.periods]
     report = build_report(spark, rows, granularity=spec.grain)
     return LoadResult("created", report, stats.periods, run_id, [warning] if warning else [])
@@ -707,7 +707,7 @@ def _exchange(spark, delta, spec, run_id) -> LoadResult:
             after = _footer_counts(spark, spec.table, spec.period_col, periods, spec.max_inline_periods)
         else:  # an overwritten period holds exactly its delta rows
             after = {p: stats.rows_by_period[p] for p in periods}
-        _finish(spark, spec)
+        _finish(spark, spec, periods)
     mode = "merge" if spec.merge else "overwrite"
     rows = []
     for p in periods:
@@ -728,7 +728,7 @@ def _append(spark, delta, spec, run_id) -> LoadResult:
             if spec.partitioned else {None: spark.table(spec.table).count()}
         )
         _write(spark, staged, spec, overwrite=False)
-        _finish(spark, spec)
+        _finish(spark, spec, periods)
     rows = [
         (p, stats.rows_by_period[p], before.get(p, 0), before.get(p, 0) + stats.rows_by_period[p], "append")
         for p in periods
@@ -760,7 +760,7 @@ def _delete_insert(spark, delta, spec, run_id) -> LoadResult:
         _write(spark, content, spec, overwrite=True, aligned=bool(buckets))
         tb.drop_partitions(spark, spec.table, spec.period_col, emptied)
         after = _footer_counts(spark, spec.table, spec.period_col, periods, spec.max_inline_periods)
-        _finish(spark, spec)
+        _finish(spark, spec, [p for p in periods if p not in emptied])
     rows = []
     for p in periods:
         action = "dropped" if p in emptied else "delete+insert"
@@ -817,5 +817,5 @@ def _truncate_insert(spark, delta, spec, run_id) -> LoadResult:
             staged.select(*cols).write.insertInto(spec.table, overwrite=True)
             periods = []
             rows = [(None, stats.total, before_n, stats.total, "truncate+insert")]
-        _finish(spark, spec)
+        _finish(spark, spec, stats.periods)
     return LoadResult("truncate+insert", build_report(spark, rows, granularity=spec.grain), periods, st.run_id)

@@ -653,6 +653,21 @@ def not_null_carry_over(spark, sf_dir):
     return spark.createDataFrame(sorted(nulls.items()), "column_name string, nulls long")
 
 
+def statistics_after_load(spark, sf_dir):
+    """Y7 for the touched periods: row counts that the catalog holds after a
+    first load and a merge of some months."""
+    from .sources.tables import partition_rows
+
+    db = scratch_db(spark)
+    orders = read(spark, sf_dir, "orders")
+    spec = orders_spec(db, analyze="touched")
+    run(spark, orders, spec)
+    run(spark, orders_merge_delta(orders), spec)
+    periods = [r[0] for r in existing_periods(spark, spec.table, spec.period_col).collect()]  # a row per month
+    rows = [(p, partition_rows(spark, spec.table, spec.period_col, p)) for p in periods]
+    return spark.createDataFrame(rows, "period date, n_rows long")
+
+
 def comments_kept(spark, sf_dir):
     """Column comments of the contract, read back from the catalog, with
     the number of values in each column."""
@@ -803,4 +818,5 @@ SCENARIOS = {
     "exchange_merge_string_key": exchange_merge_string_key,
     "not_null_carry_over": not_null_carry_over,
     "comments_kept": comments_kept,
+    "statistics_after_load": statistics_after_load,
 }

@@ -195,6 +195,17 @@ def partition_location(spark: SparkSession, table: str, period_col: str, period)
     return rows[0]["data_type"]
 
 
+def partition_rows(spark: SparkSession, table: str, period_col: str, period) -> int | None:
+    """Row count of one partition in the catalog's statistics, if it has any."""
+    import re
+
+    rows = spark.sql(
+        f"DESCRIBE TABLE EXTENDED {quote_table(table)} PARTITION ({quote(period_col)} = {_date_literal(period)})"
+    ).where(F.col("col_name") == "Partition Statistics").collect()
+    found = re.search(r"(\d+) rows", rows[0]["data_type"] or "") if rows else None
+    return int(found.group(1)) if found else None
+
+
 def point_partitions(spark: SparkSession, table: str, period_col: str, locations: dict, existing: set) -> None:
     """P11 (swap): make each period's partition read from its new directory.
 
@@ -254,15 +265,21 @@ def drop_partitions(spark: SparkSession, table: str, period_col: str, periods: I
     return len(periods)
 
 
-def analyze(spark: SparkSession, table: str, mode: bool | str) -> None:
+def analyze(
+    spark: SparkSession, table: str, mode: bool | str, period_col: str | None = None, periods: Iterable = ()
+) -> None:
     """Refresh statistics once, at the end of a load.
 
-    ``True`` records sizes from the file listing (no scan; cheap at any size);
-    ``"full"`` scans the table for row counts as well.
+    ``True`` records sizes from the file listing (no scan); ``"full"`` scans the
+    table for row counts as well; ``"touched"`` does that for the load's
+    periods alone, so that an increment costs no listing of the whole table.
     """
     if not mode:
         return
-    if mode == "full":
+    if mode == "touched" and period_col:
+        for p in sorted(periods):
+            spark.sql(f"ANALYZE TABLE {quote_table(table)} PARTITION ({quote(period_col)} = {_date_literal(p)}) COMPUTE STATISTICS")
+    elif mode in ("full", "touched"):
         spark.sql(f"ANALYZE TABLE {quote_table(table)} COMPUTE STATISTICS")
     else:
         spark.sql(f"ANALYZE TABLE {quote_table(table)} COMPUTE STATISTICS NOSCAN")

@@ -86,7 +86,7 @@ class LoadSpec:
     time_zone: str = "UTC"
     create_missing_partitions: bool = True
     validate_periods: bool = True
-    analyze: bool | str = True  # True: size only (no scan); "full": row counts too
+    analyze: bool | str = True  # True: sizes; "full": row counts, too; "touched": both for the load's periods
     distributed_by: str | Sequence[str] | None = None
     distributed_replicated: bool = False
     buckets: int | None = None  # bucket the table by bucket_columns (co-located merges)
