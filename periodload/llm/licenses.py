@@ -86,7 +86,10 @@ def _paragraphs(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return lines.select("doc_id", "paragraph", F.split(F.btrim(F.regexp_replace(F.lower("line"), "[^a-z0-9]+", " ")), " ").alias("words"))
 
 
-GRAMS = "concat(words, if(size(words) < 2, array(), transform(sequence(0, size(words) - 2), i -> concat(get(words, i), ' ', get(words, i + 1)))))"
+#: Distinct words and pairs of neighbours. A lambda's argument is a value, so
+#: the words are split once for a paragraph and not for each of its words.
+GRAMS = """element_at(transform(array(words), w -> array_distinct(concat(w, if(size(w) < 2, array(),
+    transform(sequence(0, size(w) - 2), i -> concat(get(w, i), ' ', get(w, i + 1))))))), 1)"""
 
 
 def grams_of(words: list[str]) -> set[str]:
@@ -191,14 +194,20 @@ def find_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", m
     # A weight per family for each n-gram: a table of the vocabulary's size.
     rows = [(g, [w[i] for w in model.weights]) for i, g in enumerate(model.vocabulary) if any(w[i] for w in model.weights)]
     weights = F.map_from_arrays(literal([g for g, _ in rows]), F.array(*[F.array(*[F.lit(x) for x in w]) for _, w in rows]))
-    found = candidates.withColumn("grams", F.array_distinct(F.expr(GRAMS))).withColumn("own", F.array_intersect("grams", literal([g for g, _ in rows])))
+    found = candidates.withColumn("grams", F.expr(GRAMS))
     zero = F.array(*[F.lit(b) for b in model.bias])
-    found = found.withColumn("scores", F.aggregate("own", zero, lambda acc, g: F.zip_with(acc, F.element_at(weights, g), lambda a, w: a + w)))
-    scaled = F.transform("scores", lambda s: F.exp((s - F.array_max("scores")) / model.temperature))
-    found = found.withColumn("e", scaled).withColumn("probabilities", F.transform("e", lambda x: x / F.aggregate("e", F.lit(0.0), lambda a, y: a + y)))
-    best = F.array_max(F.slice("probabilities", 1, len(families)))
-    found = found.withColumn("probability", best).filter(F.col("probability") > model.threshold)
-    found = found.withColumn("family", F.element_at(literal(families), F.array_position("probabilities", F.col("probability")).cast("int")))
+    own = F.array_intersect("grams", literal([g for g, _ in rows]))
+    scores = F.aggregate(own, zero, lambda acc, g: F.zip_with(acc, F.element_at(weights, g), lambda a, w: a + w))
+    # A lambda's argument is a value, so each step is computed once for a row.
+    let = lambda value, fn: F.element_at(F.transform(F.array(value), fn), 1)
+    powers = let(scores, lambda s: F.transform(s, lambda x: F.exp((x - F.array_max(s)) / model.temperature)))
+    probabilities = let(powers, lambda e: let(F.aggregate(e, F.lit(0.0), lambda a, x: a + x), lambda total: F.transform(e, lambda x: x / total)))
+
+    def best(p: F.Column) -> F.Column:
+        top = F.array_max(F.slice(p, 1, len(families)))
+        return F.struct(top.alias("probability"), F.element_at(literal(families), F.array_position(p, top).cast("int")).alias("family"))
+
+    found = found.withColumn("best", let(probabilities, best)).select("*", "best.*").filter(F.col("probability") > model.threshold)
     shares = None
     for f in families:
         each = [{f"{a} {b}" for a, b in zip(n, n[1:])} for n in map(_words, NOTICES[f])]
