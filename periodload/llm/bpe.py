@@ -8,7 +8,6 @@ the tokenizers library has to encode a part only once per task.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 from itertools import chain
 
@@ -18,7 +17,9 @@ import pandas as pd
 from .arrays import Hasher, runs
 
 #: Parts kept encoded at once in a task; past it the table starts afresh.
-MAX_PARTS = 1 << 21
+MAX_PARTS = 1 << 18
+#: Text bytes encoded at once.
+TEXT_BYTES = 1 << 20
 
 _OTHER, _LETTER, _DIGIT, _PUNCT, _SPACE = range(5)
 
@@ -85,17 +86,14 @@ class PartTable:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, models, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
-        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.tokenizer = Tokenizer.from_file(path)
         self.chars = _byte_chars()
         feed = self.chars[10]
-        self.words = Tokenizer(models.BPE(vocab=model["vocab"], merges=merges, cache_capacity=0))
+        self.words = Tokenizer.from_file(path)
         self.words.pre_tokenizer = pre_tokenizers.Split(feed, "isolated")
-        self.feed = model["vocab"][feed]
+        self.feed = self.words.token_to_id(feed)
         self.hash, self.check = Hasher(1), Hasher(2)
         self._clear()
 

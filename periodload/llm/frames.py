@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -17,20 +18,34 @@ from .arrays import chunks
 TASK_BYTES = 32 << 20
 #: Rows that a Python worker gets at once while a table is written: texts and
 #: sets are kilobytes each, so the default of 10,000 would fill both sides' memory.
-BATCH_ROWS = 1000
-_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+_LIMITS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES),
+}
+#: Row groups of tables with large binaries: a scan holds one whole group.
+BINARY_ROW_GROUP = 8 << 20
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Python workers get at most BATCH_ROWS rows or BATCH_BYTES at once."""
+    before = {k: spark.conf.get(k) for k in _LIMITS}
+    for k, v in _LIMITS.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{staging_root(spark)}/llm/{name}-{new_run_id()}"
-    before = spark.conf.get(_ROWS)
-    spark.conf.set(_ROWS, str(BATCH_ROWS))
-    try:
-        df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(_ROWS, before)
+    with small_batches(spark):
+        df.write.option("compression", "zstd").options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -8,7 +8,8 @@ bin again, and no partition of a later round holds more than ``ROUND_ITEMS``.
 
 Edge cases: a null or empty text is one piece with the end token alone; ties go
 by input order; repeated rows are packed each for itself; an empty table gives
-an empty result; other columns of the input play no part.
+an empty result; other columns of the input play no part. A partition packs its items in groups of
+``ROUND_ITEMS``, so a task's memory doesn't grow with the size of its files.
 """
 
 from __future__ import annotations
@@ -23,13 +24,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrays import chunks, runs, utf8
-from .bpe import PartTable
+from .bpe import TEXT_BYTES, PartTable
 from .frames import lists, merged_splits, written
 
 SEQUENCE_TOKENS = 2048
 #: A bin with at least this share of its tokens set is closed at once.
 NEARLY_FULL = 0.995
-#: Bins that one task of a later round packs.
+#: Items that are packed together.
 ROUND_ITEMS = 200_000
 MAX_ROUNDS = 8
 
@@ -47,7 +48,7 @@ def token_pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = PartTable(tokenizer)
-        for batch in chunks(batches, 1):
+        for batch in chunks(batches, 1, TEXT_BYTES):
             ids, offsets = table.encode(*utf8(batch.column(1)))
             n = len(offsets) - 1
             ids = np.insert(ids.astype("<u4"), offsets[1:], end_id)
@@ -102,15 +103,24 @@ def _round(items: DataFrame, number: int, size: int, last: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        found = list(batches)
-        if not sum(b.num_rows for b in found):
-            return
-        lengths = pa.concat_arrays([b.column(0) for b in found]).to_numpy().astype(np.int64)
-        members = pa.concat_arrays([b.column(1) for b in found])
+        at = (number << 56) + (TaskContext.get().partitionId() << 32)
+        group: list[pa.RecordBatch] = []
+        for batch in batches:
+            group.append(batch)
+            if sum(b.num_rows for b in group) >= ROUND_ITEMS:
+                for part in packed(group, at):
+                    yield part
+                    at += part.num_rows
+                group = []
+        if sum(b.num_rows for b in group):
+            yield from packed(group, at)
+
+    def packed(group: list[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
+        lengths = pa.concat_arrays([b.column(0) for b in group]).to_numpy().astype(np.int64)
+        members = pa.concat_arrays([b.column(1) for b in group])
         each = members.values.field("length").to_numpy().astype(np.int64)
         bounds = np.asarray(members.offsets, np.int64)
         bins = best_fit(lengths, size)
-        first = (number << 56) + (TaskContext.get().partitionId() << 32)
         for i in range(0, len(bins), 20_000):
             part = bins[i : i + 20_000]
             order = np.fromiter((x for b in part for x in b), np.int64)
@@ -124,7 +134,7 @@ def _round(items: DataFrame, number: int, size: int, last: bool) -> DataFrame:
             filled = np.add.reduceat(lengths[order], ends - per_bin)
             closed = np.full(len(part), True) if last else filled >= NEARLY_FULL * size
             yield pa.RecordBatch.from_arrays(
-                [pa.array(closed), pa.array(first + i + np.arange(len(part))), pa.array(filled), lists(members.values.take(pa.array(flat)), count), lists(pa.array(before), count)],
+                [pa.array(closed), pa.array(at + i + np.arange(len(part))), pa.array(filled), lists(members.values.take(pa.array(flat)), count), lists(pa.array(before), count)],
                 names=schema.names,
             )
 

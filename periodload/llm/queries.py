@@ -66,7 +66,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{staging_root(spark)}/llm/tokens-{new_run_id()}"
     tokenfile.write_token_file(read(spark, sf_dir, "documents"), path, tokenizer_path(BYTE_BPE))
-    return tokenfile.read_token_file(spark, path)
+    return tokenfile.written(tokenfile.read_token_file(spark, path), "decoded")
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

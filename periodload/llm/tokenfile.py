@@ -30,13 +30,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrays import chunks, utf8
-from .bpe import PartTable
-from .frames import lists, merged_tasks, written
+from .bpe import TEXT_BYTES, PartTable
+from .frames import BINARY_ROW_GROUP, lists, merged_tasks, small_batches, written
 
 MAX_BITS = 16
 CHECKPOINT = 256
 #: Text bytes of a block; a longer document has a block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = TEXT_BYTES
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -125,8 +125,8 @@ def decode_block(payload: bytes, steps: np.ndarray, n: int, symbol: np.ndarray,
     return out.T.reshape(-1)[:n]
 
 
-def _ordered_blocks(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str, text: str) -> DataFrame:
-    """Blocks of ids as 32-bit integers, in ascending doc_id order by (part, block)."""
+def _ordered_blocks(docs: DataFrame, tokenizer: str, dtype: str, end_id: int, doc_id: str, text: str) -> DataFrame:
+    """Blocks of ids as integers of type ``dtype``, in ascending doc_id order by (part, block)."""
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     tie = F.xxhash64("text")
     ordered = source.repartitionByRange(merged_tasks(source), F.col("doc_id").asc_nulls_first(), tie).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), tie)
@@ -140,7 +140,7 @@ def _ordered_blocks(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str, t
         for number, batch in enumerate(chunks(batches, 1, BLOCK_BYTES)):
             ids, offsets = table.encode(*utf8(batch.column(1)))
             n = batch.num_rows
-            ids = np.insert(ids.astype("<u4"), offsets[1:], end_id)
+            ids = np.insert(ids.astype(dtype), offsets[1:], end_id)
             sizes = np.diff(offsets) + 1
             values = [TaskContext.get().partitionId(), number, first, len(ids)]
             arrays = [pa.array([v], f.type) for v, f in zip(values, [pa.field("", t) for t in (pa.int32(), pa.int32(), pa.int64(), pa.int64())])]
@@ -150,21 +150,22 @@ def _ordered_blocks(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str, t
     return ordered.mapInArrow(run, schema)
 
 
-def id_counts(blocks: DataFrame) -> np.ndarray:
+def id_counts(blocks: DataFrame, dtype: str) -> np.ndarray:
     """How often each id occurs: one sum per task and id, so as many rows as the vocabulary at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
             for ids in batch.column(0):
-                found = np.bincount(np.frombuffer(ids.as_buffer(), "<u4"))
+                found = np.bincount(np.frombuffer(ids.as_buffer(), dtype))
                 if len(found) > len(total):
                     found, total = total, found.astype(np.int64)
                 total[: len(found)] += found
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["id", "n"])
 
-    rows = blocks.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    with small_batches(blocks.sparkSession):
+        rows = blocks.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max((r["id"] for r in rows), default=-1) + 1, np.int64)
     for r in rows:
         counts[r["id"]] = r["n"]
@@ -173,14 +174,18 @@ def id_counts(blocks: DataFrame) -> np.ndarray:
 
 def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, doc_id: str = "doc_id", text: str = "text") -> None:
     """Encode every text, ``end_id`` last, and write the file to folder ``path``."""
+    from tokenizers import Tokenizer
+
     spark = docs.sparkSession
+    dtype = "<u2" if max(end_id + 1, Tokenizer.from_file(tokenizer).get_vocab_size()) <= 1 << 16 else "<u4"
+    groups = {"parquet.block.size": str(BINARY_ROW_GROUP)}
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")  # the texts' shuffle files go once the ids are written
     try:
-        blocks = written(_ordered_blocks(docs, tokenizer, end_id, doc_id, text), "ids")
+        blocks = written(_ordered_blocks(docs, tokenizer, dtype, end_id, doc_id, text), "ids", **groups)
     finally:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
-    counts = id_counts(blocks)
+    counts = id_counts(blocks, dtype)
     bits = code_lengths(counts)
     codes = canonical_codes(bits)
     schema = T.StructType([*blocks.schema.fields[:-1], *T.StructType.fromDDL("steps array<int>, payload binary").fields])
@@ -189,10 +194,11 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
-                payload, steps = encode_block(np.frombuffer(row.column(6)[0].as_buffer(), "<u4"), bits, codes)
+                payload, steps = encode_block(np.frombuffer(row.column(6)[0].as_buffer(), dtype), bits, codes)
                 yield pa.RecordBatch.from_arrays([*row.columns[:6], lists(pa.array(steps, pa.int32()), [len(steps)]), pa.array([payload], pa.binary())], names=schema.names)
 
-    blocks.mapInArrow(run, schema).write.option("compression", "snappy").parquet(f"{path}/blocks")
+    with small_batches(spark):
+        blocks.mapInArrow(run, schema).write.option("compression", "snappy").options(**groups).parquet(f"{path}/blocks")
     book = spark.createDataFrame(pa.table({"id": np.flatnonzero(bits), "bits": bits[bits > 0]}))
     book.coalesce(1).write.parquet(f"{path}/codebook")
 
