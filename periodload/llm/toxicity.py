@@ -39,9 +39,9 @@ GRAMS = (3, 4, 5, 6)
 #: Most informative words and n-grams that have embeddings.
 VOCABULARY = 3000
 EMBEDDING, HIDDEN, ATTENTION = 8, 12, 8
-SAMPLE, SAMPLE_BYTES = 1500, 16 << 20
+SAMPLE, SAMPLE_BYTES = 1500, 10 << 20
 EPOCHS, BATCH, RATE = 6, 64, 0.02
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 
 
 # ------------------------------------------------------------------------ inputs
