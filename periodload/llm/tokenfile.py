@@ -129,7 +129,8 @@ def _ordered_blocks(docs: DataFrame, tokenizer: str, dtype: str, end_id: int, do
     """Blocks of ids as integers of type ``dtype``, in ascending doc_id order by (part, block)."""
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     tie = F.xxhash64("text")
-    ordered = source.repartitionByRange(merged_tasks(source), F.col("doc_id").asc_nulls_first(), tie).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), tie)
+    parts = max(merged_tasks(source), int(source.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ordered = source.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), tie).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), tie)
     schema = T.StructType.fromDDL("part int, block int, first long, n_tokens long, doc_ids array<long>, lengths array<long>, ids binary")
     schema["doc_ids"].dataType.elementType = source.schema["doc_id"].dataType
 
