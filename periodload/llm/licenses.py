@@ -1,6 +1,9 @@
 """Licence notices by a trained paragraph classifier, in DataFrame expressions.
 
-Paragraphs (lines) become word uni- and bigrams. A sparse multinomial logistic
+A paragraph is a line, or a block: a run of two or more lines that hold a
+letter or digit, joined, as a notice wrapped at some width is (comment marks
+are no words; a line of nothing else ends a block). Paragraphs become word uni-
+and bigrams. A sparse multinomial logistic
 regression, one class for each licence family and one for all other text, is
 fitted to variants of the families' notices and to a bounded sample of corpus
 paragraphs (``SAMPLE_DOCS`` documents, those with the smallest hash of their
@@ -9,16 +12,22 @@ enough to be literals of the scoring expression's broadcast table.
 
 The unknown class is calibrated: a temperature fitted on held-out examples
 scales the scores, and a paragraph is of a family only if that one's
-probability is above the highest that a held-out corpus paragraph reaches, and
-above one half. A predicted family is confirmed if enough of one of its
+probability is above what ``QUANTILE`` of the held-out corpus paragraphs reach,
+and above one half. A predicted family is confirmed if enough of one of its
 notices' bigrams occur in the paragraph.
 
+A block has the number of its first line. It is of its best family, and of each
+other one that is likelier than the unknown class by the same threshold and
+confirmed by bigrams that the best one's notices don't have. Each family of a
+block is told once: by the lines that confirm it, else by the block if that
+confirms it, else by the lines that are predicted, else by the block.
+
 Scoring looks at every paragraph of every text: one that holds none of the
 n-grams that speak for a family cannot score above the unknown class, and each
 such n-gram holds a word of a short list, so the words are looked up first.
 
 Edge cases: null and empty texts have no paragraphs and no rows; paragraph
-numbers count all lines from 0; repeated rows are scored each for itself; an
+numbers count all lines from 0, blank ones too; repeated rows are scored each for itself; an
 empty table gives an empty result (the classifier is then fitted to notices
 alone); other columns of the input play no part.
 """
@@ -78,18 +87,59 @@ VARIANTS = 40
 COMMON = 0.005
 EPOCHS, RATE, SPARSITY = 30, 0.5, 2e-4
 SHARE = 0.6
+#: The share of held-out corpus paragraphs that stay below the threshold: one odd paragraph doesn't set it.
+QUANTILE = 0.99
+
+
+def _let(value: F.Column, fn) -> F.Column:
+    """``fn(value)``. A lambda's argument is a value, so it is computed once for a row."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
+def _literal(words: list[str]) -> F.Column:
+    return F.array(*[F.lit(w) for w in words])
+
+
+def _split(text: F.Column) -> F.Column:
+    """Lower-case runs of ASCII letters and digits."""
+    return F.split(F.btrim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " ")), " ")
+
+
+def _blocks(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, start, lines): runs of lines that hold a letter or digit."""
 
+    def runs(lines: F.Column) -> F.Column:
+        def of(filled: F.Column) -> F.Column:
+            edge = lambda step: F.filter(
+                F.sequence(F.lit(0), F.size(filled) - 1), lambda i: F.get(filled, i) & ~F.coalesce(F.get(filled, i + step), F.lit(False))
+            )
+            return F.zip_with(edge(-1), edge(1), lambda i, j: F.struct(i.alias("start"), F.slice(lines, i + 1, j - i + 1).alias("lines")))
 
-def _paragraphs(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, paragraph, words): lower-case runs of ASCII letters and digits."""
-    lines = docs.select(F.col(doc_id).alias("doc_id"), F.posexplode(F.split(F.col(text).cast("string"), "\n")).alias("paragraph", "line"))
-    return lines.select("doc_id", "paragraph", F.split(F.btrim(F.regexp_replace(F.lower("line"), "[^a-z0-9]+", " ")), " ").alias("words"))
+        return _let(F.transform(lines, lambda x: x.rlike(r"[\p{L}\p{N}]")), of)
 
+    return docs.select(F.col(doc_id).alias("doc_id"), F.explode(_let(F.split(F.col(text).cast("string"), "\n"), runs)).alias("block")).select("doc_id", "block.*")
 
-#: Distinct words and pairs of neighbours. A lambda's argument is a value, so
-#: the words are split once for a paragraph and not for each of its words.
-GRAMS = """element_at(transform(array(words), w -> array_distinct(concat(w, if(size(w) < 2, array(),
-    transform(sequence(0, size(w) - 2), i -> concat(get(w, i), ' ', get(w, i + 1))))))), 1)"""
+
+def _units(block: F.Column, lines: F.Column, start: F.Column) -> F.Column:
+    """The paragraphs of a block of these words: its lines, and itself if it has several."""
+    unit = lambda number, joined, words: F.struct(number.alias("paragraph"), joined.alias("joined"), words.alias("words"))
+    each = F.transform(lines, lambda x, i: unit(start + i, F.lit(False), _split(x)))
+    return F.when(F.size(lines) > 1, F.concat(each, F.array(unit(start, F.lit(True), block)))).otherwise(each)
+
+
+def _grams(words: F.Column) -> F.Column:
+    """Distinct words and pairs of neighbours."""
+    pairs = lambda w: F.slice(F.transform(w, lambda x, i: F.concat(x, F.lit(" "), F.get(w, i + 1))), F.lit(1), F.size(w) - 1)
+    return _let(words, lambda w: F.array_distinct(F.concat(w, F.when(F.size(w) > 1, pairs(w)).otherwise(F.slice(w, 1, 0)))))
+
+
+def _known(family: str) -> list[list[str]]:
+    """The bigrams of each of a family's notices."""
+    return [sorted({f"{a} {b}" for a, b in zip(n, n[1:])}) for n in map(_words, NOTICES[family])]
+
+
+def _share(grams: F.Column, family: str) -> F.Column:
+    return F.greatest(*[F.size(F.array_intersect(grams, _literal(b))) / F.lit(float(len(b))) for b in _known(family)])
 
 
 def grams_of(words: list[str]) -> set[str]:
@@ -174,44 +224,78 @@ class Model:
         loss = lambda t: -sum(math.log(max(self._softmax([s / t for s in sc])[k], 1e-12)) for sc, k in scored)
         self.temperature = min((0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0), key=loss)
         top = [max(self._softmax([s / self.temperature for s in sc])[:-1]) for sc, k in scored if k == len(self.families) - 1]
-        self.threshold = max([0.5, *top])
+        self.threshold = max(0.5, sorted(top)[math.ceil(QUANTILE * len(top)) - 1] if top else 0.5)
 
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Model:
     sample = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter("text is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-    rows = _paragraphs(sample, "doc_id", "text").filter(F.size("words") > 1).orderBy(F.xxhash64("words")).limit(SAMPLE_PARAGRAPHS).collect()
-    return Model([list(r["words"]) for r in rows])
+    blocks = _blocks(sample, "doc_id", "text").withColumn("words", _split(F.concat_ws(" ", "lines")))
+    # The lines of a wrapped notice are neither unknown nor of a family; only the block is an example.
+    notice = _let(_grams(F.col("words")), lambda g: F.greatest(*[_share(g, f) for f in NOTICES])) >= SHARE
+    rows = blocks.select(notice.alias("notice"), _units(F.col("words"), F.col("lines"), F.col("start")).alias("units"), F.size("lines").alias("n"))
+    rows = rows.select("notice", "n", F.inline("units")).filter("joined or n = 1 or not notice").filter(F.size("words") > 1)
+    return Model([list(r["words"]) for r in rows.orderBy(F.xxhash64("words")).limit(SAMPLE_PARAGRAPHS).select("words").collect()])
 
 
 def find_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model: Model | None = None) -> DataFrame:
     """(doc_id, paragraph, family, probability, share, confirmed) of every
     paragraph that is of a licence family."""
     model = model or fit(docs, doc_id, text)
-    spark = docs.sparkSession
     families = model.families[:-1]
-    literal = lambda words: F.array(*[F.lit(w) for w in words])
-    candidates = _paragraphs(docs, doc_id, text).filter(F.arrays_overlap("words", literal(model.cues)))
+    cued = lambda words: F.arrays_overlap(words, _literal(model.cues))
+    blocks = _blocks(docs, doc_id, text).withColumn("words", _split(F.concat_ws(" ", "lines"))).filter(cued(F.col("words")))
     # A weight per family for each n-gram: a table of the vocabulary's size.
     rows = [(g, [w[i] for w in model.weights]) for i, g in enumerate(model.vocabulary) if any(w[i] for w in model.weights)]
-    weights = F.map_from_arrays(literal([g for g, _ in rows]), F.array(*[F.array(*[F.lit(x) for x in w]) for _, w in rows]))
-    found = candidates.withColumn("grams", F.expr(GRAMS))
+    weights = F.map_from_arrays(_literal([g for g, _ in rows]), F.array(*[F.array(*[F.lit(x) for x in w]) for _, w in rows]))
     zero = F.array(*[F.lit(b) for b in model.bias])
-    own = F.array_intersect("grams", literal([g for g, _ in rows]))
-    scores = F.aggregate(own, zero, lambda acc, g: F.zip_with(acc, F.element_at(weights, g), lambda a, w: a + w))
-    # A lambda's argument is a value, so each step is computed once for a row.
-    let = lambda value, fn: F.element_at(F.transform(F.array(value), fn), 1)
-    powers = let(scores, lambda s: F.transform(s, lambda x: F.exp((x - F.array_max(s)) / model.temperature)))
-    probabilities = let(powers, lambda e: let(F.aggregate(e, F.lit(0.0), lambda a, x: a + x), lambda total: F.transform(e, lambda x: x / total)))
-
-    def best(p: F.Column) -> F.Column:
-        top = F.array_max(F.slice(p, 1, len(families)))
-        return F.struct(top.alias("probability"), F.element_at(literal(families), F.array_position(p, top).cast("int")).alias("family"))
-
-    found = found.withColumn("best", let(probabilities, best)).select("*", "best.*").filter(F.col("probability") > model.threshold)
-    shares = None
-    for f in families:
-        each = [{f"{a} {b}" for a, b in zip(n, n[1:])} for n in map(_words, NOTICES[f])]
-        share = F.greatest(*[F.size(F.array_intersect("grams", literal(sorted(b)))) / F.lit(float(len(b))) for b in each])
-        shares = F.when(F.col("family") == f, share) if shares is None else shares.when(F.col("family") == f, share)
-    found = found.withColumn("share", shares)
-    return found.select("doc_id", "paragraph", "family", F.round("probability", 6).alias("probability"), F.round("share", 6).alias("share"), (F.col("share") >= SHARE).alias("confirmed"))
+
+    def likely(grams: F.Column) -> F.Column:
+        own = F.array_intersect(grams, _literal([g for g, _ in rows]))
+        scores = F.aggregate(own, zero, lambda acc, g: F.zip_with(acc, F.element_at(weights, g), lambda a, w: a + w))
+        powers = _let(scores, lambda s: F.transform(s, lambda x: F.exp((x - F.array_max(s)) / model.temperature)))
+        return _let(powers, lambda e: _let(F.aggregate(e, F.lit(0.0), lambda a, x: a + x), lambda total: F.transform(e, lambda x: x / total)))
+
+    def result(unit: F.Column, family: F.Column, probability: F.Column, share: F.Column) -> F.Column:
+        return F.struct(
+            unit["paragraph"].alias("paragraph"), unit["joined"].alias("joined"), family.alias("family"),
+            F.round(probability, 6).alias("probability"), F.round(share, 6).alias("share"), (share >= SHARE).alias("confirmed"),
+        )
+
+    def of_family(family: F.Column, value) -> F.Column:
+        cases = None
+        for f in families:
+            cases = F.when(family == f, value(f)) if cases is None else cases.when(family == f, value(f))
+        return cases
+
+    def sure(p: F.Column, k) -> F.Column:
+        """A family's probability if only it and the unknown class are asked."""
+        return F.get(p, k) / (F.get(p, k) + F.get(p, F.lit(len(families))))
+
+    def others(unit: F.Column, grams: F.Column, p: F.Column, best: F.Column) -> F.Column:
+        """A block's other families, confirmed by these n-grams."""
+        confirmed = lambda k, f: _let(_share(grams, f), lambda share: F.when(share >= SHARE, result(unit, F.lit(f), sure(p, F.lit(k)), share)))
+        return F.array(*[F.when((best != f) & (sure(p, F.lit(k)) > model.threshold), confirmed(k, f)) for k, f in enumerate(families)])
+
+    def of_unit(unit: F.Column, grams: F.Column, p: F.Column) -> F.Column:
+        def found(k: F.Column, family: F.Column, share: F.Column) -> F.Column:
+            own = share >= SHARE
+            best = F.when(F.get(p, k) > model.threshold, result(unit, family, F.get(p, k), share)).when(unit["joined"] & own & (sure(p, k) > model.threshold), result(unit, family, sure(p, k), share))
+            notices = of_family(family, lambda f: _literal(sorted({g for b in _known(f) for g in b})))
+            rest = _let(F.when(own, F.array_except(grams, notices)).otherwise(grams), lambda g: others(unit, g, p, family))
+            return F.filter(F.when(unit["joined"], F.concat(F.array(best), rest)).otherwise(F.array(best)), F.isnotnull)
+
+        top = F.slice(p, 1, len(families))
+        place = F.array_position(top, F.array_max(top)).cast("int") - 1
+        return _let(place, lambda k: _let(F.get(_literal(families), k), lambda f: _let(of_family(f, lambda name: _share(grams, name)), lambda share: found(k, f, share))))
+
+    scored = F.flatten(F.transform(F.filter(_units(F.col("words"), F.col("lines"), F.col("start")), lambda u: cued(u["words"])), lambda u: _let(_grams(u["words"]), lambda g: _let(likely(g), lambda p: of_unit(u, g, p)))))
+
+    def told(found: F.Column) -> F.Column:
+        """Each family of a block once: see the module's text."""
+        some = lambda r, joined, confirmed=None: F.exists(found, lambda o: (o["family"] == r["family"]) & (o["joined"] == joined) & (F.lit(True) if confirmed is None else o["confirmed"]))
+        block = lambda r: F.when(r["confirmed"], ~some(r, False, True)).otherwise(~some(r, False))
+        line = lambda r: r["confirmed"] | some(r, False, True) | ~some(r, True, True)
+        return F.filter(found, lambda r: F.when(r["joined"], block(r)).otherwise(line(r)))
+
+    found = blocks.select("doc_id", scored.alias("found")).filter(F.size("found") > 0)
+    return found.select("doc_id", F.explode(_let(F.col("found"), told)).alias("r")).select("doc_id", "r.paragraph", "r.family", "r.probability", "r.share", "r.confirmed")

@@ -35,3 +35,27 @@ def test_empty_table_and_native_plan(spark):
     df = L.find_licenses(spark.createDataFrame([(1, "x")], "doc_id long, text string").filter("doc_id > 0"), model=L.Model([]))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+WRAPPED = {
+    "MIT": """/*
+ * Permission is hereby granted, free of charge, to any person obtaining a copy
+ * of this software and associated documentation files (the "Software"), to deal
+ * in the Software without restriction, including without limitation the rights
+ */""",
+    "BSD": """# Redistribution and use in source and binary forms, with or without
+# modification, are permitted provided that the following conditions are met:""",
+    "GPL": """// This program is free software: you can redistribute it and/or modify
+// it under the terms of the GNU General Public License as published by
+// the Free Software Foundation, either version 3 of the License, or""",
+}
+
+
+def test_wrapped_notices_are_found_as_blocks(spark):
+    docs = list(enumerate(PROSE)) + [(100 + i, f"ander whed or\n\n{t}\n\nthe hant re ingble") for i, t in enumerate(WRAPPED.values())]
+    starts = {"MIT": 3, "BSD": 2, "GPL": 2}
+    assert [r for r in found(spark, docs) if r[3]] == [(100 + i, starts[f], f, True) for i, f in enumerate(WRAPPED)]
+    # No empty line between them, beside a one-line notice, and in most texts of the corpus.
+    both = "\n".join([*WRAPPED["MIT"].split("\n")[1:4], WRAPPED["BSD"], "Licensed under CC BY-NC 4.0."])
+    docs = list(enumerate(PROSE)) + [(100 + i, both) for i in range(20)]
+    assert [r for r in found(spark, docs) if r[3]] == [r for i in range(20) for r in ((100 + i, 0, "BSD", True), (100 + i, 0, "MIT", True), (100 + i, 5, "CC", True))]
