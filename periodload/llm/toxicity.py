@@ -322,25 +322,43 @@ def score_texts(texts: pa.Array, network: Network, vocabulary: Vocabulary, hashe
 
 
 # ------------------------------------------------------------------------- Spark
+def _fitting(sizes: list[tuple[int, int]], limit: int) -> set[int]:
+    """Places in ``sizes`` (label, bytes) of what stays within ``limit``: the
+    smallest text of each class, then each class in order up to half of the
+    limit, then what still fits in order. A text that doesn't fit is passed over."""
+    taken: dict[int, int] = {}
+    for label in {k for k, _ in sizes}:
+        n, i = min((n, i) for i, (k, n) in enumerate(sizes) if k == label)
+        taken[i] = n
+    if sum(taken.values()) > limit:
+        raise ValueError(f"no labelled text of each class fits in a training sample of {limit} bytes")
+    used = {k: sum(taken[i] for i in taken if sizes[i][0] == k) for k, _ in sizes}
+    for own in (True, False):
+        for i, (k, n) in enumerate(sizes):
+            if i not in taken and sum(used.values()) + n <= limit and (not own or used[k] + n <= limit // 2):
+                taken[i] = n
+                used[k] += n
+    return set(taken)
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, held_out: F.Column, doc_id: str, text: str, label: str, sample: int = SAMPLE, limit: int = SAMPLE_BYTES) -> tuple[list[str], np.ndarray]:
     """Texts and labels of at most ``sample`` documents of each class and
-    ``limit`` bytes of text, from the labels that aren't held out."""
-    usable = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label")).filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).filter(~held_out)
+    ``limit`` bytes of text, from the labels that aren't held out; one text for
+    each id and label."""
+    usable = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label")).filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).filter(~held_out).distinct()
     order = F.xxhash64("doc_id", F.lit(17))
     few = usable.filter("label = 1").orderBy(order).limit(sample).union(usable.filter("label = 0").orderBy(order).limit(sample))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).join(F.broadcast(few), "doc_id").select("label", "text", order.alias("order"))
-    texts, toxic, used = [], [], 0
-    sizes = rows.select("order", F.octet_length("text").alias("n")).orderBy("order").collect()  # 2 * sample rows
-    last = None
-    for r in sizes:
-        used += r["n"] or 0
-        if used > limit:
-            break
-        last = r["order"]
-    for r in sorted(rows.filter(F.col("order") <= last).collect(), key=lambda r: (r["order"], r["text"] or "")) if last is not None else []:
-        texts.append(r["text"] or "")
-        toxic.append(r["label"] == 1)
-    return texts, np.array(toxic, bool)
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).join(F.broadcast(few), "doc_id").groupBy(order.alias("order"), "label").agg(F.min("text").alias("text"))
+    sizes = rows.select("order", "label", F.octet_length("text").alias("n")).orderBy("order", "label").collect()  # 2 * sample rows
+    fitting = _fitting([(r["label"], r["n"] or 0) for r in sizes], limit)
+    chosen = {(r["order"], r["label"]) for i, r in enumerate(sizes) if i in fitting}
+    found = []
+    for k in (0, 1):
+        orders = [o for o, label in chosen if label == k]
+        for r in rows.filter((F.col("label") == k) & F.col("order").isin(orders)).collect() if orders else []:
+            found.append((r["order"], k, r["text"] or ""))
+    found.sort()
+    return [t for _, _, t in found], np.array([k == 1 for _, k, _ in found], bool)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:

@@ -81,3 +81,16 @@ def test_scores_do_not_depend_on_the_batch():
     together = X.score_texts(pa.array([t for _, t in docs]), net, vocabulary, X.Hasher(21))
     alone = [X.score_texts(pa.array([t]), net, vocabulary, X.Hasher(21))[0] for _, t in docs[:20]]
     assert np.allclose(together[:20], alone, atol=1e-5)
+
+
+def test_long_and_repeated_documents_leave_the_others_in_the_sample(spark):
+    labels = spark.createDataFrame([(d, d % 2) for d in range(40)], "doc_id long, toxic int")
+    order = [r[0] for r in labels.orderBy(F.xxhash64("doc_id", F.lit(17))).collect()]
+    docs = [(d, "x" * 2000 if d == order[0] else f"text {d:02d}") for d in range(40)] + [(order[1], f"text {order[1]:02d}")] * 500
+    args = (spark.createDataFrame(docs, "doc_id long, text string"), labels.union(labels), F.lit(False), "doc_id", "text", "toxic")
+    texts, toxic = X.training_sample(*args, limit=1000)
+    assert texts == [f"text {d:02d}" for d in order[1:]] and toxic.tolist() == [d % 2 == 1 for d in order[1:]]
+    texts, toxic = X.training_sample(*args, limit=70)
+    assert len(texts) == 10 and toxic.sum() == 5
+    with np.testing.assert_raises(ValueError):
+        X.training_sample(args[0].withColumn("text", F.repeat("text", 100)), *args[1:], limit=70)
