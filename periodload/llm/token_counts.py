@@ -104,14 +104,16 @@ def frequent_pieces(texts: DataFrame, model: str, most: int = FREQUENT) -> pd.Da
             yield pa.RecordBatch.from_arrays([pa.array(found.text(best), pa.string()), pa.array(count[best], pa.int64())], names=["word", "n"])
 
     counted = texts.mapInArrow(nominate, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    # The least count that keeps the table within its bound.
-    steps = counted.groupBy(F.least(F.col("n"), F.lit(10_000)).alias("n")).count().orderBy(F.desc("n")).collect()
-    total, least = 0, 10_001
+    # The least count that keeps the table within its bound; large counts by
+    # their first 13 bits, so that the driver gets a bounded number of them.
+    counted = counted.withColumn("step", F.expr("if(n < 10000, n, shiftleft(shiftright(n, int(log2(n)) - 12), int(log2(n)) - 12))"))
+    steps = counted.groupBy("step").count().orderBy(F.desc("step")).collect()
+    total, least = 0, None
     for r in steps:
         total += r["count"]
         if total > most:
             break
-        least = r["n"]
+        least = r["step"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         loaded, hashers = load(model), _hashers()
@@ -121,7 +123,7 @@ def frequent_pieces(texts: DataFrame, model: str, most: int = FREQUENT) -> pd.Da
             keys = [h.spans(data, offsets[:-1], offsets[1:]).view(np.int64) for h in hashers]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*keys, n)], names=["key", "check", "n"])
 
-    return counted.filter(F.col("n") >= least).select("word").mapInArrow(count, "key long, check long, n long").toPandas()
+    return counted.filter(F.lit(False) if least is None else F.col("step") >= least).select("word").mapInArrow(count, "key long, check long, n long").toPandas()
 
 
 def count_tokens(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -97,3 +97,12 @@ def test_pre_tokens_of_a_chunk():
     found = C.PreTokens(pa.array([" a  b", None, "a ", "b"]), C._hashers())
     words = found.text(np.arange(len(found.keys)))
     assert [words[c] for c in found.codes] == [" a", " b", "a", "", "b"]
+
+
+def test_frequent_pieces_keep_their_bound_above_10000(spark):
+    def frequent(counts, most):
+        text = "".join(f"w{i} " * n for i, n in enumerate(counts))
+        return C.frequent_pieces(spark.createDataFrame([(text,)], "text string"), PIECES, most)
+
+    assert 1 <= len(frequent([10_100 + 100 * i for i in range(10)], 5)) <= 5
+    assert len(frequent([10_500] * 10, 5)) == 0
