@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_run_id, staging_root
-from . import decontaminate, licenses, minhash, packing, pii, quality, token_counts, tokenfile, toxicity, urlgraph
+from . import decontaminate, exactdedup, licenses, merkle, minhash, packing, pii, quality, resample, token_counts, tokenfile, toxicity, urlgraph
 from .frames import read
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -79,10 +79,23 @@ def op10_url_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdedup.exact_duplicates(read(spark, sf_dir, "documents"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontamination, op2_toxicity, op3_licenses, op4_pii, op5_packing,
         op6_minhash, op7_quality, op8_token_file, op9_token_counts, op10_url_graph,
+        op11_resampling, op12_exact_dedup, op13_merkle,
     )
 }
 SQL: dict[str, str] = {
@@ -90,4 +103,7 @@ SQL: dict[str, str] = {
     "op6_minhash": minhash.SQL,
     "op7_quality": quality.SQL,
     "op10_url_graph": urlgraph.sql(urlgraph.parse_rules(URL_RULES)),
+    "op11_resampling": resample.SQL,
+    "op12_exact_dedup": exactdedup.SQL,
+    "op13_merkle": merkle.SQL,
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -144,3 +145,68 @@ def quality(text):
         if windows[tuple(words[i : i + 3])] > 1:
             repeated.update((i, i + 1, i + 2))
     return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dups, len(repeated)
+
+
+# ------------------------------------------------------------------- resampling
+def grams(text, least, most):
+    words = NORMAL_WORD.findall(lower(text or ""))
+    return len(words), [" ".join(words[i : i + n]) for n in range(least, most + 1) for i in range(len(words) - n + 1)]
+
+
+def resample(docs, target, least=1, most=1, buckets=10_000, percent=10, least_words=20, seed=2024):
+    """doc -> (n_features, weight, score, rank); doc ids are distinct."""
+    bag = lambda text: Counter(zlib.crc32(g.encode()) % buckets for g in grams(text, least, most)[1])
+    source, aim = sum((bag(t) for _, t in docs), Counter()), sum((bag(t) for t in target), Counter())
+    s_all, t_all = source.total(), aim.total()
+    gain = [math.floor(1000 * math.log((aim[b] + 1) * (s_all + buckets) / ((source[b] + 1) * (t_all + buckets)))) for b in range(buckets)]
+    out, long_enough = {}, []
+    for d, text in docs:
+        each = bag(text)
+        weight = sum(gain[b] * n for b, n in each.items())
+        h = int(hashlib.sha256(f"{seed}:{d}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        out[d] = (each.total(), weight, score, None)
+        if grams(text, 1, 1)[0] >= least_words:
+            long_enough.append((-score, d))
+    for place, (_, d) in enumerate(sorted(long_enough)[: len(long_enough) * percent // 100], 1):
+        out[d] = (*out[d][:3], place)
+    return out
+
+
+# ----------------------------------------------------------------------- merkle
+def merkle(rows, fanout=16):
+    """(doc_id, leaf, subroot, root, proof_sha256, folded_root, verified) of
+    rows (doc_id, source, lang, n_chars, text)."""
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    leaf = lambda r: sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in r))
+
+    def tree(digests):
+        """(top, path of each leaf: its run and place there, level by level)."""
+        paths, at, level = [[] for _ in digests], list(range(len(digests))), digests
+        while len(level) > 1:
+            level_runs = [level[i : i + fanout] for i in range(0, len(level), fanout)]
+            for p, i in enumerate(at):
+                paths[p].append((level_runs[i // fanout], i % fanout))
+            at, level = [i // fanout for i in at], [sha("".join(r)) for r in level_runs]
+        return level[0], paths
+
+    by_source = defaultdict(list)
+    for r in rows:
+        by_source[r[1]].append((r[0] is not None, r[0] or 0, leaf(r), r))
+    sources = sorted(by_source, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {s: tree([x[2] for x in sorted(by_source[s], key=lambda x: x[:3])]) for s in sources}
+    if not sources:
+        return []
+    root, tops = tree([trees[s][0] for s in sources])
+    out = []
+    for s, top in zip(sources, tops):
+        for (_, _, digest, r), path in zip(sorted(by_source[s], key=lambda x: x[:3]), trees[s][1]):
+            folded = digest
+            if r[0] is not None and zlib.crc32(str(r[0]).encode()) % 5 == 0:
+                folded = leaf((*r[:4], None if r[4] is None else lower(r[4])))
+            proof = ""
+            for run, i in path + top:
+                proof += "".join(run[:i] + run[i + 1 :])
+                folded = sha("".join([*run[:i], folded, *run[i + 1 :]]))
+            out.append((r[0], digest, trees[s][0], root, sha(proof), folded, folded == root))
+    return out
