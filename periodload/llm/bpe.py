@@ -8,11 +8,16 @@ the tokenizers library has to encode a part only once per task.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import contextlib
+import os
+import sys
+import types
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 
 from .arrays import Hasher, runs
 
@@ -77,6 +82,28 @@ def _byte_chars() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(rest)}
 
 
+#: A module of the worker process itself: this package travels by value, so
+#: its own globals last for one task only.
+_WORKER = "_periodload_llm_worker"
+
+
+@contextlib.contextmanager
+def part_table(path: str) -> Iterator[PartTable]:
+    """The worker process's table for ``path``: loaded once, kept for later tasks.
+
+    A task owns one core, so the library may start no thread pool; at the
+    task's end unused Arrow memory goes back to the system.
+    """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    tables = sys.modules.setdefault(_WORKER, types.ModuleType(_WORKER)).__dict__.setdefault("tables", {})
+    if path not in tables:
+        tables[path] = PartTable(path)
+    try:
+        yield tables[path]
+    finally:
+        pa.default_memory_pool().release_unused()
+
+
 class PartTable:
     """Ids of the distinct parts seen so far by a task, laid end to end.
 

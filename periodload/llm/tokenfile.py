@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrays import chunks, utf8
-from .bpe import TEXT_BYTES, PartTable
+from .bpe import TEXT_BYTES, part_table
 from .frames import BINARY_ROW_GROUP, lists, merged_tasks, small_batches, written
 
 MAX_BITS = 16
@@ -137,16 +137,17 @@ def _ordered_blocks(docs: DataFrame, tokenizer: str, dtype: str, end_id: int, do
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        table, first = PartTable(tokenizer), 0
-        for number, batch in enumerate(chunks(batches, 1, BLOCK_BYTES)):
-            ids, offsets = table.encode(*utf8(batch.column(1)))
-            n = batch.num_rows
-            ids = np.insert(ids.astype(dtype), offsets[1:], end_id)
-            sizes = np.diff(offsets) + 1
-            values = [TaskContext.get().partitionId(), number, first, len(ids)]
-            arrays = [pa.array([v], f.type) for v, f in zip(values, [pa.field("", t) for t in (pa.int32(), pa.int32(), pa.int64(), pa.int64())])]
-            yield pa.RecordBatch.from_arrays([*arrays, lists(batch.column(0), [n]), lists(pa.array(sizes), [n]), pa.array([ids.tobytes()], pa.binary())], names=schema.names)
-            first += len(ids)
+        first = 0
+        with part_table(tokenizer) as table:
+            for number, batch in enumerate(chunks(batches, 1, BLOCK_BYTES)):
+                ids, offsets = table.encode(*utf8(batch.column(1)))
+                n = batch.num_rows
+                ids = np.insert(ids.astype(dtype), offsets[1:], end_id)
+                sizes = np.diff(offsets) + 1
+                values = [TaskContext.get().partitionId(), number, first, len(ids)]
+                arrays = [pa.array([v], f.type) for v, f in zip(values, [pa.field("", t) for t in (pa.int32(), pa.int32(), pa.int64(), pa.int64())])]
+                yield pa.RecordBatch.from_arrays([*arrays, lists(batch.column(0), [n]), lists(pa.array(sizes), [n]), pa.array([ids.tobytes()], pa.binary())], names=schema.names)
+                first += len(ids)
 
     return ordered.mapInArrow(run, schema)
 
