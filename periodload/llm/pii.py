@@ -158,12 +158,22 @@ def account_after(text: str, at: int) -> tuple[int, int] | None:
     return (begin, end) if digits >= 4 and 6 <= end - begin <= 20 else None
 
 
-def login_after(text: str, at: int) -> tuple[int, int] | None:
-    """``user:password`` between a scheme that ends at ``at`` and an at-sign."""
-    end = at
-    while end < len(text) and text[end] not in " \t\r\n/?#@\"'<>":
-        end += 1
-    return (at, end) if end < len(text) and text[end] == "@" and ":" in text[at + 1 : end] else None
+class Logins:
+    """``user:password`` between a scheme and an at-sign. A scheme within the
+    stretch that the last one was followed by needs no scan of its own."""
+
+    def __init__(self, text: str):
+        self.text, self.end, self.colon = text, -1, -1
+
+    def after(self, at: int) -> tuple[int, int] | None:
+        """The login right after a scheme that ends at ``at``, which ascends."""
+        text = self.text
+        if at > self.end:
+            end = at
+            while end < len(text) and text[end] not in " \t\r\n/?#@\"'<>":
+                end += 1
+            self.end, self.colon = end, text.rfind(":", at, end)
+        return (at, self.end) if self.end < len(text) and text[self.end] == "@" and self.colon > at else None
 
 
 def _cases(words: tuple[str, ...]) -> set[str]:
@@ -185,6 +195,7 @@ def find_spans(text: str, automaton) -> list[tuple[int, str, int]]:
     """(start, kind, end) by start, then kind as in KINDS."""
     spans: list[tuple[int, str, int]] = []
     done = dict.fromkeys(KINDS, 0)
+    logins = Logins(text)
     for last, (kind, size) in automaton.iter(text):
         at = last + 1 - size
         if kind == "0":
@@ -218,7 +229,7 @@ def find_spans(text: str, automaton) -> list[tuple[int, str, int]]:
             if (at == 0 or text[at - 1] not in ALNUM) and (found := account_after(text, last + 1)) and found[0] >= done["account"]:
                 done["account"] = found[1]
                 spans.append((found[0], "account", found[1]))
-        elif (found := login_after(text, last + 1)) and found[0] >= done["login"]:
+        elif (found := logins.after(last + 1)) and found[0] >= done["login"]:
             done["login"] = found[1]
             spans.append((found[0], "login", found[1]))
     spans.sort(key=lambda s: (s[0], KINDS.index(s[1])))

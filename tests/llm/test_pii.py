@@ -57,3 +57,19 @@ def test_digest_and_redaction(spark):
     texts = {r["doc_id"]: r["text"] for r in red.collect()}
     assert texts[1] == "write to [EMAIL] or [PHONE]." and texts[2] is None and texts[3] == "" and texts[None] == "[IP]"
     assert pii.personal_data_digest(pii.find_personal_data(df.limit(0))).collect() == []
+
+
+def test_time_grows_in_proportion_on_repeats_of_each_anchor():
+    import time
+
+    automaton = pii._automaton()
+    for part in [*pii.SCHEMES, *pii.CUES, "@", "+1", "+1(", "1", "1.", "1 ", "a@b.", "a@", "GB82", "id: 1", "mailto:a:"]:
+        begin = time.process_time()
+        pii.find_spans(part * (400_000 // len(part)), automaton)
+        assert time.process_time() - begin < 8, part
+
+
+def test_a_scheme_within_the_stretch_of_another():
+    spans = lambda t: {(k, t[a:b]) for a, k, b in pii.find_spans(t, pii._automaton())}
+    assert ("login", "mailto:me:pw") in spans("mailto:mailto:me:pw@host")
+    assert spans("mailto:mailto:") == set()
