@@ -31,11 +31,13 @@ MAX_DUP_LINES = 0.3
 HOST_LIMIT = 0.5
 BROADCAST_HOSTS = 100_000
 
-#: A 3-word window's hash in the upper bits of a long and its position in as
-#: many lower bits as the text's length needs; equal windows sort together.
+#: The hash and position of each 3-word window; equal windows sort together.
 _KEYS = """if(size(words) < 3, array(), transform(sequence(0, size(words) - 3), i ->
-    shiftleft(xxhash64(get(words, i), get(words, i + 1), get(words, i + 2)), length(bin(size(words)))) | cast(i as bigint)))"""
-_REPEATED = """filter(sorted, (k, j) -> shiftright(k, low) = shiftright(get(sorted, j - 1), low) or shiftright(k, low) = shiftright(get(sorted, j + 1), low))"""
+    struct(xxhash64(get(words, i), get(words, i + 1), get(words, i + 2)) as h, i as i)))"""
+#: Windows that equal the one before or after: by hash, then word by word.
+_SAME = """k.h = get(sorted, {0}).h and get(words, k.i) = get(words, get(sorted, {0}).i)
+    and get(words, k.i + 1) = get(words, get(sorted, {0}).i + 1) and get(words, k.i + 2) = get(words, get(sorted, {0}).i + 2)"""
+_REPEATED = f"""filter(sorted, (k, j) -> ({_SAME.format("j - 1")}) or ({_SAME.format("j + 1")}))"""
 #: Words that repeated windows cover: up to three each, less where the next one begins.
 _COVERED = """aggregate(transform(starts, (s, j) -> least(3L, coalesce(get(starts, j + 1), s + 3) - s)), 0L, (a, x) -> a + x)"""
 
@@ -54,16 +56,15 @@ def measure(docs: DataFrame, text: str = "text", name: str = "quality") -> DataF
         F.length(F.regexp_replace(value, r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
     )
     row = row.select(
-        "row", "n_symbols",
+        "row", "n_symbols", "words",
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.length(F.bin(F.size("words"))).alias("low"),
         F.sort_array(F.expr(_KEYS)).alias("sorted"),
     )
     row = row.withColumn("repeated", F.expr(_REPEATED))
-    row = row.withColumn("starts", F.when(F.size("repeated") > 0, F.sort_array(F.expr("transform(repeated, k -> k & (shiftleft(1L, low) - 1))"))).otherwise(F.array().cast("array<bigint>")))
+    row = row.withColumn("starts", F.when(F.size("repeated") > 0, F.sort_array(F.expr("transform(repeated, k -> cast(k.i as bigint))"))).otherwise(F.array().cast("array<bigint>")))
     row = row.withColumn("n_repeat_words", F.expr(_COVERED))
     n = F.col("n_words")
     short, repeated = n < MIN_WORDS, F.col("n_repeat_words") > MAX_REPEATED * n

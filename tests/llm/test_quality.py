@@ -49,3 +49,16 @@ def test_plan_has_no_python(spark):
     df = spark.createDataFrame([(1, "h", "a b c")], "doc_id long, source string, text string").filter(F.col("doc_id") > 0)
     plan = Q.measure(df)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and plan.count("split(") < 8
+
+
+def test_windows_with_equal_hashes_are_told_apart(spark, monkeypatch):
+    docs = [(0, "a b c d e f g h"), (1, "a b c x y a b c"), (2, "a a a a")]
+    monkeypatch.setattr(Q, "_KEYS", Q._KEYS.replace("xxhash64(get(words, i), get(words, i + 1), get(words, i + 2))", "if(i < 3, 7L, cast(i as bigint))"))
+    got = {r["doc_id"]: r["quality"]["n_repeat_words"] for r in Q.measure(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got[0] == got[1] == 0 and got[2] == 4  # windows 0 to 2 share a hash; those of the last text are equal
+
+
+def test_a_single_line_of_many_words(spark):
+    words = [f"w{i % 70_000}" for i in range(100_000)]
+    row = Q.measure(spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string")).first()["quality"]
+    assert (row["n_words"], row["n_repeat_words"]) == (100_000, 60_000)
