@@ -38,7 +38,7 @@ from ..sources.staging import Staging
 from .exchange import all_keys_set
 
 VALID_FROM, VALID_TO, IS_OPEN = "valid_from", "valid_to", "is_open"
-PENDING = f"{tb.PROP_PREFIX}snapshot.pending"
+PENDING = "snapshot.pending"
 
 
 class SnapshotError(ValueError):
@@ -109,24 +109,20 @@ def _publish(spark: SparkSession, table: str, rows: DataFrame, keys: Sequence[st
         # from reading the whole closed history
         there = spark.table(table).where(~F.col(IS_OPEN) & (F.col(VALID_TO) >= ntz(least))).select(*keys, VALID_FROM)
         closed.join(there, [*keys, VALID_FROM], "left_anti").select(*cols).write.insertInto(table)
+    still_open = rows.where(F.col(IS_OPEN))
+    if still_open.isEmpty():  # an overwrite with no rows would leave the old open partition
+        spark.sql(f"ALTER TABLE {tb.quote_table(table)} DROP IF EXISTS PARTITION ({IS_OPEN} = true)")
+        return
     with dynamic_overwrite(spark, table):
-        rows.where(F.col(IS_OPEN)).select(*cols).write.insertInto(table, overwrite=True)
-
-
-def _note(spark: SparkSession, table: str, path: str | None) -> None:
-    key = tb.sql_string(PENDING)
-    if path is None:
-        spark.sql(f"ALTER TABLE {tb.quote_table(table)} UNSET TBLPROPERTIES IF EXISTS ({key})")
-    else:
-        spark.sql(f"ALTER TABLE {tb.quote_table(table)} SET TBLPROPERTIES ({key} = {tb.sql_string(path)})")
+        still_open.select(*cols).write.insertInto(table, overwrite=True)
 
 
 def _finish_interrupted(spark: SparkSession, table: str, keys: Sequence[str]) -> None:
     """Complete the writes of a run that died after it noted its rows."""
-    path = tb.table_properties(spark, table).get(PENDING)
+    path = tb.stored_spec_properties(spark, table).get(PENDING)
     if path:
         _publish(spark, table, spark.read.parquet(path), keys)
-        _note(spark, table, None)
+        tb.set_property(spark, table, PENDING, None)
         hadoop_delete(spark, path)
 
 
@@ -168,8 +164,8 @@ def snapshot_merge(spark: SparkSession, source: DataFrame, table: str, keys: Seq
         was = open_rows.where(F.col(VALID_FROM) == at).count()
         opened = counts["at"] - was if counts["closed"] == 0 else counts["at"]
         if counts["closed"] or opened:  # else the history stays as it is: no partition is rewritten
-            _note(spark, table, path)
+            tb.set_property(spark, table, PENDING, path)
             _publish(spark, table, rows, keys)
-            _note(spark, table, None)
+            tb.set_property(spark, table, PENDING, None)
         hadoop_delete(spark, path)
         return {"open": counts["open"], "closed": counts["closed"], "opened": opened}

@@ -42,6 +42,7 @@ from ..sources import tables as tb
 from ..sources.staging import Staging
 from ..session import hadoop_delete, hadoop_empty, new_run_id
 from ..spec import LoadSpec, SpecError
+from .publish import carry_out, decide, finish_interrupted, publish_moved
 from .report import build_report
 
 log = logging.getLogger("periodload")
@@ -260,11 +261,12 @@ def _write(spark: SparkSession, content: DataFrame, spec: LoadSpec, overwrite: b
 
 
 def _publish_swap(spark: SparkSession, content: DataFrame, spec: LoadSpec, periods: list,
-                  existing: set, run_id: str) -> None:
+                  existing: set, run_id: str, dropped: list = ()) -> None:
     """P11 by swap: the new content of every touched period is written once,
-    in one job, to fresh directories under the table's location; then each
-    partition is re-pointed at its directory (metadata only) and the old
-    directories are removed, as the reference drops its swap tables.
+    in one job, to fresh directories under the table's location; then all
+    partitions are re-pointed at their directories (metadata only, one catalog
+    call) and the old directories are removed, as the reference drops its swap
+    tables. A load that dies on the way is finished by the next (``publish``).
 
     Readers see a period switch from old to new content at once. Partition
     locations live in the catalog, so such a table must not be rebuilt by
@@ -272,20 +274,12 @@ def _publish_swap(spark: SparkSession, content: DataFrame, spec: LoadSpec, perio
     """
     if tb.bucketing(spark, spec.table):
         raise SpecError("publish='swap' is not available for bucketed tables")
-    location = _table_location(spark, spec.table)
-    root = f"{location}/swap/{run_id}"
     cols = tb.target_columns(spark, spec.table)
     out = content.select(*cols)
     if spec.rebalance:
         out = distribute_for_write(out, spec.period_col, _target_dist_keys(spark, spec))
     opts = {k: v for k, v in tb.storage_properties(spark, spec.table).items() if k != "partitionOverwriteMode"}
-    out.write.options(**opts).partitionBy(spec.period_col).parquet(root)
-    old = {p: tb.partition_location(spark, spec.table, spec.period_col, p) for p in periods if p in existing}
-    new = {p: f"{root}/{spec.period_col}={p.isoformat()}" for p in periods}
-    tb.point_partitions(spark, spec.table, spec.period_col, new, existing)
-    for path in old.values():
-        if path.rstrip("/").startswith(location + "/"):
-            hadoop_delete(spark, path)
+    publish_moved(spark, out, spec.table, tb.table_location(spark, spec.table), run_id, spec.period_col, periods, existing, opts, dropped)
 
 
 def _finish(spark: SparkSession, spec: LoadSpec, periods: list = ()) -> None:
@@ -295,13 +289,7 @@ def _finish(spark: SparkSession, spec: LoadSpec, periods: list = ()) -> None:
 _CLOCK_FUNCTIONS = ("current_timestamp(", "current_date(", "now(", "localtimestamp(", "current_time(")
 
 
-def _table_location(spark: SparkSession, table: str) -> str | None:
-    if not tb.table_exists(spark, table):
-        return None
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {tb.quote_table(table)}").where(
-        F.col("col_name") == "Location"
-    ).collect()
-    return rows[0]["data_type"].rstrip("/") if rows else None
+_table_location = tb.table_location
 
 
 def _leaves(plan) -> list:
@@ -354,7 +342,7 @@ def _stage(spark: SparkSession, prepared: DataFrame, spec: LoadSpec, staging: St
         return prepared
     if reads_many or delta is None:
         return staging.stage(prepared)
-    if safe_to_reread(spark, delta, _table_location(spark, spec.table)):
+    if safe_to_reread(spark, delta, tb.table_location(spark, spec.table)):
         return prepared
     return staging.stage(prepared)
 
@@ -595,7 +583,8 @@ def run(spark: SparkSession, delta: DataFrame, spec: LoadSpec, run_id: str | Non
     if not tb.table_exists(spark, spec.table):
         return first_load(spark, delta, spec, run_id)
     if spec.partitioned:
-        tb.assert_partitioned_target(spark, spec)
+        stored = tb.assert_partitioned_target(spark, spec)
+        finish_interrupted(spark, spec.table, stored, lambda content: _write(spark, content, spec, overwrite=True))
     strategy = {
         "exchange_partition": _exchange,
         "append": _append,
@@ -757,8 +746,12 @@ def _delete_insert(spark, delta, spec, run_id) -> LoadResult:
         emptied = [p for p in periods if p not in stats.rows_by_period and matched.get(p, 0) >= before.get(p, 0)]
         target_slice = _period_filter(target, spark, spec.period_col, periods, spec.max_inline_periods)
         content = delete_insert_content(staged, target_slice, keys, buckets, None if buckets else small)
-        _write(spark, content, spec, overwrite=True, aligned=bool(buckets))
-        tb.drop_partitions(spark, spec.table, spec.period_col, emptied)
+        if spec.publish == "swap":
+            left = [p for p in periods if p not in emptied]
+            _publish_swap(spark, content, spec, left, set(before), st.run_id, emptied)
+        else:
+            _write(spark, content, spec, overwrite=True, aligned=bool(buckets))
+            tb.drop_partitions(spark, spec.table, spec.period_col, emptied)
         after = _footer_counts(spark, spec.table, spec.period_col, periods, spec.max_inline_periods)
         _finish(spark, spec, [p for p in periods if p not in emptied])
     rows = []
@@ -790,9 +783,10 @@ def _delete_insert_flat(spark, delta, spec, run_id) -> LoadResult:
 def _truncate_insert(spark, delta, spec, run_id) -> LoadResult:
     """The target ends up holding exactly the delta's rows.
 
-    Unpartitioned: one static overwrite. Partitioned: dynamic overwrite of the
-    delta's periods, then the other partitions are dropped in one catalog
-    call. The delta is staged first, so it may read the target.
+    Unpartitioned: one static overwrite. Partitioned: the delta's periods are
+    replaced and all other partitions dropped, all of it or nothing: the delta
+    is staged first (so it may read the target), and a note of what is to
+    change lets the next run finish one that died in between.
     """
     with Staging(spark, spec.table, spec.staging_dir, run_id) as st:
         staged, stats, warning = _checked_stats(spark, delta, spec, st)
@@ -801,10 +795,18 @@ def _truncate_insert(spark, delta, spec, run_id) -> LoadResult:
         if spec.partitioned:
             existing = [r[0] for r in tb.existing_periods(spark, spec.table, spec.period_col).collect()]
             before = _footer_counts(spark, spec.table, spec.period_col, existing, spec.max_inline_periods)
-            if stats.total:
-                _write(spark, staged, spec, overwrite=True)
             stale = [p for p in existing if p not in stats.rows_by_period]
-            tb.drop_partitions(spark, spec.table, spec.period_col, stale)
+            if not stats.total:
+                tb.drop_partitions(spark, spec.table, spec.period_col, stale)
+            elif spec.publish == "swap":
+                _publish_swap(spark, staged, spec, stats.periods, set(existing), st.run_id, stale)
+            elif st.kept("delta"):  # the staged delta outlives this run if it dies
+                location = tb.table_location(spark, spec.table)
+                note = decide(spark, spec.table, location, st.run_id, spec.period_col, content=st.keep("delta"), dropped=stale)
+                carry_out(spark, spec.table, note, lambda content: _write(spark, content, spec, overwrite=True))
+            else:
+                _write(spark, staged, spec, overwrite=True)
+                tb.drop_partitions(spark, spec.table, spec.period_col, stale)
             periods = sorted(set(existing) | set(stats.periods))
             rows = [
                 (p, stats.rows_by_period.get(p, 0), before.get(p, 0), stats.rows_by_period.get(p, 0),

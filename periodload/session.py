@@ -57,6 +57,35 @@ def hadoop_empty(spark: SparkSession, path: str) -> bool:
     return not fs.exists(jpath) or len(fs.listStatus(jpath)) == 0
 
 
+def hadoop_write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file through the cluster's file system; readers see
+    the whole file or none (written beside ``path``, then renamed)."""
+    jvm = spark.sparkContext._jvm
+    target, beside = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(path + ".tmp")
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(beside, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if not fs.rename(beside, target):
+        raise OSError(f"can't write {path}")
+
+
+def hadoop_read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file as written above; None if it isn't there."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(jpath):
+        return None
+    stream = fs.open(jpath)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "periodload"):
     """A local session configured like the tests and the benchmark.
 

@@ -50,6 +50,7 @@ class Staging:
         self.run_id = run_id or new_run_id()
         self.path = f"{_table_dir(spark, table, root)}/{self.run_id}"
         self._written: list[str] = []
+        self._leave: str | None = None
 
     def stage(self, df: DataFrame, name: str = "delta") -> DataFrame:
         """Write ``df`` once as Parquet and return a reader over the files."""
@@ -58,7 +59,18 @@ class Staging:
         self._written.append(out)
         return self.spark.read.parquet(out)
 
+    def kept(self, name: str) -> bool:
+        """Whether ``name`` has been staged by this run."""
+        return f"{self.path}/{name}" in self._written
+
+    def keep(self, name: str) -> str:
+        """The path of a staged table that ``cleanup`` leaves: whoever finishes the load removes it."""
+        self._leave = f"{self.path}/{name}"
+        return self._leave
+
     def cleanup(self) -> None:
+        if self._leave:
+            return
         try:
             hadoop_delete(self.spark, self.path)
         except Exception:  # clean-up must never hide the load's own outcome

@@ -186,13 +186,56 @@ def storage_properties(spark: SparkSession, table: str) -> dict[str, str]:
     return out
 
 
+def _catalog(spark: SparkSession, table: str):
+    state = spark._jsparkSession.sessionState()
+    return state.catalog(), state.sqlParser().parseTableIdentifier(quote_table(table))
+
+
+def _catalog_partitions(spark: SparkSession, table: str, period_col: str, periods: Iterable) -> dict:
+    """The catalog's entries of ``periods``, by period as text: one filtered call for all."""
+    periods = sorted(set(periods))
+    if not periods:
+        return {}
+    catalog, ident = _catalog(spark, table)
+    wanted = spark.table(table).where(F.col(period_col).isin([F.lit(p) for p in periods]))
+    condition = wanted._jdf.queryExecution().analyzed().condition()
+    found = _as_java(spark, catalog.listPartitionsByFilter(ident, _as_scala(spark, [condition])))
+    return {_as_java(spark, p.spec())[period_col]: p for p in found}
+
+
+def _as_java(spark: SparkSession, collection):
+    return spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(collection)
+
+
+def _as_scala(spark: SparkSession, items: list):
+    out = spark._jvm.java.util.ArrayList()
+    for item in items:
+        out.add(item)
+    return spark._jvm.scala.jdk.javaapi.CollectionConverters.asScala(out).toSeq()
+
+
+def partition_locations(spark: SparkSession, table: str, period_col: str, periods: Iterable) -> dict:
+    """``{period: directory}`` of the periods that have a partition; one catalog call."""
+    found = _catalog_partitions(spark, table, period_col, periods)
+    return {p: found[str(p)].location().toString() for p in periods if str(p) in found}
+
+
 def partition_location(spark: SparkSession, table: str, period_col: str, period) -> str:
-    """Location of one partition (the first ``Location`` row; the second is
-    the table's)."""
-    rows = spark.sql(
-        f"DESCRIBE TABLE EXTENDED {quote_table(table)} PARTITION ({quote(period_col)} = {_date_literal(period)})"
-    ).where(F.col("col_name") == "Location").collect()
-    return rows[0]["data_type"]
+    """Directory of one partition."""
+    return partition_locations(spark, table, period_col, [period])[period]
+
+
+def path_name(value: str) -> str:
+    """A partition value as Spark writes it in directory names."""
+    odd = set('"#%\'*/:=?\\\x7f{[]^') | {chr(c) for c in range(1, 32)}
+    return "".join(f"%{ord(c):02X}" if c in odd else c for c in value)
+
+
+def table_location(spark: SparkSession, table: str) -> str | None:
+    if not table_exists(spark, table):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_table(table)}").where(F.col("col_name") == "Location").collect()
+    return rows[0]["data_type"].rstrip("/") if rows else None
 
 
 def partition_rows(spark: SparkSession, table: str, period_col: str, period) -> int | None:
@@ -200,34 +243,58 @@ def partition_rows(spark: SparkSession, table: str, period_col: str, period) ->
     import re
 
     rows = spark.sql(
-        f"DESCRIBE TABLE EXTENDED {quote_table(table)} PARTITION ({quote(period_col)} = {_date_literal(period)})"
+        f"DESCRIBE TABLE EXTENDED {quote_table(table)} PARTITION ({quote(period_col)} = {_period_literal(period)})"
     ).where(F.col("col_name") == "Partition Statistics").collect()
     found = re.search(r"(\d+) rows", rows[0]["data_type"] or "") if rows else None
     return int(found.group(1)) if found else None
 
 
-def point_partitions(spark: SparkSession, table: str, period_col: str, locations: dict, existing: set) -> None:
-    """P11 (swap): make each period's partition read from its new directory.
+def point_partitions(spark: SparkSession, table: str, period_col: str, locations: dict, dropped: Iterable = ()) -> None:
+    """P11 (swap): make each period's partition read from its new directory,
+    and drop the partitions of ``dropped``. No data moves.
 
-    Existing partitions are re-pointed one catalog call each (each call is
-    atomic for its partition, like the reference's exchange); new ones are
-    added in one statement. No data moves.
+    All partitions that are there already change in one catalog call, new ones
+    are added in one statement, dropped ones go in one statement, whatever
+    their number. Doing it twice is the same as doing it once.
     """
     t = quote_table(table)
-    added = []
+    jvm = spark._jvm
+    there = _catalog_partitions(spark, table, period_col, locations)
+    changed, added = [], []
     for period, path in sorted(locations.items()):
-        if period in existing:
-            spark.sql(
-                f"ALTER TABLE {t} PARTITION ({quote(period_col)} = {_date_literal(period)}) "
-                f"SET LOCATION {sql_string(path)}"
-            )
-        else:
-            added.append(f"PARTITION ({quote(period_col)} = {_date_literal(period)}) LOCATION {sql_string(path)}")
+        entry = there.get(str(period))
+        if entry is None:
+            added.append(f"PARTITION ({quote(period_col)} = {_period_literal(period)}) LOCATION {sql_string(path)}")
+            continue
+        storage = _with_element(entry.storage(), 0, jvm.scala.Some(jvm.org.apache.hadoop.fs.Path(path).toUri()))
+        moved = _with_element(entry, 1, storage)
+        # the statistics were those of the old files
+        changed.append(_with_element(moved, 5, getattr(getattr(jvm.scala, "None$"), "MODULE$")))
+    if changed:
+        catalog, ident = _catalog(spark, table)
+        catalog.alterPartitions(ident, _as_scala(spark, changed))
     if added:
         spark.sql(f"ALTER TABLE {t} ADD IF NOT EXISTS " + " ".join(added))
+    drop_partitions(spark, table, period_col, dropped)
     spark.sql(f"REFRESH TABLE {t}")
 
 
+def _with_element(record, index: int, value):
+    """A copy of a catalog record with one field replaced."""
+    fields = [record.productElement(i) for i in range(record.productArity())]
+    fields[index] = value
+    return record.copy(*fields)
+
+
+def set_property(spark: SparkSession, table: str, name: str, value: str | None) -> None:
+    """Set one ``periodload.*`` property of a table, or remove it."""
+    key = sql_string(PROP_PREFIX + name)
+    if value is None:
+        spark.sql(f"ALTER TABLE {quote_table(table)} UNSET TBLPROPERTIES IF EXISTS ({key})")
+    else:
+        spark.sql(f"ALTER TABLE {quote_table(table)} SET TBLPROPERTIES ({key} = {sql_string(value)})")
+
+
 def set_comments(spark: SparkSession, table: str, comment: str | None, columns: dict[str, str]) -> None:
     """Table and column comments, quotes escaped and text trimmed."""
     if comment:
@@ -249,7 +316,10 @@ def existing_periods(spark: SparkSession, table: str, period_col: str) -> DataFr
     ).where(F.col(period_col).isNotNull())
 
 
-def _date_literal(d) -> str:
+def _period_literal(d) -> str:
+    """A period as a SQL literal: a date, or the label of a range or list layout."""
+    if isinstance(d, str):
+        return sql_string(d)
     if isinstance(d, _dt.datetime):
         d = d.date()
     return f"DATE'{d.isoformat()}'"
@@ -260,7 +330,7 @@ def drop_partitions(spark: SparkSession, table: str, period_col: str, periods: I
     periods = sorted(set(periods))
     if not periods:
         return 0
-    specs = ", ".join(f"PARTITION ({quote(period_col)} = {_date_literal(p)})" for p in periods)
+    specs = ", ".join(f"PARTITION ({quote(period_col)} = {_period_literal(p)})" for p in periods)
     spark.sql(f"ALTER TABLE {quote_table(table)} DROP IF EXISTS {specs}")
     return len(periods)
 
@@ -278,7 +348,7 @@ def analyze(
         return
     if mode == "touched" and period_col:
         for p in sorted(periods):
-            spark.sql(f"ANALYZE TABLE {quote_table(table)} PARTITION ({quote(period_col)} = {_date_literal(p)}) COMPUTE STATISTICS")
+            spark.sql(f"ANALYZE TABLE {quote_table(table)} PARTITION ({quote(period_col)} = {_period_literal(p)}) COMPUTE STATISTICS")
     elif mode in ("full", "touched"):
         spark.sql(f"ANALYZE TABLE {quote_table(table)} COMPUTE STATISTICS")
     else:
