@@ -36,6 +36,7 @@ from ..operators.exchange import (
     merge_content,
     overwrite_content,
 )
+from ..operators.keyindex import candidate_periods, create_index, refresh_index, stored_index
 from ..operators.layout import distribute_for_write
 from ..operators.partitions import period_mismatch, range_bucket
 from ..sources import tables as tb
@@ -59,6 +60,7 @@ class LoadResult:
     periods: list = field(default_factory=list)
     run_id: str = ""
     warnings: list = field(default_factory=list)
+    searched: list | None = None  # delete+insert: the periods whose keys were read, None for all
 
 
 @contextlib.contextmanager
@@ -282,7 +284,14 @@ def _publish_swap(spark: SparkSession, content: DataFrame, spec: LoadSpec, perio
     publish_moved(spark, out, spec.table, tb.table_location(spark, spec.table), run_id, spec.period_col, periods, existing, opts, dropped)
 
 
-def _finish(spark: SparkSession, spec: LoadSpec, periods: list = ()) -> None:
+def _finish(spark: SparkSession, spec: LoadSpec, periods: list = (), created: dict | None = None) -> None:
+    """Bring key index and statistics up to date. ``created``: rows by period of a first load."""
+    if spec.partitioned:
+        if created is not None and spec.key_index:
+            create_index(spark, spec.table, spec.period_col, spec.keys, created)
+        if stored_index(spark, spec.table):
+            changed = _period_filter(spark.table(spec.table), spark, spec.period_col, list(periods), spec.max_inline_periods)
+            refresh_index(spark, spec.table, spec.period_col, changed)
     tb.analyze(spark, spec.table, spec.analyze, spec.period_col if spec.partitioned else None, periods)
 
 
@@ -401,7 +410,7 @@ def first_load(spark: SparkSession, delta: DataFrame, spec: LoadSpec, run_id: st
             # so a rerun is again a first load and not an incremental one
             _drop_new_target(spark, spec)
             raise
-        _finish(spark, spec, stats.periods if warning is None else [])
+        _finish(spark, spec, stats.periods if warning is None else [], stats.rows_by_period)
         rows = [
             (p, stats.rows_by_period[p], 0, stats.rows_by_period[p], "created")
             for p in (stats.periods if spec.partitioned else [None])
@@ -475,7 +484,7 @@ def _first_load_one_pass(spark: SparkSession, prepared: DataFrame, spec: LoadSpe
     if warning:  # every key was null: nothing is loaded (H1), the table stays empty
         _drop_new_target(spark, spec)
         _create_new_target(spark, spec)
-    _finish(spark, spec, stats.periods if warning is None else [])
+    _finish(spark, spec, stats.periods if warning is None else [], stats.rows_by_period)
     rows = [(p, stats.rows_by_period[p], 0, stats.rows_by_period[p], "created") for p in stats.periods]
     report = build_report(spark, rows, granularity=spec.grain)
     return LoadResult("created", report, stats.periods, run_id, [warning] if warning else [])
@@ -737,10 +746,14 @@ def _delete_insert(spark, delta, spec, run_id) -> LoadResult:
         target = spark.table(spec.table)
         keys, buckets = _join_keys(spark, spec)
         small = broadcast_keys(spark, spec, stats, with_period=False)
-        matched = {
-            r[0]: r[1]
-            for r in delete_insert_matches(target, staged, keys, spec.period_col, buckets, small).collect()
-        }
+        searched = candidate_periods(spark, spec.table, staged, spec.period_col, keys, stats.total)
+        to_search = target
+        if searched is not None:
+            to_search = _period_filter(target, spark, spec.period_col, searched, spec.max_inline_periods)
+        matched = {}
+        if searched is None or searched:
+            found = delete_insert_matches(to_search, staged, keys, spec.period_col, buckets, small)
+            matched = {r[0]: r[1] for r in found.collect()}
         periods = sorted(set(stats.periods) | set(matched))
         before = _footer_counts(spark, spec.table, spec.period_col, periods, spec.max_inline_periods)
         emptied = [p for p in periods if p not in stats.rows_by_period and matched.get(p, 0) >= before.get(p, 0)]
@@ -758,7 +771,7 @@ def _delete_insert(spark, delta, spec, run_id) -> LoadResult:
     for p in periods:
         action = "dropped" if p in emptied else "delete+insert"
         rows.append((p, stats.rows_by_period.get(p, 0), before.get(p, 0), after.get(p, 0), action))
-    return LoadResult("delete+insert", build_report(spark, rows, granularity=spec.grain), periods, st.run_id)
+    return LoadResult("delete+insert", build_report(spark, rows, granularity=spec.grain), periods, st.run_id, searched=searched)
 
 
 def _delete_insert_flat(spark, delta, spec, run_id) -> LoadResult:

@@ -96,6 +96,9 @@ class LoadSpec:
     # Publish: "overwrite" (dynamic partition overwrite, files moved at commit)
     # or "swap" (new directories, partitions re-pointed in the catalog).
     publish: str = "overwrite"
+    # Keep an index of the keys by period (created with the table), so that
+    # delete+insert reads only periods that can hold a key of the delta.
+    key_index: bool = False
     compression: str = DEFAULT_COMPRESSION
     compression_level: int | None = DEFAULT_COMPRESSION_LEVEL
     row_group_bytes: int | None = None
@@ -236,6 +239,8 @@ class LoadSpec:
             raise SpecError("publish must be 'overwrite' or 'swap'")
         if self.publish == "swap" and (self.buckets or not self.partitioned):
             raise SpecError("publish='swap' needs a partitioned, unbucketed target")
+        if self.key_index and not (self.partitioned and self.keys):
+            raise SpecError("key_index needs a partitioned target and a unique_key")
         if self.rebalance not in (True, False):
             raise SpecError("rebalance must be True or False")
         if self.stage not in (True, False, "auto"):
