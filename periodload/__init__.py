@@ -26,6 +26,7 @@ from .operators.exchange import delete_insert_content, merge_content, overwrite_
 from .operators.layout import distribute_for_write, replicated_read
 from .operators.partitions import (
     delta_window,
+    layout_label,
     list_layout,
     missing_periods,
     out_of_range_rows,
@@ -39,6 +40,6 @@ from .operators.snapshot import snapshot_changes, snapshot_merge
 from .plans.load import LoadError, LoadResult, first_load, full_build, plan_load, prepare_delta, run
 from .sources.staging import sweep_staging
 from .sources.tables import TargetError, existing_periods
-from .spec import ListLayout, LoadSpec, RangeLayout, SpecError
+from .spec import ListLayout, LoadSpec, RangeBounds, RangeLayout, SpecError
 
 __all__ = [n for n in dir() if not n.startswith("_")]

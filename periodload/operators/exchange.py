@@ -83,7 +83,9 @@ def merge_content(
     delta_keys = aligned.where(set_).select(*renamed).dropDuplicates([f"_dk_{c}" for c in (period_col, *keys)])
     tgt = target_slice
     cond = reduce(lambda a, b: a & b, [tgt[k] == delta_keys[f"_dk_{k}"] for k in keys])
-    cond = cond & (F.datediff(tgt[period_col], delta_keys[f"_dk_{period_col}"]) == 0)
+    # equal periods, in a form that doesn't become a join key beside the bucketed ones
+    mine, theirs = tgt[period_col], delta_keys[f"_dk_{period_col}"]
+    cond = cond & (mine <= theirs) & (mine >= theirs)
     kept = tgt.join(delta_keys, cond, "left_anti")
     return aligned.unionByName(kept)
 

@@ -1,8 +1,8 @@
 """Partition operators.
 
-All are built-in expressions and aggregates. Range and list layouts are
-computed by arithmetic and ``CASE``; no join against a bounds table is needed
-because a START/END/EVERY layout is regular.
+All are built-in expressions and aggregates. Regular range layouts are
+computed by arithmetic, list layouts by ``CASE``, irregular bounds by binary
+search in a sorted array literal; none needs a join against a bounds table.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.periods import period_end, period_label, period_of, truncate
-from ..spec import ListLayout, RangeLayout
+from ..spec import Layout, ListLayout, RangeBounds, RangeLayout
 
 
 def delta_window(
@@ -133,6 +133,46 @@ def list_layout(df: DataFrame, layout: ListLayout) -> DataFrame:
     return df.withColumn("partition_name", list_label(layout))
 
 
+# --------------------------------------------------------- irregular ranges
+def bounds_label(key: Column, key_type: T.DataType, layout: RangeBounds, time_zone: str = "UTC", session_tz: str = "UTC") -> Column:
+    """The name of the range that holds ``key``, null outside all ranges.
+
+    The starts are one sorted array; halving steps over it count the starts up
+    to the key, so a row costs the logarithm of the number of ranges.
+    """
+    names, starts, ends = zip(*layout.bounds)
+    if isinstance(starts[0], int):
+        value, literals = key.cast("long"), lambda xs: F.array(*[F.lit(x).cast("long") for x in xs])
+    else:
+        value = period_of(key, key_type, "day", time_zone, session_tz)
+        literals = lambda xs: F.array(*[F.lit(_dt.date.fromisoformat(x)) for x in xs])
+    n = len(starts)
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(n.bit_length()))])
+    sorted_starts = literals(starts)
+
+    def halve(at: Column, step: Column) -> Column:
+        further = at + step
+        return F.when((further <= n) & (F.get(sorted_starts, further - 1) <= value), further).otherwise(at)
+
+    place = F.aggregate(steps, F.lit(0), halve) - 1
+    inside = value.isNotNull() & (place >= 0) & (value < F.get(literals(ends), place))
+    return F.when(inside, F.get(F.array(*[F.lit(x) for x in names]), place))
+
+
+def layout_label(key: str, key_type: T.DataType, layout: Layout, default: str | None = None,
+                 time_zone: str = "UTC", session_tz: str = "UTC") -> Column:
+    """The partition label of each row under any layout: a list
+    partition's name, a range's start or name, or the default partition; null
+    if the row fits none and there is no default."""
+    if isinstance(layout, ListLayout):
+        return list_label(layout)
+    if isinstance(layout, RangeBounds):
+        label = bounds_label(F.col(key), key_type, layout, time_zone, session_tz)
+    else:
+        label = F.date_format(range_bucket(F.col(key), key_type, layout, time_zone, session_tz)[0], "yyyy-MM-dd")
+    return label if default is None else F.coalesce(label, F.lit(default))
+
+
 # ----------------------------------------------------------------- validation
 def period_mismatch(period_col: str, key: str, key_type: T.DataType, granularity: str,
                     time_zone: str = "UTC", session_tz: str = "UTC") -> Column:

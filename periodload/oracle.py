@@ -374,3 +374,87 @@ SQL["comments_kept"] = "\nunion all\n".join(
 SQL["statistics_after_load"] = f"""
 select o_orderdate_month as period, count(*) as n_rows from ({SQL["exchange_merge_month"]}) group by 1
 """
+
+
+def by_label(label: str, columns: str, table: str, delta: str, match: str) -> str:
+    """A load into a layout: every delta row, and the target rows without a
+    match in the delta, with their partition labels."""
+    return f"""
+with delta as (select *, {label} as partition_name from ({delta})),
+target as (select *, {label} as partition_name from {table})
+select {columns}, partition_name from delta
+union all
+select {columns}, partition_name from target t
+where not exists (select 1 from delta d where {match} and d.partition_name = t.partition_name)
+"""
+
+
+WEEK = """case when ts >= timestamp '2024-01-01' and ts < timestamp '2024-01-29'
+  then strftime(date '2024-01-01' + 7 * (date_diff('day', date '2024-01-01', cast(ts as date)) // 7)::int, '%Y-%m-%d') else 'other' end"""
+QUARTER = """case when o_orderdate >= timestamp '1995-01-01' and o_orderdate < timestamp '2001-07-01'
+  then strftime(date_trunc('quarter', o_orderdate), '%Y-%m-%d') else 'other' end"""
+ERA = """case when o_orderdate >= timestamp '1995-01-01' and o_orderdate < timestamp '1996-03-15' then 'early'
+  when o_orderdate >= timestamp '1996-03-15' and o_orderdate < timestamp '1998-07-01' then 'middle'
+  when o_orderdate >= timestamp '1999-01-01' and o_orderdate < timestamp '2001-07-05' then 'late' else 'gap' end"""
+SEGMENT = """case when c_mktsegment = 'MACHINERY' then 'machines'
+  when c_mktsegment in ('BUILDING', 'HOUSEHOLD') then 'homes' else 'other' end"""
+
+SQL["range_layout_overwrite"] = by_label(WEEK, EVENTS_COLS, "events", """
+  select event_id, ts, user_id, event_type, value * 2 as value, props from events
+  where ts >= timestamp '2024-01-20' and event_type <> 'error'""", "true")
+SQL["range_layout_merge"] = by_label(QUARTER, ORDERS_COLS, "orders", ORDERS_MERGE_DELTA, "d.o_orderkey = t.o_orderkey")
+SQL["range_layout_append"] = f"""
+select {EVENTS_COLS}, {WEEK} as partition_name from events where ts < timestamp '2024-01-20'
+union all
+select {EVENTS_COLS}, {WEEK} from events where ts >= timestamp '2024-01-15'
+"""
+SQL["range_bounds_merge"] = by_label(ERA, ORDERS_COLS, "orders", """
+  select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate + interval 2 month as o_orderdate, o_orderpriority
+  from orders where o_orderstatus = 'P' and o_orderdate >= timestamp '1998-01-01'""", "d.o_orderkey = t.o_orderkey")
+SQL["list_layout_merge"] = by_label(SEGMENT, CUSTOMER_COLS, "customer", """
+  select c_custkey, c_name, c_nationkey, c_acctbal + 1 as c_acctbal,
+         case c_mktsegment when 'FURNITURE' then 'AUTOMOBILE' else 'BUILDING' end as c_mktsegment
+  from customer where c_mktsegment in ('HOUSEHOLD', 'FURNITURE')""", "d.c_custkey = t.c_custkey")
+SQL["delete_insert_indexed"] = f"""
+select *, '1997-03-01,1997-04-01' as searched_months from ({delete_insert_orders("""
+  select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate + interval 1 year as o_orderdate, o_orderpriority
+  from orders where o_orderdate >= timestamp '1997-03-01' and o_orderdate < timestamp '1997-05-01'
+""")})
+"""
+SQL["key_index_lookup"] = """
+select distinct cast(date_trunc('month', o_orderdate) as date) as month from orders
+where (o_orderpriority = '1-URGENT' and o_orderdate < timestamp '1995-04-01') or o_orderdate >= timestamp '2001-07-01'
+"""
+SQL["publish_recovered"] = f"""
+with died as ({EVENTS_OVERWRITE_DELTA}),
+next as (select event_id, ts, user_id, event_type, value * 3 as value, props from events where cast(ts as date) = date '2024-01-05'),
+delta as (select * from died union all select * from next)
+select {EVENTS_COLS}, {ED} from delta
+union all
+select {EVENTS_COLS}, {ED} from events e
+where cast(ts as date) not in (select cast(ts as date) from delta)
+"""
+SQL["snapshot_all_closed"] = f"""
+select {CUSTOMER_COLS}, timestamp '2024-01-01' as valid_from, timestamp '2024-02-01' as valid_to, false as is_open from customer
+union all
+select {CUSTOMER_COLS}, timestamp '2024-03-01', cast(null as timestamp), true from customer where c_mktsegment = 'BUILDING'
+"""
+SQL["refused_loads"] = """
+with rules(rule, refused_with) as (values
+  ('L10 no merge mode', 'SpecError'), ('L10 no partition column', 'SpecError'), ('C4 no contract', 'SpecError'),
+  ('C5 no unique key', 'SpecError'), ('Y4 two distributions', 'SpecError'), ('P6 missing period', 'LoadError'),
+  ('P10 out of range', 'LoadError'), ('P13 target not partitioned', 'TargetError'), ('H11 other granularity', 'TargetError'))
+select rule, refused_with,
+  (select count(*) from orders where o_orderdate < timestamp '2001-07-01') as rows_left,
+  (select cast(sum(o_totalprice) as decimal(38, 2)) from orders where o_orderdate < timestamp '2001-07-01') as price_left,
+  (select count(*) from orders) as flat_rows
+from rules
+"""
+SQL["replicated_dimension"] = """
+select n_name, count(*) as customers, true as broadcast
+from customer join nation on c_nationkey = n_nationkey group by n_name
+"""
+SQL["layout_followed"] = """
+select cast(ts as date) as ts_day, count(*) as rows, 0::bigint as rows_in_other_codecs, 0::bigint as rows_out_of_order
+from events where ts >= timestamp '2024-01-28' and event_type <> 'error' group by cast(ts as date)
+"""

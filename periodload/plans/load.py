@@ -22,9 +22,9 @@ from __future__ import annotations
 
 import contextlib
 import logging
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,11 +38,11 @@ from ..operators.exchange import (
 )
 from ..operators.keyindex import candidate_periods, create_index, refresh_index, stored_index
 from ..operators.layout import distribute_for_write
-from ..operators.partitions import period_mismatch, range_bucket
+from ..operators.partitions import layout_label, list_label, range_bucket
 from ..sources import tables as tb
 from ..sources.staging import Staging
 from ..session import hadoop_delete, hadoop_empty, new_run_id
-from ..spec import LoadSpec, SpecError
+from ..spec import LAYOUT_GRAIN, ListLayout, LoadSpec, RangeLayout, SpecError, layout_from_json, layout_to_json
 from .publish import carry_out, decide, finish_interrupted, publish_moved
 from .report import build_report
 
@@ -110,14 +110,18 @@ def prepare_delta(spark: SparkSession, delta: DataFrame, spec: LoadSpec) -> Data
             guarded_cast(f.name, src[f.name], f.dataType, spec.time_zone, _session_tz(spark)).alias(f.name)
             for f in spec.contract.fields
         ]
-        cols.append(F.col(spec.period_col).cast("date").alias(spec.period_col))
+        cols.append(F.col(spec.period_col).cast("date" if spec.layout is None else "string").alias(spec.period_col))
         return delta.select(*cols)
-    key_type = spec.contract[spec.partition_column].dataType
     projected = typed_projection(delta, spec.contract, time_zone=spec.time_zone, session_tz=_session_tz(spark))
-    return projected.withColumn(
-        spec.period_col,
-        period_of(F.col(spec.partition_column), key_type, spec.grain, spec.time_zone, _session_tz(spark)),
-    )
+    return projected.withColumn(spec.period_col, _assigned(spark, spec))
+
+
+def _assigned(spark: SparkSession, spec: LoadSpec) -> Column:
+    """The period of each row: its day or month, or its label under the spec's layout."""
+    key_type, zones = spec.contract[spec.partition_column].dataType, (spec.time_zone, _session_tz(spark))
+    if spec.layout is not None:
+        return layout_label(spec.partition_column, key_type, spec.layout, spec.default_partition, *zones)
+    return period_of(F.col(spec.partition_column), key_type, spec.grain, *zones)
 
 
 # ------------------------------------------------------------------ the stats pass
@@ -161,13 +165,13 @@ def _check_aggs(spark: SparkSession, spec: LoadSpec, supplied_period: bool) -> l
     aggs.append((F.sum(sum(sizes[1:], sizes[0])) if sizes else F.lit(0).cast("long")).alias("_text_bytes"))
     aggs += [F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(nn)]
     if spec.partitioned and supplied_period and spec.validate_periods:
-        key_type = spec.contract[spec.partition_column].dataType
-        bad = period_mismatch(spec.period_col, spec.partition_column, key_type, spec.grain,
-                              spec.time_zone, _session_tz(spark))
+        bad = F.col(spec.period_col).isNull() | ~F.col(spec.period_col).eqNullSafe(_assigned(spark, spec))
         aggs.append(F.count_if(bad).alias("_bad"))
     else:
         aggs.append(F.lit(0).cast("long").alias("_bad"))
-    if spec.partitioned and spec.range_layout is not None:
+    if spec.partitioned and spec.layout is not None:
+        aggs.append(F.count_if(F.col(spec.period_col).isNull()).alias("_oor"))
+    elif spec.partitioned and spec.range_layout is not None:
         key_type = spec.contract[spec.partition_column].dataType
         lo, _ = range_bucket(F.col(spec.partition_column), key_type, spec.range_layout,
                              spec.time_zone, _session_tz(spark))
@@ -202,8 +206,9 @@ def delta_stats(spark: SparkSession, staged: DataFrame, spec: LoadSpec, supplied
 
 # -------------------------------------------------------------------- helpers
 def _check_null_periods(stats: DeltaStats, spec: LoadSpec) -> str | None:
-    """H1: all keys null -> no-op with a warning; some null -> error."""
-    if not spec.partitioned or stats.null_period_rows == 0:
+    """H1: all keys null -> no-op with a warning; some null -> error. Under a
+    layout a null has the default partition, or is out of range (P10)."""
+    if not spec.partitioned or spec.layout is not None or stats.null_period_rows == 0:
         return None
     if stats.periods:
         raise LoadError(
@@ -221,7 +226,7 @@ def _period_filter(df: DataFrame, spark: SparkSession, period_col: str, periods:
     up to ``limit`` values, above that a semi join with the period list."""
     if len(periods) <= limit:
         return df.where(F.col(period_col).isin([F.lit(p) for p in periods]))
-    plist = spark.createDataFrame([(p,) for p in periods], T.StructType([T.StructField(period_col, T.DateType())]))
+    plist = spark.createDataFrame([(p,) for p in periods], T.StructType([T.StructField(period_col, df.schema[period_col].dataType)]))
     return df.join(plist, period_col, "left_semi")
 
 
@@ -396,11 +401,7 @@ def first_load(spark: SparkSession, delta: DataFrame, spec: LoadSpec, run_id: st
         raise_on_nulls(stats.nulls)
         if stats.mismatched:
             raise LoadError(f"{stats.mismatched} rows carry a period that does not match their key")
-        if stats.out_of_range:
-            raise LoadError(
-                f"{stats.out_of_range} rows fall outside the range layout "
-                f"[{spec.range_layout.start}, {spec.range_layout.end}) and there is no default partition"
-            )
+        _raise_out_of_range(stats, spec)
         _create_new_target(spark, spec)
         try:
             if warning is None and stats.total:
@@ -421,34 +422,32 @@ def first_load(spark: SparkSession, delta: DataFrame, spec: LoadSpec, run_id: st
 
 
 def _with_layout(df: DataFrame, layout, partition_column: str) -> DataFrame:
-    from ..operators.partitions import list_label, range_bucket
-    from ..spec import ListLayout
-
     if isinstance(layout, ListLayout):
         return df.withColumn(partition_column, list_label(layout))
     rng, key, default = layout
-    lo, _ = range_bucket(F.col(key), df.schema[key].dataType, rng)
-    label = F.date_format(lo, "yyyy-MM-dd")
+    label = layout_label(key, df.schema[key].dataType, rng, default)
     if default is None:
         # P10 inside the build job: the first row that fits no range fails it,
         # and a failed CREATE TABLE AS SELECT leaves no table behind
-        message = F.concat(
-            F.lit(f"{key} = "), F.col(key).cast("string"),
-            F.lit(f" is outside the range layout [{rng.start}, {rng.end}) and there is no default partition"),
-        )
-        return df.withColumn(partition_column, F.when(lo.isNull(), F.raise_error(message)).otherwise(label))
-    return df.withColumn(partition_column, F.coalesce(label, F.lit(default)))
+        ends = f"[{rng.start}, {rng.end})" if isinstance(rng, RangeLayout) else "of the table"
+        message = F.concat(F.lit(f"{key} = "), F.col(key).cast("string"), F.lit(f" is outside the range layout {ends} and there is no default partition"))
+        label = F.when(label.isNull(), F.raise_error(message)).otherwise(label)
+    return df.withColumn(partition_column, label)
+
+
+def _raise_out_of_range(stats: DeltaStats, spec: LoadSpec) -> None:
+    """P10: rows that fit no range or value list, and no default partition to take them."""
+    if stats.out_of_range:
+        layout = spec.layout if spec.layout is not None else spec.range_layout
+        ends = f"range layout [{layout.start}, {layout.end})" if isinstance(layout, RangeLayout) else "partition layout"
+        raise LoadError(f"{stats.out_of_range} rows fall outside the {ends} and there is no default partition")
 
 
 def _raise_on_checks(stats: DeltaStats, spec: LoadSpec) -> None:
     raise_on_nulls(stats.nulls)
     if stats.mismatched:
         raise LoadError(f"{stats.mismatched} rows carry a period that does not match their key")
-    if stats.out_of_range:
-        raise LoadError(
-            f"{stats.out_of_range} rows fall outside the range layout "
-            f"[{spec.range_layout.start}, {spec.range_layout.end}) and there is no default partition"
-        )
+    _raise_out_of_range(stats, spec)
 
 
 def _first_load_one_pass(spark: SparkSession, prepared: DataFrame, spec: LoadSpec, supplied: bool,
@@ -545,6 +544,10 @@ def full_build(spark: SparkSession, df: DataFrame, table: str, contract: T.Struc
             writer = df.write.format("parquet").options(**options).partitionBy(partition_column)
         writer.saveAsTable(build)
         tb.set_comments(spark, build, None, comments)
+        if layout is not None:  # later loads follow it
+            rng, key, default = (layout, layout.column, None) if isinstance(layout, ListLayout) else layout
+            for name, value in (("granularity", LAYOUT_GRAIN), ("partition_column", key), ("layout", layout_to_json(rng, default))):
+                tb.set_property(spark, build, name, value)
         result = LoadResult("created", _empty_report(spark, "created"))
     if exists:
         old = f"{table}__old_{suffix}"
@@ -565,6 +568,7 @@ def plan_load(spark: SparkSession, delta: DataFrame, spec: LoadSpec) -> DataFram
     spec.validate()
     if spec.strategy != "exchange_partition":
         raise SpecError("plan_load covers exchange loads")
+    spec = with_stored_layout(spark, spec)
     tb.assert_partitioned_target(spark, spec)
     prepared = prepare_delta(spark, delta, spec)
     periods = sorted(
@@ -584,6 +588,19 @@ def plan_load(spark: SparkSession, delta: DataFrame, spec: LoadSpec) -> DataFram
     return distribute_for_write(content.select(*cols), spec.period_col, _target_dist_keys(spark, spec), bucketed)
 
 
+def with_stored_layout(spark: SparkSession, spec: LoadSpec) -> LoadSpec:
+    """The spec with the range or list layout that its table was built with,
+    unless it names one itself."""
+    if spec.layout is not None or not spec.partitioned:
+        return spec
+    text = tb.stored_spec_properties(spark, spec.table).get("layout")
+    if not text:
+        return spec
+    layout, default = layout_from_json(text)
+    columns = tb.partition_columns(spark, spec.table)
+    return replace(spec, layout=layout, default_partition=default, period_column=spec.period_column or columns[0]).validate()
+
+
 # ------------------------------------------------------------------ dispatch
 def run(spark: SparkSession, delta: DataFrame, spec: LoadSpec, run_id: str | None = None) -> LoadResult:
     """Load ``delta`` into ``spec.table``: first load if the target is absent,
@@ -591,6 +608,7 @@ def run(spark: SparkSession, delta: DataFrame, spec: LoadSpec, run_id: str | Non
     spec.validate()
     if not tb.table_exists(spark, spec.table):
         return first_load(spark, delta, spec, run_id)
+    spec = with_stored_layout(spark, spec)
     if spec.partitioned:
         stored = tb.assert_partitioned_target(spark, spec)
         finish_interrupted(spark, spec.table, stored, lambda content: _write(spark, content, spec, overwrite=True))
@@ -615,11 +633,7 @@ def _checked_stats(spark, delta, spec, st, reads_many=True):
             f"{stats.mismatched} delta rows carry a period that is not the "
             f"{spec.grain} of their {spec.partition_column!r} (validation on)"
         )
-    if stats.out_of_range:
-        raise LoadError(
-            f"{stats.out_of_range} delta rows fall outside the range layout "
-            f"[{spec.range_layout.start}, {spec.range_layout.end}) and there is no default partition"
-        )
+    _raise_out_of_range(stats, spec)
     return staged, stats, warning
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,10 +38,13 @@ from .operators.partitions import (
     validate_periods,
 )
 from .operators.snapshot import snapshot_merge
+from .operators.keyindex import candidate_periods
+from .operators.layout import replicated_read
 from .plans.load import first_load, full_build, prepare_delta, run
+from .plans.publish import decide
 from .session import new_run_id, staging_root
-from .sources.tables import existing_periods
-from .spec import ListLayout, LoadSpec, RangeLayout
+from .sources.tables import existing_periods, partition_locations, point_partitions, table_location
+from .spec import ListLayout, LoadSpec, RangeBounds, RangeLayout
 
 # ----------------------------------------------------------------- contracts
 ORDERS = T.StructType(
@@ -765,6 +768,190 @@ def range_partitioned_build(spark, sf_dir):
                layout=(ORDERS_RANGE, "o_orderdate", "other"))
     return spark.table(f"{db}.orders_range")
 
+EVENTS_WEEKS = RangeLayout(start="2024-01-01", end="2024-01-29", every=7)
+#: Ranges of different widths with a gap: half of 1998 is outside.
+ORDERS_ERAS = RangeBounds((("early", "1995-01-01", "1996-03-15"), ("middle", "1996-03-15", "1998-07-01"), ("late", "1999-01-01", "2001-07-05")))
+SEGMENTS = ListLayout(column="c_mktsegment", partitions=(("machines", ("MACHINERY",)), ("homes", ("BUILDING", "HOUSEHOLD"))))
+
+
+def range_layout_overwrite(spark, sf_dir):
+    """P7 + P9 + L6: events in 7-day ranges, later days in the default
+    partition; the delta replaces the ranges that it touches."""
+    db = scratch_db(spark)
+    events = read(spark, sf_dir, "events")
+    spec = events_spec(db, layout=EVENTS_WEEKS, default_partition="other")
+    run(spark, events, spec)
+    delta = events.where((F.col("ts") >= _ts("2024-01-20")) & (F.col("event_type") != "error")).withColumn("value", F.col("value") * 2)
+    run(spark, delta, events_spec(db))  # the layout is the table's
+    return spark.table(spec.table)
+
+
+def range_layout_merge(spark, sf_dir):
+    """P7 + P9 + L7: orders in quarters as built by ``full_build``, then merged by key."""
+    db = scratch_db(spark)
+    orders = read(spark, sf_dir, "orders")
+    spec = orders_spec(db, period_column="partition_name")
+    full_build(spark, orders, spec.table, contract=ORDERS, layout=(ORDERS_RANGE, "o_orderdate", "other"))
+    run(spark, orders_merge_delta(orders), spec)
+    return spark.table(spec.table)
+
+
+def range_layout_append(spark, sf_dir):
+    """P7 + P9 + L3: appended rows land in the ranges that hold them."""
+    db = scratch_db(spark)
+    events = read(spark, sf_dir, "events")
+    spec = events_spec(db, layout=EVENTS_WEEKS, default_partition="other", strategy="append", merge=None)
+    run(spark, events.where(F.col("ts") < _ts("2024-01-20")), spec)
+    run(spark, events.where(F.col("ts") >= _ts("2024-01-15")), spec)
+    return spark.table(spec.table)
+
+
+def range_bounds_merge(spark, sf_dir):
+    """P7 + P9 + L7 by swap: ranges of irregular width; a moved key is matched
+    within its range."""
+    db = scratch_db(spark)
+    orders = read(spark, sf_dir, "orders")
+    spec = orders_spec(db, layout=ORDERS_ERAS, default_partition="gap", publish="swap")
+    run(spark, orders, spec)
+    delta = orders.where((F.col("o_orderstatus") == "P") & (F.col("o_orderdate") >= _ts("1998-01-01"))).withColumn(
+        "o_orderdate", _interval("o_orderdate", "INTERVAL 2 MONTH")
+    )
+    run(spark, delta, spec)
+    return spark.table(spec.table)
+
+
+def list_layout_merge(spark, sf_dir):
+    """P8 + P9 + L7: customers by segment lists; unlisted segments share the
+    default partition, within which keys are matched, too."""
+    db = scratch_db(spark)
+    cust = read(spark, sf_dir, "customer")
+    spec = LoadSpec(table=f"{db}.customer", contract=CUSTOMER, partition_column="c_mktsegment", merge=True, unique_key="c_custkey", layout=SEGMENTS)
+    run(spark, cust, spec)
+    delta = cust.where("c_mktsegment in ('HOUSEHOLD', 'FURNITURE')").withColumn(
+        "c_mktsegment", F.when(F.col("c_mktsegment") == "FURNITURE", "AUTOMOBILE").otherwise("BUILDING")
+    ).withColumn("c_acctbal", F.col("c_acctbal") + 1)
+    run(spark, delta, spec)
+    return spark.table(spec.table)
+
+
+def delete_insert_indexed(spark, sf_dir):
+    """L4 with a key index: few months are searched; the rows say which."""
+    db = scratch_db(spark)
+    orders = read(spark, sf_dir, "orders")
+    spec = orders_spec(db, strategy="delete+insert", merge=None, key_index=True, publish="swap")
+    run(spark, orders, spec)
+    delta = orders.where((F.col("o_orderdate") >= _ts("1997-03-01")) & (F.col("o_orderdate") < _ts("1997-05-01"))).withColumn(
+        "o_orderdate", _interval("o_orderdate", "INTERVAL 1 YEAR")
+    )
+    searched = run(spark, delta, spec).searched
+    return spark.table(spec.table).withColumn("searched_months", F.lit(",".join(str(p) for p in searched)))
+
+
+def key_index_lookup(spark, sf_dir):
+    """L4: the months that can hold a key, by the index alone, after a load
+    that bypassed it: its month has to be read whatever the keys."""
+    db = scratch_db(spark)
+    orders = read(spark, sf_dir, "orders")
+    spec = orders_spec(db, key_index=True)
+    run(spark, orders, spec)
+    raw = orders.where(F.col("o_orderdate") >= _ts("2001-07-01")).select(*ORDERS.names)
+    raw.withColumn(spec.period_col, F.trunc("o_orderdate", "MM")).write.insertInto(spec.table)
+    delta = orders.where((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderdate") < _ts("1995-04-01")))
+    months = candidate_periods(spark, spec.table, delta, spec.period_col, ["o_orderkey"])
+    return spark.createDataFrame([(p,) for p in months], "month date")
+
+
+def publish_recovered(spark, sf_dir):
+    """A load that died after two of its days were re-pointed is finished
+    by the next load, which replaces another day."""
+    db = scratch_db(spark)
+    events = read(spark, sf_dir, "events")
+    spec = events_spec(db, publish="swap")
+    run(spark, events, spec)
+    delta = prepare_delta(spark, events_overwrite_delta(events), spec)
+    days = sorted(r[0] for r in delta.select(spec.period_col).distinct().collect())
+    location, rid = table_location(spark, spec.table), new_run_id()
+    delta.select(*spark.table(spec.table).columns).write.partitionBy(spec.period_col).parquet(f"{location}/swap/{rid}")
+    moved = {d: f"{location}/swap/{rid}/{spec.period_col}={d}" for d in days}
+    decide(spark, spec.table, location, rid, spec.period_col, moved, partition_locations(spark, spec.table, spec.period_col, days))
+    point_partitions(spark, spec.table, spec.period_col, {d: moved[d] for d in days[:2]})  # and here the process dies
+    run(spark, events.where(F.to_date("ts") == "2024-01-05").withColumn("value", F.col("value") * 3), spec)
+    return spark.table(spec.table)
+
+
+def snapshot_all_closed(spark, sf_dir):
+    """Every key leaves the source, so nothing stays open; then one segment returns."""
+    db = scratch_db(spark)
+    cust = read(spark, sf_dir, "customer")
+    table = f"{db}.customer_closed"
+    snapshot_merge(spark, cust, table, keys="c_custkey", as_of="2024-01-01")
+    snapshot_merge(spark, cust.limit(0), table, keys="c_custkey", as_of="2024-02-01", close_deleted=True)
+    snapshot_merge(spark, cust.where("c_mktsegment = 'BUILDING'"), table, keys="c_custkey", as_of="2024-03-01")
+    return spark.table(table)
+
+
+def _refused(name, call):
+    """One row: the refusal of a call, or that it was let through."""
+    try:
+        call()
+    except ValueError as e:
+        return name, type(e).__name__, str(e)
+    return name, None, None
+
+
+def refused_loads(spark, sf_dir):
+    """What a load refuses, after which every
+    target still holds its rows (counted from the tables)."""
+    db = scratch_db(spark)
+    orders = read(spark, sf_dir, "orders")
+    spec = orders_spec(db)
+    run(spark, orders.where(F.col("o_orderdate") < _ts("2001-07-01")), spec)
+    full_build(spark, orders, f"{db}.flat")
+    cases = [
+        _refused("L10 no merge mode", lambda: run(spark, orders, orders_spec(db, merge=None))),
+        _refused("L10 no partition column", lambda: run(spark, orders, orders_spec(db, partition_column=None))),
+        _refused("C4 no contract", lambda: run(spark, orders, orders_spec(db, contract=None))),
+        _refused("C5 no unique key", lambda: run(spark, orders, orders_spec(db, unique_key="  "))),
+        _refused("Y4 two distributions", lambda: run(spark, orders, orders_spec(db, distributed_by="o_custkey", distributed_replicated=True))),
+        _refused("P6 missing period", lambda: run(spark, orders, orders_spec(db, merge=False, create_missing_partitions=False))),
+        _refused("P10 out of range", lambda: run(spark, orders, orders_spec(db, range_layout=ORDERS_RANGE))),
+        _refused("P13 target not partitioned", lambda: run(spark, orders, orders_spec(db, table=f"{db}.flat"))),
+        _refused("H11 other granularity", lambda: run(spark, orders, orders_spec(db, granularity="day", period_column="o_orderdate_month"))),
+    ]
+    refusals = spark.createDataFrame([(name, kind) for name, kind, _ in cases], "rule string, refused_with string")
+    left = spark.table(spec.table).agg(F.count("*").alias("rows_left"), F.sum("o_totalprice").cast("decimal(38,2)").alias("price_left"))
+    return refusals.join(left.crossJoin(spark.table(f"{db}.flat").agg(F.count("*").alias("flat_rows"))))
+
+
+def replicated_dimension(spark, sf_dir):
+    """A replicated table is stored as it is and broadcast by its readers
+    below a checked size; the plan says so."""
+    db = scratch_db(spark)
+    spec = LoadSpec(table=f"{db}.nation", contract=None, strategy="truncate+insert")
+    full_build(spark, read(spark, sf_dir, "nation").select("n_nationkey", "n_name"), spec.table)
+    spark.sql(f"ANALYZE TABLE {spec.table} COMPUTE STATISTICS NOSCAN")
+    small = replicated_read(spark, spec.table)
+    joined = read(spark, sf_dir, "customer").hint("shuffle_merge").join(small, F.col("c_nationkey") == F.col("n_nationkey"))
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    return joined.groupBy("n_name").agg(F.count("*").alias("customers")).withColumn("broadcast", F.lit("strategy=broadcast" in plan))
+
+
+def layout_followed(spark, sf_dir):
+    """A later load with other settings still writes the codec, sort order
+    and partitions of the target; read back from the new files' footers."""
+    db = scratch_db(spark)
+    events = read(spark, sf_dir, "events")
+    spec = events_spec(db, compression="gzip", distributed_by="user_id")
+    run(spark, events, spec)
+    run(spark, events_overwrite_delta(events), events_spec(db, compression="snappy", distributed_by="event_type"))
+    changed = spark.table(spec.table).where("ts_day >= date'2024-01-28'")
+    names = changed.select(F.col("_metadata.file_path").alias("f"), F.monotonically_increasing_id().alias("i"), "user_id")
+    before = Window.partitionBy("f").orderBy("i")
+    out = names.withColumn("falls", F.col("user_id") < F.lag("user_id").over(before))
+    files = out.agg(F.count_if(~F.col("f").endswith(".gz.parquet")).alias("rows_in_other_codecs"), F.count_if("falls").alias("rows_out_of_order"))
+    return changed.groupBy("ts_day").agg(F.count("*").alias("rows")).crossJoin(files)
+
+
 
 SCENARIOS = {
     "exchange_overwrite_day": exchange_overwrite_day,
@@ -819,4 +1006,16 @@ SCENARIOS = {
     "not_null_carry_over": not_null_carry_over,
     "comments_kept": comments_kept,
     "statistics_after_load": statistics_after_load,
+    "range_layout_overwrite": range_layout_overwrite,
+    "range_layout_merge": range_layout_merge,
+    "range_layout_append": range_layout_append,
+    "range_bounds_merge": range_bounds_merge,
+    "list_layout_merge": list_layout_merge,
+    "delete_insert_indexed": delete_insert_indexed,
+    "key_index_lookup": key_index_lookup,
+    "publish_recovered": publish_recovered,
+    "snapshot_all_closed": snapshot_all_closed,
+    "refused_loads": refused_loads,
+    "replicated_dimension": replicated_dimension,
+    "layout_followed": layout_followed,
 }

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..spec import LoadSpec
+from ..spec import LAYOUT_GRAIN, LoadSpec, layout_to_json
 
 PROP_PREFIX = "periodload."
 
@@ -73,6 +73,9 @@ def assert_partitioned_target(spark: SparkSession, spec: LoadSpec) -> dict[str,
             f"{spec.table} is partitioned by {parts}, the spec expects [{spec.period_col!r}]"
         )
     props = stored_spec_properties(spark, spec.table)
+    layout = props.get("layout")
+    if layout and layout != (layout_to_json(spec.layout, spec.default_partition) if spec.layout is not None else None):
+        raise TargetError(f"{spec.table} is stored with another partition layout: {layout}")
     stored = props.get("granularity")
     if stored and stored != spec.grain:
         raise TargetError(
@@ -129,6 +132,8 @@ def spec_properties(spec: LoadSpec) -> dict[str, str]:
             "hash" if spec.dist_keys else "random"
         ),
     }
+    if spec.layout is not None:
+        props["layout"] = layout_to_json(spec.layout, spec.default_partition)
     props.update({k: str(v) for k, v in spec.extra_properties.items()})
     return {PROP_PREFIX + k: v for k, v in props.items()}
 
@@ -140,7 +145,7 @@ def create_target(spark: SparkSession, spec: LoadSpec) -> None:
         raise TargetError(f"{spec.table} already exists; a first load creates it")
     cols = column_ddl(spec.contract)
     if spec.partitioned:
-        cols.append(f"{quote(spec.period_col)} date")
+        cols.append(f"{quote(spec.period_col)} {'string' if spec.grain == LAYOUT_GRAIN else 'date'}")
     opts = ", ".join(f"{sql_string(k)} {sql_string(v)}" for k, v in storage_options(spec).items())
     props = ", ".join(f"{sql_string(k)} = {sql_string(v)}" for k, v in spec_properties(spec).items())
     ddl = [f"CREATE TABLE {quote_table(spec.table)} (", ",\n".join(cols), ") USING parquet"]
@@ -310,10 +315,13 @@ def existing_periods(spark: SparkSession, table: str, period_col: str) -> DataFr
     """Periods that have a partition in the catalog (metadata only)."""
     parts = spark.sql(f"SHOW PARTITIONS {quote_table(table)}")
     pattern = r"(?:^|/)\Q" + period_col + r"\E=([^/]*)"
-    # the partition of null periods has a name that is no date
-    return parts.select(
-        F.regexp_extract("partition", pattern, 1).try_cast("date").alias(period_col)
-    ).where(F.col(period_col).isNotNull())
+    name = F.regexp_extract("partition", pattern, 1)
+    if isinstance(spark.table(table).schema[period_col].dataType, T.StringType):
+        # names are escaped in partition lists; a plus sign is itself there
+        value = F.when(name != "__HIVE_DEFAULT_PARTITION__", F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))))
+    else:  # the partition of null periods has a name that is no date
+        value = name.try_cast("date")
+    return parts.select(value.alias(period_col)).where(F.col(period_col).isNotNull())
 
 
 def _period_literal(d) -> str:

@@ -7,7 +7,8 @@ first broken rule; it never touches data.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+from dataclasses import asdict, dataclass, field
 from typing import Sequence
 
 from pyspark.sql import types as T
@@ -55,6 +56,24 @@ class RangeLayout:
             raise SpecError("range layout: start must be before end")
 
 
+@dataclass(frozen=True)
+class RangeBounds:
+    """Named ranges of any width: (name, start inclusive, end exclusive), with
+    ISO dates or integers as bounds, ascending and without overlap; gaps are
+    outside the layout (P7)."""
+
+    bounds: tuple[tuple[str, object, object], ...]
+
+    def __post_init__(self):
+        kinds = {type(x) for _, *pair in self.bounds for x in pair}
+        if not self.bounds or kinds not in ({str}, {int}):
+            raise SpecError("range bounds: give (name, start, end) rows, all bounds ISO dates or all integers")
+        if any(a >= b for _, a, b in self.bounds) or any(x[2] > y[1] for x, y in zip(self.bounds, self.bounds[1:])):
+            raise SpecError("range bounds: every start must be before its end, and no range before the end of the one before")
+        if len({n for n, *_ in self.bounds}) < len(self.bounds):
+            raise SpecError("range bounds: two ranges have the same name")
+
+
 @dataclass(frozen=True)
 class ListLayout:
     """PARTITION BY LIST with named value groups and a default partition."""
@@ -64,6 +83,27 @@ class ListLayout:
     default: str | None = DEFAULT_LIST_PARTITION_NAME
 
 
+Layout = RangeLayout | RangeBounds | ListLayout
+_LAYOUTS = {c.__name__: c for c in (RangeLayout, RangeBounds, ListLayout)}
+LAYOUT_GRAIN = "layout"
+#: Partition column of a target with a layout, unless the spec names one.
+LAYOUT_COLUMN = "partition_name"
+
+
+def layout_to_json(layout: Layout, default: str | None) -> str:
+    """A layout as it is stored with a table."""
+    return json.dumps({"kind": type(layout).__name__, **asdict(layout), "default_partition": default})
+
+
+def layout_from_json(text: str) -> tuple[Layout, str | None]:
+    fields = json.loads(text)
+    kind, default = fields.pop("kind"), fields.pop("default_partition")
+    for name, rows in fields.items():
+        if isinstance(rows, list):  # lists were tuples
+            fields[name] = tuple(tuple(tuple(x) if isinstance(x, list) else x for x in row) for row in rows)
+    return _LAYOUTS[kind](**fields), default
+
+
 @dataclass(frozen=True)
 class LoadSpec:
     """Everything a load needs to know about its target.
@@ -105,6 +145,10 @@ class LoadSpec:
     max_records_per_file: int | None = None
     comment: str | None = None
     range_layout: RangeLayout | None = None
+    # Partitions by ranges or value lists instead of days or months; rows that
+    # fit none go to default_partition (a list layout has its own), or are refused.
+    layout: Layout | None = None
+    default_partition: str | None = None
     location: str | None = None
     staging_dir: str | None = None
     stage: bool | str = "auto"  # True, False or "auto" (stage unless provably safe to skip)
@@ -136,10 +180,15 @@ class LoadSpec:
     def period_col(self) -> str:
         if self.period_column:
             return self.period_column
+        if self.layout is not None:
+            return LAYOUT_COLUMN
         return f"{self.partition_column}_{self.granularity}"
 
     @property
     def grain(self) -> str:
+        """``day``, ``month``, or ``layout``: periods are labels."""
+        if self.layout is not None:
+            return LAYOUT_GRAIN
         return (self.granularity or "").lower()
 
     @property
@@ -177,7 +226,13 @@ class LoadSpec:
                     f"partition_column {self.partition_column!r} is not a contract column"
                 )
             key_type = self.contract[self.partition_column].dataType
-            if not isinstance(key_type, _PERIOD_KEY_TYPES):
+            numbers = isinstance(self.layout, RangeBounds) and isinstance(self.layout.bounds[0][1], int)
+            if numbers and not isinstance(key_type, T.IntegralType):
+                raise SpecError(f"partition_column {self.partition_column!r} must be an integer for these bounds")
+            if isinstance(self.layout, ListLayout):
+                if self.layout.column != self.partition_column:
+                    raise SpecError(f"the list layout is by {self.layout.column!r}, partition_column says {self.partition_column!r}")
+            elif not numbers and not isinstance(key_type, _PERIOD_KEY_TYPES):
                 raise SpecError(
                     f"partition_column {self.partition_column!r} must be date, timestamp "
                     f"or string; contract says {key_type.simpleString()}"
@@ -196,7 +251,7 @@ class LoadSpec:
                 "period); there is no default"
             )
         # 6. granularity
-        if self.grain not in GRANULARITIES:
+        if self.layout is None and self.grain not in GRANULARITIES:
             raise SpecError(f"granularity {self.granularity!r} is not supported; periods are days or months")
         # 7. unique key when merging (and for delete+insert)
         if (exchange and self.merge) or self.strategy == "delete+insert":
@@ -239,6 +294,8 @@ class LoadSpec:
             raise SpecError("publish must be 'overwrite' or 'swap'")
         if self.publish == "swap" and (self.buckets or not self.partitioned):
             raise SpecError("publish='swap' needs a partitioned, unbucketed target")
+        if self.layout is not None and not self.partitioned:
+            raise SpecError("a layout needs partition_column: the column that its ranges or values are about")
         if self.key_index and not (self.partitioned and self.keys):
             raise SpecError("key_index needs a partitioned target and a unique_key")
         if self.rebalance not in (True, False):
