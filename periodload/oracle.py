@@ -458,3 +458,15 @@ SQL["layout_followed"] = """
 select cast(ts as date) as ts_day, count(*) as rows, 0::bigint as rows_in_other_codecs, 0::bigint as rows_out_of_order
 from events where ts >= timestamp '2024-01-28' and event_type <> 'error' group by cast(ts as date)
 """
+
+SQL["snapshot_late"] = f"""
+with versions(segments, plus, valid_from, valid_to) as (values
+  (['BUILDING', 'AUTOMOBILE'], 0, timestamp '2024-01-01', cast(null as timestamp)),
+  (['HOUSEHOLD'], 0, timestamp '2024-02-01', null),
+  (['MACHINERY', 'FURNITURE'], 0, timestamp '2024-01-01', timestamp '2024-02-01'),
+  (['MACHINERY'], 100, timestamp '2024-02-01', timestamp '2024-03-01'),
+  (['MACHINERY', 'FURNITURE'], 0, timestamp '2024-03-01', null))
+select c_custkey, c_name, c_nationkey, c_acctbal + plus as c_acctbal, c_mktsegment, valid_from, valid_to,
+       valid_to is null as is_open, cast(date_trunc('month', valid_to) as date) as closed_month
+from customer join versions on list_contains(segments, c_mktsegment)
+"""

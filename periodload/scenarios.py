@@ -890,6 +890,21 @@ def snapshot_all_closed(spark, sf_dir):
     return spark.table(table)
 
 
+def snapshot_late(spark, sf_dir):
+    """The snapshots of March, January and February, in that order. In
+    February machinery balances were higher and furniture customers missing."""
+    db = scratch_db(spark)
+    cust = read(spark, sf_dir, "customer")
+    table = f"{db}.customer_late"
+    february = cust.where("c_mktsegment <> 'FURNITURE'").withColumn(
+        "c_acctbal", F.when(F.col("c_mktsegment") == "MACHINERY", F.col("c_acctbal") + 100).otherwise(F.col("c_acctbal"))
+    )
+    january = cust.where("c_mktsegment <> 'HOUSEHOLD'")
+    for as_of, source in (("2024-03-01", cust), ("2024-01-01", january), ("2024-02-01", february)):
+        snapshot_merge(spark, source, table, keys="c_custkey", as_of=as_of, close_deleted=True, late="insert")
+    return spark.table(table)
+
+
 def _refused(name, call):
     """One row: the refusal of a call, or that it was let through."""
     try:
@@ -1015,6 +1030,7 @@ SCENARIOS = {
     "key_index_lookup": key_index_lookup,
     "publish_recovered": publish_recovered,
     "snapshot_all_closed": snapshot_all_closed,
+    "snapshot_late": snapshot_late,
     "refused_loads": refused_loads,
     "replicated_dimension": replicated_dimension,
     "layout_followed": layout_followed,
