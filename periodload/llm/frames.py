@@ -49,6 +49,28 @@ def written(df: DataFrame, name: str, **options) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sweep_scratch(spark: SparkSession, older_than_hours: float = 48) -> list[str]:
+    """Remove scratch tables that were written longer ago than any query runs.
+
+    Results are read from scratch tables when they are asked for, so an
+    operator can't remove its own; younger ones are left, since they may be in use. Returns the
+    removed paths. One listing; no Spark job.
+    """
+    import time
+
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(f"{staging_root(spark)}/llm")
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(base):
+        return []
+    cutoff, removed = (time.time() - older_than_hours * 3600) * 1000, []
+    for table in fs.listStatus(base):
+        if table.getModificationTime() < cutoff:
+            fs.delete(table.getPath(), True)
+            removed.append(table.getPath().toString())
+    return removed
+
+
 def merged_tasks(df: DataFrame) -> int:
     """Partitions of a scan once each has about ``TASK_BYTES``, but at least one per core."""
     spark = df.sparkSession

@@ -81,7 +81,8 @@ NOTICES = {
 }
 UNKNOWN = "unknown"
 
-SAMPLE_DOCS, SAMPLE_PARAGRAPHS = 400, 4000
+#: Bounds of the fit's sample: documents, paragraphs, and words of a paragraph.
+SAMPLE_DOCS, SAMPLE_PARAGRAPHS, SAMPLE_WORDS = 400, 4000, 2000
 VARIANTS = 40
 #: N-grams of corpus paragraphs that occur in more than this share of them say nothing.
 COMMON = 0.005
@@ -228,12 +229,17 @@ class Model:
 
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Model:
-    sample = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter("text is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
+    there = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter("text is not null")
+    # The ids first, so that no text but the sampled ones leaves its task.
+    ids = there.select(F.col("doc_id").alias("id")).distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS)
+    sampled = there.join(F.broadcast(ids), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    sample = sampled.groupBy("doc_id").agg(F.min("text").alias("text"))
     blocks = _blocks(sample, "doc_id", "text").withColumn("words", _split(F.concat_ws(" ", "lines")))
     # The lines of a wrapped notice are neither unknown nor of a family; only the block is an example.
     notice = _let(_grams(F.col("words")), lambda g: F.greatest(*[_share(g, f) for f in NOTICES])) >= SHARE
     rows = blocks.select(notice.alias("notice"), _units(F.col("words"), F.col("lines"), F.col("start")).alias("units"), F.size("lines").alias("n"))
     rows = rows.select("notice", "n", F.inline("units")).filter("joined or n = 1 or not notice").filter(F.size("words") > 1)
+    rows = rows.withColumn("words", F.slice("words", 1, SAMPLE_WORDS))
     return Model([list(r["words"]) for r in rows.orderBy(F.xxhash64("words")).limit(SAMPLE_PARAGRAPHS).select("words").collect()])
 
 
