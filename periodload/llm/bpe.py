@@ -21,8 +21,9 @@ import pyarrow as pa
 
 from .arrays import Hasher, runs
 
-#: Parts kept encoded at once in a task; past it the table starts afresh.
-MAX_PARTS = 1 << 18
+#: Parts kept encoded at once in a worker (some 60 bytes each); past it the
+#: table starts afresh.
+MAX_PARTS = 1 << 20
 #: Text bytes encoded at once.
 TEXT_BYTES = 1 << 20
 
@@ -125,7 +126,8 @@ class PartTable:
         self._clear()
 
     def _clear(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
+        self.keys = np.zeros(0, np.uint64)  # ascending
+        self.row = np.zeros(0, np.int64)  # of each key, in the arrays below
         self.checks = np.zeros(0, np.uint64)
         self.ids = np.zeros(0, np.int32)
         self.bounds = np.zeros(1, np.int64)
@@ -152,20 +154,30 @@ class PartTable:
         start[order] = after - sizes[order]
         return np.concatenate(found)[runs(start, sizes)], sizes
 
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """The row of each key, -1 if it has none."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[place] == keys, self.row[place], -1)
+
     def rows(self, keys: np.ndarray, checks: np.ndarray, parts: Callable[[np.ndarray], tuple[list[bytes], np.ndarray]]) -> np.ndarray | None:
         """The table's row of each distinct key; None if two parts share a hash."""
-        at = pd.Index(self.keys).get_indexer(keys)
+        at = self._find(keys)
         new = np.flatnonzero(at < 0)
         if len(self.keys) and len(self.keys) + len(new) > MAX_PARTS:
             self._clear()
-            at, new = np.full(len(keys), -1), np.arange(len(keys))
+            at, new = self._find(keys), np.arange(len(keys))
         known = at >= 0
         if not np.array_equal(self.checks[at[known]], checks[known]):
             return None
         if len(new):
             ids, sizes = self._encoded(*parts(new))
             at[new] = len(self.keys) + np.arange(len(new))
-            self.keys = np.concatenate([self.keys, keys[new]])
+            ascending = new[np.argsort(keys[new])]
+            place = np.searchsorted(self.keys, keys[ascending])
+            self.keys = np.insert(self.keys, place, keys[ascending])
+            self.row = np.insert(self.row, place, at[ascending])
             self.checks = np.concatenate([self.checks, checks[new]])
             self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes)])
             self.ids = np.concatenate([self.ids, ids])

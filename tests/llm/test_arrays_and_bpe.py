@@ -59,3 +59,25 @@ def test_ids_without_the_part_table_are_the_same():
     data, offsets = arrays.utf8(pa.array(texts(300), pa.string()))
     for a, b in zip(table.encode(data, offsets), table.encode_plainly(data, offsets)):
         assert np.array_equal(a, b)
+
+
+def test_worker_table_is_kept_and_grows_beyond_its_bound(monkeypatch):
+    monkeypatch.setattr(bpe, "MAX_PARTS", 50)
+    texts = [f"word{i} thing{i % 9} x{i}" for i in range(60)]
+    for _ in range(2):
+        with bpe.part_table(BYTE_BPE) as table:
+            for i in range(0, 60, 10):
+                ids, offsets = table.encode(*arrays.utf8(pa.array(texts[i : i + 10])))
+                want = [table.tokenizer.encode(t, add_special_tokens=False).ids for t in texts[i : i + 10]]
+                assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == want
+            kept = table
+    with bpe.part_table(BYTE_BPE) as table:
+        assert table is kept and (table.keys[1:] > table.keys[:-1]).all()
+
+
+def test_scratch_is_swept_by_age(spark):
+    from periodload.llm.frames import sweep_scratch, written
+
+    df = written(spark.range(3).toDF("x"), "sweep-test")
+    path = df.inputFiles()[0].rsplit("/", 1)[0]
+    assert not any(p.rstrip("/") == path.rstrip("/") for p in sweep_scratch(spark, 1)) and df.count() == 3
