@@ -470,3 +470,14 @@ select c_custkey, c_name, c_nationkey, c_acctbal + plus as c_acctbal, c_mktsegme
        valid_to is null as is_open, cast(date_trunc('month', valid_to) as date) as closed_month
 from customer join versions on list_contains(segments, c_mktsegment)
 """
+
+SQL["append_once"] = f"""
+with loads as (
+  select *, 1 as load from events where ts < timestamp '2024-01-20'
+  union all
+  select *, 2 from events where ts >= timestamp '2024-01-15'
+  union all
+  select * replace (value + 1 as value), 3 from events where ts >= timestamp '2024-01-15'),
+told as (select cast(ts as date) as d, count(distinct load) as loads, count(*)::bigint as loaded_rows from loads group by 1)
+select {EVENTS_COLS}, {ED}, loads, loaded_rows from loads join told on d = cast(ts as date)
+"""

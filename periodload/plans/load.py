@@ -43,6 +43,7 @@ from ..sources import tables as tb
 from ..sources.staging import Staging
 from ..session import hadoop_delete, hadoop_empty, new_run_id
 from ..spec import LAYOUT_GRAIN, ListLayout, LoadSpec, RangeLayout, SpecError, layout_from_json, layout_to_json
+from . import ledger
 from .publish import carry_out, decide, finish_interrupted, publish_moved
 from .report import build_report
 
@@ -60,6 +61,7 @@ class LoadResult:
     periods: list = field(default_factory=list)
     run_id: str = ""
     warnings: list = field(default_factory=list)
+    fingerprint: str | None = None  # of an append's rows, if the spec asks for it
     searched: list | None = None  # delete+insert: the periods whose keys were read, None for all
 
 
@@ -607,7 +609,10 @@ def run(spark: SparkSession, delta: DataFrame, spec: LoadSpec, run_id: str | Non
     otherwise the spec's strategy."""
     spec.validate()
     if not tb.table_exists(spark, spec.table):
-        return first_load(spark, delta, spec, run_id)
+        result = first_load(spark, delta, spec, run_id)
+        if spec.append_once:  # the table holds exactly this delta
+            result.fingerprint = ledger.fingerprint(spark.table(spec.table), spec.period_col if spec.partitioned else None)
+        return _recorded(spark, spec, result)
     spec = with_stored_layout(spark, spec)
     if spec.partitioned:
         stored = tb.assert_partitioned_target(spark, spec)
@@ -618,7 +623,14 @@ def run(spark: SparkSession, delta: DataFrame, spec: LoadSpec, run_id: str | Non
         "delete+insert": _delete_insert,
         "truncate+insert": _truncate_insert,
     }[spec.strategy]
-    return strategy(spark, delta, spec, run_id)
+    return _recorded(spark, spec, strategy(spark, delta, spec, run_id))
+
+
+def _recorded(spark: SparkSession, spec: LoadSpec, result: LoadResult) -> LoadResult:
+    """Write a finished load's report to the ledger, if the spec keeps one."""
+    if (spec.ledger or spec.append_once) and result.action not in ("noop", "replayed"):
+        ledger.record(spark, spec.table, result.run_id, result.fingerprint, result.report)
+    return result
 
 
 def _checked_stats(spark, delta, spec, st, reads_many=True):
@@ -729,7 +741,8 @@ def _exchange(spark, delta, spec, run_id) -> LoadResult:
 
 
 def _append(spark, delta, spec, run_id) -> LoadResult:
-    """L3: insert every delta row by name; nothing is replaced."""
+    """L3: insert every delta row by name; nothing is replaced. With
+    ``append_once``, rows that an earlier run appended are not appended again."""
     with Staging(spark, spec.table, spec.staging_dir, run_id) as st:
         staged, stats, warning = _checked_stats(spark, delta, spec, st, reads_many=False)
         if warning or stats.total == 0:
@@ -739,13 +752,33 @@ def _append(spark, delta, spec, run_id) -> LoadResult:
             _footer_counts(spark, spec.table, spec.period_col, periods, spec.max_inline_periods)
             if spec.partitioned else {None: spark.table(spec.table).count()}
         )
+        print_ = None
+        if spec.append_once:
+            column = spec.period_col if spec.partitioned else None
+            print_ = ledger.fingerprint(staged, column)
+            spark.catalog.refreshTable(spec.table)
+            target = spark.table(spec.table)
+            if spec.partitioned:
+                target = _period_filter(target, spark, spec.period_col, periods, spec.max_inline_periods)
+            now = ledger.files_and_rows(target, column, periods)
+            earlier = ledger.earlier_append(spark, spec.table, print_, now)
+            if earlier.unclear:
+                raise LoadError(earlier.unclear)
+            if earlier.finished:
+                message = f"the same rows were appended by run {earlier.run_id}"
+                if spec.append_once == "refuse":
+                    raise LoadError(message)
+                log.info("append: %s", message)
+                return LoadResult("replayed", _empty_report(spark, "replayed"), [], st.run_id, [message], print_)
+            delta_rows = {"" if p is None else str(p): n for p, n in stats.rows_by_period.items()}
+            ledger.start(spark, spec.table, st.run_id, print_, now, delta_rows)
         _write(spark, staged, spec, overwrite=False)
         _finish(spark, spec, periods)
     rows = [
         (p, stats.rows_by_period[p], before.get(p, 0), before.get(p, 0) + stats.rows_by_period[p], "append")
         for p in periods
     ]
-    return LoadResult("append", build_report(spark, rows, granularity=spec.grain), periods, st.run_id)
+    return LoadResult("append", build_report(spark, rows, granularity=spec.grain), periods, st.run_id, fingerprint=print_)
 
 
 def _delete_insert(spark, delta, spec, run_id) -> LoadResult:

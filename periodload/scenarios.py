@@ -41,6 +41,7 @@ from .operators.snapshot import snapshot_merge
 from .operators.keyindex import candidate_periods
 from .operators.layout import replicated_read
 from .plans.load import first_load, full_build, prepare_delta, run
+from .plans.ledger import ledger_table
 from .plans.publish import decide
 from .session import new_run_id, staging_root
 from .sources.tables import existing_periods, partition_locations, point_partitions, table_location
@@ -905,6 +906,22 @@ def snapshot_late(spark, sf_dir):
     return spark.table(table)
 
 
+def append_once(spark, sf_dir):
+    """L3 + L11: of three appends the second repeats the first in another
+    order, and the third has as many rows of the same days, but other ones.
+    The rows carry what the ledger says of the loads."""
+    db = scratch_db(spark)
+    events = read(spark, sf_dir, "events")
+    spec = events_spec(db, strategy="append", merge=None, append_once="skip")
+    run(spark, events.where(F.col("ts") < _ts("2024-01-20")), spec)
+    more = events.where(F.col("ts") >= _ts("2024-01-15"))
+    for delta in (more, more.orderBy(F.col("event_id").desc()), more.withColumn("value", F.col("value") + 1)):
+        run(spark, delta, spec)
+    done = spark.table(ledger_table(spec.table)).where("state = 'done'")
+    told = done.groupBy("period").agg(F.count("*").alias("loads"), F.sum("delta_rows").alias("loaded_rows"))
+    return spark.table(spec.table).join(told, F.col("ts_day").cast("string") == F.col("period")).drop("period")
+
+
 def _refused(name, call):
     """One row: the refusal of a call, or that it was let through."""
     try:
@@ -1031,6 +1048,7 @@ SCENARIOS = {
     "publish_recovered": publish_recovered,
     "snapshot_all_closed": snapshot_all_closed,
     "snapshot_late": snapshot_late,
+    "append_once": append_once,
     "refused_loads": refused_loads,
     "replicated_dimension": replicated_dimension,
     "layout_followed": layout_followed,

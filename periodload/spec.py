@@ -136,6 +136,10 @@ class LoadSpec:
     # Publish: "overwrite" (dynamic partition overwrite, files moved at commit)
     # or "swap" (new directories, partitions re-pointed in the catalog).
     publish: str = "overwrite"
+    # Keep a ledger of all loads beside the target; and what to do with an append
+    # whose rows have been appended before: None (append), "skip" or "refuse".
+    ledger: bool = False
+    append_once: str | None = None
     # Keep an index of the keys by period (created with the table), so that
     # delete+insert reads only periods that can hold a key of the delta.
     key_index: bool = False
@@ -298,6 +302,8 @@ class LoadSpec:
             raise SpecError("a layout needs partition_column: the column that its ranges or values are about")
         if self.key_index and not (self.partitioned and self.keys):
             raise SpecError("key_index needs a partitioned target and a unique_key")
+        if self.append_once not in (None, "skip", "refuse"):
+            raise SpecError("append_once must be None, 'skip' or 'refuse'")
         if self.rebalance not in (True, False):
             raise SpecError("rebalance must be True or False")
         if self.stage not in (True, False, "auto"):
