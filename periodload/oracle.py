@@ -481,3 +481,9 @@ with loads as (
 told as (select cast(ts as date) as d, count(distinct load) as loads, count(*)::bigint as loaded_rows from loads group by 1)
 select {EVENTS_COLS}, {ED}, loads, loaded_rows from loads join told on d = cast(ts as date)
 """
+
+_COUNTED = "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority".split()
+SQL["column_statistics"] = "with t as (" + SQL["exchange_merge_month"] + ")\n" + "\nunion all\n".join(
+    f"select '{c}' as column, count(*) as rows, count(*) - count({c}) as nulls, true as distinct_in_error, true as median_in_error from t"
+    for c in _COUNTED
+)

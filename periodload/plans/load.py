@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.periods import period_of
+from ..operators.colstats import create_stats, has_stats, refresh_stats
 from ..operators.contract import check_contract, guarded_cast, raise_on_nulls, typed_projection
 from ..operators.exchange import (
     delete_insert_content,
@@ -296,9 +297,13 @@ def _finish(spark: SparkSession, spec: LoadSpec, periods: list = (), created: di
     if spec.partitioned:
         if created is not None and spec.key_index:
             create_index(spark, spec.table, spec.period_col, spec.keys, created)
+        if created is not None and spec.column_stats:
+            create_stats(spark, spec.table, spec.period_col)
+        changed = _period_filter(spark.table(spec.table), spark, spec.period_col, list(periods), spec.max_inline_periods)
         if stored_index(spark, spec.table):
-            changed = _period_filter(spark.table(spec.table), spark, spec.period_col, list(periods), spec.max_inline_periods)
             refresh_index(spark, spec.table, spec.period_col, changed)
+        if has_stats(spark, spec.table):
+            refresh_stats(spark, spec.table, spec.period_col, changed)
     tb.analyze(spark, spec.table, spec.analyze, spec.period_col if spec.partitioned else None, periods)
 
 

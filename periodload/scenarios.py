@@ -38,6 +38,7 @@ from .operators.partitions import (
     validate_periods,
 )
 from .operators.snapshot import snapshot_merge
+from .operators.colstats import DISTINCT_ERROR, RANK_ERROR, column_statistics
 from .operators.keyindex import candidate_periods
 from .operators.layout import replicated_read
 from .plans.load import first_load, full_build, prepare_delta, run
@@ -922,6 +923,24 @@ def append_once(spark, sf_dir):
     return spark.table(spec.table).join(told, F.col("ts_day").cast("string") == F.col("period")).drop("period")
 
 
+def column_statistics_orders(spark, sf_dir):
+    """Column statistics after a first load and a merge, merged from the
+    periods' sketches: exact counts and bounds, and whether the distinct counts
+    and medians are within the stated errors of the whole table's."""
+    db = scratch_db(spark)
+    orders = read(spark, sf_dir, "orders")
+    spec = orders_spec(db, column_stats=True)
+    run(spark, orders, spec)
+    run(spark, orders_merge_delta(orders), spec)
+    found = column_statistics(spark, spec.table, spec.period_col)
+    table = spark.table(spec.table).drop(spec.period_col)
+    exact = table.agg(*[F.count_distinct(c).alias(c) for c in table.columns]).first()
+    error = F.abs(F.col("distinct") / F.element_at(F.create_map(*[x for c in table.columns for x in (F.lit(c), F.lit(exact[c]))]), F.col("column")) - 1)
+    below = spark.table(spec.table).crossJoin(F.broadcast(found.where("column = 'o_totalprice'").select(F.get("quantiles", F.lit(1)).alias("median"))))
+    rank = below.agg(F.avg((F.col("o_totalprice") <= F.col("median")).cast("double")).alias("rank"))
+    return found.crossJoin(F.broadcast(rank)).select("column", "rows", "nulls", (error <= DISTINCT_ERROR).alias("distinct_in_error"), (F.abs(F.col("rank") - 0.5) <= RANK_ERROR).alias("median_in_error"))
+
+
 def _refused(name, call):
     """One row: the refusal of a call, or that it was let through."""
     try:
@@ -1049,6 +1068,7 @@ SCENARIOS = {
     "snapshot_all_closed": snapshot_all_closed,
     "snapshot_late": snapshot_late,
     "append_once": append_once,
+    "column_statistics": column_statistics_orders,
     "refused_loads": refused_loads,
     "replicated_dimension": replicated_dimension,
     "layout_followed": layout_followed,

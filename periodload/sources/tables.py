@@ -350,7 +350,8 @@ def analyze(
 
     ``True`` records sizes from the file listing (no scan); ``"full"`` scans the
     table for row counts as well; ``"touched"`` does that for the load's
-    periods alone, so that an increment costs no listing of the whole table.
+    periods alone, so that an increment costs no listing of the whole table; a
+    statement and a small job per period (``operators.colstats`` needs one for all).
     """
     if not mode:
         return

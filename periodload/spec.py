@@ -140,6 +140,8 @@ class LoadSpec:
     # whose rows have been appended before: None (append), "skip" or "refuse".
     ledger: bool = False
     append_once: str | None = None
+    # Keep column statistics by period (mergeable sketches, operators.colstats).
+    column_stats: bool = False
     # Keep an index of the keys by period (created with the table), so that
     # delete+insert reads only periods that can hold a key of the delta.
     key_index: bool = False
@@ -300,6 +302,8 @@ class LoadSpec:
             raise SpecError("publish='swap' needs a partitioned, unbucketed target")
         if self.layout is not None and not self.partitioned:
             raise SpecError("a layout needs partition_column: the column that its ranges or values are about")
+        if self.column_stats and not self.partitioned:
+            raise SpecError("column_stats are kept by period: the target must be partitioned")
         if self.key_index and not (self.partitioned and self.keys):
             raise SpecError("key_index needs a partitioned target and a unique_key")
         if self.append_once not in (None, "skip", "refuse"):
