@@ -22,7 +22,7 @@ from .operators.contract import (
     null_violations,
     typed_projection,
 )
-from .operators.exchange import delete_insert_content, merge_content, overwrite_content
+from .operators.exchange import delete_insert_content, heavy_keys, merge_content, overwrite_content
 from .operators.layout import distribute_for_write, replicated_read
 from .operators.partitions import (
     delta_window,

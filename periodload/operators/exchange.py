@@ -13,6 +13,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def all_keys_set(keys: Sequence[str]) -> Column:
@@ -35,6 +36,44 @@ def _join_side(keys_df: DataFrame, broadcast: bool | None) -> DataFrame:
     return keys_df
 
 
+def heavy_keys(df: DataFrame, keys: Sequence[str], share: float) -> list:
+    """Every key that holds more than ``share`` of all rows of ``df``, with its
+    exact count: (keys, row_count) by falling count. At most ``1 / share`` rows
+    reach the driver; the counts combine map-side."""
+    per_key = df.where(all_keys_set(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"))
+    total = df.count()
+    return per_key.where(F.col("row_count") > F.lit(share * total)).orderBy(F.desc("row_count"), *keys).collect()
+
+
+#: A key with more than this part of a bucket's average share of the delta is spread.
+_HEAVY = 0.5
+
+
+def spread_keys(delta: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame | None:
+    """The delta's heavy keys for a target of so many buckets, at most twice as
+    many as buckets; None if there are none, the usual case."""
+    found = heavy_keys(delta, keys, _HEAVY / buckets)
+    if not found:
+        return None
+    return delta.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in found], delta.select(*keys).schema)
+
+
+def _bucketed_delta(delta: DataFrame, keys: list, buckets: int, heavy: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """The delta's rows for a bucketed write, in two parts: those partitioned
+    like the buckets, and rows with a null or heavy key, which would all lie in
+    one of these partitions. The latter are spread by a hash of the whole row, a
+    hint that adaptive execution can split further; a bucket then has several files."""
+    set_ = all_keys_set(keys)
+    aligned, loose = delta.where(set_), delta.where(~set_)
+    if heavy is not None:
+        heavy = F.broadcast(heavy)  # at most two keys per bucket
+        loose = loose.unionByName(aligned.join(heavy, keys, "left_semi").select(*delta.columns))
+        aligned = aligned.join(heavy, keys, "left_anti").select(*delta.columns)
+    hashed = [f.name for f in delta.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    loose = loose.withColumn("_spread", F.xxhash64(*hashed)).hint("rebalance", "_spread").drop("_spread")
+    return aligned.repartition(int(buckets), *keys), loose
+
+
 def merge_content(
     delta: DataFrame,
     target_slice: DataFrame,
@@ -42,6 +81,7 @@ def merge_content(
     period_col: str,
     buckets: int | None = None,
     broadcast: bool | None = None,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Every delta row, plus each target row with no delta row of the same
     key in the same period. Delta wins; delta duplicates are all kept (H4); a
@@ -76,24 +116,24 @@ def merge_content(
     # once, de-duplicated, for its keys. The kept target rows leave the
     # join still grouped by bucket, so the whole content is bucket-aligned and
     # is written without another exchange: the target is never shuffled.
-    # Null keys all hash to one bucket, so splitting them off buys nothing
-    # here; they stay in the (single) target scan and never match.
-    aligned = delta.repartition(int(buckets), *keys)
+    # Null keys never match: the target's are read by a scan of their own,
+    # which needs no buckets and is split by size.
+    aligned, loose = _bucketed_delta(delta, keys, buckets, heavy)
     renamed = [F.col(c).alias(f"_dk_{c}") for c in (period_col, *keys)]
-    delta_keys = aligned.where(set_).select(*renamed).dropDuplicates([f"_dk_{c}" for c in (period_col, *keys)])
-    tgt = target_slice
+    delta_keys = delta.where(set_).select(*renamed).distinct().repartition(int(buckets), *[f"_dk_{k}" for k in keys])
+    tgt = target_slice.where(set_)
     cond = reduce(lambda a, b: a & b, [tgt[k] == delta_keys[f"_dk_{k}"] for k in keys])
     # equal periods, in a form that doesn't become a join key beside the bucketed ones
     mine, theirs = tgt[period_col], delta_keys[f"_dk_{period_col}"]
     cond = cond & (mine <= theirs) & (mine >= theirs)
     kept = tgt.join(delta_keys, cond, "left_anti")
-    return aligned.unionByName(kept)
+    return aligned.unionByName(kept).unionByName(loose).unionByName(target_slice.where(~set_))
 
 
 def _delta_keys(delta: DataFrame, keys: list, buckets: int | None) -> DataFrame:
     set_ = all_keys_set(keys)
     if buckets:  # partitioned like a target bucketed by the keys: no target shuffle
-        return delta.where(set_).select(*keys).repartition(int(buckets), *keys).dropDuplicates(keys)
+        return delta.where(set_).select(*keys).distinct().repartition(int(buckets), *keys)
     return delta.where(set_).select(*keys).distinct()
 
 
@@ -120,17 +160,17 @@ def delete_insert_matches(
 
 def delete_insert_content(
     delta: DataFrame, target_slice: DataFrame, keys: Sequence[str], buckets: int | None = None,
-    broadcast: bool | None = None,
+    broadcast: bool | None = None, heavy: DataFrame | None = None,
 ) -> DataFrame:
     """L4, step 2: drop every target row, in any period, whose key is in the
     delta, then add all delta rows. ``target_slice`` holds the periods that
     have such rows or receive delta rows."""
     keys = list(keys)
     set_ = all_keys_set(keys)
-    if buckets:  # bucket-aligned content, one target scan, as in merge_content
-        delta = delta.repartition(int(buckets), *keys)
-        delta_keys = delta.where(set_).select(*keys).dropDuplicates(keys)
-        return delta.unionByName(target_slice.join(delta_keys, keys, "left_anti"))
+    if buckets:  # bucket-aligned content, as in merge_content
+        aligned, loose = _bucketed_delta(delta, keys, buckets, heavy)
+        kept = target_slice.where(set_).join(_delta_keys(delta, keys, buckets), keys, "left_anti")
+        return aligned.unionByName(kept).unionByName(loose).unionByName(target_slice.where(~set_))
     delta_keys = _join_side(_delta_keys(delta, keys, None), broadcast)
     kept = target_slice.where(set_).join(delta_keys, keys, "left_anti")
     return delta.unionByName(kept).unionByName(target_slice.where(~set_))

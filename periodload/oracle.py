@@ -487,3 +487,12 @@ SQL["column_statistics"] = "with t as (" + SQL["exchange_merge_month"] + ")\n" +
     f"select '{c}' as column, count(*) as rows, count(*) - count({c}) as nulls, true as distinct_in_error, true as median_in_error from t"
     for c in _COUNTED
 )
+
+SQL["bucketed_hot_keys"] = merge_by_month("""
+  select k as o_orderkey, o_custkey, 'H' as o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+  from (select *, unnest([o_orderkey, -1, null]) as k from orders where o_orderdate >= timestamp '2001-06-01')
+""")
+SQL["heavy_keys"] = """
+select o_custkey, count(*) as row_count from orders where o_custkey is not null
+group by 1 having count(*) > 0.001 * (select count(*) from orders)
+"""

@@ -36,6 +36,7 @@ from ..operators.exchange import (
     delete_insert_matches,
     merge_content,
     overwrite_content,
+    spread_keys,
 )
 from ..operators.keyindex import candidate_periods, create_index, refresh_index, stored_index
 from ..operators.layout import distribute_for_write
@@ -723,8 +724,9 @@ def _exchange(spark, delta, spec, run_id) -> LoadResult:
                 spark.table(spec.table), spark, spec.period_col, periods, spec.max_inline_periods
             )
             keys, buckets = _join_keys(spark, spec)
+            heavy = spread_keys(staged, keys, buckets) if buckets else None
             content = merge_content(staged, target_slice, keys, spec.period_col, buckets,
-                                    broadcast_keys(spark, spec, stats))
+                                    broadcast_keys(spark, spec, stats), heavy)
         else:
             content, buckets = overwrite_content(staged), None
         if spec.publish == "swap":
@@ -810,7 +812,8 @@ def _delete_insert(spark, delta, spec, run_id) -> LoadResult:
         before = _footer_counts(spark, spec.table, spec.period_col, periods, spec.max_inline_periods)
         emptied = [p for p in periods if p not in stats.rows_by_period and matched.get(p, 0) >= before.get(p, 0)]
         target_slice = _period_filter(target, spark, spec.period_col, periods, spec.max_inline_periods)
-        content = delete_insert_content(staged, target_slice, keys, buckets, None if buckets else small)
+        heavy = spread_keys(staged, keys, buckets) if buckets else None
+        content = delete_insert_content(staged, target_slice, keys, buckets, None if buckets else small, heavy)
         if spec.publish == "swap":
             left = [p for p in periods if p not in emptied]
             _publish_swap(spark, content, spec, left, set(before), st.run_id, emptied)

@@ -38,6 +38,7 @@ from .operators.partitions import (
     validate_periods,
 )
 from .operators.snapshot import snapshot_merge
+from .operators.exchange import heavy_keys
 from .operators.colstats import DISTINCT_ERROR, RANK_ERROR, column_statistics
 from .operators.keyindex import candidate_periods
 from .operators.layout import replicated_read
@@ -941,6 +942,25 @@ def column_statistics_orders(spark, sf_dir):
     return found.crossJoin(F.broadcast(rank)).select("column", "rows", "nulls", (error <= DISTINCT_ERROR).alias("distinct_in_error"), (F.abs(F.col("rank") - 0.5) <= RANK_ERROR).alias("median_in_error"))
 
 
+def bucketed_hot_keys(spark, sf_dir):
+    """Y1 + H4: bucketed merge of a delta whose rows are a third of one key
+    and a third of null keys; all of them are kept."""
+    db = scratch_db(spark)
+    orders = read(spark, sf_dir, "orders")
+    spec = orders_spec(db, buckets=4)
+    run(spark, orders, spec)
+    window = orders.where(F.col("o_orderdate") >= _ts("2001-06-01"))
+    delta = window.unionByName(window.withColumn("o_orderkey", F.lit(-1).cast("long"))).unionByName(window.withColumn("o_orderkey", F.lit(None).cast("long")))
+    run(spark, delta.withColumn("o_orderstatus", F.lit("H")), spec)
+    return spark.table(spec.table)
+
+
+def heavy_keys_customers(spark, sf_dir):
+    """Every customer with more than a thousandth of all orders, counted exactly."""
+    found = heavy_keys(read(spark, sf_dir, "orders"), ["o_custkey"], 0.001)
+    return spark.createDataFrame([tuple(r) for r in found], "o_custkey long, row_count long")
+
+
 def _refused(name, call):
     """One row: the refusal of a call, or that it was let through."""
     try:
@@ -1068,6 +1088,8 @@ SCENARIOS = {
     "snapshot_all_closed": snapshot_all_closed,
     "snapshot_late": snapshot_late,
     "append_once": append_once,
+    "bucketed_hot_keys": bucketed_hot_keys,
+    "heavy_keys": heavy_keys_customers,
     "column_statistics": column_statistics_orders,
     "refused_loads": refused_loads,
     "replicated_dimension": replicated_dimension,
