@@ -496,3 +496,8 @@ SQL["heavy_keys"] = """
 select o_custkey, count(*) as row_count from orders where o_custkey is not null
 group by 1 having count(*) > 0.001 * (select count(*) from orders)
 """
+
+SQL["foreign_layout_followed"] = f"""
+select ts_day, count(*) as rows, sum(user_id)::bigint as users, 0::bigint as rows_in_other_codecs, 0::bigint as rows_out_of_order
+from ({SQL["exchange_overwrite_day"]}) group by ts_day
+"""

@@ -42,6 +42,7 @@ from ..operators.keyindex import candidate_periods, create_index, refresh_index,
 from ..operators.layout import distribute_for_write
 from ..operators.partitions import layout_label, list_label, range_bucket
 from ..sources import tables as tb
+from ..sources.foreign import adopt
 from ..sources.staging import Staging
 from ..session import hadoop_delete, hadoop_empty, new_run_id
 from ..spec import LAYOUT_GRAIN, ListLayout, LoadSpec, RangeLayout, SpecError, layout_from_json, layout_to_json
@@ -249,7 +250,7 @@ def _target_dist_keys(spark: SparkSession, spec: LoadSpec) -> tuple[str, ...]:
     stored = tb.stored_spec_properties(spark, spec.table).get("distributed_by")
     if stored is None:
         return spec.dist_keys
-    return tuple(c for c in stored.split(",") if c)
+    return tuple(c for c in stored.strip().split(",") if c)
 
 
 def _write(spark: SparkSession, content: DataFrame, spec: LoadSpec, overwrite: bool,
@@ -622,6 +623,8 @@ def run(spark: SparkSession, delta: DataFrame, spec: LoadSpec, run_id: str | Non
     spec = with_stored_layout(spark, spec)
     if spec.partitioned:
         stored = tb.assert_partitioned_target(spark, spec)
+        if not stored and not tb.bucketing(spark, spec.table):  # made elsewhere: its files tell its layout (Y6)
+            stored = adopt(spark, spec.table, spec.grain, spec.partition_column)
         finish_interrupted(spark, spec.table, stored, lambda content: _write(spark, content, spec, overwrite=True))
     strategy = {
         "exchange_partition": _exchange,

@@ -961,6 +961,22 @@ def heavy_keys_customers(spark, sf_dir):
     return spark.createDataFrame([tuple(r) for r in found], "o_custkey long, row_count long")
 
 
+def foreign_layout_followed(spark, sf_dir):
+    """A table that another writer made (zstd, sorted by user): the load's
+    files have the codec and order that the footers and rows of the old ones show."""
+    db = scratch_db(spark)
+    events = read(spark, sf_dir, "events")
+    spec = events_spec(db)
+    made = events.withColumn(spec.period_col, F.to_date("ts")).repartition(4, spec.period_col).sortWithinPartitions(spec.period_col, "user_id")
+    made.write.option("compression", "zstd").partitionBy(spec.period_col).format("parquet").saveAsTable(spec.table)
+    run(spark, events_overwrite_delta(events), spec)
+    changed = spark.table(spec.table).where("ts_day >= date'2024-01-28'")
+    names = changed.select(F.col("_metadata.file_path").alias("f"), F.monotonically_increasing_id().alias("i"), "user_id")
+    out = names.withColumn("falls", F.col("user_id") < F.lag("user_id").over(Window.partitionBy("f").orderBy("i")))
+    files = out.agg(F.count_if(~F.col("f").endswith(".zstd.parquet")).alias("rows_in_other_codecs"), F.count_if("falls").alias("rows_out_of_order"))
+    return spark.table(spec.table).groupBy("ts_day").agg(F.count("*").alias("rows"), F.sum("user_id").alias("users")).crossJoin(files)
+
+
 def _refused(name, call):
     """One row: the refusal of a call, or that it was let through."""
     try:
@@ -1088,6 +1104,7 @@ SCENARIOS = {
     "snapshot_all_closed": snapshot_all_closed,
     "snapshot_late": snapshot_late,
     "append_once": append_once,
+    "foreign_layout_followed": foreign_layout_followed,
     "bucketed_hot_keys": bucketed_hot_keys,
     "heavy_keys": heavy_keys_customers,
     "column_statistics": column_statistics_orders,
