@@ -85,8 +85,9 @@ def create_stats(spark: SparkSession, table: str, period_col: str) -> None:
     tb.set_property(spark, table, PROPERTY, "true")
 
 
-def has_stats(spark: SparkSession, table: str) -> bool:
-    return tb.stored_spec_properties(spark, table).get(PROPERTY) == "true" and tb.table_exists(spark, stats_table(table))
+def has_stats(spark: SparkSession, table: str, properties: dict | None = None) -> bool:
+    properties = tb.stored_spec_properties(spark, table) if properties is None else properties
+    return properties.get(PROPERTY) == "true" and tb.table_exists(spark, stats_table(table))
 
 
 def refresh_stats(spark: SparkSession, table: str, period_col: str, content: DataFrame) -> None:

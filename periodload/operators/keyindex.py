@@ -73,9 +73,10 @@ def signatures(df: DataFrame, period_col: str) -> dict[str, str]:
     return {p: hashlib.sha256("\n".join(sorted(files)).encode()).hexdigest() for p, files in by_period.items()}
 
 
-def stored_index(spark: SparkSession, table: str) -> tuple[int, list[str]] | None:
-    """(blocks, keys) of the table's index, if it has one."""
-    text = tb.stored_spec_properties(spark, table).get(PROPERTY)
+def stored_index(spark: SparkSession, table: str, properties: dict | None = None) -> tuple[int, list[str]] | None:
+    """(blocks, keys) of the table's index, if it has one. ``properties``: those
+    stored with the table, if they have been read."""
+    text = (tb.stored_spec_properties(spark, table) if properties is None else properties).get(PROPERTY)
     if not text or not tb.table_exists(spark, index_table(table)):
         return None
     blocks, keys = text.split(":", 1)

@@ -301,11 +301,11 @@ def _finish(spark: SparkSession, spec: LoadSpec, periods: list = (), created: di
             create_index(spark, spec.table, spec.period_col, spec.keys, created)
         if created is not None and spec.column_stats:
             create_stats(spark, spec.table, spec.period_col)
-        changed = _period_filter(spark.table(spec.table), spark, spec.period_col, list(periods), spec.max_inline_periods)
-        if stored_index(spark, spec.table):
-            refresh_index(spark, spec.table, spec.period_col, changed)
-        if has_stats(spark, spec.table):
-            refresh_stats(spark, spec.table, spec.period_col, changed)
+        stored = tb.stored_spec_properties(spark, spec.table)
+        for has, refresh in ((stored_index, refresh_index), (has_stats, refresh_stats)):
+            if has(spark, spec.table, stored):
+                changed = _period_filter(spark.table(spec.table), spark, spec.period_col, list(periods), spec.max_inline_periods)
+                refresh(spark, spec.table, spec.period_col, changed)
     tb.analyze(spark, spec.table, spec.analyze, spec.period_col if spec.partitioned else None, periods)
 
 
