@@ -50,7 +50,9 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 def word_codes(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """(distinct words, each word's index there, each word's text), in order."""
-    lowered = pc.ascii_lower(pc.fill_null(texts, "").cast(pa.large_string()))
+    # A copy without an offset: the kernels below misread a slice of a batch.
+    whole = pc.fill_null(texts, "").take(pa.array(np.arange(len(texts)))).cast(pa.large_string())
+    lowered = pc.ascii_lower(whole)
     parts = pc.split_pattern_regex(lowered.view(pa.large_binary()), SEPARATORS)
     words, doc = pc.list_flatten(parts), pc.list_parent_indices(parts)
     there = pc.greater(pc.binary_length(words), 0)

@@ -39,6 +39,17 @@ def test_against_brute_force(spark, least, most, buckets):
     assert [t.simpleString() for t in (f.dataType for f in R.resample(df, aim).schema)] == ["bigint"] * 5
 
 
+def test_slices_of_a_batch_are_read_right():
+    rows = [*texts(50), None, "Last One"]
+    column = pa.array(rows)
+    for at in (1, 7, 30):
+        part = column.slice(at, 20)
+        crc, gram, doc = next(R.features(part, 1, 1))
+        found = [sorted(crc[gram[doc == i]].tolist()) for i in range(len(part))]
+        alone = [sorted(c[g].tolist()) for c, g, _ in (next(R.features(pa.array([r], pa.string()), 1, 1)) for r in part.to_pylist())]
+        assert found == alone
+
+
 def test_ties_repeated_rows_and_null_ids(spark):
     text = " ".join(["same"] * 25)
     docs = [(i, text) for i in range(7)] + [(3, text)] * 3 + [(None, text)] * 2
