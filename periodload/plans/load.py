@@ -39,7 +39,7 @@ from ..operators.exchange import (
     spread_keys,
 )
 from ..operators.keyindex import candidate_periods, create_index, refresh_index, stored_index
-from ..operators.layout import distribute_for_write
+from ..operators.layout import SMALL_FILE_ROWS, distribute_for_write, spread_over_files
 from ..operators.partitions import layout_label, list_label, range_bucket
 from ..sources import tables as tb
 from ..sources.foreign import adopt
@@ -244,6 +244,11 @@ def _footer_counts(spark: SparkSession, table: str, period_col: str, periods: li
     return {r[0]: r[1] for r in df.groupBy(period_col).count().collect()}
 
 
+def _most_rows(stats: DeltaStats, before: dict) -> dict:
+    """Rows that each touched period has after the load, at most."""
+    return {p: stats.rows_by_period.get(p, 0) + before.get(p, 0) for p in {*stats.rows_by_period, *before}}
+
+
 def _target_dist_keys(spark: SparkSession, spec: LoadSpec) -> tuple[str, ...]:
     """The distribution key stored with the table at creation wins over
     the caller's, so every later write lays files out like the first."""
@@ -253,27 +258,42 @@ def _target_dist_keys(spark: SparkSession, spec: LoadSpec) -> tuple[str, ...]:
     return tuple(c for c in stored.strip().split(",") if c)
 
 
+def _small_files(cap) -> bool:
+    return bool(cap) and 0 < int(cap) <= SMALL_FILE_ROWS
+
+
+def _laid_out(spark: SparkSession, content: DataFrame, spec: LoadSpec, bucketed, rows: dict | None) -> DataFrame:
+    """``content`` spread over tasks for the write: by files if the target caps
+    them at few rows and one period's files are more than a core's share
+    (``rows``: how many rows each period gets, at most). Otherwise by bytes:
+    whole periods in one task need no move of each file at the job's end."""
+    period_col, dist = spec.period_col if spec.partitioned else None, _target_dist_keys(spark, spec)
+    cap = tb.storage_properties(spark, spec.table).get("maxRecordsPerFile")
+    uneven = rows and max(rows.values()) * spark.sparkContext.defaultParallelism > sum(rows.values())
+    if uneven and _small_files(cap) and not bucketed and not dist:
+        return spread_over_files(content, period_col, rows, int(cap))
+    return distribute_for_write(content, period_col, dist, bucketed)
+
+
 def _write(spark: SparkSession, content: DataFrame, spec: LoadSpec, overwrite: bool,
-           aligned: bool = False) -> None:
+           aligned: bool = False, rows: dict | None = None) -> None:
     """Publish ``content``, laid out by period and the target's distribution
     key, so that the number of files follows the bytes written and not tasks
     times periods. ``aligned``: the content is already partitioned by the
-    target's bucket hash (co-located merge), so no exchange is added."""
+    target's bucket hash (co-located merge), so no exchange is added.
+    ``rows``: see ``_laid_out``."""
     cols = tb.target_columns(spark, spec.table)
     bucketed = tb.bucketing(spark, spec.table)
     if aligned or (not bucketed and not spec.rebalance):
         out = content.select(*cols)
     else:
-        out = distribute_for_write(
-            content.select(*cols), spec.period_col if spec.partitioned else None,
-            _target_dist_keys(spark, spec), bucketed,
-        )
+        out = _laid_out(spark, content.select(*cols), spec, bucketed, rows)
     with dynamic_overwrite(spark, spec.table):
         out.write.insertInto(spec.table, overwrite=overwrite)
 
 
 def _publish_swap(spark: SparkSession, content: DataFrame, spec: LoadSpec, periods: list,
-                  existing: set, run_id: str, dropped: list = ()) -> None:
+                  existing: set, run_id: str, dropped: list = (), rows: dict | None = None) -> None:
     """P11 by swap: the new content of every touched period is written once,
     in one job, to fresh directories under the table's location; then all
     partitions are re-pointed at their directories (metadata only, one catalog
@@ -289,7 +309,7 @@ def _publish_swap(spark: SparkSession, content: DataFrame, spec: LoadSpec, perio
     cols = tb.target_columns(spark, spec.table)
     out = content.select(*cols)
     if spec.rebalance:
-        out = distribute_for_write(out, spec.period_col, _target_dist_keys(spark, spec))
+        out = _laid_out(spark, out, spec, None, rows)
     opts = {k: v for k, v in tb.storage_properties(spark, spec.table).items() if k != "partitionOverwriteMode"}
     publish_moved(spark, out, spec.table, tb.table_location(spark, spec.table), run_id, spec.period_col, periods, existing, opts, dropped)
 
@@ -403,7 +423,9 @@ def first_load(spark: SparkSession, delta: DataFrame, spec: LoadSpec, run_id: st
     prepared = prepare_delta(spark, delta, spec)
     with Staging(spark, spec.table, spec.staging_dir, run_id) as st:
         staged = _stage(spark, prepared, spec, st, delta, reads_many=False)
-        if staged is prepared and spec.partitioned:
+        # Small files: counts by period are taken from the source beforehand. They
+        # tell how to spread the write, and cost less than the footers of so many files.
+        if staged is prepared and spec.partitioned and not _small_files(spec.max_records_per_file):
             return _first_load_one_pass(spark, prepared, spec, supplied, st.run_id)
         stats = delta_stats(spark, staged, spec, supplied)
         warning = _check_null_periods(stats, spec)
@@ -414,7 +436,7 @@ def first_load(spark: SparkSession, delta: DataFrame, spec: LoadSpec, run_id: st
         _create_new_target(spark, spec)
         try:
             if warning is None and stats.total:
-                _write(spark, staged, spec, overwrite=False)
+                _write(spark, staged, spec, overwrite=False, rows=stats.rows_by_period)
         except Exception:
             # the table did not exist before this call: leave nothing behind,
             # so a rerun is again a first load and not an incremental one
@@ -580,10 +602,12 @@ def plan_load(spark: SparkSession, delta: DataFrame, spec: LoadSpec) -> DataFram
     spec = with_stored_layout(spark, spec)
     tb.assert_partitioned_target(spark, spec)
     prepared = prepare_delta(spark, delta, spec)
-    periods = sorted(
-        r[0] for r in prepared.select(spec.period_col).distinct().collect() if r[0] is not None
-    )
+    rows = {r[0]: r[1] for r in prepared.groupBy(spec.period_col).count().collect() if r[0] is not None}
+    periods = sorted(rows)
     if spec.merge:
+        if _small_files(tb.storage_properties(spark, spec.table).get("maxRecordsPerFile")):
+            before = _footer_counts(spark, spec.table, spec.period_col, periods, spec.max_inline_periods)
+            rows = {p: n + before.get(p, 0) for p, n in rows.items()}
         target_slice = _period_filter(spark.table(spec.table), spark, spec.period_col, periods,
                                       spec.max_inline_periods)
         keys, buckets = _join_keys(spark, spec)
@@ -594,7 +618,7 @@ def plan_load(spark: SparkSession, delta: DataFrame, spec: LoadSpec) -> DataFram
     bucketed = tb.bucketing(spark, spec.table)
     if buckets or (not bucketed and not spec.rebalance):
         return content.select(*cols)
-    return distribute_for_write(content.select(*cols), spec.period_col, _target_dist_keys(spark, spec), bucketed)
+    return _laid_out(spark, content.select(*cols), spec, bucketed, rows)
 
 
 def with_stored_layout(spark: SparkSession, spec: LoadSpec) -> LoadSpec:
@@ -732,11 +756,12 @@ def _exchange(spark, delta, spec, run_id) -> LoadResult:
                                     broadcast_keys(spark, spec, stats), heavy)
         else:
             content, buckets = overwrite_content(staged), None
+        most = _most_rows(stats, before if spec.merge else {})
         if spec.publish == "swap":
             existing = set(periods) - set(missing)
-            _publish_swap(spark, content, spec, periods, existing, st.run_id)
+            _publish_swap(spark, content, spec, periods, existing, st.run_id, rows=most)
         else:
-            _write(spark, content, spec, overwrite=True, aligned=bool(buckets))
+            _write(spark, content, spec, overwrite=True, aligned=bool(buckets), rows=most)
         if spec.merge:
             after = _footer_counts(spark, spec.table, spec.period_col, periods, spec.max_inline_periods)
         else:  # an overwritten period holds exactly its delta rows
@@ -782,7 +807,7 @@ def _append(spark, delta, spec, run_id) -> LoadResult:
                 return LoadResult("replayed", _empty_report(spark, "replayed"), [], st.run_id, [message], print_)
             delta_rows = {"" if p is None else str(p): n for p, n in stats.rows_by_period.items()}
             ledger.start(spark, spec.table, st.run_id, print_, now, delta_rows)
-        _write(spark, staged, spec, overwrite=False)
+        _write(spark, staged, spec, overwrite=False, rows=stats.rows_by_period)
         _finish(spark, spec, periods)
     rows = [
         (p, stats.rows_by_period[p], before.get(p, 0), before.get(p, 0) + stats.rows_by_period[p], "append")
@@ -817,11 +842,12 @@ def _delete_insert(spark, delta, spec, run_id) -> LoadResult:
         target_slice = _period_filter(target, spark, spec.period_col, periods, spec.max_inline_periods)
         heavy = spread_keys(staged, keys, buckets) if buckets else None
         content = delete_insert_content(staged, target_slice, keys, buckets, None if buckets else small, heavy)
+        most = _most_rows(stats, before)
         if spec.publish == "swap":
             left = [p for p in periods if p not in emptied]
-            _publish_swap(spark, content, spec, left, set(before), st.run_id, emptied)
+            _publish_swap(spark, content, spec, left, set(before), st.run_id, emptied, most)
         else:
-            _write(spark, content, spec, overwrite=True, aligned=bool(buckets))
+            _write(spark, content, spec, overwrite=True, aligned=bool(buckets), rows=most)
             tb.drop_partitions(spark, spec.table, spec.period_col, emptied)
         after = _footer_counts(spark, spec.table, spec.period_col, periods, spec.max_inline_periods)
         _finish(spark, spec, [p for p in periods if p not in emptied])
@@ -845,7 +871,7 @@ def _delete_insert_flat(spark, delta, spec, run_id) -> LoadResult:
         content = delete_insert_content(staged, target, keys, None, broadcast_keys(spark, spec, stats, with_period=False))
         content = st.stage(content.select(*target.columns), "content")
         after = content.count()
-        _write(spark, content, spec, overwrite=True)
+        _write(spark, content, spec, overwrite=True, rows={None: after})
         _finish(spark, spec)
     report = build_report(spark, [(None, stats.total, before, after, "delete+insert")], granularity=spec.grain)
     return LoadResult("delete+insert", report, [], st.run_id)
@@ -870,13 +896,13 @@ def _truncate_insert(spark, delta, spec, run_id) -> LoadResult:
             if not stats.total:
                 tb.drop_partitions(spark, spec.table, spec.period_col, stale)
             elif spec.publish == "swap":
-                _publish_swap(spark, staged, spec, stats.periods, set(existing), st.run_id, stale)
+                _publish_swap(spark, staged, spec, stats.periods, set(existing), st.run_id, stale, stats.rows_by_period)
             elif st.kept("delta"):  # the staged delta outlives this run if it dies
                 location = tb.table_location(spark, spec.table)
                 note = decide(spark, spec.table, location, st.run_id, spec.period_col, content=st.keep("delta"), dropped=stale)
                 carry_out(spark, spec.table, note, lambda content: _write(spark, content, spec, overwrite=True))
             else:
-                _write(spark, staged, spec, overwrite=True)
+                _write(spark, staged, spec, overwrite=True, rows=stats.rows_by_period)
                 tb.drop_partitions(spark, spec.table, spec.period_col, stale)
             periods = sorted(set(existing) | set(stats.periods))
             rows = [
